@@ -6,6 +6,7 @@ Importing this package registers every query in ``registry.QUERIES``.
 from tidemill.plans import registry  # noqa: F401
 from tidemill.plans import (  # noqa: F401
     q_named,
+    q_transforms,
 )
 
 __all__ = ["registry"]
