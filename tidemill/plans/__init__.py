@@ -7,6 +7,7 @@ from tidemill.plans import registry  # noqa: F401
 from tidemill.plans import (  # noqa: F401
     q_named,
     q_transforms,
+    q_relational,
 )
 
 __all__ = ["registry"]
