@@ -63,3 +63,29 @@ def zip_with_index(df: DataFrame, order: Sequence[str], num_partitions: int | No
     """Dense 0-based position (B16), the same plan as ``global_rank``."""
     return (global_rank(df, order, num_partitions, rank_col="_r")
             .withColumn(index_col, F.col("_r") - 1).drop("_r"))
+
+
+def global_rank_by_buckets(df: DataFrame, value: str, cut_points: Sequence[float], order: Sequence[str],
+                           rank_col: str = "rank") -> DataFrame:
+    """E03, E04 as the two-job plan of fixed cut points: values go to
+    magnitude buckets (bucket i holds values below ``cut_points[i]``, the
+    last the rest), bucket counts give offsets, and the rank inside a
+    bucket is added.  The offsets table has one row per bucket.
+
+    Each bucket is ranked by one task, so this only spreads work as far as
+    the cut points do; ``global_rank`` samples its bounds instead.
+    """
+    v = F.col(value)
+    bucket = F.lit(len(cut_points))
+    for i in reversed(range(len(cut_points))):
+        bucket = F.when(v < F.lit(cut_points[i]), F.lit(i)).otherwise(bucket)
+    b = df.withColumn("_bucket", bucket)
+    counts = b.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_cnt"))
+    offsets = counts.withColumn(
+        "_offset",
+        F.coalesce(F.sum("_cnt").over(Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)),
+                   F.lit(0)))
+    local = F.row_number().over(Window.partitionBy("_bucket").orderBy(*order))
+    return (b.join(F.broadcast(offsets.select("_bucket", "_offset")), "_bucket")
+             .withColumn(rank_col, F.col("_offset") + local)
+             .drop("_bucket", "_offset"))

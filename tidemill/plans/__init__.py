@@ -8,6 +8,7 @@ from tidemill.plans import (  # noqa: F401
     q_named,
     q_transforms,
     q_relational,
+    q_ordering,
 )
 
 __all__ = ["registry"]
