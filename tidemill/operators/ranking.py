@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemill.session import materialize
+
 
 def top_n_per_group(df: DataFrame, group: Sequence[str] | str, order: Sequence[Column], n: int,
                     rank_col: str = "rn") -> DataFrame:
@@ -38,16 +40,21 @@ def global_rank(df: DataFrame, order: Sequence[str], num_partitions: int | None
     partition), count rows per partition, turn the counts into offsets with
     a window over one row per partition, and broadcast those offsets back.
     The broadcast holds one row per partition, a bound fixed by
-    ``num_partitions``.  ``order`` must be ascending column names that make
-    a total order.
+    ``num_partitions``.  The partitioned, indexed rows are checkpointed in
+    the shared checkpoint folder: two exchanges would sample different
+    range bounds, and a recomputation after a lost executor must not
+    change the positions.  ``order`` must be ascending column names that
+    make a total order.
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     low_bits = (1 << 33) - 1
-    ranged = (df.repartitionByRange(n, *order)
-                .sortWithinPartitions(*order)
-                .withColumn("_pid", F.spark_partition_id())
-                .withColumn("_local", F.monotonically_increasing_id().bitwiseAND(F.lit(low_bits))))
+    # Range bounds are sampled per exchange, so the indexed rows are saved
+    # once and both the counts and the final join read the same copy.
+    ranged = materialize(df.repartitionByRange(n, *order)
+                           .sortWithinPartitions(*order)
+                           .withColumn("_pid", F.spark_partition_id())
+                           .withColumn("_local", F.monotonically_increasing_id().bitwiseAND(F.lit(low_bits))))
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
     offsets = counts.withColumn(
         "_offset",

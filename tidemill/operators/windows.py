@@ -10,6 +10,7 @@ sum, min, max) go that way.  Other shapes fall back to ``F.window``.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -67,10 +68,13 @@ def sliding_counts(df: DataFrame, ts: str, size_s: int, slide_s: int, keys=None,
     """
     keys = _cols(keys)
     sec = epoch_seconds(ts)
+    # Slices of gcd(size, slide) seconds: every window boundary is a slice
+    # boundary, so a slice lies wholly inside or outside each window.
+    width = math.gcd(size_s, slide_s)
     slice_aggs = [F.count(F.lit(1)).alias("_n")]
     if sum_col:
         slice_aggs.append(F.sum(sum_col).alias("_s"))
-    slices = (df.withColumn("_slice", sec - F.pmod(sec, F.lit(slide_s)))
+    slices = (df.withColumn("_slice", sec - F.pmod(sec, F.lit(width)))
                 .groupBy("_slice", *keys).agg(*slice_aggs))
     win = slices.withColumn("window_start",
                             F.explode(window_starts(F.col("_slice"), size_s, slide_s)))

@@ -9,6 +9,7 @@ from tidemill.plans import (  # noqa: F401
     q_transforms,
     q_relational,
     q_ordering,
+    q_windows,
 )
 
 __all__ = ["registry"]

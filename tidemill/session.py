@@ -60,3 +60,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for one job's output."""
     base = checkpoint_dir(spark)
     return os.path.join(base, name)
+
+
+def materialize(df):
+    """Cut lineage with a reliable checkpoint in the shared folder.
+
+    Used where two consumers must see the very same rows (a nondeterministic
+    step such as sampled range bounds feeding both a count and an index);
+    a retried or re-planned task then reads the saved rows instead of
+    recomputing them differently.
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
