@@ -10,6 +10,7 @@ from tidemill.plans import (  # noqa: F401
     q_relational,
     q_ordering,
     q_windows,
+    q_cells,
 )
 
 __all__ = ["registry"]
