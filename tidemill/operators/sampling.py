@@ -69,6 +69,7 @@ def bucket_of(key: Column, n: int) -> Column:
 
 
 def custom_partition(df: DataFrame, key: Column, n: int, bucket_col: str = "bucket") -> DataFrame:
-    """An explicit bucket column, then hash-partition on it, so
-    partition i holds exactly bucket i's rows."""
+    """An explicit bucket column, then hash-partition on it: all rows
+    of a bucket share one partition (which partition is the hash's choice,
+    as DataFrames have no user partitioner)."""
     return df.withColumn(bucket_col, bucket_of(key, n)).repartition(n, bucket_col)
