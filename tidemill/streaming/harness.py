@@ -8,6 +8,7 @@ what a production job uses.
 from __future__ import annotations
 
 import os
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -95,7 +96,32 @@ def run_available_now(stream: DataFrame, checkpoint: str, output_mode: str = "ap
     return q
 
 
-def collect_stream(stream: DataFrame, name: str, checkpoint: str, output_mode: str = "append") -> DataFrame:
-    """Test helper: run to completion into a memory table and return it."""
-    run_available_now(stream, checkpoint, output_mode, sink="memory", query_name=name)
+def collect_stream(stream: DataFrame, name: str, checkpoint: str, output_mode: str = "append",
+                   input_rows: int | None = None, max_wait_s: float = 120.0) -> DataFrame:
+    """Test helper: run to completion into a memory table and return it.
+
+    With ``input_rows`` the query runs on the default trigger until that
+    many input rows were processed, then stops: a processing-time stateful
+    query (state TTL) keeps scheduling batches, so neither ``availableNow``
+    nor ``processAllAvailable`` would return."""
+    if input_rows is None:
+        run_available_now(stream, checkpoint, output_mode, sink="memory", query_name=name)
+        return stream.sparkSession.table(name)
+    q = (stream.writeStream.outputMode(output_mode).format("memory").queryName(name)
+         .option("checkpointLocation", checkpoint).start())
+    deadline = time.time() + max_wait_s
+    seen: dict[int, int] = {}
+    try:
+        while time.time() < deadline:
+            if q.exception():
+                raise q.exception()
+            for p in q.recentProgress:
+                seen[p["batchId"]] = p["numInputRows"]
+            if sum(seen.values()) >= input_rows:
+                break
+            time.sleep(0.2)
+        else:
+            raise TimeoutError(f"stream {name} did not consume {input_rows} rows in {max_wait_s}s")
+    finally:
+        q.stop()
     return stream.sparkSession.table(name)

@@ -72,7 +72,7 @@ class BufferedSink:
         spark = batch.sparkSession
         prev = _read_or_none(spark, self.pending_path)
         if prev is not None:
-            prev = prev.filter(F.col("_pending_after") == batch_id - 1).drop("_pending_after")
+            prev = prev.filter(F.col("_pending_after") == batch_id - 1).drop("_pending_after", "b")
             both = prev.unionByName(batch.select(*prev.columns))
         else:
             both = batch
@@ -86,7 +86,6 @@ class BufferedSink:
             f"{self.path}/batch_id={batch_id}")
         (numbered.filter(F.col("_i") > full).drop("_i").withColumn("_pending_after", F.lit(batch_id))
          .write.mode("overwrite").parquet(f"{self.pending_path}/b={batch_id}"))
-        _ = rows
 
 
 def retry_round(pending: DataFrame, context: DataFrame, keys: list[str], max_retries: int = 5):

@@ -272,5 +272,7 @@ class OneToOneJoin(StatefulProcessor):
 
 def apply(stream: DataFrame, keys: Sequence[str], processor: StatefulProcessor, schema: str,
           mode: str = "Append", time_mode: str = "None", initial_state=None) -> DataFrame:
-    """Group a stream by ``keys`` and run ``processor`` on it."""
+    """Group a stream by ``keys`` and run ``processor`` on it.  State with a
+    TTL (K02, K03) needs ``time_mode="ProcessingTime"``; event-time timers
+    (J08, K06) need ``"EventTime"`` and a watermark on the input."""
     return stream.groupBy(*keys).transformWithState(processor, schema, mode, time_mode, initialState=initial_state)
