@@ -52,6 +52,10 @@ def window_starts(sec: Column, size_s: int, slide_s: int) -> Column:
     J05) a row that falls in a gap belongs to no window.
     """
     last = sec - F.pmod(sec, F.lit(slide_s))
+    if size_s % slide_s == 0:
+        # every candidate holds ``sec``: a plain sequence, no lambda to
+        # evaluate per element
+        return F.sequence(last - F.lit(size_s - slide_s), last, F.lit(slide_s))
     n = -(-size_s // slide_s)
     starts = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: last - i * F.lit(slide_s))
     return F.filter(starts, lambda s: sec < s + F.lit(size_s))
