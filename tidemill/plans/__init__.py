@@ -11,6 +11,7 @@ from tidemill.plans import (  # noqa: F401
     q_ordering,
     q_windows,
     q_cells,
+    q_udf,
 )
 
 __all__ = ["registry"]
