@@ -279,3 +279,25 @@ def test_parsers(spark, scratch):
     from tidemill.operators.joins import lookup_enrich
     out = lookup_enrich(flat, inv, "countryCode", default={"area": ""})
     assert sorted((r["type"], r["area"]) for r in out.collect()) == [("s1", "america"), ("s2", "america"), ("s3", "")]
+
+
+def test_retry_round(spark):
+    pending = spark.createDataFrame([(1, 0), (2, 4), (3, 5)], "k long, retry_count long")
+    ctx = spark.createDataFrame([(1,)], "k long")
+    emitted, again = SK.retry_round(pending, ctx, ["k"], max_retries=5)
+    assert rows(emitted, "k", "matched", "retry_count") == [(1, True, 0), (3, False, 5)]
+    assert rows(again, "k", "retry_count") == [(2, 5)]
+
+
+def test_top_n_from_list_state_and_timer(spark, scratch):
+    schema = "window_end long, item string, cnt long, t timestamp"
+    at = lambda s: dt.datetime(1970, 1, 1) + dt.timedelta(seconds=s)
+    batches = [[(100, "a", 3, at(100)), (100, "b", 5, at(100)), (200, "x", 1, at(200))],
+               [(100, "c", 1, at(100)), (100, "d", 5, at(100))],
+               [(10 ** 9, "flush", 1, at(10 ** 9))], [(10 ** 9 + 1, "flush", 1, at(10 ** 9 + 1))]]
+    src = H.stage_rows_as_batches(spark, batches, schema, os.path.join(scratch, "src"))
+    stream = H.read_files_stream(spark, os.path.join(src, "*"), schema).withWatermark("t", "0 seconds")
+    out = ST.apply(stream, ["window_end"], ST.TopNPerWindow(2), "window_end long, item string, cnt long, rn long",
+                   time_mode="EventTime")
+    got = H.collect_stream(out, "t_topn", os.path.join(scratch, "ck"))
+    assert [r for r in rows(got) if r[0] < 10 ** 9] == [(100, "b", 5, 1), (100, "d", 5, 2), (200, "x", 1, 1)]
