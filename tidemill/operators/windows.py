@@ -62,7 +62,8 @@ def window_starts(sec: Column, size_s: int, slide_s: int) -> Column:
 
 
 def sliding_counts(df: DataFrame, ts: str, size_s: int, slide_s: int, keys=None,
-                   sum_col: str | None = None) -> DataFrame:
+                   sum_col: str | None = None, cluster_by_window: bool = False,
+                   cluster_by_window_keys: bool = False) -> DataFrame:
     """Count (and optionally sum) per sliding window and keys.
 
     Two steps: aggregate per (slice, keys), then copy each slice row into
@@ -85,6 +86,14 @@ def sliding_counts(df: DataFrame, ts: str, size_s: int, slide_s: int, keys=None,
     out_aggs = [F.sum("_n").alias("cnt")]
     if sum_col:
         out_aggs.append(F.sum("_s").alias("total"))
+    if cluster_by_window:
+        # For a per-window rank next: one exchange on the window start
+        # serves both the aggregate and the rank.
+        win = win.repartition("window_start")
+    elif cluster_by_window_keys:
+        # Sparse slices: the copies rarely share (window, key) inside a
+        # task, so a map-side partial aggregate only costs; cluster first.
+        win = win.repartition("window_start", *keys)
     return (win.groupBy("window_start", *keys).agg(*out_aggs)
                .withColumn("window_end", F.col("window_start") + F.lit(size_s)))
 

@@ -17,7 +17,7 @@ def hot_products(spark, sf_dir, size_s=3600, slide_s=300, top=5):
     """Viewed items, 1 h windows sliding 5 min, top 5 per window by
     view count, ties broken by item id."""
     views = events_with_item(spark, sf_dir).filter(F.col("event_type") == "view")
-    counts = W.sliding_counts(views, "ts", size_s, slide_s, keys=["k"])
+    counts = W.sliding_counts(views, "ts", size_s, slide_s, keys=["k"], cluster_by_window=True)
     ranked = top_n_per_group(counts, "window_start", [F.col("cnt").desc(), F.col("k")], top)
     return ranked.select("window_end", F.col("k").alias("item_id"), "cnt", "rn")
 
@@ -99,7 +99,7 @@ def m04_hot_pages(spark, sf, size_s=600, slide_s=5, top=5):
     per window.  Counts are taken per 5 s slice first and only then copied
     into the 120 windows of each slice."""
     ev = load(spark, sf, "events").select("ts", F.concat(F.lit("/p/"), F.get_json_object("props", "$.k")).alias("url"))
-    counts = W.sliding_counts(ev, "ts", size_s, slide_s, keys=["url"])
+    counts = W.sliding_counts(ev, "ts", size_s, slide_s, keys=["url"], cluster_by_window=True)
     ranked = top_n_per_group(counts, "window_start", [F.col("cnt").desc(), F.col("url")], top)
     return ranked.select("window_end", "url", "cnt", "rn")
 
@@ -149,7 +149,7 @@ def m07_ad_clicks_by_province(spark, sf, cap=100, size_s=3600, slide_s=5):
                                               F.col("n_name").alias("province"))
     located = J.lookup_enrich(passed.withColumn("_nk", F.pmod("user_id", F.lit(25))), nation, "_nk",
                               max_rows=10_000)
-    counts = W.sliding_counts(located, "ts", size_s, slide_s, keys=["province"])
+    counts = W.sliding_counts(located, "ts", size_s, slide_s, keys=["province"], cluster_by_window_keys=True)
     return counts.select("window_end", "province", "cnt")
 
 
