@@ -236,3 +236,12 @@ def test_order_enrichment_files(spark):
     places = FMT.read_delimited(spark, os.path.join(DATA, "order_places.txt"),
                                 "order_id long, order_date string, address string")
     assert J.join(lines, places, "order_id").count() == 5
+
+
+def test_prefix_sliding_counts_equal_copies(spark):
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    for size, slide, keys in ((7200, 1800, ["event_type"]), (600, 5, ["user_id"]), (86400, 3600, [])):
+        a = W.sliding_counts(ev, "ts", size, slide, keys=keys)
+        b = W.sliding_counts_prefix(ev, "ts", size, slide, keys=keys)
+        cols = [*keys, "window_start", "window_end", "cnt"]
+        assert rows(a, *cols) == rows(b, *cols)

@@ -161,3 +161,40 @@ def sliding_count_window(df: DataFrame, keys, order: Sequence[str], size: int, s
               .withColumn("total", F.sum(value).over(frame))
               .withColumn("n_rows", F.count(F.lit(1)).over(frame))
               .filter(F.col("seq") % slide == 0))
+
+
+def sliding_counts_prefix(df: DataFrame, ts: str, size_s: int, slide_s: int, keys=None) -> DataFrame:
+    """Sliding-window counts without copying slices into windows.
+
+    Needs ``size_s % slide_s == 0``.  Rows are counted per (keys, slice);
+    per key, each window that holds data is emitted exactly once, by the
+    first slice inside it (the windows starting after the key's previous
+    slice); its count is the running count up to its last slice minus the
+    running count before its first slice.  The last-slice lookup is an
+    as-of ``last(..., ignorenulls)`` over slices and window ends ordered by
+    time.  Work is proportional to slices plus output windows, and the rows
+    of one key are bounded by time span / slide, so a hot key does not grow
+    this stage with the data volume.
+    """
+    if size_s % slide_s:
+        raise ValueError("size must be a multiple of slide")
+    keys = _cols(keys)
+    span = size_s - slide_s
+    sec = epoch_seconds(ts)
+    slices = (df.withColumn("_slice", sec - F.pmod(sec, F.lit(slide_s)))
+                .groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_n")))
+    by_time = Window.partitionBy(*keys).orderBy("_slice")
+    slices = (slices.withColumn("_cum", F.sum("_n").over(by_time.rowsBetween(Window.unboundedPreceding, 0)))
+                    .withColumn("_prev", F.lag("_slice").over(by_time)))
+    first = F.greatest(F.col("_prev") + F.lit(slide_s), F.col("_slice") - F.lit(span))
+    wins = slices.select(*keys, F.explode(F.sequence(first, F.col("_slice"), F.lit(slide_s).cast("long")))
+                         .alias("window_start"), (F.col("_cum") - F.col("_n")).alias("_before"))
+    marks = wins.select(*keys, "window_start", "_before", (F.col("window_start") + F.lit(span)).alias("_t"),
+                        F.lit(1).alias("_side"))
+    points = slices.select(*keys, F.col("_slice").alias("_t"), F.lit(0).alias("_side"), "_cum")
+    merged = marks.unionByName(points, allowMissingColumns=True)
+    asof = Window.partitionBy(*keys).orderBy("_t", "_side").rowsBetween(Window.unboundedPreceding, 0)
+    merged = merged.withColumn("_cum_end", F.last("_cum", ignorenulls=True).over(asof))
+    out = merged.filter(F.col("_side") == 1).select(*keys, "window_start",
+                                                     (F.col("_cum_end") - F.col("_before")).alias("cnt"))
+    return out.withColumn("window_end", F.col("window_start") + F.lit(size_s))
