@@ -7,10 +7,7 @@ UDF is used on a hot path.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 import pandas as pd
-from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf, udtf
 from pyspark.sql.types import LongType, DoubleType
 
@@ -43,15 +40,8 @@ class Tokens:
                 yield tok, i
 
 
-def per_group(fn: Callable[[pd.DataFrame], pd.DataFrame]):
-    """Wrap a pandas function for ``groupBy(...).applyInPandas``."""
-    return fn
-
-
 def median_of_group(pdf: pd.DataFrame) -> pd.DataFrame:
     """N03 body: size and median of one (window, key) group."""
     return pd.DataFrame({"window_start": [pdf["window_start"].iloc[0]], "event_type": [pdf["event_type"].iloc[0]],
                          "n": [len(pdf)], "median": [float(pdf["value"].median())]})
 
-
-_ = F

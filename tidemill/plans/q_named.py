@@ -39,8 +39,6 @@ SELECT window_end, item_id, cnt, CAST(rn AS INTEGER) AS rn FROM r WHERE rn <= 5
 
 # ---- further named queries -------------------------------------------------------
 
-from pyspark.sql import Window  # noqa: E402
-
 from tidemill.functions import scalar as S  # noqa: E402
 from tidemill.functions.time import epoch_millis  # noqa: E402
 from tidemill.operators import aggregates as A  # noqa: E402
@@ -255,5 +253,3 @@ def m13_order_enrichment(spark, sf):
     c = load(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_name", "c_mktsegment")
     return o.join(c, "o_custkey").drop("o_custkey")
 
-
-_ = Window
