@@ -44,13 +44,13 @@ class IdempotentBatchWriter:
     def __init__(self, path: str, ledger_path: str, transform: Callable[[DataFrame], DataFrame] | None = None):
         self.path, self.ledger_path, self.transform = path, ledger_path, transform
 
-    def committed(self, spark) -> set[int]:
+    def is_committed(self, spark, batch_id: int) -> bool:
         led = _read_or_none(spark, self.ledger_path, "batch_id long")
-        return set() if led is None else {r[0] for r in led.select("batch_id").distinct().collect()}
+        return led is not None and led.filter(F.col("batch_id") == batch_id).limit(1).count() > 0
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        if batch_id in self.committed(spark):
+        if self.is_committed(spark, batch_id):
             return
         out = self.transform(batch) if self.transform else batch
         out.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
