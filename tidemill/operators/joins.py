@@ -130,21 +130,30 @@ def asof_context_join(client: DataFrame, server: DataFrame, keys: Sequence[str],
     """Each client row gets the latest server row of the same key at or
     before its time and at most ``max_age_s`` older; misses keep nulls.
 
-    Built as a union ordered by time per key with ``last(..., ignorenulls)``
-    over the preceding rows, so no pair of rows is ever formed.  Server rows
-    sort before client rows at the same instant.
+    Built as a union ordered by time with ``last(..., ignorenulls)`` over
+    the preceding rows, so no pair of rows is ever formed; the window runs
+    per (key, time bucket of ``max_age_s``) with server rows copied into
+    the next bucket too, so a hot key is spread over its buckets.  Server
+    rows sort before client rows at the same instant.
     """
     keys = list(keys)
+    bucket_s = max(int(max_age_s), 1)
+    # Time buckets of max_age seconds: a client row only needs server rows
+    # of its own bucket and the one before, so each server row is copied
+    # into its bucket and the next, and the window runs per (key, bucket).
+    # A hot key is thereby split across buckets.
+    sb = F.floor(epoch_seconds(ts) / F.lit(bucket_s))
     ctx = F.struct(F.col(ts).alias("ctx_ts"), *[F.col(c).alias(f"ctx_{c}") for c in carry])
-    srv = server.select(*keys, F.col(ts).alias("_t"), F.lit(0).alias("_side"), ctx.alias("_ctx"))
+    srv = server.select(*keys, F.col(ts).alias("_t"), F.lit(0).alias("_side"), ctx.alias("_ctx"),
+                        F.explode(F.array(sb, sb + 1)).alias("_bucket"))
     cli_cols = [c for c in client.columns if c not in keys]
-    cli = client.select(*keys, F.col(ts).alias("_t"), F.lit(1).alias("_side"), *cli_cols)
+    cli = client.select(*keys, F.col(ts).alias("_t"), F.lit(1).alias("_side"), *cli_cols, sb.alias("_bucket"))
     u = srv.unionByName(cli, allowMissingColumns=True)
-    w = (Window.partitionBy(*keys).orderBy("_t", "_side")
+    w = (Window.partitionBy(*keys, "_bucket").orderBy("_t", "_side")
          .rowsBetween(Window.unboundedPreceding, 0))
     u = u.withColumn("_ctx", F.last("_ctx", ignorenulls=True).over(w))
     fresh = (epoch_seconds("_t") - epoch_seconds("_ctx.ctx_ts")) <= F.lit(max_age_s)
     out = u.filter(F.col("_side") == 1)
     ctx_cols = ["ctx_ts"] + [f"ctx_{c}" for c in carry]
     out = out.select("*", *[F.when(fresh, F.col(f"_ctx.{c}")).alias(c) for c in ctx_cols])
-    return out.withColumnRenamed("_t", ts).drop("_side", "_ctx")
+    return out.withColumnRenamed("_t", ts).drop("_side", "_ctx", "_bucket")
