@@ -7,6 +7,7 @@ live in ``tidemill.streaming.stateful``.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -59,8 +60,15 @@ def strict_sequence(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str,
     meeting ``cond``, the last less than ``within_s`` after the first.
     Overlapping matches are all reported, as strict contiguity without a
     skip strategy does.  Returns the first and last row's time and id."""
-    w = Window.partitionBy(*keys).orderBy(ts, tiebreak)
-    flagged = df.withColumn("_hit", cond)
+    # Time buckets of ``within_s``: a match starting in bucket b ends
+    # before the end of bucket b + 1, so each row is also copied into the
+    # previous bucket and matches are kept only where the first row is in
+    # its own bucket.  A hot key is thereby split by time.
+    bucket_s = max(int(math.ceil(within_s)), 1)
+    own = F.floor(epoch_seconds(ts) / F.lit(bucket_s))
+    flagged = (df.withColumn("_hit", cond).withColumn("_own", own)
+                 .withColumn("_bucket", F.explode(F.array(own, own - 1))))
+    w = Window.partitionBy(*keys, "_bucket").orderBy(ts, tiebreak)
     ok = F.col("_hit")
     for i in range(1, length):
         ok = ok & F.coalesce(F.lead("_hit", i).over(w), F.lit(False))
@@ -69,7 +77,8 @@ def strict_sequence(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str,
     within_us = int(within_s * 1_000_000)
     span = F.unix_micros(last_ts.cast("timestamp")) - F.unix_micros(F.col(ts).cast("timestamp"))
     out = flagged.select(*keys, F.col(ts).alias("first_ts"), F.col(tiebreak).alias("first_id"),
-                         ok.alias("_ok"), last_ts.alias("last_ts"), last_id.alias("last_id"), span.alias("_span"))
+                         (ok & (F.col("_own") == F.col("_bucket"))).alias("_ok"),
+                         last_ts.alias("last_ts"), last_id.alias("last_id"), span.alias("_span"))
     return out.filter(F.col("_ok") & (F.col("_span") < within_us)).drop("_ok", "_span")
 
 
@@ -92,3 +101,26 @@ def strict_sequence_unkeyed(df: DataFrame, ts: str, tiebreak: str, cond: Column,
     out = cur.filter(span < int(within_s * 1_000_000))
     return (out.withColumn("last_ts", F.col(f"_ts{length - 1}")).withColumn("last_id", F.col(f"_id{length - 1}"))
                .drop("_p0", *[f"_ts{i}" for i in range(1, length)], *[f"_id{i}" for i in range(1, length)]))
+
+
+def running_total_bucketed(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str, value: str | None = None,
+                           bucket_s: int = 86400, out: str = "running_total") -> DataFrame:
+    """J01, K04 at scale: running count (``value=None``) or sum per key in
+    (ts, tiebreak) order, computed per (key, time bucket).
+
+    Totals per (key, bucket) give each bucket's starting offset (a running
+    sum over one row per bucket), and the window inside a bucket adds the
+    rows so far.  A hot key is split into its buckets instead of being
+    sorted by one task; the offsets join shares the (key, bucket)
+    partitioning of the window.
+    """
+    keys = list(keys)
+    v = F.col(value) if value else F.lit(1).cast("long")
+    b = df.withColumn("_b", F.floor(epoch_seconds(ts) / F.lit(bucket_s)))
+    per = b.groupBy(*keys, "_b").agg(F.sum(v).alias("_bs"))
+    before = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per.select(*keys, "_b", F.sum("_bs").over(before).alias("_off"))
+    inside = Window.partitionBy(*keys, "_b").orderBy(ts, tiebreak).rowsBetween(Window.unboundedPreceding, 0)
+    run = b.withColumn("_in", F.sum(v).over(inside))
+    joined = run.join(offsets, [*keys, "_b"])
+    return joined.withColumn(out, F.coalesce(F.col("_off"), F.lit(0)) + F.col("_in")).drop("_b", "_in", "_off")
