@@ -122,16 +122,27 @@ def session_agg(df: DataFrame, ts: str, gap_s: int, keys, aggs: Sequence[Column]
                .drop("_sw"))
 
 
+def _positions(df: DataFrame, keys: list[str], order: Sequence[str], out: str,
+               time_bucket_s: int | None) -> DataFrame:
+    """1-based position of each row in its key's order.  With
+    ``time_bucket_s`` (order = [timestamp, tiebreak]) the position is a
+    running count split by time bucket, so a hot key is not numbered by
+    one task."""
+    if time_bucket_s:
+        from tidemill.operators.patterns import running_total_bucketed
+        return running_total_bucketed(df, keys, order[0], order[1], bucket_s=time_bucket_s, out=out)
+    return df.withColumn(out, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+
+
 def count_window(df: DataFrame, keys, order: Sequence[str], n: int,
-                 aggs: Sequence[Column] | None = None) -> DataFrame:
+                 aggs: Sequence[Column] | None = None, time_bucket_s: int | None = None) -> DataFrame:
     """Tumbling count window (J09): each full run of ``n`` rows per key fires.
 
     ``group_no`` numbers the runs from 0; a trailing partial run never fires.
     """
     keys = _cols(keys)
-    w = Window.partitionBy(*keys).orderBy(*order)
     aggs = list(aggs) if aggs else [F.count(F.lit(1)).alias("cnt")]
-    numbered = df.withColumn("_rn", F.row_number().over(w))
+    numbered = _positions(df, keys, order, "_rn", time_bucket_s)
     grouped = (numbered.withColumn("group_no", F.floor((F.col("_rn") - 1) / n).cast("long"))
                        .groupBy(*keys, "group_no")
                        .agg(F.count(F.lit(1)).alias("_size"), *aggs))
@@ -139,10 +150,16 @@ def count_window(df: DataFrame, keys, order: Sequence[str], n: int,
 
 
 def accumulating_count_trigger(df: DataFrame, keys, order: Sequence[str], n: int,
-                               value: str) -> DataFrame:
+                               value: str, time_bucket_s: int | None = None) -> DataFrame:
     """Global window with a count trigger and no purge (J10): at every n-th
     row of a key, the total of all rows so far."""
     keys = _cols(keys)
+    if time_bucket_s:
+        from tidemill.operators.patterns import running_total_bucketed
+        both = running_total_bucketed(df, keys, order[0], order[1], bucket_s=time_bucket_s, out="seq")
+        both = running_total_bucketed(both, keys, order[0], order[1], value=value, bucket_s=time_bucket_s,
+                                      out="total")
+        return both.withColumn("seq", F.col("seq").cast("int")).filter(F.col("seq") % n == 0)
     w = Window.partitionBy(*keys).orderBy(*order)
     running = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     return (df.withColumn("seq", F.row_number().over(w))

@@ -108,7 +108,7 @@ GROUP BY 1, 2 HAVING count(*) = 5
 def j09_count_window(spark, sf):
     """Every 5 events of a user fire once with their value sum."""
     out = W.count_window(load(spark, sf, "events"), ["user_id"], EV_ORDER, 5,
-                         aggs=[F.count(F.lit(1)).alias("cnt"), F.sum("value").alias("total")])
+                         aggs=[F.count(F.lit(1)).alias("cnt"), F.sum("value").alias("total")], time_bucket_s=86400)
     return out.withColumn("total", F.round("total", 2))
 
 
@@ -119,7 +119,8 @@ SELECT user_id, CAST(seq AS INTEGER) AS seq, round(total, 2) AS total FROM (
 WHERE seq % 3 = 0
 """)
 def j10_accumulating_trigger(spark, sf):
-    out = W.accumulating_count_trigger(load(spark, sf, "events"), ["user_id"], EV_ORDER, 3, "value")
+    out = W.accumulating_count_trigger(load(spark, sf, "events"), ["user_id"], EV_ORDER, 3, "value",
+                                       time_bucket_s=86400)
     return out.select("user_id", "seq", F.round("total", 2).alias("total"))
 
 
@@ -204,7 +205,8 @@ GROUP BY 1, 2 HAVING count(*) = 3
 """)
 def k03_mean_of_three(spark, sf):
     """Value state: the mean of every 3 values of a key, then reset."""
-    out = W.count_window(load(spark, sf, "events"), ["user_id"], EV_ORDER, 3, aggs=[F.avg("value").alias("mean")])
+    out = W.count_window(load(spark, sf, "events"), ["user_id"], EV_ORDER, 3, aggs=[F.avg("value").alias("mean")],
+                         time_bucket_s=86400)
     return out.withColumn("mean", F.round("mean", 4))
 
 
