@@ -164,15 +164,17 @@ FROM events
 """)
 def j14_full_window(spark, sf):
     """All rows of each 1 h window seen together: position in the window's
-    sorted order and window size, from a window function that streams
-    through the sorted window instead of collecting it."""
-    ev = load(spark, sf, "events")
+    sorted order and window size.  Positions come from the parallel global
+    rank over (window, value, id) minus the window's first rank, so even a
+    hot window is never sorted by one task."""
+    from tidemill.operators.ranking import global_rank
+    ev = load(spark, sf, "events").select("event_id", "ts", "value")
     sec = epoch_seconds("ts")
     ev = ev.withColumn("window_start", sec - F.pmod(sec, F.lit(3600)))
-    w = Window.partitionBy("window_start")
-    return ev.select("event_id", "window_start",
-                     F.row_number().over(w.orderBy("value", "event_id")).alias("pos"),
-                     F.count(F.lit(1)).over(w).alias("n"))
+    ranked = global_rank(ev, ["window_start", "value", "event_id"], rank_col="_r")
+    per = ranked.groupBy("window_start").agg(F.min("_r").alias("_first"), F.count(F.lit(1)).alias("n"))
+    out = ranked.join(per, "window_start")
+    return out.select("event_id", "window_start", (F.col("_r") - F.col("_first") + 1).cast("int").alias("pos"), "n")
 
 
 @query("j22_fire_every_element", "J22", oracle="""
