@@ -3,7 +3,6 @@ in batch form)."""
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemill.functions.scalar import int_div
