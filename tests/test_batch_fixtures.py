@@ -245,3 +245,14 @@ def test_prefix_sliding_counts_equal_copies(spark):
         b = W.sliding_counts_prefix(ev, "ts", size, slide, keys=keys)
         cols = [*keys, "window_start", "window_end", "cnt"]
         assert rows(a, *cols) == rows(b, *cols)
+
+
+def test_block_split_sliding_count_window_equals_plain(spark):
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    for size, slide in ((3, 2), (5, 1)):
+        plain = W.sliding_count_window(ev, ["user_id"], ["ts", "event_id"], size, slide, "value")
+        split = W.sliding_count_window(ev, ["user_id"], ["ts", "event_id"], size, slide, "value",
+                                       time_bucket_s=3600, block_rows=size)
+        cols = ["user_id", "seq", "n_rows"]
+        assert rows(plain, *cols) == rows(split, *cols)
+        assert [round(r[0], 6) for r in rows(plain, "total")] == [round(r[0], 6) for r in rows(split, "total")]

@@ -168,16 +168,33 @@ def accumulating_count_trigger(df: DataFrame, keys, order: Sequence[str], n: int
 
 
 def sliding_count_window(df: DataFrame, keys, order: Sequence[str], size: int, slide: int,
-                         value: str) -> DataFrame:
+                         value: str, time_bucket_s: int | None = None, block_rows: int = 4096) -> DataFrame:
     """Sliding count window (J11): every ``slide`` rows, the sum of the last
-    ``size`` rows of the key."""
+    ``size`` rows of the key.
+
+    With ``time_bucket_s`` (order = [timestamp, tiebreak]) positions come
+    from the time-bucketed running count and rows are grouped in blocks of
+    ``max(block_rows, size)`` positions, each row copied into the next
+    block as well; a frame of ``size`` rows then always lies inside one
+    (key, block) partition, so a hot key is split into blocks.
+    """
     keys = _cols(keys)
-    w = Window.partitionBy(*keys).orderBy(*order)
-    frame = w.rowsBetween(-(size - 1), 0)
-    return (df.withColumn("seq", F.row_number().over(w))
-              .withColumn("total", F.sum(value).over(frame))
-              .withColumn("n_rows", F.count(F.lit(1)).over(frame))
-              .filter(F.col("seq") % slide == 0))
+    if not time_bucket_s:
+        w = Window.partitionBy(*keys).orderBy(*order)
+        frame = w.rowsBetween(-(size - 1), 0)
+        return (df.withColumn("seq", F.row_number().over(w))
+                  .withColumn("total", F.sum(value).over(frame))
+                  .withColumn("n_rows", F.count(F.lit(1)).over(frame))
+                  .filter(F.col("seq") % slide == 0))
+    block = max(block_rows, size)
+    pos = _positions(df, keys, order, "seq", time_bucket_s)
+    own = F.floor((F.col("seq") - 1) / F.lit(block))
+    blocked = pos.withColumn("_own", own).withColumn("_blk", F.explode(F.array(own, own + 1)))
+    frame = Window.partitionBy(*keys, "_blk").orderBy("seq").rowsBetween(-(size - 1), 0)
+    out = (blocked.withColumn("total", F.sum(value).over(frame))
+                  .withColumn("n_rows", F.count(F.lit(1)).over(frame))
+                  .filter((F.col("_own") == F.col("_blk")) & (F.col("seq") % slide == 0)))
+    return out.withColumn("seq", F.col("seq").cast("int")).drop("_own", "_blk")
 
 
 def sliding_counts_prefix(df: DataFrame, ts: str, size_s: int, slide_s: int, keys=None) -> DataFrame:

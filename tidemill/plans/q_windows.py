@@ -132,7 +132,8 @@ WHERE seq % 5 = 0
 """)
 def j11_sliding_count_window(spark, sf):
     """Every 5 events of a user, the sum over its last 10."""
-    out = W.sliding_count_window(load(spark, sf, "events"), ["user_id"], EV_ORDER, 10, 5, "value")
+    out = W.sliding_count_window(load(spark, sf, "events"), ["user_id"], EV_ORDER, 10, 5, "value",
+                                 time_bucket_s=86400)
     return out.select("user_id", "seq", F.round("total", 2).alias("total"), "n_rows")
 
 
