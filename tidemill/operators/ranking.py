@@ -47,7 +47,9 @@ def global_rank(df: DataFrame, order: Sequence[str], num_partitions: int | None
     make a total order.
     """
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # At least as many ranges as input splits, so each range stays about
+    # one split (``spark.sql.files.maxPartitionBytes``) in size.
+    n = num_partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), df.rdd.getNumPartitions())
     low_bits = (1 << 33) - 1
     # Range bounds are sampled per exchange, so the indexed rows are saved
     # once and both the counts and the final join read the same copy.
