@@ -114,9 +114,9 @@ q AS (SELECT *, target - whole * source_size AS rest,
         CASE WHEN source_size > 0 THEN (target - whole * source_size) / source_size ELSE 0.0 END AS p FROM k),
 o AS (SELECT d.doc_id, d.size, q.source_size, q.target, q.whole, q.rest,
         sum(d.size) OVER (PARTITION BY d.source ORDER BY CASE WHEN p > 0 THEN (u / (1 - u)) / (p / (1 - p)) END, u, doc_id, size
-                          ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS at
+                          ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run
       FROM d JOIN q ON d.source IS NOT DISTINCT FROM q.source)
 SELECT doc_id, size, source_size, target,
-       CAST(whole * size + CASE WHEN 2 * at - size <= 2 * rest THEN size ELSE 0 END AS BIGINT) AS taken
+       CAST(whole * size + CASE WHEN 2 * run - size <= 2 * rest THEN size ELSE 0 END AS BIGINT) AS taken
 FROM o
 """
