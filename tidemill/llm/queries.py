@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemill.llm import exact_dedup, mixing
+from tidemill.llm import exact_dedup, minhash, mixing, packing
 from tidemill.llm.shared import load_docs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,3 +35,13 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixing.mix_sources(load_docs(spark, sf_dir))
     return out.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@_register("op7_minhash", minhash.ORACLE_SQL)
+def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(load_docs(spark, sf_dir))
+
+
+@_register("op10_packing")
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(load_docs(spark, sf_dir))
