@@ -2,7 +2,7 @@
 
 1. Tokenise: a document's ids and a closing id are cut into full sequences
    and one rest.  Each piece keeps its length and a checksum of its ids.
-2. The pieces' length histogram (classes of ``capacity / 256`` tokens, so 256
+2. The pieces' length histogram (classes of ``capacity / 128`` tokens, so 128
    at most at any input size) is the demand of a cutting-stock problem.  Its
    linear program is solved by column generation: a revised simplex over
    patterns, and a knapsack dynamic program that prices the next pattern.
@@ -22,9 +22,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemill.llm.shared import WordTable, map_batches, saved, text_or_empty, texts_of
+from tidemill.llm.shared import WordTable, fitted, map_batches, saved, text_or_empty, texts_of
 
-CLASSES = 256
+CLASSES = 128
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
@@ -111,14 +111,15 @@ def cut_pieces(docs: DataFrame, capacity: int, end_id: int, vocabulary: str) ->
 
 def price_pattern(worth: np.ndarray, sizes: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:
     """The most valuable multiset of sizes within the capacity (unbounded knapsack by dynamic programming)."""
-    best, took = np.zeros(capacity + 1), np.full(capacity + 1, -1)
+    best, took = np.zeros(capacity + 1), np.full(capacity + 1, -1)  # sizes ascend
+    upto = np.searchsorted(sizes, np.arange(capacity + 1), "right")
     for c in range(1, capacity + 1):
-        fits = sizes <= c
-        value = np.where(fits, best[np.maximum(c - sizes, 0)] + worth, -1.0)
-        i = int(value.argmax())
         best[c] = best[c - 1]
-        if value[i] > best[c] + 1e-12:
-            best[c], took[c] = value[i], i
+        if upto[c]:
+            value = best[c - sizes[:upto[c]]] + worth[:upto[c]]
+            i = int(value.argmax())
+            if value[i] > best[c] + 1e-12:
+                best[c], took[c] = value[i], i
     pattern, c = np.zeros(len(sizes), np.int64), capacity
     while c > 0:
         if took[c] < 0:
@@ -129,8 +130,13 @@ def price_pattern(worth: np.ndarray, sizes: np.ndarray, capacity: int) -> tuple[
     return float(best[capacity]), pattern
 
 
-def solve_patterns(demand: np.ndarray, sizes: np.ndarray, capacity: int, rounds: int = 4000) -> list[tuple[np.ndarray, int]]:
-    """Patterns with whole multiplicities that cover ``demand`` of each size, with few patterns' worth of waste."""
+def solve_patterns(demand: np.ndarray, sizes: np.ndarray, capacity: int, gap: float = 0.002, rounds: int = 4000) -> list[tuple[np.ndarray, int]]:
+    """Patterns with whole multiplicities that cover ``demand`` of each size.
+
+    The value of the linear program over all patterns lies between the
+    present one and that over the best pattern's worth, so generation ends
+    once the worth is within ``gap`` of 1.
+    """
     m = len(sizes)
     if m == 0:
         return []
@@ -142,7 +148,7 @@ def solve_patterns(demand: np.ndarray, sizes: np.ndarray, capacity: int, rounds:
         duals = cost @ inv
         value, enter = price_pattern(np.maximum(duals, 0), sizes, capacity)
         price = 1.0
-        if value <= 1 + 1e-7:
+        if value <= 1 + gap:
             i = int(duals.argmin())
             if duals[i] >= -1e-9:
                 break
@@ -186,7 +192,7 @@ def solve_patterns(demand: np.ndarray, sizes: np.ndarray, capacity: int, rounds:
 def pack(docs: DataFrame, capacity: int = 2048, end_id: int = 1, vocabulary: str | None = None, block: int = 50_000) -> DataFrame:
     """One row for each piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
-    ``capacity`` is a multiple of 256.  A null or empty text is the closing
+    ``capacity`` is a multiple of 128.  A null or empty text is the closing
     id alone.  Repeated rows are packed each by itself, null ids like others.
     Pieces tied in their class rank by id, start and checksum; those equal in
     all of it are interchangeable.  An empty table gives an empty result, and
@@ -201,7 +207,8 @@ def pack(docs: DataFrame, capacity: int = 2048, end_id: int = 1, vocabulary: str
     counts = pieces.groupBy("_class", "_block").agg(F.count("*").alias("_n"))
     hist = {r["_class"]: r["n"] for r in counts.groupBy("_class").agg(F.sum("_n").alias("n")).collect()}
     sizes = np.array(sorted(hist), np.int64)
-    patterns = solve_patterns(np.array([hist[s] for s in sizes.tolist()], np.float64), sizes, CLASSES)
+    demand = np.array([hist[s] for s in sizes.tolist()], np.float64)
+    patterns = fitted(spark.range(1), lambda _: solve_patterns(demand, sizes, CLASSES))
     # for each class the ranks at which a pattern's slots begin, with the pattern's first sequence and slots
     first = np.cumsum([0] + [n for _, n in patterns])
     slots: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}

@@ -7,6 +7,7 @@ touches A-Z only, and a word is a run of bytes outside ``\\x20 \\x09-\\x0D``
 
 from __future__ import annotations
 
+import pickle
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -120,3 +121,20 @@ def mix64(x: np.ndarray) -> np.ndarray:
     x = x ^ (x >> np.uint64(27))
     x = x * np.uint64(0x81DADEF4BC2DD44D)
     return x ^ (x >> np.uint64(33))
+
+
+def fitted(rows: DataFrame, fit: Callable[[pa.Table], object]):
+    """``fit`` of a bounded table, run in one Spark task; its small result comes to the driver.
+
+    A task's Python worker has one BLAS thread and the executor's memory;
+    numpy in the driver process has neither (its BLAS threads do not survive
+    the fork that starts the JVM).
+    """
+    names = rows.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got = [b for b in batches if b.num_rows]
+        table = pa.Table.from_batches(got) if got else pa.table({n: [] for n in names})
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(table))], pa.binary())], names=["model"])
+
+    return pickle.loads(rows.coalesce(1).mapInArrow(run, "model binary").first()["model"])
