@@ -20,7 +20,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemill.llm.shared import ascii_lower, saved, text_or_empty
@@ -170,6 +170,20 @@ def exact_duplicates(docs: DataFrame, capacity: int = 4096, max_depth: int = 16)
         "doc_id", "keep_id", "group_size", F.coalesce("_k", F.lit(False)).alias("kept"), "text_sha256")
 
 
+def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns.
+
+    Rows are found again by text digest and id; of repeated rows (one id,
+    one text) the first in its partition stays.
+    """
+    def key(sha):
+        return F.concat_ws(":", sha, F.col("doc_id").cast("string"))
+    stay = exact_duplicates(docs).where("kept").select(key(F.col("text_sha256")).alias("_key"))
+    rows = docs.withColumn("_key", key(F.sha2(ascii_lower(text_or_empty()), 256))).join(stay, "_key")
+    nth = F.row_number().over(Window.partitionBy("_key").orderBy("_key"))
+    return rows.withColumn("_nth", nth).where("_nth = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 ORACLE_SQL = """
 WITH d AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents)
 SELECT doc_id, max(doc_id) OVER w AS keep_id, CAST(count(*) OVER w AS BIGINT) AS group_size,

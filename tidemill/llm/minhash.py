@@ -198,6 +198,17 @@ def near_duplicates(docs: DataFrame, words: int = 3, percent: int = 85, bands: i
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
+def drop_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: int = 40, rows: int = 6) -> DataFrame:
+    """The rows of ``docs`` whose id stays (one of each component), with all their columns.
+
+    An id goes only if every row that bears it does.  With 40 bands of 6 rows
+    a pair of similarity 0.8 shares no bucket with probability 5e-6.
+    """
+    found = near_duplicates(docs, words, percent, bands, rows).where("doc_id is not null")
+    gone = found.groupBy(F.col("doc_id").alias("_id")).agg(F.max("kept").alias("_kept")).where("not _kept").select("_id")
+    return docs.join(gone, F.col("doc_id") == F.col("_id"), "left_anti")
+
+
 ORACLE_SQL = r"""
 WITH RECURSIVE d AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),

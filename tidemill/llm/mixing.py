@@ -92,6 +92,18 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: fl
     return out.withColumn("taken", F.col("copies") * F.col("size"))
 
 
+def apply_mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, most: int = 2) -> DataFrame:
+    """The rows of ``docs`` as often as the mix takes them (0 to ``most`` times), with all their columns.
+
+    Rows that share id and source are taken equally often.
+    """
+    mix = mix_sources(docs, weights, share, most).groupBy("doc_id", "source").agg(F.max("copies").alias("_copies")).where("_copies > 0")
+    mix = mix.select(F.col("doc_id").alias("_id"), F.col("source").alias("_src"), "_copies")
+    rows = docs.join(mix, F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_src")))
+    return (rows.withColumn("_nth", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
+            .select(*[F.col(f"`{c}`") for c in docs.columns]))
+
+
 ORACLE_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,

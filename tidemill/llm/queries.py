@@ -10,7 +10,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemill.llm import exact_dedup, minhash, mixing, packing
+import corpus_pipeline
+from tidemill.llm import exact_dedup, langid, minhash, mixing, packing
 from tidemill.llm.shared import load_docs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,6 +43,16 @@ def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(load_docs(spark, sf_dir))
 
 
+@_register("op9_langid")
+def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.predict_languages(load_docs(spark, sf_dir))
+
+
 @_register("op10_packing")
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(load_docs(spark, sf_dir))
+
+
+@_register("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
