@@ -9,9 +9,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidemill.llm import exact_dedup, langid, minhash, mixing, packing
+from tidemill.llm import ann, exact_dedup, langid, minhash, mixing, packing, secret_scan
 from tidemill.llm.shared import load_docs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,11 +39,22 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", "taken")
 
 
+@_register("op5_ann", ann.ORACLE_SQL)
+def op5_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir.rstrip('/')}/embeddings.parquet")
+    return ann.nearest(vectors, F.col("vec_id") % 20 == 0)
+
+
 @_register("op7_minhash", minhash.ORACLE_SQL)
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(load_docs(spark, sf_dir))
 
 
+@_register("op8_secret_scan")
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(load_docs(spark, sf_dir))
+
+
 @_register("op9_langid")
 def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict_languages(load_docs(spark, sf_dir))
