@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidemill.llm import ann, exact_dedup, langid, minhash, mixing, packing, secret_scan
+from tidemill.llm import ann, exact_dedup, langid, minhash, mixing, packing, quality, secret_scan
 from tidemill.llm.shared import load_docs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +28,15 @@ def _register(name: str, oracle: str | None = None):
     return deco
 
 
+def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
+
+
+@_register("op2_quality")
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.predict_quality(load_docs(spark, sf_dir), _labels(spark, sf_dir))
+
+
 @_register("op3_exact_dedup", exact_dedup.ORACLE_SQL)
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(load_docs(spark, sf_dir))
