@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidemill.llm import ann, exact_dedup, langid, minhash, mixing, packing, quality, secret_scan
+from tidemill.llm import ann, exact_dedup, langid, minhash, mixing, packing, quality, secret_scan, toxicity
 from tidemill.llm.shared import load_docs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,6 +32,11 @@ def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
 
 
+@_register("op1_toxicity")
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.predict_toxicity(load_docs(spark, sf_dir), _labels(spark, sf_dir))
+
+
 @_register("op2_quality")
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.predict_quality(load_docs(spark, sf_dir), _labels(spark, sf_dir))

@@ -52,11 +52,12 @@ def load_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, label: str, keep: Column, bound: int, by: str) -> DataFrame:
+def training_rows(docs: DataFrame, labels: DataFrame, label: str, keep: Column, bound: int,
+                  by: str) -> tuple[DataFrame, dict[int, int]]:
     """At most about ``bound`` labelled rows for each label value, spread by a hash of the id.
 
     The rate of each label comes from the labels' own counts, so the sample
-    reaches over the whole table.  Of several labels for one id the largest
+    reaches over the whole table; those counts are returned too.  Of several labels for one id the largest
     counts; ids and labels that are null take no part.
     """
     lab = (labels.select(F.col("doc_id").alias("_id"), F.col(label).cast("int").alias("_y"))
@@ -66,8 +67,9 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, keep: Column,
     rate = F.when(F.col("_y") == 1, F.lit(min(1.0, bound / max(n.get(1, 0), 1)))).otherwise(
         F.lit(min(1.0, bound / max(n.get(0, 0), 1))))
     lab = lab.where(keep).where(u < rate)
-    return docs.select("doc_id", "text").join(lab, F.col("doc_id") == F.col("_id")).select(
+    rows = docs.select("doc_id", "text").join(lab, F.col("doc_id") == F.col("_id")).select(
         "doc_id", text_or_empty().alias("text"), F.col("_y").alias("y"))
+    return rows, n
 
 
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
