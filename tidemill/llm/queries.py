@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidemill.llm import ann, exact_dedup, langid, minhash, mixing, packing, quality, secret_scan, toxicity
+from tidemill.llm import ann, exact_dedup, langid, lm, minhash, mixing, packing, quality, secret_scan, toxicity
 from tidemill.llm.shared import load_docs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,6 +59,11 @@ def op5_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(vectors, F.col("vec_id") % 20 == 0)
 
 
+@_register("op6_lm")
+def op6_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_corpus(load_docs(spark, sf_dir))
+
+
 @_register("op7_minhash", minhash.ORACLE_SQL)
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(load_docs(spark, sf_dir))
