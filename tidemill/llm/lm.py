@@ -1,14 +1,11 @@
 """Operator 6: language-model scores from causal self-attention over subword ids.
 
 A text is its words, each with a blank before it, in the ids of a public
-byte-pair vocabulary, and one end.  The network gives the probability of each
+byte-pair vocabulary, and one end.  The model gives the probability of each
 id after those before it: causal self-attention (position biases by
 distance) and a hidden layer predict the id's class, and the id's share
-within its class comes from counts over the whole corpus.  Classes never mix
-ids that begin a word with others, so the network also gives the probability
-that a word ends, and with it a proper probability of each whole word.  The
-model's probability of a word mixes the network's (``MIX``) with the word's
-share of the corpus; the text's is their product, in log10.
+within its class comes from counts over the whole corpus.  A text's score is
+the log10 of their product over its ids.
 
 Windows of ``WIDTH`` ids overlap by ``LEAD``: each id is scored once, in the
 first window that holds it, with at least ``LEAD`` ids before it where there
@@ -38,10 +35,9 @@ from pyspark.sql import functions as F
 from tidemill.llm.shared import WordTable, fitted, fold, map_batches, saved, text_or_empty, texts_of
 
 WIDTH, LEAD = 32, 6
-DIM, HIDDEN = 16, 32
-SINGLE, GROUPS = 40, 22
+DIM, HIDDEN = 16, 40
+SINGLE, GROUPS = 128, 80
 HEAD = 50_000
-MIX = 0.4
 LOG10E = 0.4342944819032518
 
 
@@ -97,14 +93,14 @@ class Words:
         self.start[at:end], self.count[at:end] = self.used + np.cumsum(sizes) - sizes, sizes
         self.used += len(flat)
 
-    def subwords(self, at: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The ids of all texts in a line, each text closed by the end id, their number for each text and for each word or end."""
+    def subwords(self, at: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a line, each text closed by the end id, and their number for each text."""
         n = self.count[at]
         ends = np.cumsum(n)
         flat = self.ids[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(self.start[at] - (ends - n), n)]
         upto = np.concatenate([[0], ends])[np.cumsum(counts)]  # where each text's ids end
         sizes = np.diff(np.concatenate([[0], upto]))
-        return np.insert(flat, upto, self.end_id), sizes + 1, np.insert(n, np.cumsum(counts), 1)
+        return np.insert(flat, upto, self.end_id), sizes + 1
 
 
 @lru_cache(maxsize=1)
@@ -249,12 +245,12 @@ def _classes(ids: np.ndarray, n_ids: int, starts_word: np.ndarray, rng: np.rando
     return of
 
 
-def learn(texts: list[bytes], vocabulary: str, steps: int = 700, batch: int = 96, seed: int = 6) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray]:
-    """(network, class of each id, whether a class's ids begin a word), from a bounded list of texts."""
+def learn(texts: list[bytes], vocabulary: str, steps: int = 3000, batch: int = 96, seed: int = 6) -> tuple[dict[str, np.ndarray], np.ndarray]:
+    """(network, class of each id), from a bounded list of texts."""
     rng = np.random.default_rng(seed)
     words = Words(vocabulary, limit=1 << 60)
     at, counts = words.of(texts)
-    ids, sizes, _ = words.subwords(at, counts)
+    ids, sizes = words.subwords(at, counts)
     n_ids = words.end_id + 1
     starts_word = np.array([words.encoding.decode_single_token_bytes(i)[:1] == b" " for i in range(n_ids - 1)] + [False])
     of = _classes(ids, n_ids, starts_word, rng)
@@ -279,23 +275,21 @@ def learn(texts: list[bytes], vocabulary: str, steps: int = 700, batch: int = 96
             first[k] += 0.1 * (d - first[k])
             second[k] += 0.01 * (d * d - second[k])
             m[k] -= np.float32(rate) * first[k] / (np.sqrt(second[k]) + np.float32(1e-8))
-    begins = np.ones(n_classes, bool)
-    begins[of[np.flatnonzero(~starts_word[:-1])]] = False  # the last id is the end, which stands where a word begins
-    begins[0] = False
-    begins[3 + SINGLE:3 + SINGLE + GROUPS // 2] = False
-    return m, of, begins
+    return m, of
 
 
 class Scorer:
-    def __init__(self, m: dict[str, np.ndarray], of: np.ndarray, share: np.ndarray, begins: np.ndarray):
-        """``share``: the log probability of each id within its class; ``begins``: 1 for classes of ids that begin a word."""
-        self.m, self.of, self.share, self.begins = m, of, share, begins.astype(np.float32)
+    def __init__(self, m: dict[str, np.ndarray], of: np.ndarray, share: np.ndarray):
+        """``share``: the log probability of each id within its class."""
+        self.m, self.of, self.share = m, of, share
         ones = np.ones((len(m["e"]), 1), np.float32)
         q, k = m["e"] @ m["wq"], m["e"] @ m["wk"]
         self.table = np.concatenate([m["e"], q, k, m["e"] @ m["wv"], ones], axis=1)  # one row holds all of an id's vectors
         self.bias = np.where(CAUSAL, m["far"][DISTANCE], np.float32(-1e9))
-        # the largest score there can be: below the range of exp no maximum need be taken off
+        # where no score can leave the range of exp, no maximum need be taken off
         self.safe = np.linalg.norm(q, axis=1).max() * np.linalg.norm(k, axis=1).max() + np.abs(m["far"]).max() < 60
+        self.safe_class = (np.abs(m["w2"]).sum(axis=0) + np.abs(m["b2"])).max() < 60
+        self.ones = np.ones(len(m["b2"]), np.float32)
 
     def hidden(self, x: np.ndarray) -> np.ndarray:
         r = self.table[x]
@@ -305,20 +299,17 @@ class Scorer:
         if not self.safe:
             s -= s.max(axis=2, keepdims=True)
         np.exp(s, out=s)
-        a = s @ v
+        a = s @ v  # the column of ones gives the sums
         h = (a[..., :DIM] / a[..., DIM:]) @ self.m["w1"][:DIM]
         h += e @ self.m["w1"][DIM:]
         h += self.m["b1"]
         return np.tanh(h, out=h)
 
-    def scores(self, ids: np.ndarray, sizes: np.ndarray, block: int = 256) -> tuple[np.ndarray, np.ndarray]:
-        """For each id of the texts, its log probability, and the log probability that it begins a word.
-
-        The id before a text's first is the end id.
-        """
+    def scores(self, ids: np.ndarray, sizes: np.ndarray, block: int = 128) -> np.ndarray:
+        """Log10 probability of each text; the id before a text's first is the end id."""
         text, begin, count = stretches(sizes)
         line = np.concatenate([[len(self.of) - 1], ids])
-        log, start = np.empty(len(ids)), np.empty(len(ids))
+        log = np.empty(len(ids))
         span = np.arange(WIDTH)
         first = np.concatenate([[True], text[1:] != text[:-1]]) if len(text) else np.zeros(0, bool)
         for lo in range(0, len(text), block):
@@ -326,27 +317,14 @@ class Scorer:
             place = np.minimum(begin[own][:, None] + span, len(ids) - 1)
             new = (span >= np.where(first[own], 0, LEAD)[:, None]) & (span < count[own][:, None])
             z = class_logits(self.m, self.hidden(line[place])[new])
-            z -= z.max(axis=1, keepdims=True)
+            if not self.safe_class:
+                z -= z.max(axis=1, keepdims=True)
             at = place[new]
             right = z[np.arange(len(z)), self.of[ids[at]]]
             np.exp(z, out=z)
-            total = np.log(z.sum(axis=1))
-            log[at] = right - total
-            start[at] = np.log(z @ self.begins + np.float32(1e-30)) - total
-        return log + self.share[ids], start
-
-    def words(self, ids: np.ndarray, sizes: np.ndarray, per_word: np.ndarray) -> np.ndarray:
-        """Log probability of each word and end of the texts in a line; ``per_word``: their numbers of ids.
-
-        A word's first id is taken given that a word begins, and the word's
-        own end is that the next id begins another.
-        """
-        log, start = self.scores(ids, sizes)
-        at = np.cumsum(per_word) - per_word
-        out = np.add.reduceat(log, at) - start[at] if len(at) else np.zeros(0)
-        is_end = ids[at] == len(self.of) - 1 if len(at) else np.zeros(0, bool)
-        follows = np.append(start[at][1:], 0.0) if len(at) else np.zeros(0)
-        return np.where(is_end, out, out + follows)
+            log[at] = right - np.log(z @ self.ones)
+        log += self.share[ids]
+        return np.add.reduceat(log, np.cumsum(sizes) - sizes) * LOG10E if len(sizes) else np.zeros(0)
 
 
 _scorers: dict[float, Scorer] = {}
@@ -375,7 +353,7 @@ def score_texts(docs: DataFrame, train, bound: int = 1000, vocabulary: str | Non
         pairs = sorted(zip(t["doc_id"].to_pylist(), t["text"].to_pylist()), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
         return learn([x for _, x in pairs] or [b""], path)
 
-    m, of, begins = fitted(sample, fit)
+    m, of = fitted(sample, fit)
     n_ids = len(of)
     seen = np.zeros(n_ids)
     for r in counts.where("kind = 1").select("key", "n").collect():  # at most one row for each id of the vocabulary
@@ -388,56 +366,44 @@ def score_texts(docs: DataFrame, train, bound: int = 1000, vocabulary: str | Non
     head_n = np.array([r["n"] for r in top], np.int64)[np.argsort(head_key)]
     head_key = np.sort(head_key)
     mark = float(m["e"].sum()) + float(share.sum())
-    log_end = np.log((1 - MIX) * n_docs / n_all) if n_docs else -np.inf
 
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
         if mark not in _scorers:
             _scorers.clear()
-            _scorers[mark] = Scorer(m, of, share, begins)
+            _scorers[mark] = Scorer(m, of, share)
         table, texts = _words(path), texts_of(b.column(2))
         cols: list[list] = [[] for _ in range(5)]
         tails: list[np.ndarray] = []
-        tail_logs: list[np.ndarray] = []
         for lo in range(0, len(texts), 128):
             if table.table.full():
                 table.clear()
             at, n = table.of(texts[lo:lo + 128])
-            sub = _scorers[mark].words(*table.subwords(at, n))
-            last = np.cumsum(n + 1) - 1
-            end_log = np.logaddexp(sub[last] + np.log(MIX), log_end)
-            sub, key, where = np.delete(sub, last), table.hashes[at], np.repeat(np.arange(len(n)), n)
+            key, where = table.hashes[at], np.repeat(np.arange(len(n)), n)
             i = np.minimum(np.searchsorted(head_key, key), max(len(head_key) - 1, 0))
             known = (head_key[i] == key) if len(head_key) else np.zeros(len(key), bool)
-            c = head_n[i[known]].astype(float) if len(head_key) else np.zeros(0)
-            log = np.logaddexp(sub[known] + np.log(MIX), np.log((1 - MIX) * c / max(n_all, 1)))
+            log = np.log10(head_n[i[known]] + 1.0) if len(head_key) else np.zeros(0)
             cols[0] += (n + 1).tolist()
             cols[1] += np.bincount(where[known], minlength=len(n)).tolist()
-            cols[2] += np.bincount(where[known], weights=np.log10(c + 1), minlength=len(n)).tolist()
-            cols[3] += ((np.bincount(where[known], weights=log, minlength=len(n)) + end_log) * LOG10E).tolist()
+            cols[2] += np.bincount(where[known], weights=log, minlength=len(n)).tolist()
+            cols[3] += _scorers[mark].scores(*table.subwords(at, n)).tolist()
             cols[4] += np.bincount(where[~known], minlength=len(n)).tolist()
             tails.append(key[~known])
-            tail_logs.append((sub[~known] + np.log(MIX)).astype(np.float32))
         ends = pa.array(np.cumsum([0] + cols[4]), pa.int32())
-        lists = [pa.ListArray.from_arrays(ends, pa.array(np.concatenate(x) if x else [], t)) for x, t in ((tails, pa.int64()), (tail_logs, pa.float32()))]
+        tail = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(tails) if tails else [], pa.int64()))
         return pa.RecordBatch.from_arrays(
             [b.column(0), b.column(1), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.float64()),
-             pa.array(cols[3], pa.float64()), *lists], names=["uid", "doc_id", "n_tokens", "head_known", "head_log", "head_score", "keys", "logs"])
+             pa.array(cols[3], pa.float64()), tail], names=["uid", "doc_id", "n_tokens", "head_known", "head_log", "score", "tail"])
 
     slim = docs.select(F.monotonically_increasing_id().alias("uid"), F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    scored = saved(map_batches(slim, run, "uid long, doc_id long, n_tokens long, head_known long, head_log double, head_score double, "
-                               "keys array<long>, logs array<float>"), "lm-scores")
-    rare = (scored.select("uid", F.explode(F.arrays_zip("keys", "logs")).alias("w")).select("uid", F.col("w.keys").alias("key"), F.col("w.logs").alias("log"))
-            .join(words, "key", "left"))
-    c = F.coalesce(F.col("n"), F.lit(0))
-    chance = F.exp(F.col("log").cast("double")) + c * F.lit((1 - MIX) / max(n_all, 1))
-    rare = rare.groupBy("uid").agg(F.count("n").alias("_known"), F.sum(F.log10(c + 1)).alias("_log"), F.sum(F.log10(chance)).alias("_score"))
+    scored = saved(map_batches(slim, run, "uid long, doc_id long, n_tokens long, head_known long, head_log double, score double, tail array<long>"), "lm-scores")
+    rare = scored.select("uid", F.explode("tail").alias("key")).join(words, "key")
+    rare = rare.groupBy("uid").agg(F.count("*").alias("_known"), F.sum(F.log10(F.col("n") + 1)).alias("_log"))
     end_known = F.lit(1 if n_docs else 0)
-    zero = F.lit(0.0)
-    base = (F.col("head_log") + F.coalesce("_log", zero) + F.lit(float(np.log10(n_docs + 1)))
+    base = (F.col("head_log") + F.coalesce("_log", F.lit(0.0)) + F.lit(float(np.log10(n_docs + 1)))
             - F.col("n_tokens") * F.lit(float(np.log10(n_all + (distinct + 1)))))
-    return scored.drop("keys", "logs").join(rare, "uid", "left").select(
+    return scored.drop("tail").join(rare, "uid", "left").select(
         "doc_id", "n_tokens", (F.col("head_known") + F.coalesce("_known", F.lit(0)) + end_known).alias("n_known"),
-        F.lit(n_all).cast("long").alias("train_tokens"), base.alias("base_score"), (F.col("head_score") + F.coalesce("_score", zero)).alias("score"))
+        F.lit(n_all).cast("long").alias("train_tokens"), base.alias("base_score"), "score")
 
 
 def score_corpus(docs: DataFrame, held: int = 2, folds: int = 7, bound: int = 1000, vocabulary: str | None = None) -> DataFrame:
