@@ -239,7 +239,7 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], columns: list
         texts = texts_of(b.column(len(columns)))
         for lo in range(0, len(texts), 256):
             part = texts[lo:lo + 256]
-            total, counts = _state[mark].of(part)
+            total, counts = _state[mark].of(part) if names else (np.zeros((len(part), 0)), np.zeros(len(part)))
             total *= np.minimum(1, certain_words / np.maximum(counts, 1))[:, None]
             top = total.argmax(axis=1) if names else np.zeros(len(part), int)
             post = 1 / np.exp(total - total.max(axis=1, keepdims=True)).sum(axis=1) if names else np.zeros(len(part))
