@@ -31,7 +31,7 @@ def _stage_events(spark, scratch, n=4, flush=True):
         for i, extra in enumerate((0, 1)):
             spark.createDataFrame([(-1 - extra, FAR_FUTURE, -1, "flush", 0.0, "{}")], EVENTS_SCHEMA).coalesce(1) \
                  .write.parquet(os.path.join(src, f"batch-9999{i}"))
-    return H.read_files_stream(spark, os.path.join(src, "*"), EVENTS_SCHEMA)
+    return H.read_files_stream(spark, os.path.join(src, "*"), EVENTS_SCHEMA, max_files_per_trigger=1)
 
 
 def test_tumbling_counts_stream_equals_batch(spark, scratch):
@@ -79,7 +79,7 @@ def test_late_rows_go_to_side_output(spark, scratch):
     batches = [[("a", t(1461756870000)), ("a", t(1461756883000))],
                [("a", t(1461756870000)), ("a", t(1461756871000)), ("a", t(1461756872000))]]
     src = H.stage_rows_as_batches(spark, batches, schema, os.path.join(scratch, "src"))
-    stream = H.read_files_stream(spark, os.path.join(src, "*"), schema)
+    stream = H.read_files_stream(spark, os.path.join(src, "*"), schema, max_files_per_trigger=1)
     split = SO.LateSplitter("ts", 3, 10, os.path.join(scratch, "wm"), os.path.join(scratch, "on"),
                             os.path.join(scratch, "late"))
     H.run_available_now(stream, os.path.join(scratch, "ck"), foreach_batch=split)
@@ -98,7 +98,7 @@ def test_daily_cap_stream(spark, scratch):
     clicks = clicks.withColumn("t", F.timestamp_seconds("ts")).withColumn("rid", F.monotonically_increasing_id())
     src = os.path.join(scratch, "src")
     H.stage_batches(clicks, "t", 3, src)
-    stream = H.read_files_stream(spark, os.path.join(src, "*"), clicks.schema)
+    stream = H.read_files_stream(spark, os.path.join(src, "*"), clicks.schema, max_files_per_trigger=1)
     out = ST.apply(stream, ["user_id", "ad_id"], ST.DailyCap("t", "rid", cap=100), "id long, kind string")
     got = H.collect_stream(out, "t_cap", os.path.join(scratch, "ck"))
     assert got.filter("kind = 'pass'").count() == 122 and got.filter("kind = 'alert'").count() == 1
@@ -111,7 +111,7 @@ def test_sequence_stream_equals_batch(spark, scratch):
                    .withColumn("fail", F.col("event_type") == "fail")
     src = os.path.join(scratch, "src")
     H.stage_batches(logins, "t", 3, src)
-    stream = H.read_files_stream(spark, os.path.join(src, "*"), logins.schema)
+    stream = H.read_files_stream(spark, os.path.join(src, "*"), logins.schema, max_files_per_trigger=1)
     out = ST.apply(stream, ["user_id"], ST.StrictSequence("t", "rid", "fail", 3, 86_400_000),
                    "key long, first_ms long, first_id long, last_ms long, last_id long")
     got = H.collect_stream(out, "t_seq", os.path.join(scratch, "ck"))
@@ -126,7 +126,7 @@ def test_one_to_one_join_stream(spark, scratch):
     tagged = FMT.tagged_union([("left", lines), ("right", places)], tag="side")
     src = os.path.join(scratch, "src")
     tagged.coalesce(1).write.parquet(src)
-    stream = H.read_files_stream(spark, src, tagged.schema)
+    stream = H.read_files_stream(spark, src, tagged.schema, max_files_per_trigger=1)
     proc = ST.OneToOneJoin("side", ["product", "price"], ["order_date", "address"])
     out = ST.apply(stream, ["order_id"], proc, "key long, left string, right string")
     got = H.collect_stream(out, "t_o2o", os.path.join(scratch, "ck"))
@@ -137,7 +137,7 @@ def test_map_with_state_initial_and_running_text(spark, scratch):
     schema = "word string, seq long"
     src = H.stage_rows_as_batches(spark, [[("hadoop", 1), ("spark", 2)], [("flink", 3), ("hadoop", 4)]], schema,
                                   os.path.join(scratch, "src"))
-    stream = H.read_files_stream(spark, os.path.join(src, "*"), schema)
+    stream = H.read_files_stream(spark, os.path.join(src, "*"), schema, max_files_per_trigger=1)
     # The initial state of the map-with-state sample.
     init = spark.createDataFrame([("hadoop", 100), ("flink", 20)], "word string, seq long").groupBy("word")
     out = ST.apply(stream, ["word"], ST.RunningValue("seq", "sum", order_col="seq", ttl_ms=30_000),
@@ -152,7 +152,7 @@ def test_count_window_state(spark, scratch):
     # The keyed pairs sample.
     pairs = [(1, 3, 0), (1, 5, 1), (1, 7, 2), (2, 2, 3), (2, 4, 4), (2, 6, 5)]
     src = H.stage_rows_as_batches(spark, [pairs[:2], pairs[2:4], pairs[4:]], schema, os.path.join(scratch, "src"))
-    stream = H.read_files_stream(spark, os.path.join(src, "*"), schema)
+    stream = H.read_files_stream(spark, os.path.join(src, "*"), schema, max_files_per_trigger=1)
     out = ST.apply(stream, ["k"], ST.CountWindow("v", 3, ttl_ms=10_000), "key long, cnt long, total double, mean double",
                    time_mode="ProcessingTime")
     got = H.collect_stream(out, "t_cw", os.path.join(scratch, "ck"), input_rows=6)
@@ -163,11 +163,11 @@ def test_running_count_update_mode_and_per_batch(spark, scratch):
     schema = "word string"
     src = H.stage_rows_as_batches(spark, [[("a",), ("b",)], [("a",)], [("a",), ("b",)]], schema,
                                   os.path.join(scratch, "src"))
-    stream = H.read_files_stream(spark, os.path.join(src, "*"), schema)
+    stream = H.read_files_stream(spark, os.path.join(src, "*"), schema, max_files_per_trigger=1)
     got = H.collect_stream(SO.running_count(stream, ["word"]), "t_rc", os.path.join(scratch, "ck"), "update")
     assert max(r["cnt"] for r in got.filter("word = 'a'").collect()) == 3
     seen = []
-    H.run_available_now(H.read_files_stream(spark, os.path.join(src, "*"), schema), os.path.join(scratch, "ck2"),
+    H.run_available_now(H.read_files_stream(spark, os.path.join(src, "*"), schema, max_files_per_trigger=1), os.path.join(scratch, "ck2"),
                         foreach_batch=SO.per_batch_counts(["word"], lambda df, b: seen.extend(df.collect())))
     assert sorted((r["batch_id"], r["word"], r["cnt"]) for r in seen) == [
         (0, "a", 1), (0, "b", 1), (1, "a", 1), (2, "a", 1), (2, "b", 1)]
@@ -182,7 +182,7 @@ def test_buffered_sink_survives_restart(spark, scratch):
     ck = os.path.join(scratch, "ck")
     for i, batch in enumerate(data):  # one run per batch: a restart between batches
         H.stage_rows_as_batches(spark, [batch], schema, os.path.join(src, f"run{i}"))
-        H.run_available_now(H.read_files_stream(spark, os.path.join(src, "*", "*"), schema), ck, foreach_batch=sink)
+        H.run_available_now(H.read_files_stream(spark, os.path.join(src, "*", "*"), schema, max_files_per_trigger=1), ck, foreach_batch=sink)
     out = spark.read.parquet(os.path.join(scratch, "out"))
     assert rows(out, "batch_id", "word") == [(1, "Hadoop"), (1, "Spark"), (2, "Hadoop"), (2, "Spark")]
 
@@ -215,7 +215,7 @@ def test_block_list_and_dynamic_dimension(spark, scratch):
         if dim:  # the dimension changes between two runs
             spark.createDataFrame(dim, "country string, area string").write.mode("overwrite").parquet(dim_path)
         H.stage_rows_as_batches(spark, [batch], schema, os.path.join(src, f"run{i}"))
-        stream = SO.block_list_stream(H.read_files_stream(spark, os.path.join(src, "*", "*"), schema), "word", blocked, "w")
+        stream = SO.block_list_stream(H.read_files_stream(spark, os.path.join(src, "*", "*"), schema, max_files_per_trigger=1), "word", blocked, "w")
         H.run_available_now(stream, ck, foreach_batch=enrich)
     assert sorted((r["word"], r["area"]) for r in seen) == [("hi", "america"), ("ok", "america"), ("yo", "asia")]
 
@@ -227,7 +227,7 @@ def test_window_join_stream(spark, scratch):
             (2, base + dt.timedelta(seconds=7), "r"), (3, base + dt.timedelta(seconds=100), "l")]
     df = spark.createDataFrame(data, schema)
     df.coalesce(1).write.parquet(os.path.join(scratch, "src"))
-    s = H.read_files_stream(spark, os.path.join(scratch, "src"), schema)
+    s = H.read_files_stream(spark, os.path.join(scratch, "src"), schema, max_files_per_trigger=1)
     left = SO.event_time(s.filter("side = 'l'").select("k", F.col("ts").alias("lt")), "lt", "5 seconds")
     right = SO.event_time(s.filter("side = 'r'").select("k", F.col("ts").alias("rt")), "rt", "5 seconds")
     got = H.collect_stream(SO.window_join_stream(left, right, "k", "lt", "rt", "5 seconds"), "t_wj",
@@ -296,7 +296,7 @@ def test_top_n_from_list_state_and_timer(spark, scratch):
                [(100, "c", 1, at(100)), (100, "d", 5, at(100))],
                [(10 ** 9, "flush", 1, at(10 ** 9))], [(10 ** 9 + 1, "flush", 1, at(10 ** 9 + 1))]]
     src = H.stage_rows_as_batches(spark, batches, schema, os.path.join(scratch, "src"))
-    stream = H.read_files_stream(spark, os.path.join(src, "*"), schema).withWatermark("t", "0 seconds")
+    stream = H.read_files_stream(spark, os.path.join(src, "*"), schema, max_files_per_trigger=1).withWatermark("t", "0 seconds")
     out = ST.apply(stream, ["window_end"], ST.TopNPerWindow(2), "window_end long, item string, cnt long, rn long",
                    time_mode="EventTime")
     got = H.collect_stream(out, "t_topn", os.path.join(scratch, "ck"))

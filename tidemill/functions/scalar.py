@@ -13,7 +13,7 @@ SEPARATORS = {
     "space": " ",
     "comma": ",",
     "non_word": r"\W+",
-    "ctrl_a": "\u0001",
+    "ctrl_a": r"\^A",
     "dash": "-",
     "colon": ":",
     "tab": "\t",
@@ -89,6 +89,6 @@ def magnitude_bucket(v: Column, n: int) -> Column:
 
 
 def int_div(a: Column, b: Column) -> Column:
-    """Truncated integer division (``a div b``)."""
-    q = a.cast("double") / b.cast("double")
-    return F.when(q >= 0, F.floor(q)).otherwise(F.ceil(q)).cast("long")
+    """Truncated integer division (``a div b``), exact on longs.  A
+    fractional operand is divided as a decimal, so 7.9 div 2 is 3."""
+    return F.call_function("div", a, b)

@@ -134,7 +134,9 @@ def stats(df: DataFrame, value: str) -> DataFrame:
 
 def histogram_even(df: DataFrame, value: str, n: int) -> DataFrame:
     """``n`` even buckets from min to max, left closed, the last one
-    closed on both ends; empty buckets are reported with 0.
+    closed on both ends; empty buckets are reported with 0.  Nulls are not
+    counted.  If all values are equal there is one bucket with all of them,
+    and without values there is none.
 
     Pass 1 is a one-row min/max aggregate, joined back as a broadcast of
     that single row; pass 2 counts per bucket with partial aggregation.
@@ -142,10 +144,12 @@ def histogram_even(df: DataFrame, value: str, n: int) -> DataFrame:
     spark = df.sparkSession
     bounds = df.agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"))
     width = (F.col("_hi") - F.col("_lo")) / F.lit(n)
-    idx = F.least(F.floor((F.col(value) - F.col("_lo")) / width), F.lit(n - 1)).cast("int")
-    counted = (df.select(value).crossJoin(F.broadcast(bounds))
-                 .groupBy(F.coalesce(idx, F.lit(0)).alias("bucket")).agg(F.count(F.lit(1)).alias("cnt")))
-    grid = spark.range(n).select(F.col("id").cast("int").alias("bucket")).crossJoin(F.broadcast(bounds))
+    flat = F.col("_hi") == F.col("_lo")
+    idx = F.when(flat, F.lit(0)).otherwise(F.least(F.floor(F.try_divide(F.col(value) - F.col("_lo"), width)), F.lit(n - 1))).cast("int")
+    counted = (df.select(value).filter(F.col(value).isNotNull()).crossJoin(F.broadcast(bounds))
+                 .groupBy(idx.alias("bucket")).agg(F.count(F.lit(1)).alias("cnt")))
+    grid = (spark.range(n).select(F.col("id").cast("int").alias("bucket")).crossJoin(F.broadcast(bounds))
+                 .filter(F.col("_lo").isNotNull() & (~flat | (F.col("bucket") == 0))))
     return (grid.join(counted, "bucket", "left")
                 .select("bucket",
                         (F.col("_lo") + F.col("bucket") * (F.col("_hi") - F.col("_lo")) / F.lit(n)).alias("lower"),

@@ -1,10 +1,9 @@
 """Joins (survey 2.3, C01 to C13).
 
-Broadcasts are only made behind a row-count check (``small_enough``):
-``limit(max_rows + 1).count()`` stops reading as soon as the bound is
-passed, so the check costs little for a small side and little for a big
-one.  Above the bound the join falls back to a shuffle join and AQE
-decides at run time.
+No join is given a broadcast hint: Spark broadcasts a side by its size in
+bytes (``spark.sql.autoBroadcastJoinThreshold``, again at run time under
+AQE) and shuffles both sides otherwise, so a plan never depends on a count
+taken while the query is built.
 """
 
 from __future__ import annotations
@@ -16,19 +15,6 @@ from pyspark.sql import functions as F
 
 from tidemill.functions.time import epoch_seconds
 
-DEFAULT_BROADCAST_ROWS = 1_000_000
-
-
-def small_enough(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (checked, not estimated)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``F.broadcast(df)`` when the row bound holds, else ``df`` unchanged."""
-    return F.broadcast(df) if small_enough(df, max_rows) else df
-
-
 def join(left: DataFrame, right: DataFrame, on, how: str = "inner") -> DataFrame:
     """Inner, left, right and full outer equi-joins."""
     return left.join(right, on, how)
@@ -41,15 +27,11 @@ def null_as_text(df: DataFrame, cols: Sequence[str], text: str = "null") -> Data
     return df
 
 
-def cross_with_small(left: DataFrame, small: DataFrame, max_rows: int = 10_000) -> DataFrame:
-    """Every pair of rows, only when one side is provably small.
-
-    The small side is broadcast, so the product costs one pass over
-    ``left``.  A product of two large inputs is refused.
-    """
-    if not small_enough(small, max_rows):
-        raise ValueError(f"cross product refused: right side has more than {max_rows} rows")
-    return left.crossJoin(F.broadcast(small))
+def cross_with_small(left: DataFrame, small: DataFrame) -> DataFrame:
+    """Every pair of rows, meant for a ``small`` of fixed size (a
+    dimension): the product costs one pass over ``left`` for each of its
+    rows.  A small enough side is broadcast by Spark's own estimate."""
+    return left.crossJoin(small)
 
 
 def cogroup_lists(inputs: Sequence[tuple[DataFrame, str, Column]], key: str = "key") -> DataFrame:
@@ -84,20 +66,16 @@ def subtract_by_key(left: DataFrame, right: DataFrame, on) -> DataFrame:
     return left.join(right, on, "left_anti")
 
 
-def block_list_filter(df: DataFrame, col: str, blocked: DataFrame, blocked_col: str,
-                      max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Drop rows whose ``col`` is on a block list (anti join, list
-    broadcast when small)."""
+def block_list_filter(df: DataFrame, col: str, blocked: DataFrame, blocked_col: str) -> DataFrame:
+    """Drop rows whose ``col`` is on a block list (anti join)."""
     bl = blocked.select(F.col(blocked_col).alias("_blk")).distinct()
-    bl = maybe_broadcast(bl, max_rows)
     return df.join(bl, F.col(col) == F.col("_blk"), "left_anti")
 
 
-def lookup_enrich(df: DataFrame, dim: DataFrame, on, default: Mapping | None = None,
-                  max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Left join to a dimension map (broadcast when small); a
-    missing key gives null, or ``default[col]`` when given."""
-    out = df.join(maybe_broadcast(dim, max_rows), on, "left")
+def lookup_enrich(df: DataFrame, dim: DataFrame, on, default: Mapping | None = None) -> DataFrame:
+    """Left join to a dimension map; a missing key gives null, or
+    ``default[col]`` when given."""
+    out = df.join(dim, on, "left")
     for c, v in (default or {}).items():
         out = out.withColumn(c, F.coalesce(F.col(c), F.lit(v)))
     return out
@@ -134,7 +112,10 @@ def asof_context_join(client: DataFrame, server: DataFrame, keys: Sequence[str],
     the preceding rows, so no pair of rows is ever formed; the window runs
     per (key, time bucket of ``max_age_s``) with server rows copied into
     the next bucket too, so a hot key is spread over its buckets.  Server
-    rows sort before client rows at the same instant.
+    rows sort before client rows at the same instant.  Of several server
+    rows at one instant the one with the largest carried columns counts.  A
+    null key or time meets nothing: such server rows are left out, and such
+    client rows keep nulls.
     """
     keys = list(keys)
     bucket_s = max(int(max_age_s), 1)
@@ -143,17 +124,21 @@ def asof_context_join(client: DataFrame, server: DataFrame, keys: Sequence[str],
     # into its bucket and the next, and the window runs per (key, bucket).
     # A hot key is thereby split across buckets.
     sb = F.floor(epoch_seconds(ts) / F.lit(bucket_s))
+    whole = F.col(ts).isNotNull()
+    for k in keys:
+        whole = whole & F.col(k).isNotNull()
     ctx = F.struct(F.col(ts).alias("ctx_ts"), *[F.col(c).alias(f"ctx_{c}") for c in carry])
-    srv = server.select(*keys, F.col(ts).alias("_t"), F.lit(0).alias("_side"), ctx.alias("_ctx"),
+    srv = server.filter(whole).select(*keys, F.col(ts).alias("_t"), F.lit(0).alias("_side"), ctx.alias("_ctx"),
                         F.explode(F.array(sb, sb + 1)).alias("_bucket"))
     cli_cols = [c for c in client.columns if c not in keys]
-    cli = client.select(*keys, F.col(ts).alias("_t"), F.lit(1).alias("_side"), *cli_cols, sb.alias("_bucket"))
+    unkeyed = client.filter(~whole).withColumnRenamed(ts, "_t")
+    cli = client.filter(whole).select(*keys, F.col(ts).alias("_t"), F.lit(1).alias("_side"), *cli_cols, sb.alias("_bucket"))
     u = srv.unionByName(cli, allowMissingColumns=True)
-    w = (Window.partitionBy(*keys, "_bucket").orderBy("_t", "_side")
+    w = (Window.partitionBy(*keys, "_bucket").orderBy("_t", "_side", "_ctx")
          .rowsBetween(Window.unboundedPreceding, 0))
     u = u.withColumn("_ctx", F.last("_ctx", ignorenulls=True).over(w))
     fresh = (epoch_seconds("_t") - epoch_seconds("_ctx.ctx_ts")) <= F.lit(max_age_s)
     out = u.filter(F.col("_side") == 1)
     ctx_cols = ["ctx_ts"] + [f"ctx_{c}" for c in carry]
-    out = out.select("*", *[F.when(fresh, F.col(f"_ctx.{c}")).alias(c) for c in ctx_cols])
-    return out.withColumnRenamed("_t", ts).drop("_side", "_ctx", "_bucket")
+    out = out.select("*", *[F.when(fresh, F.col(f"_ctx.{c}")).alias(c) for c in ctx_cols]).drop("_side", "_ctx", "_bucket")
+    return out.unionByName(unkeyed, allowMissingColumns=True).withColumnRenamed("_t", ts)

@@ -111,16 +111,21 @@ def running_total_bucketed(df: DataFrame, keys: Sequence[str], ts: str, tiebreak
     Totals per (key, bucket) give each bucket's starting offset (a running
     sum over one row per bucket), and the window inside a bucket adds the
     rows so far.  A hot key is split into its buckets instead of being
-    sorted by one task; the offsets join shares the (key, bucket)
-    partitioning of the window.
+    sorted by one task.  The join to the offsets is null-safe: rows with a
+    null key are a key of their own and rows without a time come first in
+    their key, as in the plain window.
     """
     keys = list(keys)
     v = F.col(value) if value else F.lit(1).cast("long")
     b = df.withColumn("_b", F.floor(epoch_seconds(ts) / F.lit(bucket_s)))
     per = b.groupBy(*keys, "_b").agg(F.sum(v).alias("_bs"))
     before = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per.select(*keys, "_b", F.sum("_bs").over(before).alias("_off"))
+    offsets = per.select(*[F.col(k).alias(f"_o_{k}") for k in [*keys, "_b"]], F.sum("_bs").over(before).alias("_off"))
     inside = Window.partitionBy(*keys, "_b").orderBy(ts, tiebreak).rowsBetween(Window.unboundedPreceding, 0)
     run = b.withColumn("_in", F.sum(v).over(inside))
-    joined = run.join(offsets, [*keys, "_b"])
-    return joined.withColumn(out, F.coalesce(F.col("_off"), F.lit(0)) + F.col("_in")).drop("_b", "_in", "_off")
+    same = F.lit(True)
+    for k in [*keys, "_b"]:
+        same = same & F.col(k).eqNullSafe(F.col(f"_o_{k}"))
+    joined = run.join(offsets, same)
+    total = F.coalesce(F.col("_off"), F.lit(0)) + F.col("_in")
+    return joined.withColumn(out, total).drop("_b", "_in", "_off", *[f"_o_{k}" for k in [*keys, "_b"]])

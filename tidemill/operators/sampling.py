@@ -15,9 +15,11 @@ def sample(df: DataFrame, fraction: float, with_replacement: bool = False, seed:
 
 def hash_sample(df: DataFrame, key: Column, fraction: float, seed: int = 0) -> DataFrame:
     """I01, checkable form: keep a row when the hash of its key falls under
-    the fraction; the same key set comes back for any partitioning."""
-    h = F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(1_000_000))
-    return df.filter(h < F.lit(int(fraction * 1_000_000)))
+    the fraction of all 64-bit values; the same key set comes back for any
+    partitioning."""
+    if fraction >= 1:
+        return df
+    return df.filter(F.xxhash64(key, F.lit(seed)) < F.lit(int(fraction * 2 ** 64) - 2 ** 63))
 
 
 def sample_by_key(df: DataFrame, col: str, fractions: Mapping, seed: int | None = None) -> DataFrame:
@@ -64,8 +66,12 @@ def range_partition(df: DataFrame, n: int, *cols: str) -> DataFrame:
 
 def bucket_of(key: Column, n: int) -> Column:
     """Custom partitioner: null to 0, integers modulo ``n`` (never
-    negative, unlike the source's ``%``)."""
-    return F.coalesce(F.pmod(key, F.lit(n)), F.lit(0)).cast("int")
+    negative, unlike the source's ``%``), text by the sum of its character
+    codes modulo ``n``."""
+    codes = F.transform(F.split(key.cast("string"), ""), lambda c: F.ascii(c).cast("long"))
+    text = F.pmod(F.aggregate(codes, F.lit(0).cast("long"), lambda a, c: a + c), F.lit(n))
+    whole = key.try_cast("long") if hasattr(key, "try_cast") else F.expr("null")
+    return F.coalesce(F.pmod(whole, F.lit(n)), text, F.lit(0)).cast("int")
 
 
 def custom_partition(df: DataFrame, key: Column, n: int, bucket_col: str = "bucket") -> DataFrame:

@@ -147,8 +147,7 @@ def m07_ad_clicks_by_province(spark, sf, cap=100, size_s=3600, slide_s=5):
     passed = P.daily_cap(clicks, ["user_id", "k"], "ts", "event_id", cap=cap).filter(F.col("kind") == "pass")
     nation = load(spark, sf, "nation").select(F.col("n_nationkey").cast("long").alias("_nk"),
                                               F.col("n_name").alias("province"))
-    located = J.lookup_enrich(passed.withColumn("_nk", F.pmod("user_id", F.lit(25))), nation, "_nk",
-                              max_rows=10_000)
+    located = J.lookup_enrich(passed.withColumn("_nk", F.pmod("user_id", F.lit(25))), nation, "_nk")
     # 720 windows per slice: count by running sums instead of copying
     # slices into windows (see ``sliding_counts_prefix``)
     counts = W.sliding_counts_prefix(located, "ts", size_s, slide_s, keys=["province"])
@@ -173,7 +172,7 @@ def m09_log_enrichment(spark, sf):
             .select(F.col("n_nationkey").cast("long").alias("_nk"), F.col("n_name").alias("country"),
                     F.col("r_name").alias("area")))
     out = J.lookup_enrich(entries.withColumn("_nk", F.pmod("user_id", F.lit(25))), dim, "_nk",
-                          default={"area": ""}, max_rows=10_000)
+                          default={"area": ""})
     return out.select("event_id", "type", "score", "country", "area", epoch_millis("ts").alias("ts_ms"))
 
 

@@ -61,7 +61,7 @@ SELECT s_suppkey, r_name FROM supplier CROSS JOIN region
 def c05_cross_with_small(spark, sf):
     s = load(spark, sf, "supplier").select("s_suppkey")
     r = load(spark, sf, "region").select("r_name")
-    return J.cross_with_small(s, r, max_rows=1000)
+    return J.cross_with_small(s, r)
 
 
 @query("c06_cogroup", "C06", oracle="""
@@ -105,7 +105,7 @@ SELECT s_suppkey, n_name FROM supplier LEFT JOIN nation ON s_nationkey = n_natio
 def c09_broadcast_lookup(spark, sf):
     s = load(spark, sf, "supplier").select("s_suppkey", F.col("s_nationkey").alias("n_nationkey"))
     n = load(spark, sf, "nation").select("n_nationkey", "n_name")
-    return J.lookup_enrich(s, n, "n_nationkey", max_rows=10_000).select("s_suppkey", "n_name")
+    return J.lookup_enrich(s, n, "n_nationkey").select("s_suppkey", "n_name")
 
 
 @query("c10_area_enrichment", "C10 H07", oracle="""
@@ -120,7 +120,7 @@ def c10_area_enrichment(spark, sf):
             .select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("country"),
                     F.col("r_name").alias("area")))
     c = load(spark, sf, "customer").select("c_custkey", "c_nationkey")
-    out = J.lookup_enrich(c, dim, "c_nationkey", default={"area": ""}, max_rows=10_000)
+    out = J.lookup_enrich(c, dim, "c_nationkey", default={"area": ""})
     return out.select("c_custkey", "country", "area")
 
 

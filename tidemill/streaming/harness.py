@@ -18,9 +18,10 @@ from tidemill.functions.time import epoch_seconds
 
 
 def read_files_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet",
-                      max_files_per_trigger: int | None = 1, **options) -> DataFrame:
-    """Files of a folder as an unbounded stream; each trigger takes
-    at most ``max_files_per_trigger`` new files (the replay pace)."""
+                      max_files_per_trigger: int | None = None, **options) -> DataFrame:
+    """Files of a folder as an unbounded stream; with
+    ``max_files_per_trigger`` each trigger takes at most so many new files
+    (the replay pace), without it all there are."""
     r = spark.readStream.format(fmt).schema(schema)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
@@ -29,7 +30,7 @@ def read_files_stream(spark: SparkSession, path: str, schema, fmt: str = "parque
     return r.load(path)
 
 
-def read_text_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = 1) -> DataFrame:
+def read_text_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Text lines (column ``value``) of files landing in a folder."""
     return read_files_stream(spark, path, "value string", fmt="text", max_files_per_trigger=max_files_per_trigger)
 

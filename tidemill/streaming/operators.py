@@ -11,10 +11,10 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tidemill.functions.time import epoch_seconds
+from tidemill.streaming.sinks import read_if_there
 
 
 def event_time(df: DataFrame, ts: str, delay: str = "10 seconds", out: str | None = None) -> DataFrame:
@@ -78,8 +78,8 @@ def top_n_stream(counts: DataFrame, group: str, item: str, n: int) -> DataFrame:
 
 
 def block_list_stream(stream: DataFrame, col: str, blocked: DataFrame, blocked_col: str) -> DataFrame:
-    """Stream-static anti join to a (broadcast) block list."""
-    bl = F.broadcast(blocked.select(F.col(blocked_col).alias("_blk")).distinct())
+    """Stream-static anti join to a block list."""
+    bl = blocked.select(F.col(blocked_col).alias("_blk")).distinct()
     return stream.join(bl, F.col(col) == F.col("_blk"), "left_anti")
 
 
@@ -90,7 +90,7 @@ def dynamic_enrichment(load_dim: Callable[[], DataFrame], on: str, default: dict
     defaults."""
     def run(batch: DataFrame, batch_id: int) -> None:
         dim = load_dim()
-        out = batch.join(F.broadcast(dim), on, "left")
+        out = batch.join(dim, on, "left")
         for c, v in default.items():
             out = out.withColumn(c, F.coalesce(F.col(c), F.lit(v)))
         sink(out, batch_id)
@@ -139,11 +139,10 @@ class LateSplitter:
         self.state_path, self.on_time_path, self.late_path = state_path, on_time_path, late_path
 
     def _watermark(self, spark, batch_id: int):
-        try:
-            marks = spark.read.parquet(self.state_path).filter(F.col("batch_id") < batch_id)
-        except AnalysisException:  # nothing recorded yet
+        marks = read_if_there(spark, self.state_path)
+        if marks is None:
             return None
-        row = marks.agg(F.max("max_sec").alias("m")).first()
+        row = marks.filter(F.col("batch_id") < batch_id).agg(F.max("max_sec").alias("m")).first()
         return None if row["m"] is None else row["m"] - self.delay_s
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:

@@ -14,23 +14,42 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _read_or_none(spark, path: str, schema: str | None = None):
+def read_if_there(spark, path: str, schema: str | None = None):
+    """The saved table, or None before anything was saved.  Only a missing
+    path counts as that; a damaged or incompatible table is an error."""
     try:
         r = spark.read
         if schema:
             r = r.schema(schema)
         return r.parquet(path)
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
 
 
 def jdbc_batch_writer(url: str, table: str, batch_size: int = 500, properties: dict | None = None):
     """Each micro-batch appended to a database table, ``batch_size``
-    rows per commit, one connection per partition."""
+    rows per commit, one connection per partition.  The rows of the same
+    batch id are deleted first, so a replayed batch replaces itself (also
+    after a run that stopped half-way)."""
     props = {"batchsize": str(batch_size)}
     props.update(properties or {})
 
+    def delete(spark, batch_id: int) -> None:
+        jvm = spark.sparkContext._jvm
+        info = jvm.java.util.Properties()
+        for k, v in props.items():
+            info.setProperty(k, str(v))
+        conn = jvm.java.sql.DriverManager.getConnection(url, info)
+        try:
+            if any(conn.getMetaData().getTables(None, None, t, None).next() for t in {table, table.upper(), table.lower()}):
+                conn.createStatement().executeUpdate(f"DELETE FROM {table} WHERE \"batch_id\" = {int(batch_id)}")
+        finally:
+            conn.close()
+
     def run(batch: DataFrame, batch_id: int) -> None:
+        delete(batch.sparkSession, batch_id)
         batch.withColumn("batch_id", F.lit(batch_id)).write.mode("append").jdbc(url, table, properties=props)
     return run
 
@@ -45,7 +64,7 @@ class IdempotentBatchWriter:
         self.path, self.ledger_path, self.transform = path, ledger_path, transform
 
     def is_committed(self, spark, batch_id: int) -> bool:
-        led = _read_or_none(spark, self.ledger_path, "batch_id long")
+        led = read_if_there(spark, self.ledger_path, "batch_id long")
         return led is not None and led.filter(F.col("batch_id") == batch_id).limit(1).count() > 0
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
@@ -63,14 +82,15 @@ class BufferedSink:
     in a pending table (saved per batch id) and survives a restart.
 
     Flushed rows go to ``path/batch_id=N``.  Group membership follows the
-    ``order`` column."""
+    ``order`` column and then all others, and the numbered rows are kept
+    while both outputs are written, so a tied row is in exactly one."""
 
     def __init__(self, threshold: int, order: str, path: str, pending_path: str):
         self.threshold, self.order, self.path, self.pending_path = threshold, order, path, pending_path
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        prev = _read_or_none(spark, self.pending_path)
+        prev = read_if_there(spark, self.pending_path)
         if prev is not None:
             prev = prev.filter(F.col("_pending_after") == batch_id - 1).drop("_pending_after", "b")
             both = prev.unionByName(batch.select(*prev.columns))
@@ -78,14 +98,15 @@ class BufferedSink:
             both = batch
         # One task numbers the rows; a buffer holds fewer than ``threshold``
         # rows plus one micro-batch, which the trigger size bounds.
-        w = Window.orderBy(self.order)
-        numbered = both.withColumn("_i", F.row_number().over(w))
+        w = Window.orderBy(self.order, *[c for c in both.columns if c != self.order])
+        numbered = both.withColumn("_i", F.row_number().over(w)).persist()
         total = numbered.count()
         full = (total // self.threshold) * self.threshold
         numbered.filter(F.col("_i") <= full).drop("_i").write.mode("overwrite").parquet(
             f"{self.path}/batch_id={batch_id}")
         (numbered.filter(F.col("_i") > full).drop("_i").withColumn("_pending_after", F.lit(batch_id))
          .write.mode("overwrite").parquet(f"{self.pending_path}/b={batch_id}"))
+        numbered.unpersist()
 
 
 def retry_round(pending: DataFrame, context: DataFrame, keys: list[str], max_retries: int = 5):

@@ -53,7 +53,10 @@ class SessionByTimer(StatefulProcessor):
             if s is not None and t >= s[2] + self.gap_ms:
                 yield self._emit(key, s)
                 s = None
-            s = (1, t, t) if s is None else (s[0] + 1, s[1], max(s[2], t))
+            if s is not None and t + self.gap_ms <= s[1]:  # late, and too early for the open session
+                yield self._emit(key, (1, t, t))
+                continue
+            s = (1, t, t) if s is None else (s[0] + 1, min(s[1], t), max(s[2], t))
         self.state.update(s)
         self.handle.registerTimer(s[2] + self.gap_ms)
 
@@ -174,29 +177,42 @@ class TopNPerWindow(StatefulProcessor):
 
 class DailyCap(StatefulProcessor):
     """K10 with K09: per key, the first ``cap`` rows of each event-time day
-    pass, the next raises one alert, the rest are dropped; count and alert
-    flag reset when the day changes.  Output rows carry ``kind``."""
+    pass, the next raises one alert, the rest are dropped.  Each day has its
+    own count and alert flag, so late rows count in their own day.  With
+    ``expire`` (event-time mode and a watermark) a day's state goes once the
+    watermark has passed it.  Output rows carry ``kind``."""
 
-    def __init__(self, ts_col: str, id_col: str, cap: int = 100, day_ms: int = 86_400_000):
-        self.ts_col, self.id_col, self.cap, self.day_ms = ts_col, id_col, cap, day_ms
+    def __init__(self, ts_col: str, id_col: str, cap: int = 100, day_ms: int = 86_400_000, expire: bool = False):
+        self.ts_col, self.id_col, self.cap, self.day_ms, self.expire = ts_col, id_col, cap, day_ms, expire
 
     def init(self, handle):
-        self.state = handle.getValueState("cap", "day long, cnt long, alerted boolean")
+        self.handle = handle
+        self.days = handle.getMapState("cap", "day long", "cnt long, alerted boolean")
 
     def handleInputRows(self, key, rows, timerValues):
         rows = sorted(rows, key=lambda r: (_ms(r[self.ts_col]), r[self.id_col]))
-        day, cnt, alerted = (tuple(self.state.get()) if self.state.exists() else (None, 0, False))
+        seen: dict[int, tuple[int, bool]] = {}
         for r in rows:
             d = _ms(r[self.ts_col]) // self.day_ms * self.day_ms
-            if d != day:
-                day, cnt, alerted = d, 0, False
-            cnt += 1
+            if d not in seen:
+                seen[d] = tuple(self.days.getValue((d,))) if self.days.containsKey((d,)) else (0, False)
+            cnt, alerted = seen[d][0] + 1, seen[d][1]
             if cnt <= self.cap:
                 yield Row(id=r[self.id_col], kind="pass")
             elif not alerted:
                 alerted = True
                 yield Row(id=r[self.id_col], kind="alert")
-        self.state.update((day, cnt, alerted))
+            seen[d] = (cnt, alerted)
+        for d, state in seen.items():
+            self.days.updateValue((d,), state)
+            if self.expire:
+                self.handle.registerTimer(d + self.day_ms)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        day = expiredTimerInfo.getExpiryTimeInMs() - self.day_ms
+        if self.days.containsKey((day,)):
+            self.days.removeKey((day,))
+        return iter([])
 
     def close(self):
         pass
@@ -205,22 +221,52 @@ class DailyCap(StatefulProcessor):
 class StrictSequence(StatefulProcessor):
     """``length`` adjacent rows meeting the condition, the last less
     than ``within_ms`` after the first.  List state keeps at most
-    ``length - 1`` pending rows per key."""
+    ``length - 1`` pending rows per key.
+
+    With ``wait`` (event-time mode and a watermark) rows are held until the
+    watermark passes them and then taken in event-time order, so adjacency is
+    right whatever batch a row comes in; a key's run goes ``within_ms`` after
+    its last row.  Without it rows must arrive in order across batches."""
 
-    def __init__(self, ts_col: str, id_col: str, flag_col: str, length: int = 3, within_ms: int = 5000):
+    def __init__(self, ts_col: str, id_col: str, flag_col: str, length: int = 3, within_ms: int = 5000, wait: bool = False):
         self.ts_col, self.id_col, self.flag_col = ts_col, id_col, flag_col
-        self.length, self.within_ms = length, within_ms
+        self.length, self.within_ms, self.wait = length, within_ms, wait
 
     def init(self, handle):
+        self.handle = handle
         self.pending = handle.getListState("pending", "ts_ms long, id long")
+        self.held = handle.getListState("held", "ts_ms long, id long, hit boolean")
 
     def handleInputRows(self, key, rows, timerValues):
+        new = [(_ms(r[self.ts_col]), r[self.id_col], bool(r[self.flag_col])) for r in rows]
+        if not self.wait:
+            yield from self._advance(key, new)
+            return
+        self.held.appendList(new)
+        for t in {t for t, _, _ in new}:
+            self.handle.registerTimer(t + 1)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        mark = timerValues.getCurrentWatermarkInMs()
+        held = [tuple(r) for r in self.held.get()] if self.held.exists() else []
+        late, ready = [r for r in held if r[0] >= mark], [r for r in held if r[0] < mark]
+        if late:
+            self.held.put(late)
+        else:
+            self.held.clear()
+        if ready:
+            yield from self._advance(key, ready)
+            self.handle.registerTimer(max(r[0] for r in ready) + self.within_ms + 1)
+        elif self.pending.exists() and mark > max(r[0] for r in self.pending.get()) + self.within_ms:
+            self.pending.clear()
+
+    def _advance(self, key, rows):
         run = [tuple(r) for r in self.pending.get()] if self.pending.exists() else []
-        for r in sorted(rows, key=lambda r: (_ms(r[self.ts_col]), r[self.id_col])):
-            if not r[self.flag_col]:
+        for ts, rid, hit in sorted(rows):
+            if not hit:
                 run = []
                 continue
-            run.append((_ms(r[self.ts_col]), r[self.id_col]))
+            run.append((ts, rid))
             if len(run) >= self.length:
                 first, last = run[-self.length], run[-1]
                 if last[0] - first[0] < self.within_ms:
