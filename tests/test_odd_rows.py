@@ -61,7 +61,7 @@ def test_partition_of_text_and_null_keys(spark):
 
 
 def test_small_hash_sample_is_not_empty(spark):
-    n = SM.hash_sample(spark.range(20_000_000), F.col("id"), 5e-7, seed=3).count()
+    n = SM.hash_sample(spark.range(4_000_000), F.col("id"), 2e-6, seed=3).count()
     assert 1 <= n <= 40
     assert SM.hash_sample(spark.range(100), F.col("id"), 1.0).count() == 100
 

@@ -89,6 +89,6 @@ def magnitude_bucket(v: Column, n: int) -> Column:
 
 
 def int_div(a: Column, b: Column) -> Column:
-    """Truncated integer division (``a div b``), exact on longs.  A
-    fractional operand is divided as a decimal, so 7.9 div 2 is 3."""
-    return F.call_function("div", a, b)
+    """Truncated integer division (``a div b``) in decimals, so exact on
+    longs; a fraction counts to six places."""
+    return F.call_function("div", a.cast("decimal(38,6)"), b.cast("decimal(38,6)"))

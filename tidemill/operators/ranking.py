@@ -40,16 +40,15 @@ def global_rank(df: DataFrame, order: Sequence[str], num_partitions: int | None
     partition), count rows per partition, turn the counts into offsets with
     a window over one row per partition, and broadcast those offsets back.
     The broadcast holds one row per partition, a bound fixed by
-    ``num_partitions``.  The partitioned, indexed rows are checkpointed in
+    ``num_partitions`` (``spark.sql.shuffle.partitions`` unless given; size
+    it to the input as for any other sort).  The partitioned, indexed rows are checkpointed in
     the shared checkpoint folder: two exchanges would sample different
     range bounds, and a recomputation after a lost executor must not
     change the positions.  ``order`` must be ascending column names that
     make a total order.
     """
     spark = df.sparkSession
-    # At least as many ranges as input splits, so each range stays about
-    # one split (``spark.sql.files.maxPartitionBytes``) in size.
-    n = num_partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), df.rdd.getNumPartitions())
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     low_bits = (1 << 33) - 1
     # Range bounds are sampled per exchange, so the indexed rows are saved
     # once and both the counts and the final join read the same copy.
@@ -76,25 +75,15 @@ def zip_with_index(df: DataFrame, order: Sequence[str], num_partitions: int | No
 
 def global_rank_by_buckets(df: DataFrame, value: str, cut_points: Sequence[float], order: Sequence[str],
                            rank_col: str = "rank") -> DataFrame:
-    """E03, E04 as the two-job plan of fixed cut points: values go to
-    magnitude buckets (bucket i holds values below ``cut_points[i]``, the
-    last the rest), bucket counts give offsets, and the rank inside a
-    bucket is added.  The offsets table has one row per bucket.
+    """E03, E04 with fixed cut points: values go to magnitude buckets (bucket
+    i holds values below ``cut_points[i]``, the last the rest), and a row's
+    rank is the number of rows in lower buckets plus its rank inside its own.
 
-    Each bucket is ranked by one task, so this only spreads work as far as
-    the cut points do; ``global_rank`` samples its bounds instead.
+    That is the position in the order (bucket, ``order``), which
+    ``global_rank`` finds in parallel however full a bucket is.
     """
     v = F.col(value)
     bucket = F.lit(len(cut_points))
     for i in reversed(range(len(cut_points))):
         bucket = F.when(v < F.lit(cut_points[i]), F.lit(i)).otherwise(bucket)
-    b = df.withColumn("_bucket", bucket)
-    counts = b.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_cnt"))
-    offsets = counts.withColumn(
-        "_offset",
-        F.coalesce(F.sum("_cnt").over(Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)))
-    local = F.row_number().over(Window.partitionBy("_bucket").orderBy(*order))
-    return (b.join(F.broadcast(offsets.select("_bucket", "_offset")), "_bucket")
-             .withColumn(rank_col, F.col("_offset") + local)
-             .drop("_bucket", "_offset"))
+    return global_rank(df.withColumn("_bucket", bucket), ["_bucket", *order], rank_col=rank_col).drop("_bucket")

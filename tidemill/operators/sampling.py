@@ -14,12 +14,13 @@ def sample(df: DataFrame, fraction: float, with_replacement: bool = False, seed:
 
 
 def hash_sample(df: DataFrame, key: Column, fraction: float, seed: int = 0) -> DataFrame:
-    """I01, checkable form: keep a row when the hash of its key falls under
-    the fraction of all 64-bit values; the same key set comes back for any
-    partitioning."""
-    if fraction >= 1:
-        return df
-    return df.filter(F.xxhash64(key, F.lit(seed)) < F.lit(int(fraction * 2 ** 64) - 2 ** 63))
+    """I01, checkable form: keep a row when 60 bits of the md5 of seed and
+    key fall under the fraction; the same key set comes back for any
+    partitioning, and from any engine.  Rows with a null key are sampled
+    together, as the empty text."""
+    text = F.concat(F.lit(f"{seed}:"), F.coalesce(key.cast("string"), F.lit("")))
+    h = F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("long")
+    return df.filter(h < F.lit(min(int(fraction * 2 ** 60), 2 ** 60)))
 
 
 def sample_by_key(df: DataFrame, col: str, fractions: Mapping, seed: int | None = None) -> DataFrame:

@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.operators.ranking import zip_with_index
+from tidemill.operators.ranking import global_rank, zip_with_index
 
 
 def map_rows(df: DataFrame, exprs: Mapping[str, Column]) -> DataFrame:
@@ -107,13 +107,17 @@ def zip_partitions(frames: Sequence[tuple[DataFrame, str, Sequence[Column]]]) ->
 
     Each item is (frame, bucket column, order inside the bucket).  Rows
     with the same (bucket, position) are joined; a bucket stops at its
-    shortest input, as zipping iterators does.
+    shortest input, as zipping iterators does.  Positions come from one
+    parallel rank over (bucket, order) less the rows of lower buckets, so a
+    bucket is not numbered by one task.
     """
     out = None
-    for i, (df, bucket, order) in enumerate(frames):
-        w = Window.partitionBy(bucket).orderBy(*order)
-        part = (df.withColumn("_pos", F.row_number().over(w))
-                  .withColumnRenamed(bucket, "_bucket"))
+    for df, bucket, order in frames:
+        names = [f"_o{j}" for j in range(len(order))]
+        part = df.withColumnRenamed(bucket, "_bucket").withColumns(dict(zip(names, order)))
+        ranked = global_rank(part, ["_bucket", *names], rank_col="_rank").drop(*names)
+        below = ranked.groupBy("_bucket").agg((F.min("_rank") - 1).alias("_below"))
+        part = ranked.join(below, "_bucket").withColumn("_pos", (F.col("_rank") - F.col("_below")).cast("int")).drop("_rank", "_below")
         out = part if out is None else out.join(part, ["_bucket", "_pos"])
     return out.withColumnRenamed("_bucket", "bucket").withColumnRenamed("_pos", "position")
 

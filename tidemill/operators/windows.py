@@ -25,10 +25,6 @@ def _cols(keys: Sequence[str] | str | None) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
 
-def with_epoch(df: DataFrame, ts: str, out: str = "_sec") -> DataFrame:
-    return df.withColumn(out, epoch_seconds(ts))
-
-
 def tumbling_agg(df: DataFrame, ts: str, size_s: int, keys=None, aggs: Sequence[Column] | None = None,
                  offset_s: int = 0) -> DataFrame:
     """Aligned fixed windows (J03 keyed, J04 over all rows).
@@ -62,14 +58,19 @@ def window_starts(sec: Column, size_s: int, slide_s: int) -> Column:
 
 
 def sliding_counts(df: DataFrame, ts: str, size_s: int, slide_s: int, keys=None,
-                   sum_col: str | None = None, cluster_by_window: bool = False,
-                   cluster_by_window_keys: bool = False) -> DataFrame:
-    """Count (and optionally sum) per sliding window and keys.
+                   sum_col: str | None = None, by_block: bool = False) -> DataFrame:
+    """Count (and optionally sum) per sliding window and keys.
 
     Two steps: aggregate per (slice, keys), then copy each slice row into
     the windows that hold it and add up.  The copies are made from the
     pre-aggregated slices, so at scale the ``size/slide`` blow-up applies to
     (#slices x #keys), not to the raw rows.
+
+    With ``by_block`` (the size a multiple of the slide) windows are grouped
+    in time blocks of ``size_s`` by their start.  A slice goes to the two
+    blocks whose windows can hold it, and is copied into windows only there:
+    the exchange carries two copies of a slice at most, whatever ``size /
+    slide`` is, and a rank per (``block``, ``window_start``) needs no other.
     """
     keys = _cols(keys)
     sec = epoch_seconds(ts)
@@ -81,21 +82,31 @@ def sliding_counts(df: DataFrame, ts: str, size_s: int, slide_s: int, keys=None,
         slice_aggs.append(F.sum(sum_col).alias("_s"))
     slices = (df.withColumn("_slice", sec - F.pmod(sec, F.lit(width)))
                 .groupBy("_slice", *keys).agg(*slice_aggs))
-    win = slices.withColumn("window_start",
-                            F.explode(window_starts(F.col("_slice"), size_s, slide_s)))
     out_aggs = [F.sum("_n").alias("cnt")]
     if sum_col:
         out_aggs.append(F.sum("_s").alias("total"))
-    if cluster_by_window:
-        # For a per-window rank next: one exchange on the window start
-        # serves both the aggregate and the rank.
-        win = win.repartition("window_start")
-    elif cluster_by_window_keys:
-        # Sparse slices: the copies rarely share (window, key) inside a
-        # task, so a map-side partial aggregate only costs; cluster first.
-        win = win.repartition("window_start", *keys)
-    return (win.groupBy("window_start", *keys).agg(*out_aggs)
-               .withColumn("window_end", F.col("window_start") + F.lit(size_s)))
+    if by_block:
+        first, last = _block_window_starts(size_s, slide_s)
+        win = (_in_blocks(slices, size_s).withColumn("_first", first).withColumn("_last", last).filter("_first <= _last")
+               .repartition("block").withColumn("window_start", F.explode(F.sequence("_first", "_last", F.lit(slide_s).cast("long")))))
+        grouped = win.groupBy("block", "window_start", *keys)
+    else:
+        win = slices.withColumn("window_start", F.explode(window_starts(F.col("_slice"), size_s, slide_s)))
+        grouped = win.groupBy("window_start", *keys)
+    return grouped.agg(*out_aggs).withColumn("window_end", F.col("window_start") + F.lit(size_s))
+
+
+def _in_blocks(slices: DataFrame, size_s: int) -> DataFrame:
+    """Each slice once in the block of its time and once in the one before."""
+    own = F.floor(F.col("_slice") / F.lit(size_s))
+    return slices.withColumn("block", F.explode(F.array(own, own - 1)))
+
+
+def _block_window_starts(size_s: int, slide_s: int) -> tuple[Column, Column]:
+    """First and last start of the block's windows that hold the slice; the
+    first is after the last where there is none."""
+    first = F.greatest(F.col("_slice") - F.lit(size_s - slide_s), F.col("block") * F.lit(size_s))
+    return first, F.least(F.col("_slice"), (F.col("block") + 1) * F.lit(size_s) - F.lit(slide_s))
 
 
 def sliding_agg(df: DataFrame, ts: str, size_s: int, slide_s: int, keys=None,
@@ -200,15 +211,16 @@ def sliding_count_window(df: DataFrame, keys, order: Sequence[str], size: int, s
 def sliding_counts_prefix(df: DataFrame, ts: str, size_s: int, slide_s: int, keys=None) -> DataFrame:
     """Sliding-window counts without copying slices into windows.
 
-    Needs ``size_s % slide_s == 0``.  Rows are counted per (keys, slice);
-    per key, each window that holds data is emitted exactly once, by the
+    Needs ``size_s % slide_s == 0``.  Rows are counted per (keys, slice) and
+    each slice goes to the two time blocks of ``size_s`` whose windows can
+    hold it, so a key's windows are spread over its blocks.  Per key and
+    block, each window that holds data is emitted exactly once, by the
     first slice inside it (the windows starting after the key's previous
     slice); its count is the running count up to its last slice minus the
     running count before its first slice.  The last-slice lookup is an
     as-of ``last(..., ignorenulls)`` over slices and window ends ordered by
-    time.  Work is proportional to slices plus output windows, and the rows
-    of one key are bounded by time span / slide, so a hot key does not grow
-    this stage with the data volume.
+    time.  Work is proportional to slices plus output windows, and a key's
+    rows in a block are bounded by ``2 * size / slide``.
     """
     if size_s % slide_s:
         raise ValueError("size must be a multiple of slide")
@@ -217,11 +229,15 @@ def sliding_counts_prefix(df: DataFrame, ts: str, size_s: int, slide_s: int, key
     sec = epoch_seconds(ts)
     slices = (df.withColumn("_slice", sec - F.pmod(sec, F.lit(slide_s)))
                 .groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_n")))
+    slices = _in_blocks(slices, size_s)
+    keys = [*keys, "block"]
     by_time = Window.partitionBy(*keys).orderBy("_slice")
     slices = (slices.withColumn("_cum", F.sum("_n").over(by_time.rowsBetween(Window.unboundedPreceding, 0)))
                     .withColumn("_prev", F.lag("_slice").over(by_time)))
-    first = F.greatest(F.col("_prev") + F.lit(slide_s), F.col("_slice") - F.lit(span))
-    wins = slices.select(*keys, F.explode(F.sequence(first, F.col("_slice"), F.lit(slide_s).cast("long")))
+    first, last = _block_window_starts(size_s, slide_s)
+    first = F.greatest(F.col("_prev") + F.lit(slide_s), first)
+    wins = slices.withColumn("_first", first).withColumn("_last", last).filter("_first <= _last")
+    wins = wins.select(*keys, F.explode(F.sequence("_first", "_last", F.lit(slide_s).cast("long")))
                          .alias("window_start"), (F.col("_cum") - F.col("_n")).alias("_before"))
     marks = wins.select(*keys, "window_start", "_before", (F.col("window_start") + F.lit(span)).alias("_t"),
                         F.lit(1).alias("_side"))
@@ -229,6 +245,6 @@ def sliding_counts_prefix(df: DataFrame, ts: str, size_s: int, slide_s: int, key
     merged = marks.unionByName(points, allowMissingColumns=True)
     asof = Window.partitionBy(*keys).orderBy("_t", "_side").rowsBetween(Window.unboundedPreceding, 0)
     merged = merged.withColumn("_cum_end", F.last("_cum", ignorenulls=True).over(asof))
-    out = merged.filter(F.col("_side") == 1).select(*keys, "window_start",
+    out = merged.filter(F.col("_side") == 1).select(*keys[:-1], "window_start",
                                                      (F.col("_cum_end") - F.col("_before")).alias("cnt"))
     return out.withColumn("window_end", F.col("window_start") + F.lit(size_s))

@@ -17,8 +17,8 @@ def hot_products(spark, sf_dir, size_s=3600, slide_s=300, top=5):
     """Viewed items, 1 h windows sliding 5 min, top 5 per window by
     view count, ties broken by item id."""
     views = events_with_item(spark, sf_dir).filter(F.col("event_type") == "view")
-    counts = W.sliding_counts(views, "ts", size_s, slide_s, keys=["k"], cluster_by_window=True)
-    ranked = top_n_per_group(counts, "window_start", [F.col("cnt").desc(), F.col("k")], top)
+    counts = W.sliding_counts(views, "ts", size_s, slide_s, keys=["k"], by_block=True)
+    ranked = top_n_per_group(counts, ["block", "window_start"], [F.col("cnt").desc(), F.col("k")], top)
     return ranked.select("window_end", F.col("k").alias("item_id"), "cnt", "rn")
 
 
@@ -97,8 +97,8 @@ def m04_hot_pages(spark, sf, size_s=600, slide_s=5, top=5):
     per window.  Counts are taken per 5 s slice first and only then copied
     into the 120 windows of each slice."""
     ev = load(spark, sf, "events").select("ts", F.concat(F.lit("/p/"), F.get_json_object("props", "$.k")).alias("url"))
-    counts = W.sliding_counts(ev, "ts", size_s, slide_s, keys=["url"], cluster_by_window=True)
-    ranked = top_n_per_group(counts, "window_start", [F.col("cnt").desc(), F.col("url")], top)
+    counts = W.sliding_counts(ev, "ts", size_s, slide_s, keys=["url"], by_block=True)
+    ranked = top_n_per_group(counts, ["block", "window_start"], [F.col("cnt").desc(), F.col("url")], top)
     return ranked.select("window_end", "url", "cnt", "rn")
 
 
@@ -121,9 +121,9 @@ FROM events WHERE event_type = 'view' GROUP BY 1
 def m06_unique_visitors(spark, sf):
     """Distinct viewers per hour, exact and by the one-hash bitmap."""
     views = load(spark, sf, "events").filter(F.col("event_type") == "view")
-    views = views.withColumn("_bit", A.bitmap_hash(F.col("user_id").cast("string")))
-    out = W.tumbling_agg(views, "ts", 3600, aggs=[F.count_distinct("user_id").alias("uv"),
-                                                 F.count_distinct("_bit").alias("uv_bitmap")])
+    # distinct (window, user) first, so that each user is hashed once a window
+    pairs = W.tumbling_agg(views, "ts", 3600, keys=["user_id"]).withColumn("_bit", A.bitmap_hash(F.col("user_id").cast("string")))
+    out = pairs.groupBy("window_end").agg(F.count("user_id").alias("uv"), F.count_distinct("_bit").alias("uv_bitmap"))
     return out.select("window_end", "uv", "uv_bitmap")
 
 

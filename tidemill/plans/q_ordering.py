@@ -311,58 +311,101 @@ def h11_arithmetic(spark, sf):
 
 # ---- 2.9 sampling and partitioning --------------------------------------------------
 
-@query("i01_sample", "I01")
+def _sample_facts(sample, table, keys, least, most):
+    """One row about a random sample: whether its size lies in the bounds, by
+    how many rows its keys outnumber the table's, and how many it made up."""
+    facts = sample.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    known = table.groupBy(*keys).agg(F.count(F.lit(1)).alias("_in"))
+    return facts.join(known, keys, "left").agg(
+        F.sum("n").between(least, most).alias("size_in_bounds"), F.sum(F.greatest(F.col("n") - F.col("_in"), F.lit(0))).alias("n_repeated"),
+        F.count_if(F.col("_in").isNull()).alias("n_unknown"))
+
+
+SAMPLE_FACTS = "SELECT true AS size_in_bounds, CAST(0 AS BIGINT) AS n_repeated, CAST(count(*) AS BIGINT) AS n_unknown FROM {} WHERE false"
+LINE = ["l_orderkey", "l_linenumber"]
+
+
+@query("i01_sample", "I01", oracle=SAMPLE_FACTS.format("lineitem"))
 def i01_sample(spark, sf):
-    return SM.sample(load(spark, sf, "lineitem"), 0.1, seed=7)
+    """A tenth of the lines: 6 standard deviations about the mean size."""
+    li = load(spark, sf, "lineitem").select(*LINE)
+    n = li.count()
+    spread = 6 * (n * 0.1 * 0.9) ** 0.5
+    return _sample_facts(SM.sample(li, 0.1, seed=7), li, LINE, 0.1 * n - spread, 0.1 * n + spread)
 
 
-@query("i01_hash_sample", "I01")
+@query("i01_hash_sample", "I01", oracle="""
+SELECT * FROM lineitem
+WHERE CAST('0x' || substr(md5('7:' || CAST(l_orderkey AS VARCHAR)), 1, 15) AS BIGINT) < CAST(115292150460684704 AS BIGINT)
+""")
 def i01_hash_sample(spark, sf):
     li = load(spark, sf, "lineitem")
     return SM.hash_sample(li, F.col("l_orderkey"), 0.1, seed=7)
 
 
-@query("i02_sample_by_key", "I02")
+@query("i02_sample_by_key", "I02", oracle=f"""
+SELECT l_returnflag, s.* FROM (SELECT DISTINCT l_returnflag FROM lineitem WHERE l_returnflag IN ('A', 'N', 'R')) f,
+  (SELECT true AS size_in_bounds, CAST(0 AS BIGINT) AS n_repeated, CAST(0 AS BIGINT) AS n_unknown) s
+""")
 def i02_sample_by_key(spark, sf):
-    li = load(spark, sf, "lineitem")
-    return SM.sample_by_key(li, "l_returnflag", {"A": 0.1, "N": 0.5, "R": 0.2}, seed=7)
-
-
-@query("i03_take_sample", "I03")
+    """A fraction for each return flag, each with its own bounds."""
+    li = load(spark, sf, "lineitem").select(*LINE, "l_returnflag")
+    rates = {"A": 0.1, "N": 0.5, "R": 0.2}
+    total = li.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("_n"))
+    rate = F.element_at(F.create_map(*[F.lit(x) for kv in rates.items() for x in kv]), F.col("l_returnflag"))
+    got = SM.sample_by_key(li, "l_returnflag", rates, seed=7).groupBy(*LINE, "l_returnflag").agg(F.count(F.lit(1)).alias("n"))
+    known = li.groupBy(*LINE, "l_returnflag").agg(F.count(F.lit(1)).alias("_in"))
+    per = got.join(known, [*LINE, "l_returnflag"], "left").groupBy("l_returnflag").agg(
+        F.sum("n").alias("n"), F.sum(F.greatest(F.col("n") - F.col("_in"), F.lit(0))).alias("n_repeated"), F.count_if(F.col("_in").isNull()).alias("n_unknown"))
+    spread = 6 * F.sqrt(F.col("_n") * rate * (1 - rate))
+    return per.join(total, "l_returnflag").select(
+        "l_returnflag", (F.abs(F.col("n") - F.col("_n") * rate) <= spread).alias("size_in_bounds"), "n_repeated", "n_unknown")
+
+
+@query("i03_take_sample", "I03", oracle=SAMPLE_FACTS.format("orders"))
 def i03_take_sample(spark, sf):
-    return SM.take_sample(load(spark, sf, "orders"), 100, seed=7)
+    """Exactly 100 orders, none twice."""
+    orders = load(spark, sf, "orders").select("o_orderkey")
+    return _sample_facts(SM.take_sample(orders, 100, seed=7), orders, ["o_orderkey"], 100, 100)
 
 
-@query("i04_random_split", "I04", oracle="SELECT count(*) AS n_rows FROM orders")
+@query("i04_random_split", "I04", oracle="""
+SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_repeated, CAST(0 AS BIGINT) AS n_missing, CAST(3 AS BIGINT) AS n_parts FROM orders
+""")
 def i04_random_split(spark, sf):
-    """Split into three parts and check they add up to the input."""
-    parts = SM.random_split(load(spark, sf, "orders"), [0.5, 0.3, 0.2], seed=7)
+    """Split into three parts: disjoint, complete and none empty."""
+    orders = load(spark, sf, "orders").select("o_orderkey")
     total = None
-    for p in parts:
-        c = p.agg(F.count(F.lit(1)).alias("n_rows"))
-        total = c if total is None else total.unionByName(c)
-    return total.agg(F.sum("n_rows").alias("n_rows"))
+    for i, p in enumerate(SM.random_split(orders, [0.5, 0.3, 0.2], seed=7)):
+        p = p.withColumn("part", F.lit(i))
+        total = p if total is None else total.unionByName(p)
+    per = total.groupBy("o_orderkey").agg(F.count(F.lit(1)).alias("n"), F.min("part").alias("part"))
+    every = orders.withColumn("_in", F.lit(1)).join(per, "o_orderkey", "full")
+    return every.agg(F.sum("n").alias("n_rows"), F.sum(F.col("n") - 1).alias("n_repeated"),
+                     F.count_if(F.col("n").isNull()).alias("n_missing"), F.count_distinct("part").alias("n_parts"))
 
 
 @query("i05_hash_partition", "I05", oracle="""
-SELECT l_suppkey, CAST(1 AS BIGINT) AS n_partitions FROM lineitem GROUP BY 1
+SELECT l_suppkey, CAST(1 AS BIGINT) AS n_partitions, count(*) AS n_rows FROM lineitem GROUP BY 1
 """)
 def i05_hash_partition(spark, sf):
-    """Every key lands in exactly one partition."""
-    li = SM.hash_partition(load(spark, sf, "lineitem").select("l_suppkey"), 8, "l_suppkey")
+    """Every key lands in exactly one partition, with all its rows."""
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    li = SM.hash_partition(load(spark, sf, "lineitem").select("l_suppkey"), n, "l_suppkey")
     li = li.withColumn("pid", F.spark_partition_id())
-    return li.groupBy("l_suppkey").agg(F.count_distinct("pid").alias("n_partitions"))
+    return li.groupBy("l_suppkey").agg(F.count_distinct("pid").alias("n_partitions"), F.count(F.lit(1)).alias("n_rows"))
 
 
-@query("i06_range_partition", "I06", oracle="SELECT CAST(0 AS BIGINT) AS n_overlaps")
+@query("i06_range_partition", "I06", oracle="SELECT CAST(0 AS BIGINT) AS n_overlaps, count(*) AS n_rows FROM lineitem")
 def i06_range_partition(spark, sf):
-    """Key ranges of the partitions do not overlap."""
-    li = SM.range_partition(load(spark, sf, "lineitem").select("l_orderkey"), 8, "l_orderkey")
-    per = li.groupBy(F.spark_partition_id().alias("pid")).agg(F.min("l_orderkey").alias("lo"),
-                                                               F.max("l_orderkey").alias("hi"))
-    w = Window.orderBy("lo")
+    """Key ranges of the partitions do not overlap and hold every row."""
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    li = SM.range_partition(load(spark, sf, "lineitem").select("l_orderkey"), n, "l_orderkey")
+    per = li.groupBy(F.spark_partition_id().alias("pid")).agg(F.min("l_orderkey").alias("lo"), F.max("l_orderkey").alias("hi"),
+                                                               F.count(F.lit(1)).alias("n"))
+    w = Window.orderBy("lo")  # one row for each partition
     nxt = per.withColumn("next_lo", F.lead("lo").over(w))
-    return nxt.agg(F.count_if(F.col("next_lo") <= F.col("hi")).alias("n_overlaps"))
+    return nxt.agg(F.count_if(F.col("next_lo") <= F.col("hi")).alias("n_overlaps"), F.sum("n").alias("n_rows"))
 
 
 @query("i07_custom_partitioner", "I07", oracle="""
