@@ -24,19 +24,19 @@ SELECT p_partkey, tok AS token, CAST(pos - 1 AS INTEGER) AS position FROM (
   FROM part) WHERE tok <> ''
 """)
 def n01_table_function(spark, sf):
-    """A Python table function (flat-map) over part names."""
+    """A Python table function (flat-map) over part names, a batch at a time."""
     p = load(spark, sf, "part").select("p_partkey", "p_name")
-    return p.lateralJoin(U.Tokens(F.col("p_name").outer())).select("p_partkey", "token", "position")
+    return p.mapInPandas(U.tokens, "p_partkey long, token string, position int")
 
 
 @query("n02_grouped_agg_udf", "N02", oracle="""
 SELECT l_orderkey, round(avg(l_quantity), 4) AS mean_qty FROM lineitem GROUP BY 1
 """)
 def n02_grouped_agg_udf(spark, sf):
-    """Mean quantity per order by a grouped-aggregate pandas UDF (an order
-    has a bounded number of lines)."""
-    li = load(spark, sf, "lineitem")
-    return li.groupBy("l_orderkey").agg(F.round(U.mean_udaf("l_quantity"), 4).alias("mean_qty"))
+    """Mean quantity per order by a custom aggregate with partial merging."""
+    li = load(spark, sf, "lineitem").select("l_orderkey", F.col("l_quantity").cast("double").alias("q"))
+    out = U.custom_aggregate(li, "l_orderkey", "q", U.MeanAggregate, out="mean_qty")
+    return out.withColumn("mean_qty", F.round("mean_qty", 4))
 
 
 @query("n03_window_function_as_code", "N03 J14", oracle="""

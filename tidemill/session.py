@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -40,9 +41,32 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give this package to the session's Python workers, once a session.
+
+    Functions and processors are pickled by module name, so a worker must be
+    able to import the package also where it isn't installed and the job was
+    started from another folder.
+    """
+    sc = spark.sparkContext
+    if spark.conf.get("tidemill.shipped", None) == sc.applicationId:
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="tidemill-package-"), "tidemill.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, files in os.walk(here):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(folder, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(here)))
+    sc.addPyFile(path)
+    spark.conf.set("tidemill.shipped", sc.applicationId)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 

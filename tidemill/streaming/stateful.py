@@ -15,6 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Row
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+from tidemill.session import ship_package
+
 
 def _ms(ts) -> int:
     """Epoch milliseconds of a Python datetime (UTC session) or a number."""
@@ -321,4 +323,5 @@ def apply(stream: DataFrame, keys: Sequence[str], processor: StatefulProcessor,
     """Group a stream by ``keys`` and run ``processor`` on it.  State with a
     TTL (K02, K03) needs ``time_mode="ProcessingTime"``; event-time timers
     (J08, K06) need ``"EventTime"`` and a watermark on the input."""
+    ship_package(stream.sparkSession)
     return stream.groupBy(*keys).transformWithState(processor, schema, mode, time_mode, initialState=initial_state)
