@@ -67,16 +67,6 @@ def distinct_per_window(stream: DataFrame, ts: str, size: str, user: str) -> Dat
     return w.dropDuplicates(["w", user]).select(epoch_seconds(F.col("w.start")).alias("window_start"), user)
 
 
-def top_n_stream(counts: DataFrame, group: str, item: str, n: int) -> DataFrame:
-    """E01 on a stream: a second aggregation keeps the first ``n`` (count
-    desc, item asc) per window; row_number is not allowed on streams."""
-    ranked = counts.groupBy(group).agg(
-        F.slice(F.sort_array(F.collect_list(F.struct((-F.col("cnt")).alias("neg"), F.col(item).alias("item")))),
-                1, n).alias("top"))
-    return ranked.select(group, F.posexplode("top").alias("pos", "t")).select(
-        group, F.col("t.item").alias(item), (-F.col("t.neg")).alias("cnt"), (F.col("pos") + 1).alias("rn"))
-
-
 def block_list_stream(stream: DataFrame, col: str, blocked: DataFrame, blocked_col: str) -> DataFrame:
     """Stream-static anti join to a block list."""
     bl = blocked.select(F.col(blocked_col).alias("_blk")).distinct()
@@ -106,22 +96,6 @@ def window_join_stream(left: DataFrame, right: DataFrame, key: str, left_ts: str
     return lw.join(rw, (F.col(key) == F.col("_k2")) & (F.col("_w") == F.col("_w2")), "inner")
 
 
-def context_join_stream(client: DataFrame, server: DataFrame, keys: Sequence[str], ts: str,
-                        max_age_s: int) -> DataFrame:
-    """Client rows left-joined to server rows of the same key at most
-    ``max_age_s`` older (time-bounded, so state is dropped behind the
-    watermark).  Unmatched client rows come out with nulls once the
-    watermark passes their bound: that is the retry output."""
-    s = server.select(*[F.col(k).alias(f"_s_{k}") for k in keys], F.col(ts).alias("ctx_ts"),
-                      *[F.col(c).alias(f"ctx_{c}") for c in server.columns if c not in keys and c != ts])
-    cond = None
-    for k in keys:
-        e = F.col(k) == F.col(f"_s_{k}")
-        cond = e if cond is None else cond & e
-    cond = cond & (F.col("ctx_ts") <= F.col(ts)) & (F.col("ctx_ts") >= F.col(ts) - F.expr(f"INTERVAL {max_age_s} SECONDS"))
-    return client.join(s, cond, "leftOuter").drop(*[f"_s_{k}" for k in keys])
-
-
 class LateSplitter:
     """``foreachBatch`` that sends rows whose window has closed to a
     late output instead of dropping them.

@@ -13,6 +13,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Row
+from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from tidemill.session import ship_package
@@ -283,6 +284,60 @@ class StrictSequence(StatefulProcessor):
         pass
 
 
+class NewestContext(StatefulProcessor):
+    """Server rows of a key are kept for ``max_age_ms`` behind the
+    watermark, client rows until it passes them; a client row is then put
+    out with the newest server row at or before it.  Of server rows at one
+    instant the one with the largest columns counts."""
+
+    def __init__(self, ts_col: str, max_age_ms: int, payload: Sequence[str], carry: Sequence[str], own_type, ctx_type):
+        self.ts_col, self.max_age_ms = ts_col, max_age_ms
+        self.payload, self.carry, self.own_type, self.ctx_type = list(payload), list(carry), own_type, ctx_type
+
+    def init(self, handle):
+        self.handle = handle
+        time = T.StructField("ts_ms", T.LongType())
+        self.servers = handle.getListState("servers", T.StructType([time, *self.ctx_type.fields]))
+        self.clients = handle.getListState("clients", T.StructType([time, *self.own_type.fields]))
+
+    def handleInputRows(self, key, rows, timerValues):
+        for r in rows:
+            t = _ms(r[self.ts_col])
+            if r["side"] == "server":
+                self.servers.appendValue((t, *[r["ctx"][c] for c in self.carry]))
+                self.handle.registerTimer(t + self.max_age_ms + 1)
+            else:
+                self.clients.appendValue((t, *[r["own"][c] for c in self.payload]))
+                self.handle.registerTimer(t + 1)
+        return iter([])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        mark = timerValues.getCurrentWatermarkInMs()
+        servers = sorted((tuple(r) for r in self.servers.get()), key=_nulls_first) if self.servers.exists() else []
+        waiting = []
+        for c in (tuple(r) for r in self.clients.get()) if self.clients.exists() else []:
+            if c[0] >= mark:
+                waiting.append(c)
+                continue
+            near = [s for s in servers if c[0] - self.max_age_ms <= s[0] <= c[0]]
+            ctx = near[-1] if near else (None,) * (1 + len(self.carry))
+            yield Row(**dict(zip(self.payload, c[1:])), ctx_ts=None if ctx[0] is None else ctx[0] // 1000,
+                      **{f"ctx_{n}": v for n, v in zip(self.carry, ctx[1:])})
+        kept = [s for s in servers if s[0] + self.max_age_ms >= mark]
+        for state, left in ((self.clients, waiting), (self.servers, kept)):
+            if left:
+                state.put(left)
+            else:
+                state.clear()
+
+    def close(self):
+        pass
+
+
+def _nulls_first(row: tuple) -> tuple:
+    return tuple((v is not None, v) for v in row)
+
+
 class OneToOneJoin(StatefulProcessor):
     """Two tagged inputs on one key; each side waits in its own value
     state, a match is emitted and clears the partner, and a second
