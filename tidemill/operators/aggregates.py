@@ -105,6 +105,16 @@ def product_all(df: DataFrame, value: str) -> DataFrame:
                   F.count(value).alias("n"))
 
 
+def keep_first(saved: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Upsert that keeps what is saved: rows of ``new`` whose key is
+    there already are dropped (null keys are equal)."""
+    have = saved.select(*[F.col(k).alias(f"_h_{k}") for k in keys]).distinct()
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_h_{k}"))
+    return saved.unionByName(new.join(have, same, "left_anti"))
+
+
 def tree_aggregate(df: DataFrame, value: str, salt: Column, fanouts: Sequence[int] = (64, 8),
                    how: str = "sum") -> DataFrame:
     """Multi-level combine.  Level i groups on ``salt % fanouts[i]``,

@@ -3,8 +3,10 @@
 A wide-column table is held as a cells DataFrame
 ``(row_key string, family string, qualifier string, ts long, value string)``
 where ``ts`` is epoch milliseconds.  Writes append cells; reads pick the
-newest version per (row, family, qualifier).  All reads are filters the
-Parquet scan can push down, plus one aggregation or group-limited window.
+newest version per (row, family, qualifier).  Reads are filters on the
+cells plus one aggregation or group-limited window; a table that holds its
+key in another type is filtered before it is turned into cells, so that the
+scan can push the filter down.
 """
 
 from __future__ import annotations
@@ -15,7 +17,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 CELL = ["row_key", "family", "qualifier"]
-SCHEMA = "row_key string, family string, qualifier string, ts long, value string"
 
 
 def cells_from_table(df: DataFrame, key: str, family: str, cols: Sequence[str],
@@ -42,11 +43,6 @@ def put(cells: DataFrame, new_cells: DataFrame) -> DataFrame:
     return cells.unionByName(new_cells.select(*cells.columns))
 
 
-def put_value(spark, row_key: str, family: str, qualifier: str, value: str, ts: int) -> DataFrame:
-    """One cell as a frame, to ``put`` onto a table."""
-    return spark.createDataFrame([(row_key, family, qualifier, ts, value)], SCHEMA)
-
-
 def _select(cells: DataFrame, row_key=None, family=None, qualifier=None) -> DataFrame:
     if row_key is not None:
         cells = cells.filter(F.col("row_key") == F.lit(row_key))
@@ -114,9 +110,9 @@ def delete(cells: DataFrame, tombstones: DataFrame) -> DataFrame:
     return cells.join(t, cond, "left_anti")
 
 
-def add_family(cells: DataFrame, allowed: Sequence[str], family: str) -> tuple[DataFrame, list[str]]:
-    """Extend the set of allowed families (cells are unchanged)."""
-    return cells, sorted(set(allowed) | {family})
+def add_family(declared: Sequence[str], family: str) -> list[str]:
+    """The declared families with one more (cells are unchanged)."""
+    return sorted({*declared, family})
 
 
 def drop_family(cells: DataFrame, family: str) -> DataFrame:

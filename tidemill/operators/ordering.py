@@ -26,6 +26,23 @@ def sort_within_partitions(df: DataFrame, order: Sequence[Column]) -> DataFrame:
     return df.sortWithinPartitions(*order)
 
 
+def first_of_each_run(key: str, n: int):
+    """F02 after ``sort_within_partitions``: for ``mapInPandas``, the first
+    ``n`` rows of each run of equal keys, also where a run spans batches."""
+    def run(batches):
+        last, seen = None, 0
+        for b in batches:
+            if not len(b):
+                continue
+            nth = b.groupby(key, sort=False, dropna=False).cumcount()
+            carried = b[key] == last if last is not None else nth < 0
+            nth = nth + carried * seen
+            yield b[nth < n]
+            last = b[key].iloc[-1]
+            seen = int(nth.iloc[-1]) + 1
+    return run
+
+
 def first_n(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
     """The first ``n`` rows under an explicit order."""
     return df.orderBy(*order).limit(n)
@@ -41,11 +58,6 @@ def top(df: DataFrame, col: str, n: int) -> DataFrame:
     return df.orderBy(F.col(col).desc()).limit(n)
 
 
-def secondary_sort(df: DataFrame, cols: Sequence[str], descending: bool = True) -> DataFrame:
-    """by the first column, then the next, and so on."""
-    return df.orderBy(*[F.col(c).desc() if descending else F.col(c).asc() for c in cols])
-
-
 def lookup(df: DataFrame, key: str, value, out: Sequence[str]) -> DataFrame:
     """all values of one key (a pushed-down filter on the scan)."""
     return df.filter(F.col(key) == F.lit(value)).select(*out)

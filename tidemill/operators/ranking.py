@@ -29,6 +29,14 @@ def top_n_per_group(df: DataFrame, group: Sequence[str] | str, order: Sequence[C
     return df.withColumn(rank_col, F.row_number().over(w)).filter(F.col(rank_col) <= n)
 
 
+def any_n_per_group(df: DataFrame, group: str, n: int) -> DataFrame:
+    """Up to ``n`` rows of each group, whichever (E02 without an order).
+    The rank's order is the group itself, so nothing is sorted for it, and
+    the group limit keeps ``n`` rows a task before the shuffle."""
+    w = Window.partitionBy(group).orderBy(group)
+    return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
+
+
 def global_rank(df: DataFrame, order: Sequence[str], num_partitions: int | None = None,
                 rank_col: str = "rank") -> DataFrame:
     """1-based position of each row in a total order, computed in parallel.

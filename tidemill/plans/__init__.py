@@ -12,6 +12,7 @@ from tidemill.plans import (  # noqa: F401
     q_windows,
     q_cells,
     q_udf,
+    q_variants,
 )
 
 __all__ = ["registry"]

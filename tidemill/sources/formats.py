@@ -79,6 +79,24 @@ def kafka_payload(df: DataFrame, key: str, value_cols: Sequence[str]) -> DataFra
                      F.to_json(F.struct(*[F.col(c) for c in value_cols])).alias("value"))
 
 
+def category_actions(lines: DataFrame) -> DataFrame:
+    """M02's record: comma separated, column 7 one click id, 9 and 11 lists
+    of order and pay ids joined by the two characters ``^A``; blank fields
+    and blank ids are skipped.  Returns (kind, category)."""
+    f = F.split("value", ",")
+    ids = lambda i: F.split(F.coalesce(F.get(f, F.lit(i)), F.lit("")), r"\^A")
+    every = F.array(*[F.struct(F.lit(kind).alias("kind"), ids(i).alias("ids")) for kind, i in (("click", 7), ("order", 9), ("pay", 11))])
+    out = lines.select(F.explode(every).alias("a")).select("a.kind", F.explode("a.ids").alias("category"))
+    return out.withColumn("category", F.trim("category")).filter(F.col("category") != "")
+
+
+def friend_lists(lines: DataFrame) -> DataFrame:
+    """M11's record ``id:f1,f2``: (person, friend); blank friends are skipped."""
+    f = F.split("value", ":", 2)
+    out = lines.select(F.trim(f[0]).alias("person"), F.explode(F.split(F.coalesce(F.get(f, F.lit(1)), F.lit("")), ",")).alias("friend"))
+    return out.withColumn("friend", F.trim("friend")).filter(F.col("friend") != "")
+
+
 def kafka_source_options(servers: str, topic: str, starting_offsets: str = "latest",
                          max_offsets_per_trigger: int | None = None) -> dict[str, str]:
     """A10: options for ``readStream.format("kafka")`` (subscription, start
