@@ -88,7 +88,7 @@ def sliding_counts(df: DataFrame, ts: str, size_s: int, slide_s: int, keys=None,
     if by_block:
         first, last = _block_window_starts(size_s, slide_s)
         win = (_in_blocks(slices, size_s).withColumn("_first", first).withColumn("_last", last).filter("_first <= _last")
-               .repartition("block").withColumn("window_start", F.explode(F.sequence("_first", "_last", F.lit(slide_s).cast("long")))))
+               .repartition(_spread(df), "block").withColumn("window_start", F.explode(F.sequence("_first", "_last", F.lit(slide_s).cast("long")))))
         grouped = win.groupBy("block", "window_start", *keys)
     else:
         win = slices.withColumn("window_start", F.explode(window_starts(F.col("_slice"), size_s, slide_s)))
@@ -96,6 +96,13 @@ def sliding_counts(df: DataFrame, ts: str, size_s: int, slide_s: int, keys=None,
     return grouped.agg(*out_aggs).withColumn("window_end", F.col("window_start") + F.lit(size_s))
 
 
+def _spread(df: DataFrame) -> int:
+    """Partitions for slices that grow once they have been shuffled (into
+    windows): a stated number, since run-time coalescing goes by the size
+    before that."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def _in_blocks(slices: DataFrame, size_s: int) -> DataFrame:
     """Each slice once in the block of its time and once in the one before."""
     own = F.floor(F.col("_slice") / F.lit(size_s))
@@ -229,8 +236,8 @@ def sliding_counts_prefix(df: DataFrame, ts: str, size_s: int, slide_s: int, key
     sec = epoch_seconds(ts)
     slices = (df.withColumn("_slice", sec - F.pmod(sec, F.lit(slide_s)))
                 .groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_n")))
-    slices = _in_blocks(slices, size_s)
     keys = [*keys, "block"]
+    slices = _in_blocks(slices, size_s).repartition(_spread(df), *keys)
     by_time = Window.partitionBy(*keys).orderBy("_slice")
     slices = (slices.withColumn("_cum", F.sum("_n").over(by_time.rowsBetween(Window.unboundedPreceding, 0)))
                     .withColumn("_prev", F.lag("_slice").over(by_time)))
