@@ -5,6 +5,7 @@ import os
 
 from pyspark.sql import functions as F
 
+import stream_tools as TT
 from conftest import SF_SMALL, rows
 from tidemill.operators import joins as J
 from tidemill.operators import patterns as P
@@ -30,7 +31,7 @@ def events(spark):
 def staged(spark, scratch, df, n=3):
     """``df`` as a stream of ``n`` event-time slices and two far-future files that move the watermark past all of it."""
     src = os.path.join(scratch, "src")
-    H.stage_batches(df, "ts", n, src)
+    TT.stage_batches(df, "ts", n, src)
     for i in (0, 1):
         row = [(F.timestamp_seconds(F.lit(FAR + i * 100_000)) if c == "ts" else F.lit(None).cast(t)).alias(c) for c, t in df.dtypes]
         spark.range(1).select(*row).fillna("flush").fillna(-1).coalesce(1).write.parquet(os.path.join(src, f"batch-9999{i}"))
@@ -56,7 +57,7 @@ def test_hot_products(spark, scratch):
 def test_hot_pages(spark, scratch):
     pages = events(spark).select("ts", F.concat(F.lit("/p/"), "k").alias("url")).limit(400)
     counts = SP.hot_items(staged(spark, scratch, pages), "ts", "url", "10 minutes", "1 minute")
-    got = in_time(H.collect_stream(counts, "t_hot_pages", os.path.join(scratch, "ck")))
+    got = in_time(TT.collect_stream(counts, "t_hot_pages", os.path.join(scratch, "ck")))
     from tidemill.operators.windows import sliding_counts
     want = sliding_counts(pages, "ts", 600, 60, keys=["url"], by_block=True)
     assert rows(got, "window_end", "url", "cnt") == rows(want, "window_end", "url", "cnt")
@@ -64,10 +65,10 @@ def test_hot_pages(spark, scratch):
 
 def test_page_views_and_unique_visitors(spark, scratch):
     views = events(spark).where("event_type = 'view'").select("ts", "user_id")
-    got = in_time(H.collect_stream(SP.page_views(staged(spark, scratch, views), "ts"), "t_pv", os.path.join(scratch, "ck")))
+    got = in_time(TT.collect_stream(SP.page_views(staged(spark, scratch, views), "ts"), "t_pv", os.path.join(scratch, "ck")))
     assert rows(got, "window_end", "pv") == rows(N.m05_page_views_hourly(spark, SF_SMALL), "window_end", "pv")
     visitors = SP.unique_visitors(staged(spark, os.path.join(scratch, "u"), views), "ts", "user_id")
-    got = in_time(H.collect_stream(visitors, "t_uv", os.path.join(scratch, "ck2")))
+    got = in_time(TT.collect_stream(visitors, "t_uv", os.path.join(scratch, "ck2")))
     want = rows(N.m06_unique_visitors(spark, SF_SMALL), "window_end", "uv")
     # a window that only the last micro-batch could close may still be open
     assert set(rows(got, "window_end", "uv")) <= set(want) and got.count() >= len(want) - 1
@@ -76,7 +77,7 @@ def test_page_views_and_unique_visitors(spark, scratch):
 def test_capped_clicks(spark, scratch):
     clicks = events(spark).where("event_type = 'click'").select("ts", "user_id", "event_id").withColumn("ad", F.lit(1))
     out = SP.capped_clicks(staged(spark, scratch, clicks), "ts", "event_id", ["user_id", "ad"], cap=2)
-    got = H.collect_stream(out, "t_capped", os.path.join(scratch, "ck")).where("id >= 0")
+    got = TT.collect_stream(out, "t_capped", os.path.join(scratch, "ck")).where("id >= 0")
     want = P.daily_cap(clicks, ["user_id", "ad"], "ts", "event_id", cap=2)
     assert rows(got, "id", "kind") == rows(want, "event_id", "kind")
 
@@ -88,7 +89,7 @@ def test_attribution_takes_the_newest_context(spark, scratch):
     stream = staged(spark, scratch, ev)
     out = SP.context_join(stream.where("event_type in ('click', 'purchase', 'flush')"), stream.where("event_type in ('view', 'flush')"),
                           ["user_id", "k"], "ts", 86_400, carry=["event_id"], payload=["event_id"])
-    got = H.collect_stream(out, "t_ctx", os.path.join(scratch, "ck"))
+    got = TT.collect_stream(out, "t_ctx", os.path.join(scratch, "ck"))
     pairs = lambda df: sorted((r["event_id"], -1 if r["ctx_event_id"] is None else r["ctx_event_id"]) for r in df.collect())
     assert want.where("ctx_event_id is not null").count() > 0
     got = [p for p in pairs(got) if p[0] >= 0]
@@ -113,10 +114,10 @@ def test_daily_cap_counts_late_rows_in_their_own_day(spark, scratch):
     schema = "u long, ts timestamp, id long"
     day = 86_400
     batches = [[(1, at(10), 1), (1, at(20), 2)], [(1, at(day + 5), 3)], [(1, at(30), 4)], [(1, at(40), 5), (1, at(day + 6), 6)]]
-    src = H.stage_rows_as_batches(spark, batches, schema, os.path.join(scratch, "src"))
+    src = TT.stage_rows_as_batches(spark, batches, schema, os.path.join(scratch, "src"))
     stream = H.read_files_stream(spark, os.path.join(src, "*"), schema, max_files_per_trigger=1)
     out = ST.apply(stream, ["u"], ST.DailyCap("ts", "id", cap=2), "id long, kind string")
-    got = H.collect_stream(out, "t_late_cap", os.path.join(scratch, "ck"))
+    got = TT.collect_stream(out, "t_late_cap", os.path.join(scratch, "ck"))
     assert rows(got) == [(1, "pass"), (2, "pass"), (3, "pass"), (4, "alert"), (6, "pass")]
 
 
@@ -124,21 +125,21 @@ def test_sequence_across_batches_in_event_time_order(spark, scratch):
     schema = "u long, ts timestamp, id long, fail boolean"
     batches = [[(1, at(100), 1, True), (1, at(104), 3, True)], [(1, at(102), 2, False), (1, at(106), 4, True), (1, at(108), 5, True)],
                [(9, at(FAR), 8, False)], [(9, at(FAR + 1), 9, False)]]
-    src = H.stage_rows_as_batches(spark, batches, schema, os.path.join(scratch, "src"))
+    src = TT.stage_rows_as_batches(spark, batches, schema, os.path.join(scratch, "src"))
     stream = H.read_files_stream(spark, os.path.join(src, "*"), schema, max_files_per_trigger=1).withWatermark("ts", "10 seconds")
     out = ST.apply(stream, ["u"], ST.StrictSequence("ts", "id", "fail", 3, 10_000, wait=True),
                    "key long, first_ms long, first_id long, last_ms long, last_id long", time_mode="EventTime")
-    got = H.collect_stream(out, "t_seq_order", os.path.join(scratch, "ck"))
+    got = TT.collect_stream(out, "t_seq_order", os.path.join(scratch, "ck"))
     assert rows(got, "first_id", "last_id") == [(3, 5)]
 
 
 def test_session_start_moves_to_an_earlier_row(spark, scratch):
     schema = "u long, ts timestamp"
     batches = [[(1, at(100))], [(1, at(60))], [(9, at(FAR))], [(9, at(FAR + 1))]]
-    src = H.stage_rows_as_batches(spark, batches, schema, os.path.join(scratch, "src"))
+    src = TT.stage_rows_as_batches(spark, batches, schema, os.path.join(scratch, "src"))
     stream = H.read_files_stream(spark, os.path.join(src, "*"), schema, max_files_per_trigger=1).withWatermark("ts", "1 hour")
     out = ST.apply(stream, ["u"], ST.SessionByTimer("ts", 50_000), "key long, session_start_ms long, session_end_ms long, cnt long", time_mode="EventTime")
-    got = H.collect_stream(out, "t_session_start", os.path.join(scratch, "ck"))
+    got = TT.collect_stream(out, "t_session_start", os.path.join(scratch, "ck"))
     assert [r for r in rows(got) if r[0] == 1] == [(1, 60_000, 150_000, 2)]
 
 

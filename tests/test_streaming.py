@@ -5,6 +5,7 @@ import os
 
 from pyspark.sql import functions as F
 
+import stream_tools as TT
 from conftest import DATA, SF_SMALL, rows
 from tidemill.operators import patterns as P
 from tidemill.operators import windows as W
@@ -25,7 +26,7 @@ def _events(spark):
 def _stage_events(spark, scratch, n=4, flush=True):
     src = os.path.join(scratch, "src")
     ev = _events(spark)
-    H.stage_batches(ev, "ts", n, src)
+    TT.stage_batches(ev, "ts", n, src)
     if flush:  # a far-future row moves the watermark past every window; the
         # second file gives the micro-batch that runs under that watermark
         for i, extra in enumerate((0, 1)):
@@ -40,7 +41,7 @@ def test_tumbling_counts_stream_equals_batch(spark, scratch):
     # the aggregated output, is pushed below the watermark, which then never
     # moves
     counts = SO.windowed_counts(stream, "ts", "1 hour", keys=["event_type"])
-    got = H.collect_stream(counts, "t_tumbling", os.path.join(scratch, "ck"))
+    got = TT.collect_stream(counts, "t_tumbling", os.path.join(scratch, "ck"))
     batch = W.tumbling_agg(_events(spark), "ts", 3600, keys=["event_type"])
     got_rows = [r for r in rows(got, "window_start", "event_type", "cnt") if r[1] != "flush"]
     assert got_rows == rows(batch, "window_start", "event_type", "cnt")
@@ -49,7 +50,7 @@ def test_tumbling_counts_stream_equals_batch(spark, scratch):
 def test_sliding_counts_stream_equals_batch(spark, scratch):
     stream = SO.event_time(_stage_events(spark, scratch), "ts", "10 seconds")
     counts = SO.windowed_counts(stream, "ts", "2 hours", "30 minutes")
-    got = H.collect_stream(counts, "t_sliding", os.path.join(scratch, "ck"))
+    got = TT.collect_stream(counts, "t_sliding", os.path.join(scratch, "ck"))
     batch = W.sliding_counts(_events(spark), "ts", 7200, 1800)
     got_rows = [r for r in rows(got, "window_start", "cnt") if r[0] < 1_800_000_000]
     assert got_rows == rows(batch, "window_start", "cnt")
@@ -58,7 +59,7 @@ def test_sliding_counts_stream_equals_batch(spark, scratch):
 def test_sessions_stream_equal_batch_and_timer(spark, scratch):
     stream = SO.event_time(_stage_events(spark, scratch), "ts", "0 seconds")
     sessions = SO.session_counts(stream, "ts", "1 hour", ["user_id"])
-    got = H.collect_stream(sessions, "t_sessions", os.path.join(scratch, "ck1"))
+    got = TT.collect_stream(sessions, "t_sessions", os.path.join(scratch, "ck1"))
     batch = W.session_agg(_events(spark), "ts", 3600, ["user_id"])
     got_rows = [r for r in rows(got, "user_id", "session_start", "cnt") if r[0] >= 0]
     assert got_rows == rows(batch, "user_id", "session_start", "cnt")
@@ -67,7 +68,7 @@ def test_sessions_stream_equal_batch_and_timer(spark, scratch):
     proc = ST.SessionByTimer("ts", 3600 * 1000)
     timed = ST.apply(stream2.select("user_id", "ts"), ["user_id"], proc,
                      "key long, session_start_ms long, session_end_ms long, cnt long", time_mode="EventTime")
-    got2 = H.collect_stream(timed, "t_timer", os.path.join(scratch, "ck2"))
+    got2 = TT.collect_stream(timed, "t_timer", os.path.join(scratch, "ck2"))
     assert (sorted((r["key"], r["session_start_ms"] // 1000, r["cnt"]) for r in got2.collect() if r["key"] >= 0)
             == rows(batch, "user_id", "session_start", "cnt"))
 
@@ -78,7 +79,7 @@ def test_late_rows_go_to_side_output(spark, scratch):
     # The late-data sample (ms): two on time, then three late.
     batches = [[("a", t(1461756870000)), ("a", t(1461756883000))],
                [("a", t(1461756870000)), ("a", t(1461756871000)), ("a", t(1461756872000))]]
-    src = H.stage_rows_as_batches(spark, batches, schema, os.path.join(scratch, "src"))
+    src = TT.stage_rows_as_batches(spark, batches, schema, os.path.join(scratch, "src"))
     stream = H.read_files_stream(spark, os.path.join(src, "*"), schema, max_files_per_trigger=1)
     split = SO.LateSplitter("ts", 3, 10, os.path.join(scratch, "wm"), os.path.join(scratch, "on"),
                             os.path.join(scratch, "late"))
@@ -97,10 +98,10 @@ def test_daily_cap_stream(spark, scratch):
                                 "user_id long, ad_id long, province string, city string, ts long")
     clicks = clicks.withColumn("t", F.timestamp_seconds("ts")).withColumn("rid", F.monotonically_increasing_id())
     src = os.path.join(scratch, "src")
-    H.stage_batches(clicks, "t", 3, src)
+    TT.stage_batches(clicks, "t", 3, src)
     stream = H.read_files_stream(spark, os.path.join(src, "*"), clicks.schema, max_files_per_trigger=1)
     out = ST.apply(stream, ["user_id", "ad_id"], ST.DailyCap("t", "rid", cap=100), "id long, kind string")
-    got = H.collect_stream(out, "t_cap", os.path.join(scratch, "ck"))
+    got = TT.collect_stream(out, "t_cap", os.path.join(scratch, "ck"))
     assert got.filter("kind = 'pass'").count() == 122 and got.filter("kind = 'alert'").count() == 1
 
 
@@ -110,11 +111,11 @@ def test_sequence_stream_equals_batch(spark, scratch):
     logins = logins.withColumn("t", F.timestamp_seconds("ts")).withColumn("rid", F.monotonically_increasing_id()) \
                    .withColumn("fail", F.col("event_type") == "fail")
     src = os.path.join(scratch, "src")
-    H.stage_batches(logins, "t", 3, src)
+    TT.stage_batches(logins, "t", 3, src)
     stream = H.read_files_stream(spark, os.path.join(src, "*"), logins.schema, max_files_per_trigger=1)
     out = ST.apply(stream, ["user_id"], ST.StrictSequence("t", "rid", "fail", 3, 86_400_000),
                    "key long, first_ms long, first_id long, last_ms long, last_id long")
-    got = H.collect_stream(out, "t_seq", os.path.join(scratch, "ck"))
+    got = TT.collect_stream(out, "t_seq", os.path.join(scratch, "ck"))
     batch = P.strict_sequence(logins, ["user_id"], "t", "rid", F.col("fail"), 3, 86400)
     assert sorted((r["key"], r["first_id"], r["last_id"]) for r in got.collect()) == rows(batch, "user_id", "first_id", "last_id")
 
@@ -129,20 +130,20 @@ def test_one_to_one_join_stream(spark, scratch):
     stream = H.read_files_stream(spark, src, tagged.schema, max_files_per_trigger=1)
     proc = ST.OneToOneJoin("side", ["product", "price"], ["order_date", "address"])
     out = ST.apply(stream, ["order_id"], proc, "key long, left string, right string")
-    got = H.collect_stream(out, "t_o2o", os.path.join(scratch, "ck"))
+    got = TT.collect_stream(out, "t_o2o", os.path.join(scratch, "ck"))
     assert got.count() == 5 and got.select("key").distinct().count() == 5
 
 
 def test_map_with_state_initial_and_running_text(spark, scratch):
     schema = "word string, seq long"
-    src = H.stage_rows_as_batches(spark, [[("hadoop", 1), ("spark", 2)], [("flink", 3), ("hadoop", 4)]], schema,
+    src = TT.stage_rows_as_batches(spark, [[("hadoop", 1), ("spark", 2)], [("flink", 3), ("hadoop", 4)]], schema,
                                   os.path.join(scratch, "src"))
     stream = H.read_files_stream(spark, os.path.join(src, "*"), schema, max_files_per_trigger=1)
     # The initial state of the map-with-state sample.
     init = spark.createDataFrame([("hadoop", 100), ("flink", 20)], "word string, seq long").groupBy("word")
     out = ST.apply(stream, ["word"], ST.RunningValue("seq", "sum", order_col="seq", ttl_ms=30_000),
                    "key string, value string, order long", time_mode="ProcessingTime", initial_state=init)
-    got = H.collect_stream(out, "t_mws", os.path.join(scratch, "ck"), input_rows=4)
+    got = TT.collect_stream(out, "t_mws", os.path.join(scratch, "ck"), input_rows=4)
     last = {r["key"]: float(r["value"]) for r in got.orderBy("order").collect()}
     assert last == {"hadoop": 105.0, "spark": 2.0, "flink": 23.0}
 
@@ -151,20 +152,20 @@ def test_count_window_state(spark, scratch):
     schema = "k long, v long, seq long"
     # The keyed pairs sample.
     pairs = [(1, 3, 0), (1, 5, 1), (1, 7, 2), (2, 2, 3), (2, 4, 4), (2, 6, 5)]
-    src = H.stage_rows_as_batches(spark, [pairs[:2], pairs[2:4], pairs[4:]], schema, os.path.join(scratch, "src"))
+    src = TT.stage_rows_as_batches(spark, [pairs[:2], pairs[2:4], pairs[4:]], schema, os.path.join(scratch, "src"))
     stream = H.read_files_stream(spark, os.path.join(src, "*"), schema, max_files_per_trigger=1)
     out = ST.apply(stream, ["k"], ST.CountWindow("v", 3, ttl_ms=10_000), "key long, cnt long, total double, mean double",
                    time_mode="ProcessingTime")
-    got = H.collect_stream(out, "t_cw", os.path.join(scratch, "ck"), input_rows=6)
+    got = TT.collect_stream(out, "t_cw", os.path.join(scratch, "ck"), input_rows=6)
     assert rows(got, "key", "mean") == [(1, 5.0), (2, 4.0)]
 
 
 def test_running_count_update_mode_and_per_batch(spark, scratch):
     schema = "word string"
-    src = H.stage_rows_as_batches(spark, [[("a",), ("b",)], [("a",)], [("a",), ("b",)]], schema,
+    src = TT.stage_rows_as_batches(spark, [[("a",), ("b",)], [("a",)], [("a",), ("b",)]], schema,
                                   os.path.join(scratch, "src"))
     stream = H.read_files_stream(spark, os.path.join(src, "*"), schema, max_files_per_trigger=1)
-    got = H.collect_stream(SO.running_count(stream, ["word"]), "t_rc", os.path.join(scratch, "ck"), "update")
+    got = TT.collect_stream(SO.running_count(stream, ["word"]), "t_rc", os.path.join(scratch, "ck"), "update")
     assert max(r["cnt"] for r in got.filter("word = 'a'").collect()) == 3
     seen = []
     H.run_available_now(H.read_files_stream(spark, os.path.join(src, "*"), schema, max_files_per_trigger=1), os.path.join(scratch, "ck2"),
@@ -181,7 +182,7 @@ def test_buffered_sink_survives_restart(spark, scratch):
     sink = SK.BufferedSink(2, "seq", os.path.join(scratch, "out"), os.path.join(scratch, "pending"))
     ck = os.path.join(scratch, "ck")
     for i, batch in enumerate(data):  # one run per batch: a restart between batches
-        H.stage_rows_as_batches(spark, [batch], schema, os.path.join(src, f"run{i}"))
+        TT.stage_rows_as_batches(spark, [batch], schema, os.path.join(src, f"run{i}"))
         H.run_available_now(H.read_files_stream(spark, os.path.join(src, "*", "*"), schema, max_files_per_trigger=1), ck, foreach_batch=sink)
     out = spark.read.parquet(os.path.join(scratch, "out"))
     assert rows(out, "batch_id", "word") == [(1, "Hadoop"), (1, "Spark"), (2, "Hadoop"), (2, "Spark")]
@@ -214,7 +215,7 @@ def test_block_list_and_dynamic_dimension(spark, scratch):
                                       ([("yo", "CN"), ("ok", "US")], [("US", "america"), ("CN", "asia")])]):
         if dim:  # the dimension changes between two runs
             spark.createDataFrame(dim, "country string, area string").write.mode("overwrite").parquet(dim_path)
-        H.stage_rows_as_batches(spark, [batch], schema, os.path.join(src, f"run{i}"))
+        TT.stage_rows_as_batches(spark, [batch], schema, os.path.join(src, f"run{i}"))
         stream = SO.block_list_stream(H.read_files_stream(spark, os.path.join(src, "*", "*"), schema, max_files_per_trigger=1), "word", blocked, "w")
         H.run_available_now(stream, ck, foreach_batch=enrich)
     assert sorted((r["word"], r["area"]) for r in seen) == [("hi", "america"), ("ok", "america"), ("yo", "asia")]
@@ -230,7 +231,7 @@ def test_window_join_stream(spark, scratch):
     s = H.read_files_stream(spark, os.path.join(scratch, "src"), schema, max_files_per_trigger=1)
     left = SO.event_time(s.filter("side = 'l'").select("k", F.col("ts").alias("lt")), "lt", "5 seconds")
     right = SO.event_time(s.filter("side = 'r'").select("k", F.col("ts").alias("rt")), "rt", "5 seconds")
-    got = H.collect_stream(SO.window_join_stream(left, right, "k", "lt", "rt", "5 seconds"), "t_wj",
+    got = TT.collect_stream(SO.window_join_stream(left, right, "k", "lt", "rt", "5 seconds"), "t_wj",
                            os.path.join(scratch, "ck"))
     assert [r["k"] for r in got.collect()] == [1]
 
@@ -295,9 +296,9 @@ def test_top_n_from_list_state_and_timer(spark, scratch):
     batches = [[(100, "a", 3, at(100)), (100, "b", 5, at(100)), (200, "x", 1, at(200))],
                [(100, "c", 1, at(100)), (100, "d", 5, at(100))],
                [(10 ** 9, "flush", 1, at(10 ** 9))], [(10 ** 9 + 1, "flush", 1, at(10 ** 9 + 1))]]
-    src = H.stage_rows_as_batches(spark, batches, schema, os.path.join(scratch, "src"))
+    src = TT.stage_rows_as_batches(spark, batches, schema, os.path.join(scratch, "src"))
     stream = H.read_files_stream(spark, os.path.join(src, "*"), schema, max_files_per_trigger=1).withWatermark("t", "0 seconds")
     out = ST.apply(stream, ["window_end"], ST.TopNPerWindow(2), "window_end long, item string, cnt long, rn long",
                    time_mode="EventTime")
-    got = H.collect_stream(out, "t_topn", os.path.join(scratch, "ck"))
+    got = TT.collect_stream(out, "t_topn", os.path.join(scratch, "ck"))
     assert [r for r in rows(got) if r[0] < 10 ** 9] == [(100, "b", 5, 1), (100, "d", 5, 2), (200, "x", 1, 1)]

@@ -58,10 +58,6 @@ def invert_csv_map(df: DataFrame, key: str, csv_values: str, out_key: str, out_v
     return df.select(F.explode(F.split(F.col(csv_values), ",")).alias(out_key), F.col(key).alias(out_value))
 
 
-# The ad log's event types, in the reference's order.
-AD_EVENT_TYPES = ("SEND", "IMPRESSION", "CLICK", "DOWNLOAD", "INSTALLED", "PAY")
-
-
 def indicator_columns(df: DataFrame, col: str, values: Sequence[str], prefix: str = "") -> DataFrame:
     """One 0/1 long column per value, set where ``col`` equals it."""
     for v in values:

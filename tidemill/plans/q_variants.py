@@ -9,6 +9,7 @@ from tidemill.operators import cells as C
 from tidemill.operators import joins as J
 from tidemill.operators import ordering as O
 from tidemill.operators import ranking as R
+from tidemill.operators import transforms as T
 from tidemill.operators import windows as W
 from tidemill.plans.q_cells import CELLS_SQL, customer_cells
 from tidemill.plans.registry import query
@@ -84,7 +85,7 @@ def f02_first_n_in_partitions(spark, sf):
     """Sort inside the partitions that a key is dealt to, and keep the first three rows of each key's run."""
     li = load(spark, sf, "lineitem").select("l_suppkey", "l_extendedprice")
     run = O.sort_within_partitions(li.repartition("l_suppkey"), [F.col("l_suppkey"), F.col("l_extendedprice")])
-    kept = run.mapInPandas(O.first_of_each_run("l_suppkey", 3), li.schema)
+    kept = T.map_partitions_iter(run, O.first_of_each_run("l_suppkey", 3), li.schema)
     return kept.groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("n_kept"), F.min("l_extendedprice").alias("least"))
 
 
