@@ -67,9 +67,11 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, keep: Column,
     rate = F.when(F.col("_y") == 1, F.lit(min(1.0, bound / max(n.get(1, 0), 1)))).otherwise(
         F.lit(min(1.0, bound / max(n.get(0, 0), 1))))
     lab = lab.where(keep).where(u < rate)
-    rows = docs.select("doc_id", "text").join(lab, F.col("doc_id") == F.col("_id")).select(
+    # about 2 * bound ids and labels at most: broadcast, so that no text is shuffled to find them
+    rows = docs.select("doc_id", "text").join(F.broadcast(lab), F.col("doc_id") == F.col("_id")).select(
         "doc_id", text_or_empty().alias("text"), F.col("_y").alias("y"))
-    return rows, n
+    # of rows that share an id the least text teaches, so that a repeated id doesn't pass the bound
+    return rows.groupBy("doc_id", "y").agg(F.min("text").alias("text")), n
 
 
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
@@ -139,4 +141,5 @@ def fitted(rows: DataFrame, fit: Callable[[pa.Table], object]):
         table = pa.Table.from_batches(got) if got else pa.table({n: [] for n in names})
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(table))], pa.binary())], names=["model"])
 
-    return pickle.loads(rows.coalesce(1).mapInArrow(run, "model binary").first()["model"])
+    # repartitioned, not coalesced: what leads to the rows keeps its own tasks
+    return pickle.loads(rows.repartition(1).mapInArrow(run, "model binary").first()["model"])
