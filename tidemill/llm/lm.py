@@ -34,9 +34,9 @@ from pyspark.sql import functions as F
 
 from tidemill.llm.shared import WordTable, fitted, fold, map_batches, saved, text_or_empty, texts_of
 
-WIDTH, LEAD = 32, 6
-DIM, HIDDEN = 16, 40
-SINGLE, GROUPS = 128, 80
+WIDTH, LEAD = 32, 4
+DIM, HIDDEN = 16, 32
+SINGLE, GROUPS = 72, 52
 HEAD = 50_000
 LOG10E = 0.4342944819032518
 
@@ -58,7 +58,7 @@ def _encoding(path: str):
 class Words:
     """Hash and subword ids of the words a Python worker has met, bounded by the word table."""
 
-    def __init__(self, path: str, limit: int = 500_000):
+    def __init__(self, path: str, limit: int = 800_000):
         self.encoding, self.limit = _encoding(path), limit
         self.end_id = self.encoding.n_vocab
         self.clear()
@@ -245,7 +245,7 @@ def _classes(ids: np.ndarray, n_ids: int, starts_word: np.ndarray, rng: np.rando
     return of
 
 
-def learn(texts: list[bytes], vocabulary: str, steps: int = 3000, batch: int = 96, seed: int = 6) -> tuple[dict[str, np.ndarray], np.ndarray]:
+def learn(texts: list[bytes], vocabulary: str, steps: int = 2000, batch: int = 96, seed: int = 6) -> tuple[dict[str, np.ndarray], np.ndarray]:
     """(network, class of each id), from a bounded list of texts."""
     rng = np.random.default_rng(seed)
     words = Words(vocabulary, limit=1 << 60)
@@ -316,7 +316,8 @@ class Scorer:
             own = slice(lo, lo + block)
             place = np.minimum(begin[own][:, None] + span, len(ids) - 1)
             new = (span >= np.where(first[own], 0, LEAD)[:, None]) & (span < count[own][:, None])
-            z = class_logits(self.m, self.hidden(line[place])[new])
+            z = self.hidden(line[place])[new] @ self.m["w2"]
+            z += self.m["b2"]
             if not self.safe_class:
                 z -= z.max(axis=1, keepdims=True)
             at = place[new]
