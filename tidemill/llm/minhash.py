@@ -11,9 +11,16 @@ coordinates are one contiguous slice of a table.
 2. In each bucket every node is paired with the bucket's least node (a star,
    never all pairs); pairs are verified on the full sets and linked.
 3. Where a bucket still holds nodes of different components, exactly the
-   pairs across components whose set sizes allow the similarity are verified
-   too.  So each pair that shares a bucket is either linked, refused by its
-   full sets, or already within one component: nothing is capped.
+   pairs across components are verified too.  So each pair that shares a
+   bucket is either linked, refused, or already within one component: nothing
+   is capped.
+
+Before texts are compared, a pair is refused if its set sizes rule the
+similarity out, or if its signatures' low bits (one for each coordinate)
+differ in more places than six standard deviations above what the similarity
+gives, which a linked pair does once in a thousand million.  For the nodes of
+step 3 the bits are those of ``FINE`` coordinates, so that in a large group
+whose texts lie just below the similarity few pairs leave the join.
 
 With 32 bands of 8 rows a pair of similarity 0.85 shares no bucket with
 probability 4e-5, of 0.9 with 2e-8.
@@ -32,6 +39,7 @@ from pyspark.sql import functions as F
 from tidemill.llm.shared import WordTable, map_batches, mix64, saved, text_or_empty, texts_of
 
 UNIVERSE = 1 << 20
+FINE = 2048
 ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                 0xA0761D6478BD642F], np.uint64)
 
@@ -100,19 +108,41 @@ def band_keys(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return acc.view(np.int64)
 
 
+def sketch(sig: np.ndarray) -> np.ndarray:
+    """The coordinates' low bits as 64-bit integers, the last filled with zeros."""
+    bits = np.packbits((sig & 1).astype(np.uint8))
+    return np.frombuffer(bits.tobytes() + bytes(-len(bits) % 8), np.int64)
+
+
+def most_differing(coords: int, percent: int) -> int:
+    """Differing low bits that a pair of the least linked similarity passes with six standard deviations."""
+    p = (1 - percent / 100) / 2
+    return int(coords * p + 6 * (coords * p * (1 - p)) ** 0.5)
+
+
+def _may_link(a: str, b: str, coords: int, percent: int):
+    """Whether sizes and sketches allow the similarity; a and b name columns with n and bits."""
+    words = range(-(-coords // 64))
+    differ = sum((F.bit_count(F.col(f"{a}.bits")[i].bitwiseXOR(F.col(f"{b}.bits")[i])) for i in words), F.lit(0))
+    sizes = 100 * F.least(f"{a}.n", f"{b}.n") >= percent * F.greatest(f"{a}.n", f"{b}.n")
+    return sizes & (differ <= most_differing(coords, percent))
+
+
 def _signatures(docs: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
-        counts, digests, keys = [], [], []
+        counts, digests, keys, bits = [], [], [], []
         for t in texts_of(b.column(1)):
             s = shingle_set(t, words)
             counts.append(len(s))
             digests.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
-            keys.append(band_keys(signature(s, bands * rows), bands, rows) if len(s) else None)
+            sig = signature(s, bands * rows) if len(s) else None
+            keys.append(band_keys(sig, bands, rows) if len(s) else None)
+            bits.append(sketch(sig) if len(s) else None)
         return pa.RecordBatch.from_arrays(
-            [b.column(0), pa.array(counts, pa.int64()), pa.array(digests, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
-            names=["doc_id", "n_shingles", "digest", "bands"])
+            [b.column(0), pa.array(counts, pa.int64()), pa.array(digests, pa.binary()), pa.array(keys, pa.list_(pa.int64())),
+             pa.array(bits, pa.list_(pa.int64()))], names=["doc_id", "n_shingles", "digest", "bands", "bits"])
     cols = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    return map_batches(cols, run, "doc_id long, n_shingles long, digest binary, bands array<long>")
+    return map_batches(cols, run, "doc_id long, n_shingles long, digest binary, bands array<long>, bits array<long>")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
@@ -164,26 +194,43 @@ def near_duplicates(docs: DataFrame, words: int = 3, percent: int = 85, bands: i
     """
     sig = saved(_signatures(docs, words, bands, rows), "signatures")
     nodes = (sig.where("digest is not null and doc_id is not null").groupBy("digest")
-             .agg(F.min("doc_id").alias("node"), F.max("n_shingles").alias("n"), F.min_by("bands", "doc_id").alias("bands")))
+             .agg(F.min("doc_id").alias("node"), F.max("n_shingles").alias("n"), F.min_by("bands", "doc_id").alias("bands"),
+                  F.min_by("bits", "doc_id").alias("bits")))
     nodes = saved(nodes, "nodes")
-    entries = nodes.select("node", "n", F.explode("bands").alias("key"))
+    entries = nodes.select("node", F.explode("bands").alias("key"))
     centres = entries.groupBy("key").agg(F.min("node").alias("centre"), F.count("*").alias("_n")).where("_n > 1").drop("_n")
     buckets = saved(entries.join(centres, "key"), "buckets")
-    star = saved(buckets.where("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct(), "star-pairs")
-    ids = star.select(F.col("a").alias("id")).union(star.select(F.col("b").alias("id"))).distinct()
+    may = _may_link("x", "y", bands * rows, percent)
+    of_node = nodes.select("node", F.struct("n", "bits").alias("x"))
+    star = buckets.where("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
+    star = star.join(of_node.select(F.col("node").alias("a"), "x"), "a").join(of_node.select(F.col("node").alias("b"), F.col("x").alias("y")), "b")
+    star = saved(star.where(may).select("a", "b").distinct(), "star-pairs")
+    # the texts of all nodes that share a bucket, found by a sort-merge join at any size
     every = docs.select(F.col("doc_id").cast("long").alias("id"), text_or_empty().alias("text"))
-    texts = saved(every.join(ids, "id", "left_semi"), "pair-texts")
+    ids = buckets.select(F.col("node").alias("id")).distinct()
+    texts = saved(every.join(ids.hint("merge"), "id", "left_semi"), "bucket-texts")
     links = saved(_verified(star, texts, words, percent), "star-links")
     found = components(links)
     # pairs that share a bucket but are still in different components
-    of = buckets.join(found.withColumnRenamed("id", "node"), "node", "left").select(
-        "key", "node", "n", F.coalesce("component", "node").alias("c"))
+    of = buckets.join(found.withColumnRenamed("id", "node"), "node", "left").select("key", "node", F.coalesce("component", "node").alias("c"))
     open_keys = of.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("key")
     left = saved(of.join(open_keys, "key"), "open-buckets")
-    x, y = left.alias("x"), left.alias("y")
-    can = (F.col("x.c") < F.col("y.c")) & (100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n"))
-    across = (x.join(y, (F.col("x.key") == F.col("y.key")) & can)
-              .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
+
+    def fine_bits(b: pa.RecordBatch) -> pa.RecordBatch:
+        sets = [shingle_set(t, words) for t in texts_of(b.column(1))]
+        x = pa.StructArray.from_arrays([pa.array([len(s) for s in sets], pa.int64()),
+                                        pa.array([sketch(signature(s, FINE)) if len(s) else None for s in sets], pa.list_(pa.int64()))], ["n", "bits"])
+        return pa.RecordBatch.from_arrays([b.column(0), x], names=["node", "x"])
+
+    open_texts = texts.join(left.select(F.col("node").alias("id")).distinct(), "id", "left_semi").select("id", "text")
+    fine = map_batches(open_texts, fine_bits, "node long, x struct<n: long, bits: array<long>>")
+    left = saved(left.join(fine, "node").join(nodes.select("node", "bands"), "node"), "open-nodes")
+    # a pair that shares several buckets leaves the join in that of the least key alone
+    once = F.array_min(F.array_intersect("bands", "bands_")) == F.col("key")
+    may = _may_link("x", "y", FINE, percent) & once
+    right = left.select(*[F.col(c).alias(f"{c}_") for c in ("key", "node", "c", "bands")], F.col("x").alias("y"))
+    across = (left.join(right, (F.col("key") == F.col("key_")) & (F.col("c") < F.col("c_")) & may)
+              .select(F.least("node", "node_").alias("a"), F.greatest("node", "node_").alias("b")).distinct()
               .join(star, ["a", "b"], "left_anti"))
     across = saved(across, "open-pairs")
     if not across.isEmpty():
