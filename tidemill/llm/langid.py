@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemill.llm.shared import WordTable, fitted, fold, map_batches, text_or_empty, texts_of
+from tidemill.llm.shared import WordTable, fitted, fold, map_batches, text_or_empty, texts_of, worker_cache
 
 PIECE_BYTES = 8
 UNDETERMINED = "und"
@@ -188,7 +188,7 @@ class _Scores:
         self._clear()
 
     def _clear(self) -> None:
-        self.table, self.rows = WordTable(800_000), np.zeros((1 << 16, self.probs.shape[1]), np.float32)
+        self.table, self.rows = WordTable(500_000), np.zeros((1 << 16, self.probs.shape[1]), np.float32)
 
     def of(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Log probability of each text in each language, and its number of words."""
@@ -211,9 +211,6 @@ class _Scores:
         return total, counts
 
 
-_state: dict[tuple, _Scores] = {}
-
-
 def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], columns: list[str] | None = None,
              vocabulary: str | None = None, certain_words: int = 16) -> DataFrame:
     """The named columns of ``docs`` (all, unless given) with lang_pred and score, for each row.
@@ -232,14 +229,12 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], columns: list
     columns = [c for c in (docs.columns if columns is None else columns) if c not in ("lang_pred", "score")]
 
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
-        if mark not in _state:
-            _state.clear()
-            _state[mark] = _Scores(pieces_of(path), probs)
+        known_words = worker_cache(("language", mark), lambda: _Scores(pieces_of(path), probs))
         preds, scores = [], []
         texts = texts_of(b.column(len(columns)))
         for lo in range(0, len(texts), 256):
             part = texts[lo:lo + 256]
-            total, counts = _state[mark].of(part) if names else (np.zeros((len(part), 0)), np.zeros(len(part)))
+            total, counts = known_words.of(part) if names else (np.zeros((len(part), 0)), np.zeros(len(part)))
             total *= np.minimum(1, certain_words / np.maximum(counts, 1))[:, None]
             top = total.argmax(axis=1) if names else np.zeros(len(part), int)
             post = 1 / np.exp(total - total.max(axis=1, keepdims=True)).sum(axis=1) if names else np.zeros(len(part))

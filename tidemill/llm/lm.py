@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.llm.shared import WordTable, fitted, fold, map_batches, saved, text_or_empty, texts_of
+from tidemill.llm.shared import WordTable, fitted, fold, map_batches, saved, text_or_empty, texts_of, worker_cache
 
 WIDTH, LEAD = 32, 4
 DIM, HIDDEN = 16, 32
@@ -103,15 +103,10 @@ class Words:
         return np.insert(flat, upto, self.end_id), sizes + 1
 
 
-@lru_cache(maxsize=1)
-def _words(path: str) -> Words:
-    return Words(path)
-
-
 def corpus_counts(docs: DataFrame, vocabulary: str) -> DataFrame:
     """(kind, key, n): of all texts, kind 0 the count of each word by hash, kind 1 that of each subword id."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = _words(vocabulary)
+        words = worker_cache(("lm-counts", vocabulary), lambda: Words(vocabulary))
         if words.table.full():
             words.clear()
         seen = np.zeros(len(words.hashes), np.int64)
@@ -328,9 +323,6 @@ class Scorer:
         return np.add.reduceat(log, np.cumsum(sizes) - sizes) * LOG10E if len(sizes) else np.zeros(0)
 
 
-_scorers: dict[float, Scorer] = {}
-
-
 def score_texts(docs: DataFrame, train, bound: int = 1000, vocabulary: str | None = None, head: int = HEAD) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score, score for each row of ``docs``; ``train`` marks training rows.
 
@@ -369,10 +361,8 @@ def score_texts(docs: DataFrame, train, bound: int = 1000, vocabulary: str | Non
     mark = float(m["e"].sum()) + float(share.sum())
 
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
-        if mark not in _scorers:
-            _scorers.clear()
-            _scorers[mark] = Scorer(m, of, share)
-        table, texts = _words(path), texts_of(b.column(2))
+        scorer, table = worker_cache(("lm", mark, path), lambda: (Scorer(m, of, share), Words(path)))
+        texts = texts_of(b.column(2))
         cols: list[list] = [[] for _ in range(5)]
         tails: list[np.ndarray] = []
         for lo in range(0, len(texts), 128):
@@ -386,7 +376,7 @@ def score_texts(docs: DataFrame, train, bound: int = 1000, vocabulary: str | Non
             cols[0] += (n + 1).tolist()
             cols[1] += np.bincount(where[known], minlength=len(n)).tolist()
             cols[2] += np.bincount(where[known], weights=log, minlength=len(n)).tolist()
-            cols[3] += _scorers[mark].scores(*table.subwords(at, n)).tolist()
+            cols[3] += scorer.scores(*table.subwords(at, n)).tolist()
             cols[4] += np.bincount(where[~known], minlength=len(n)).tolist()
             tails.append(key[~known])
         ends = pa.array(np.cumsum([0] + cols[4]), pa.int32())

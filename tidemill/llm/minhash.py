@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.llm.shared import WordTable, map_batches, mix64, saved, text_or_empty, texts_of
+from tidemill.llm.shared import WordTable, map_batches, mix64, saved, text_or_empty, texts_of, worker_cache
 
 UNIVERSE = 1 << 20
 FINE = 2048
@@ -63,15 +63,12 @@ class _Words:
         return self.hashes[ids]
 
 
-_words = _Words()
-
-
 def shingle_set(text: bytes, words: int) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the shingles of ``words`` words, after lower-casing A-Z.
 
     A text of fewer words is one shingle of its whole sequence; one without words has none.
     """
-    h = _words.of(text.lower().split())
+    h = worker_cache("minhash", _Words).of(text.lower().split())
     n = len(h)
     if n == 0:
         return h

@@ -15,14 +15,13 @@ from __future__ import annotations
 
 import os
 import zlib
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemill.llm.shared import WordTable, fitted, map_batches, saved, text_or_empty, texts_of
+from tidemill.llm.shared import WordTable, fitted, map_batches, saved, text_or_empty, texts_of, worker_cache
 
 CLASSES = 128
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
@@ -40,7 +39,7 @@ class WordIds:
     are those of its words in turn.
     """
 
-    def __init__(self, path: str, limit: int = 900_000):
+    def __init__(self, path: str, limit: int = 700_000):
         from tokenizers import Tokenizer
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer, self.limit = Tokenizer.from_file(path), limit
@@ -85,9 +84,8 @@ class WordIds:
                 at += 1
 
 
-@lru_cache(maxsize=1)
 def word_ids(path: str) -> WordIds:
-    return WordIds(path)
+    return worker_cache(("packing", path), lambda: WordIds(path))
 
 
 def cut_pieces(docs: DataFrame, capacity: int, end_id: int, vocabulary: str) -> DataFrame:

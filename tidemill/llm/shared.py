@@ -118,6 +118,22 @@ class WordTable(dict):
         return len(self) > self.limit
 
 
+_kept: list = [None, None]
+
+
+def worker_cache(key, make: Callable[[], object]):
+    """What this Python worker keeps between tasks under ``key``.
+
+    A worker keeps one thing at a time: the word table of one operator goes
+    when another operator's task comes, so a session that runs many operators
+    holds no more than the largest.
+    """
+    if _kept[0] != key:
+        _kept[:] = [None, None]
+        _kept[:] = [key, make()]
+    return _kept[1]
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijection on unsigned 64-bit integers (xor-shift and odd multiplications)."""
     x = x ^ (x >> np.uint64(31))

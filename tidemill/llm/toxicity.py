@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.llm.shared import WordTable, fitted, fold, map_batches, text_or_empty, texts_of, training_rows
+from tidemill.llm.shared import WordTable, fitted, fold, map_batches, text_or_empty, texts_of, training_rows, worker_cache
 
 WIDTH, STRIDE = 24, 16
 DIM, HIDDEN, ATTENTION = 16, 12, 12
@@ -315,9 +315,6 @@ def _logistic(x: np.ndarray, y: np.ndarray, rate_of_ones: float) -> tuple[float,
     return float(beta[0]), float(beta[1])
 
 
-_scorers: dict[float, Scorer] = {}
-
-
 def score_toxicity(docs: DataFrame, labels: DataFrame, train: Column, label: str = "toxic", bound: int = 2500) -> DataFrame:
     """doc_id and score for each row of ``docs``; learned from labelled rows where ``train`` (a Column of _id) holds.
 
@@ -345,12 +342,10 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, train: Column, label: str
     mark = float(p["u"].sum()) + float(p["wh"].sum())
 
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
-        if mark not in _scorers:
-            _scorers.clear()
-            _scorers[mark] = Scorer(p)
+        scorer = worker_cache(("toxicity", mark), lambda: Scorer(p))
         texts, tops = texts_of(b.column(1)), []
         for lo in range(0, len(texts), 128):
-            tops.append(_scorers[mark].largest(texts[lo:lo + 128]))
+            tops.append(scorer.largest(texts[lo:lo + 128]))
         top = np.concatenate(tops) if tops else np.zeros(0)
         score = np.where(np.isfinite(top), sigmoid(slope * np.where(np.isfinite(top), top, 0) + offset), 0.0)
         return pa.RecordBatch.from_arrays([b.column(0), pa.array(score, pa.float64())], names=["doc_id", "score"])
