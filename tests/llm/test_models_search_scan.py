@@ -1,6 +1,7 @@
 """Operators 1, 2, 5, 6, 8 and 9: held-out accuracy, brute force and odd rows."""
 
 import hashlib
+import inspect
 
 import numpy as np
 import pytest
@@ -210,6 +211,24 @@ def test_each_id_is_scored_once_and_the_model_is_a_distribution():
         assert scored == list(range(size))
 
 
+def test_later_windows_see_half_a_window():
+    assert lm.LEAD >= lm.WIDTH // 2 and lm.HIDDEN >= 40 and lm.SINGLE + lm.GROUPS >= 208
+    assert inspect.signature(lm.learn).parameters["steps"].default >= 3000
+    rng = np.random.default_rng(1)
+    n = 9
+    m = {k: rng.standard_normal(shape).astype(np.float32) for k, shape in
+         {"e": (n, lm.DIM), "wq": (lm.DIM, lm.DIM), "wk": (lm.DIM, lm.DIM), "wv": (lm.DIM, lm.DIM), "far": (lm.WIDTH,),
+          "w1": (2 * lm.DIM, lm.HIDDEN), "b1": (lm.HIDDEN,), "w2": (lm.HIDDEN, n), "b2": (n,)}.items()}
+    m["wq"] *= 0
+    m["far"] *= 0  # all places before count alike
+    s = lm.Scorer(m, np.arange(n), np.zeros(n))
+    ids = rng.integers(0, n - 1, 33)
+    other = ids.copy()
+    other[17] = (ids[17] + 1) % (n - 1)
+    last = [s.scores(x, np.array([33]))[0] - s.scores(x[:-1], np.array([32]))[0] for x in (ids, other)]
+    assert abs(last[0] - last[1]) > 1e-4  # id 32 is scored with the 16 before it
+
+
 def test_empty_tables(spark):
     empty = spark.createDataFrame([], SCHEMA)
     none = spark.createDataFrame([], "doc_id long, toxic int, quality int")

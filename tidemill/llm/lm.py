@@ -34,9 +34,9 @@ from pyspark.sql import functions as F
 
 from tidemill.llm.shared import WordTable, fitted, fold, map_batches, saved, text_or_empty, texts_of, worker_cache
 
-WIDTH, LEAD = 32, 4
-DIM, HIDDEN = 16, 32
-SINGLE, GROUPS = 72, 52
+WIDTH, LEAD = 32, 16
+DIM, HIDDEN = 16, 40
+SINGLE, GROUPS = 128, 80
 HEAD = 50_000
 LOG10E = 0.4342944819032518
 
@@ -240,7 +240,7 @@ def _classes(ids: np.ndarray, n_ids: int, starts_word: np.ndarray, rng: np.rando
     return of
 
 
-def learn(texts: list[bytes], vocabulary: str, steps: int = 2000, batch: int = 96, seed: int = 6) -> tuple[dict[str, np.ndarray], np.ndarray]:
+def learn(texts: list[bytes], vocabulary: str, steps: int = 3000, batch: int = 96, seed: int = 6) -> tuple[dict[str, np.ndarray], np.ndarray]:
     """(network, class of each id), from a bounded list of texts."""
     rng = np.random.default_rng(seed)
     words = Words(vocabulary, limit=1 << 60)
@@ -286,11 +286,12 @@ class Scorer:
         self.safe_class = (np.abs(m["w2"]).sum(axis=0) + np.abs(m["b2"])).max() < 60
         self.ones = np.ones(len(m["b2"]), np.float32)
 
-    def hidden(self, x: np.ndarray) -> np.ndarray:
+    def hidden(self, x: np.ndarray, lead: int = 0) -> np.ndarray:
+        """Hidden states of the places from ``lead`` on."""
         r = self.table[x]
-        e, q, k, v = r[..., :DIM], r[..., DIM:2 * DIM], r[..., 2 * DIM:3 * DIM], r[..., 3 * DIM:]
+        e, q, k, v = r[:, lead:, :DIM], r[:, lead:, DIM:2 * DIM], r[..., 2 * DIM:3 * DIM], r[..., 3 * DIM:]
         s = q @ k.transpose(0, 2, 1)
-        s += self.bias
+        s += self.bias[lead:]
         if not self.safe:
             s -= s.max(axis=2, keepdims=True)
         np.exp(s, out=s)
@@ -307,18 +308,20 @@ class Scorer:
         log = np.empty(len(ids))
         span = np.arange(WIDTH)
         first = np.concatenate([[True], text[1:] != text[:-1]]) if len(text) else np.zeros(0, bool)
-        for lo in range(0, len(text), block):
-            own = slice(lo, lo + block)
-            place = np.minimum(begin[own][:, None] + span, len(ids) - 1)
-            new = (span >= np.where(first[own], 0, LEAD)[:, None]) & (span < count[own][:, None])
-            z = self.hidden(line[place])[new] @ self.m["w2"]
-            z += self.m["b2"]
-            if not self.safe_class:
-                z -= z.max(axis=1, keepdims=True)
-            at = place[new]
-            right = z[np.arange(len(z)), self.of[ids[at]]]
-            np.exp(z, out=z)
-            log[at] = right - np.log(z @ self.ones)
+        # a later window's first ``LEAD`` places are only looked at, not scored
+        for every, lead in ((np.flatnonzero(first), 0), (np.flatnonzero(~first), LEAD)):
+            for lo in range(0, len(every), block):
+                own = every[lo:lo + block]
+                place = np.minimum(begin[own][:, None] + span, len(ids) - 1)
+                new = (span < count[own][:, None])[:, lead:]
+                z = self.hidden(line[place], lead)[new] @ self.m["w2"]
+                z += self.m["b2"]
+                if not self.safe_class:
+                    z -= z.max(axis=1, keepdims=True)
+                at = place[:, lead:][new]
+                right = z[np.arange(len(z)), self.of[ids[at]]]
+                np.exp(z, out=z)
+                log[at] = right - np.log(z @ self.ones)
         log += self.share[ids]
         return np.add.reduceat(log, np.cumsum(sizes) - sizes) * LOG10E if len(sizes) else np.zeros(0)
 
