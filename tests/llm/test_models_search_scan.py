@@ -229,6 +229,29 @@ def test_later_windows_see_half_a_window():
     assert abs(last[0] - last[1]) > 1e-4  # id 32 is scored with the 16 before it
 
 
+def test_language_model_takes_in_all_training_texts(spark, monkeypatch):
+    # the sample of the network's start holds none of these texts; what follows what shows only in the whole corpus
+    words = [f"{a}{b}" for a in ("tree", "stone", "river", "cloud") for b in ("house", "light", "field", "path")]
+    texts = [(i, " ".join(words[(i + k) % 16] for k in range(40)), "en", "s") for i in range(400)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string, lang string, source string")
+    plain = lm.learn
+    monkeypatch.setattr(lm, "learn", lambda t, *a: plain([b""], *a, steps=5))
+    shuffled = spark.createDataFrame([(-1, " ".join(words[i] for i in np.random.default_rng(2).permutation(np.arange(40) % 16)), "en", "s")], docs.schema)
+    out = lm.score_texts(docs.unionByName(shuffled), F.col("doc_id") >= 0, bound=1).collect()
+    got = {r["doc_id"]: r["score"] / r["n_tokens"] for r in out}
+    assert got[7] > got[-1] + 0.05
+
+
+def test_shares_after_are_distributions():
+    n_classes, n = 3 + lm.SINGLE + lm.GROUPS, 300
+    rng = np.random.default_rng(4)
+    of = np.concatenate([np.arange(n_classes), rng.integers(0, n_classes, n - n_classes)])
+    after = tuple(rng.integers(0, hi, 2000) for hi in (n_classes, n, 50))
+    share = lm.shares_after(of, np.ones(n), after)
+    for row in share[:40]:
+        assert np.bincount(of, weights=np.exp(row)) == pytest.approx(np.ones(n_classes), rel=1e-4)
+
+
 def test_empty_tables(spark):
     empty = spark.createDataFrame([], SCHEMA)
     none = spark.createDataFrame([], "doc_id long, toxic int, quality int")

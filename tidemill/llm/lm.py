@@ -4,16 +4,19 @@ A text is its words, each with a blank before it, in the ids of a public
 byte-pair vocabulary, and one end.  The model gives the probability of each
 id after those before it: causal self-attention (position biases by
 distance) and a hidden layer predict the id's class, and the id's share
-within its class comes from counts over the whole corpus.  A text's score is
-the log10 of their product over its ids.
+within its class, given the class of the id before it, comes from counts over
+the whole corpus.  A text's score is the log10 of their product over its ids.
 
 Windows of ``WIDTH`` ids overlap by ``LEAD``: each id is scored once, in the
 first window that holds it, with at least ``LEAD`` ids before it where there
 are as many.
 
-What is gathered from the corpus grows with it: one pass counts every word
-and every subword of all training texts.  The network alone is trained on a
-bounded number of training texts (``bound``), in numpy, in one task.
+What is gathered from the corpus grows with it: one pass counts every word,
+every subword and every pair of neighbouring subwords of all training texts;
+classes come from the neighbours' counts and shares from the pairs' counts.
+The network starts from a bounded number of training texts (``bound``), in
+numpy, in one task; then every partition takes it once through all of its
+training texts, and the mean of what the partitions learned is kept.
 
 The counts of the ``HEAD`` most frequent words go to the tasks with the
 network (a bounded table); a text's rarer words meet their counts in a join
@@ -38,6 +41,8 @@ WIDTH, LEAD = 32, 16
 DIM, HIDDEN = 16, 40
 SINGLE, GROUPS = 128, 80
 HEAD = 50_000
+NEAR = 64  # neighbours, by which ids are put into classes
+BACK_OFF = 20.0  # ids that the share without context counts for
 LOG10E = 0.4342944819032518
 
 
@@ -104,12 +109,23 @@ class Words:
 
 
 def corpus_counts(docs: DataFrame, vocabulary: str) -> DataFrame:
-    """(kind, key, n): of all texts, kind 0 the count of each word by hash, kind 1 that of each subword id."""
+    """(kind, key, n): of all texts, kind 0 the count of each word by hash, kind 1 that of each subword id.
+
+    Kind 2 counts pairs of neighbouring ids, by id before * number of ids + id;
+    before a text's first id comes the end id.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = worker_cache(("lm-counts", vocabulary), lambda: Words(vocabulary))
         if words.table.full():
             words.clear()
         seen = np.zeros(len(words.hashes), np.int64)
+        pairs: list[np.ndarray] = []
+
+        def flush_pairs() -> pa.RecordBatch:
+            key, n = np.unique(np.concatenate([np.zeros(0, np.int64), *pairs]), return_counts=True)
+            pairs.clear()
+            return pa.RecordBatch.from_arrays([pa.array(np.full(len(key), 2, np.int32)), pa.array(key), pa.array(n.astype(np.int64))],
+                                              names=["kind", "key", "n"])
 
         def flush() -> pa.RecordBatch:
             own = np.flatnonzero(seen)
@@ -130,20 +146,32 @@ def corpus_counts(docs: DataFrame, vocabulary: str) -> DataFrame:
                     yield flush()
                     words.clear()
                     seen = np.zeros(len(words.hashes), np.int64)
-                at, _ = words.of(texts[lo:lo + 256])
+                at, n = words.of(texts[lo:lo + 256])
+                ids, _ = words.subwords(at, n)
+                pairs.append(np.concatenate([[words.end_id], ids[:-1]]).astype(np.int64) * (words.end_id + 1) + ids)
+                if sum(map(len, pairs)) > 2_000_000:
+                    yield flush_pairs()
                 got = np.bincount(at, minlength=len(words.table)) if len(at) else np.zeros(0, np.int64)
                 if len(got) > len(seen):
                     seen = np.concatenate([seen, np.zeros(len(words.hashes) - len(seen), np.int64)])
                 seen[:len(got)] += got
+        yield flush_pairs()
         yield flush()
 
     parts = docs.select(text_or_empty().alias("text")).mapInArrow(run, "kind int, key long, n long")
     return parts.groupBy("kind", "key").agg(F.sum("n").alias("n"))
 
 
-def stretches(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def pair_table(pairs: DataFrame, fn, names: tuple[str, str]) -> DataFrame:
+    """``fn`` of (id before, id, n) gives two columns of integers and n, for each batch of pairs."""
+    def run(b: pa.RecordBatch) -> pa.RecordBatch:
+        cols = fn(b.column(0).to_numpy(), b.column(1).to_numpy(), b.column(2).to_numpy())
+        return pa.RecordBatch.from_arrays([pa.array(c.astype(t)) for c, t in zip(cols, (np.int32, np.int32, np.int64))], names=[*names, "n"])
+    return map_batches(pairs, run, f"{names[0]} int, {names[1]} int, n long")
+
+
+def stretches(sizes: np.ndarray, step: int = WIDTH - LEAD) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For texts laid out in a line: each window's text, first target and number of targets."""
-    step = WIDTH - LEAD
     per = 1 + np.maximum(0, -(-(sizes - WIDTH) // step))
     text = np.repeat(np.arange(len(sizes)), per)
     nth = np.arange(per.sum()) - np.repeat(np.cumsum(per) - per, per)
@@ -205,30 +233,36 @@ def _gradients(m, x, target, weight):
     return loss, g
 
 
-def _classes(ids: np.ndarray, n_ids: int, starts_word: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+def columns_of(count: np.ndarray) -> np.ndarray:
+    """A number for each of the ``NEAR`` most frequent ids, -1 for others."""
+    column = np.full(len(count), -1)
+    order = np.argsort(-count, kind="stable")[:NEAR]
+    column[order] = np.arange(len(order))
+    return column
+
+
+def _classes(count: np.ndarray, near_counts: tuple[np.ndarray, np.ndarray, np.ndarray], starts_word: np.ndarray, rng: np.random.Generator) -> np.ndarray:
     """A class for each id: one each for the most frequent and the end, groups by neighbours for others, two for rare ones.
 
-    No class mixes ids that begin a word (the end among them) with others.
+    ``near_counts``: id, column and count, the column of a frequent id after
+    it or ``NEAR`` more than the column of one before it.  No class mixes ids
+    that begin a word (the end among them) with others.
     """
-    count = np.bincount(ids, minlength=n_ids)
+    n_ids = len(count)
     of = np.where(starts_word, 1, 0)
     order = np.argsort(-count, kind="stable")
     of[n_ids - 1] = 2
     top = [i for i in order[:SINGLE + 1].tolist() if i != n_ids - 1][:SINGLE]
     of[top] = 3 + np.arange(len(top))
-    column = np.full(n_ids, -1)
-    column[order[:64]] = np.arange(min(64, n_ids))
     for begins in (False, True):
         rest = np.array([i for i in np.flatnonzero(count >= 5) if of[i] < 2 and starts_word[i] == begins], np.int64)
         if len(rest) < 2 * GROUPS:
             continue
         row = np.full(n_ids, -1)
         row[rest] = np.arange(len(rest))
-        near = np.zeros((len(rest), 128))
-        for shift, lo in ((1, 0), (-1, 64)):
-            a, b = (ids[:-1], ids[1:]) if shift == 1 else (ids[1:], ids[:-1])
-            ok = (row[a] >= 0) & (column[b] >= 0)
-            np.add.at(near, (row[a[ok]], lo + column[b[ok]]), 1)
+        near = np.zeros((len(rest), 2 * NEAR))
+        own = row[near_counts[0]] >= 0
+        near[row[near_counts[0][own]], near_counts[1][own]] = near_counts[2][own]
         near = np.sqrt(near / count[rest][:, None])
         centres = near[rng.choice(len(rest), GROUPS // 2, replace=False)]
         for _ in range(12):
@@ -240,15 +274,16 @@ def _classes(ids: np.ndarray, n_ids: int, starts_word: np.ndarray, rng: np.rando
     return of
 
 
-def learn(texts: list[bytes], vocabulary: str, steps: int = 3000, batch: int = 96, seed: int = 6) -> tuple[dict[str, np.ndarray], np.ndarray]:
-    """(network, class of each id), from a bounded list of texts."""
+def learn(texts: list[bytes], vocabulary: str, count: np.ndarray, near: tuple[np.ndarray, np.ndarray, np.ndarray], steps: int = 3000,
+          batch: int = 96, seed: int = 6) -> tuple[dict[str, np.ndarray], np.ndarray]:
+    """(network, class of each id): the classes from counts over the corpus, the network from a bounded list of texts."""
     rng = np.random.default_rng(seed)
     words = Words(vocabulary, limit=1 << 60)
     at, counts = words.of(texts)
     ids, sizes = words.subwords(at, counts)
     n_ids = words.end_id + 1
     starts_word = np.array([words.encoding.decode_single_token_bytes(i)[:1] == b" " for i in range(n_ids - 1)] + [False])
-    of = _classes(ids, n_ids, starts_word, rng)
+    of = _classes(count, near, starts_word, rng)
     n_classes = 3 + SINGLE + GROUPS
 
     def normal(*shape: int, scale: float) -> np.ndarray:
@@ -273,9 +308,97 @@ def learn(texts: list[bytes], vocabulary: str, steps: int = 3000, batch: int = 9
     return m, of
 
 
+def _epoch(texts: Iterator[list[bytes]], m: dict[str, np.ndarray], of: np.ndarray, words: Words, batch: int = 96, top_rate: float = 1e-3):
+    """(network, times each id was read, windows read) after going once through the texts."""
+    m = {k: v.copy() for k, v in m.items()}
+    first, second = ({k: np.zeros_like(v) for k, v in m.items()} for _ in range(2))
+    read, windows, t, span = np.zeros(len(of), np.int64), 0, 0, np.arange(WIDTH)
+    rng = np.random.default_rng(6)
+    for part in texts:
+        if words.table.full():
+            words.clear()
+        ids, sizes = words.subwords(*words.of(part))
+        _, begin, count = stretches(sizes, WIDTH)
+        line = np.concatenate([[words.end_id], ids])
+        read += np.bincount(line[:-1], minlength=len(of))
+        order = rng.permutation(len(begin))
+        for lo in range(0, len(order), batch):
+            own = order[lo:lo + batch]
+            weight = (span < count[own][:, None]).astype(np.float32)
+            place = np.minimum(begin[own][:, None] + span, len(ids) - 1)
+            x = line[place]
+            seen, at = np.unique(x, return_inverse=True)
+            _, g = _gradients({**m, "e": m["e"][seen]}, at.reshape(x.shape), of[ids[place]], weight)
+            t, windows = t + 1, windows + len(own)
+            rate = np.float32(top_rate * min(1, t / 30) * len(own) / batch * (1 - 0.99 ** t) ** 0.5 / (1 - 0.9 ** t))
+            for k, d in g.items():
+                rows = seen if k == "e" else slice(None)  # embeddings move where they are read
+                first[k][rows] += 0.1 * (d - first[k][rows])
+                second[k][rows] += 0.01 * (d * d - second[k][rows])
+                m[k][rows] -= rate * first[k][rows] / (np.sqrt(second[k][rows]) + np.float32(1e-8))
+    return m, read, windows
+
+
+def refined(rows: DataFrame, m: dict[str, np.ndarray], of: np.ndarray, vocabulary: str) -> dict[str, np.ndarray]:
+    """The network after each partition took it once through all of its texts: the mean of the partitions' changes.
+
+    An embedding's change is weighted by the times a partition read its id,
+    that of the other parameters by its windows.  The sums are rows of
+    ``DIM`` numbers, as many as the vocabulary and the network ask for.
+    """
+    rest = sorted(k for k in m if k != "e")
+    flat = lambda p: np.concatenate([p[k].ravel() for k in rest])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = worker_cache(("lm-counts", vocabulary), lambda: Words(vocabulary))
+        texts = (part[lo:lo + 256] for b in batches for part in [texts_of(b.column(0))] for lo in range(0, len(part), 256))
+        got, read, windows = _epoch(texts, m, of, words)
+        if windows:
+            own = np.flatnonzero(read)
+            moved = flat(got) - flat(m)
+            moved = np.concatenate([moved, np.zeros(-len(moved) % DIM, np.float32)]).reshape(-1, DIM) * windows
+            key = np.concatenate([own, len(of) + np.arange(len(moved))])
+            w = np.concatenate([read[own], np.full(len(moved), windows)])
+            d = np.concatenate([(got["e"][own] - m["e"][own]) * read[own][:, None], moved]).astype(np.float64)
+            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(w), *[pa.array(c) for c in np.ascontiguousarray(d.T)]],
+                                             names=["key", "w", *[f"d{i}" for i in range(DIM)]])
+
+    parts = rows.select(text_or_empty().alias("text")).mapInArrow(run, "key long, w long, " + ", ".join(f"d{i} double" for i in range(DIM)))
+    got = parts.groupBy("key").agg(F.sum("w").alias("w"), *[F.sum(f"d{i}").alias(f"d{i}") for i in range(DIM)]).toArrow()
+    key, w = got["key"].to_numpy(), got["w"].to_numpy()
+    mean = np.stack([got[f"d{i}"].to_numpy() for i in range(DIM)], 1) / w[:, None] if len(key) else np.zeros((0, DIM))
+    out = {k: v.astype(np.float64) for k, v in m.items()}
+    out["e"][key[key < len(of)]] += mean[key < len(of)]
+    line = np.zeros((-(-len(flat(m)) // DIM), DIM))
+    line[key[key >= len(of)] - len(of)] = mean[key >= len(of)]
+    line = line.ravel()
+    for k in rest:
+        out[k] += line[:m[k].size].reshape(m[k].shape)
+        line = line[m[k].size:]
+    return {k: v.astype(np.float32) for k, v in out.items()}
+
+
+def shares_after(of: np.ndarray, seen: np.ndarray, after: tuple[np.ndarray, np.ndarray, np.ndarray]) -> np.ndarray:
+    """Log probability within its class of each id after an id of each class, float32[classes, ids].
+
+    ``after``: class of the id before, id and count.  Of the share without
+    context, ``seen`` gives counts; it counts for ``BACK_OFF`` ids.
+    """
+    n_classes = 3 + SINGLE + GROUPS
+    alone = seen / np.bincount(of, weights=seen)[of]
+    order = np.argsort(after[0], kind="stable")
+    cut = np.searchsorted(after[0][order], np.arange(n_classes + 1))
+    out = np.empty((n_classes, len(of)), np.float32)
+    for c in range(n_classes):
+        own = order[cut[c]:cut[c + 1]]
+        n = np.bincount(after[1][own], weights=after[2][own], minlength=len(of))
+        out[c] = np.log((n + BACK_OFF * alone) / (np.bincount(of, weights=n)[of] + BACK_OFF))
+    return out
+
+
 class Scorer:
     def __init__(self, m: dict[str, np.ndarray], of: np.ndarray, share: np.ndarray):
-        """``share``: the log probability of each id within its class."""
+        """``share``: the log probability of each id within its class, or, for each class of the id before, a row of them."""
         self.m, self.of, self.share = m, of, share
         ones = np.ones((len(m["e"]), 1), np.float32)
         q, k = m["e"] @ m["wq"], m["e"] @ m["wk"]
@@ -322,7 +445,7 @@ class Scorer:
                 right = z[np.arange(len(z)), self.of[ids[at]]]
                 np.exp(z, out=z)
                 log[at] = right - np.log(z @ self.ones)
-        log += self.share[ids]
+        log += self.share[ids] if self.share.ndim == 1 else self.share[self.of[line[:-1]], ids]
         return np.add.reduceat(log, np.cumsum(sizes) - sizes) * LOG10E if len(sizes) else np.zeros(0)
 
 
@@ -345,26 +468,42 @@ def score_texts(docs: DataFrame, train, bound: int = 1000, vocabulary: str | Non
     u = F.pmod(F.xxhash64(F.lit("lm"), F.col("doc_id")), F.lit(1_000_000)) / F.lit(1_000_000)
     sample = rows.where(u < min(1.0, bound / max(n_docs, 1))).select("doc_id", text_or_empty().cast("binary").alias("text"))
 
-    def fit(t: pa.Table):
-        pairs = sorted(zip(t["doc_id"].to_pylist(), t["text"].to_pylist()), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
-        return learn([x for _, x in pairs] or [b""], path)
-
-    m, of = fitted(sample, fit)
-    n_ids = len(of)
+    n_ids = _encoding(path).n_vocab + 1
     seen = np.zeros(n_ids)
     for r in counts.where("kind = 1").select("key", "n").collect():  # at most one row for each id of the vocabulary
         seen[r["key"]] = r["n"]
     seen[-1] = n_docs
-    seen += 0.05
-    share = np.log(seen / np.bincount(of, weights=seen)[of])
+    pairs = counts.where("kind = 2").select(F.expr(f"key div {n_ids}").alias("before"), (F.col("key") % n_ids).alias("id"), "n")
+    column = columns_of(seen)
+
+    def beside(before, after, n):
+        right, left = column[after], column[before] + NEAR
+        a, b = right >= 0, left >= NEAR
+        return np.concatenate([before[a], after[b]]), np.concatenate([right[a], left[b]]), np.concatenate([n[a], n[b]])
+
+    near = pair_table(pairs, beside, ("id", "column")).toArrow()  # at most 2 * NEAR rows for each id
+    near = tuple(near[c].to_numpy() for c in ("id", "column", "n"))
+
+    def fit(t: pa.Table):
+        pairs = sorted(zip(t["doc_id"].to_pylist(), t["text"].to_pylist()), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+        return learn([x for _, x in pairs] or [b""], path, seen, near)
+
+    m, of = fitted(sample, fit)
+    m = refined(rows, m, of, path)
+    after = pair_table(pairs, lambda before, i, n: (of[before], i, n), ("class", "id"))
+    after = after.groupBy("class", "id").agg(F.sum("n").alias("n")).toArrow()  # at most one row for each id and class
+    share = shares_after(of, seen + 0.05, tuple(after[c].to_numpy() for c in ("class", "id", "n")))
+    del near, after
     top = words.orderBy(F.desc("n"), "key").limit(head).collect()  # a bounded table
     head_key = np.array([r["key"] for r in top], np.int64)
     head_n = np.array([r["n"] for r in top], np.int64)[np.argsort(head_key)]
     head_key = np.sort(head_key)
     mark = float(m["e"].sum()) + float(share.sum())
+    shares = docs.sparkSession.sparkContext.broadcast(share)  # a worker reads it once, not with each task
+    del share
 
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
-        scorer, table = worker_cache(("lm", mark, path), lambda: (Scorer(m, of, share), Words(path)))
+        scorer, table = worker_cache(("lm", mark, path), lambda: (Scorer(m, of, shares.value), Words(path)))
         texts = texts_of(b.column(2))
         cols: list[list] = [[] for _ in range(5)]
         tails: list[np.ndarray] = []
