@@ -164,6 +164,22 @@ def test_secret_scan(spark):
     assert got[3, ""]["base_sha256"] == got[4, ""]["base_sha256"] == hashlib.sha256(b"").hexdigest()
 
 
+def random_runs(text):
+    t = text.encode()
+    spans = secret_scan.random_spans(t, secret_scan.base_spans(t), secret_scan.default_vocabulary(), 2.0)
+    return [t[a:b].decode() for a, b, _ in spans]
+
+
+def test_secret_scan_looks_beside_addresses():
+    key = "x9Kq2LmZ7vTb4RwYp1NcVd8sEf"
+    for text in (f"postgres://user:{key[:16]}@host/db", f"a@b.com,{key}", f'{{"u":"https://a.b/c","k":"{key}"}}', f"(see www.a.b/c){key}",
+                 f"https://a.b/c?x=1&{key}", f"me@a.b:{key}", f"https://a.b/c#{key}"):
+        assert [r for r in random_runs(text) if r in (key, key[:16])], text
+    assert random_runs(f"https://h/p?sig={key}") == [f"sig={key}"]
+    for text in (f"https://a.b/{key}", f"https://a.b:8080/{key}", f"me@{key}.com", f"www.a.b/c/{key}", f"https://u:p@a.b/{key}"):
+        assert random_runs(text) == [], text
+
+
 def test_language_model(spark):
     docs = documents(spark)
     out = [r.asDict() for r in lm.score_corpus(docs, bound=200).collect()]

@@ -6,8 +6,10 @@ key-like characters with letters and digits that a public byte-pair
 vocabulary can't shorten, with few characters for each token, since natural
 words and names merge into long tokens and random strings don't.  Runs that
 are known digests (hexadecimal of a digest's length) or identifiers (UUIDs,
-numbers, dates, web addresses, words joined by punctuation) are excluded, as
-are runs that a base span overlaps.
+numbers, dates, hosts and path segments of addresses, words joined by
+punctuation) are excluded, as are runs that a base span overlaps.  User-info
+and query values of an address are tested like other runs, and so is what
+follows an address without a space (after a comma, quote or bracket).
 
 Each text is scanned whole, within one Arrow batch; there is no shuffle.
 """
@@ -36,7 +38,10 @@ UUID = re.compile(rb"[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}
 NUMBER_LIKE = re.compile(rb"[0-9+/_=-]+")
 # words, years and small numbers joined by punctuation: slugs, file names, options
 JOINED = re.compile(rb"(?:[A-Z]?[a-z]{2,}|[A-Z]{2,}|[0-9]{1,4})(?:[+/_=-]+(?:[A-Z]?[a-z]{2,}|[A-Z]{2,}|[0-9]{1,4}))*[+/_=-]*")
-PART_OF_ADDRESS = re.compile(rb"(?:://|www\.|@)\S*$")
+# what leads to a host or path segment of an address: nothing that ends an address or begins user-info or a query
+PART_OF_ADDRESS = re.compile(rb"(?:://|www\.|@)[^\s:?#@,;&|=\"'`()<>\[\]{}\\]*(?::[0-9]{1,5}/[^\s:?#@,;&|=\"'`()<>\[\]{}\\]*)?$")
+BEFORE_PORT = re.compile(rb"(?:://|www\.|@)[A-Za-z0-9._-]+:$")
+PORT = re.compile(rb"[0-9]{1,5}/")
 
 
 def default_vocabulary() -> str:
@@ -61,6 +66,15 @@ def known_identifier(run: bytes) -> bool:
             or NUMBER_LIKE.fullmatch(core) is not None or JOINED.fullmatch(core) is not None)
 
 
+def part_of_address(text: bytes, start: int, end: int) -> bool:
+    """Whether a run is a host or path segment of a web or mail address; user-info and query values are not."""
+    lo = max(0, start - 200)
+    if text[end:end + 1] == b"@":
+        return False
+    return (PART_OF_ADDRESS.search(text, lo, start) is not None
+            or PORT.match(text, start, end) is not None and BEFORE_PORT.search(text, lo, start) is not None)
+
+
 def base_spans(text: bytes) -> list[tuple[int, int, int]]:
     """(start, end, kind) in bytes; what fails a kind's length is dropped after it has been consumed."""
     out = []
@@ -80,7 +94,7 @@ def random_spans(text: bytes, base: list[tuple[int, int, int]], vocabulary: str,
             continue
         if any(s < m.end() and m.start() < e for s, e, _ in base):
             continue
-        if PART_OF_ADDRESS.search(text, max(0, m.start() - 200), m.start()):
+        if part_of_address(text, m.start(), m.end()):
             continue
         if len(run) < most_chars * len(encoding(vocabulary).encode_ordinary(run.decode("ascii"))):
             out.append((m.start(), m.end(), 3))
