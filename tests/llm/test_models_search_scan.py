@@ -180,6 +180,16 @@ def test_secret_scan_looks_beside_addresses():
         assert random_runs(text) == [], text
 
 
+def test_secret_scan_finds_keys_of_letters_alone():
+    rng = np.random.default_rng(8)
+    for letters in ("abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"):
+        keys = ["".join(rng.choice(list(letters), 24)) for _ in range(200)]
+        assert np.mean([random_runs(f"a {k} b") == [k] for k in keys]) > 0.85, letters
+    for text in ("internationalization", "getElementsByClassName", "Geschwindigkeitsbegrenzung", "some-slug-of-plain-words", "2024-01-02_2024-03-04",
+                 "README_FOR_DEVELOPERS", "path/to/the/documentation"):
+        assert random_runs(f"a {text} b") == [], text
+
+
 def test_language_model(spark):
     docs = documents(spark)
     out = [r.asDict() for r in lm.score_corpus(docs, bound=200).collect()]

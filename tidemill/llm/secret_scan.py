@@ -2,11 +2,12 @@
 
 Fixed patterns give the base spans (assignments of passwords and tokens,
 access keys, hexadecimal runs).  The method adds ``random`` spans: runs of
-key-like characters with letters and digits that a public byte-pair
-vocabulary can't shorten, with few characters for each token, since natural
-words and names merge into long tokens and random strings don't.  Runs that
+16 and more key-like characters that a public byte-pair vocabulary can't
+shorten, with few characters for each token, since natural words and names
+merge into long tokens and random strings don't.  Words of letters in one
+case, alone or joined by punctuation, need a slightly lower ratio.  Runs that
 are known digests (hexadecimal of a digest's length) or identifiers (UUIDs,
-numbers, dates, hosts and path segments of addresses, words joined by
+numbers, dates, hosts and path segments of addresses, short words joined by
 punctuation) are excluded, as are runs that a base span overlaps.  User-info
 and query values of an address are tested like other runs, and so is what
 follows an address without a space (after a comma, quote or bracket).
@@ -38,6 +39,8 @@ UUID = re.compile(rb"[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}
 NUMBER_LIKE = re.compile(rb"[0-9+/_=-]+")
 # words, years and small numbers joined by punctuation: slugs, file names, options
 JOINED = re.compile(rb"(?:[A-Z]?[a-z]{2,}|[A-Z]{2,}|[0-9]{1,4})(?:[+/_=-]+(?:[A-Z]?[a-z]{2,}|[A-Z]{2,}|[0-9]{1,4}))*[+/_=-]*")
+LONG_WORD = re.compile(rb"[A-Za-z]{16,}")
+STRICTER = 0.95  # of the ratio, for words of letters alone
 # what leads to a host or path segment of an address: nothing that ends an address or begins user-info or a query
 PART_OF_ADDRESS = re.compile(rb"(?:://|www\.|@)[^\s:?#@,;&|=\"'`()<>\[\]{}\\]*(?::[0-9]{1,5}/[^\s:?#@,;&|=\"'`()<>\[\]{}\\]*)?$")
 BEFORE_PORT = re.compile(rb"(?:://|www\.|@)[A-Za-z0-9._-]+:$")
@@ -63,7 +66,17 @@ def encoding(path: str):
 def known_identifier(run: bytes) -> bool:
     core = run.strip(b"=/+_-")
     return (len(core) in DIGEST_LENGTHS and DIGEST.fullmatch(core) is not None or UUID.fullmatch(core) is not None
-            or NUMBER_LIKE.fullmatch(core) is not None or JOINED.fullmatch(core) is not None)
+            or NUMBER_LIKE.fullmatch(core) is not None)
+
+
+def is_random(run: bytes, vocabulary: str, most_chars: float) -> bool:
+    """Whether the vocabulary can't shorten a run; of words joined by punctuation the long ones are asked for, by a stricter ratio."""
+    if known_identifier(run):
+        return False
+    parts, most = [run], most_chars
+    if JOINED.fullmatch(run.strip(b"=/+_-")):
+        parts, most = LONG_WORD.findall(run), STRICTER * most_chars
+    return any(len(p) < most * len(encoding(vocabulary).encode_ordinary(p.decode("ascii"))) for p in parts)
 
 
 def part_of_address(text: bytes, start: int, end: int) -> bool:
@@ -90,13 +103,11 @@ def random_spans(text: bytes, base: list[tuple[int, int, int]], vocabulary: str,
     out = []
     for m in RUN.finditer(text):
         run = m[0]
-        if run.isalpha() or not any(48 <= c <= 57 for c in run) or known_identifier(run):
-            continue
         if any(s < m.end() and m.start() < e for s, e, _ in base):
             continue
         if part_of_address(text, m.start(), m.end()):
             continue
-        if len(run) < most_chars * len(encoding(vocabulary).encode_ordinary(run.decode("ascii"))):
+        if is_random(run, vocabulary, most_chars):
             out.append((m.start(), m.end(), 3))
     return out
 
