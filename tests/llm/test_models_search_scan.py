@@ -127,6 +127,24 @@ def test_forward_sums_all_segmentations():
     assert langid.word_scores([b"ab", b"ab"], keys, probs)[:, 0] == pytest.approx(np.log(want), rel=1e-5)
 
 
+def test_long_pieces_and_long_words_teach():
+    keys = langid.pieces_of(langid.default_vocabulary())
+    assert np.isin(np.uint64(langid._key(b" international")), keys)
+    few = np.sort(np.array([langid._key(k) for k in (b" ", b"a", b"b", b"abababababab")], np.uint64))
+    probs = np.zeros((5, 1))
+    for k, v in ((b" ", .1), (b"a", .2), (b"b", .3), (b"abababababab", .05)):
+        probs[np.searchsorted(few, np.uint64(langid._key(k)))] = v
+    assert langid.word_scores([b"ab" * 6], few, probs)[0, 0] == pytest.approx(np.log(.1 * (.06 ** 6 + .05)), rel=1e-5)
+    got = langid.expect(langid.lattice([b"ab" * 6], few), probs[:, 0], np.ones(1))
+    share = .05 / (.06 ** 6 + .05)
+    assert got[np.searchsorted(few, np.uint64(langid._key(b"abababababab")))] == pytest.approx(share)
+    assert np.isfinite(langid.expect(langid.lattice([b"ab" * 2000], few), probs[:, 0], np.ones(1))).all()
+    one, two = ("".join(chr(c + 0x4E00 + i % 40) for i in range(200)).encode() for c in (0, 100))  # unspaced, 600 bytes
+    names, learned = langid.learn([one, two], ["one", "two"], langid.default_vocabulary())
+    total = langid.word_scores([one, two], keys, learned)
+    assert total.argmax(axis=1).tolist() == [0, 1] and abs(total[0, 0] - total[0, 1]) > 5
+
+
 def test_nearest_equals_brute_force(spark):
     rng = np.random.default_rng(5)
     x = rng.standard_normal((700, 32)).astype(np.float32)

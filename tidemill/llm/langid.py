@@ -7,9 +7,10 @@ over its words.  The piece probabilities are learned by expectation
 maximisation over all segmentations, on a bounded number of labelled texts
 for each language (``bound``).
 
-Words are the letters between ASCII non-letters, lower-cased.  Pieces of up
-to 8 bytes take part, so that a piece is one integer.  Each Python worker
-remembers the scores of a bounded number of words.
+Words are the letters between ASCII non-letters, lower-cased.  All pieces of
+the vocabulary take part, by a 64-bit hash that runs along a word, and words
+of any length teach.  Each Python worker remembers the scores of a bounded
+number of words.
 """
 
 from __future__ import annotations
@@ -25,7 +26,8 @@ from pyspark.sql import types as T
 
 from tidemill.llm.shared import WordTable, fitted, fold, map_batches, text_or_empty, texts_of, worker_cache
 
-PIECE_BYTES = 8
+PIECE_BYTES = 32  # the longest piece of the vocabulary has 25
+BASE, STEP = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95  # odd multipliers of the hash
 UNDETERMINED = "und"
 # other ASCII characters become blanks, A-Z become a-z
 LETTERS = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -39,21 +41,24 @@ def default_vocabulary() -> str:
 
 @lru_cache(maxsize=1)
 def pieces_of(path: str) -> np.ndarray:
-    """The vocabulary's pieces as sorted big-endian integers with the length in front, and single bytes for the rest."""
+    """The vocabulary's pieces as sorted hashes, and single bytes for the rest."""
     import sentencepiece
     sp = sentencepiece.SentencePieceProcessor(model_file=path)
     keys = set()
     for i in range(sp.get_piece_size()):
         if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i)):
-            p = sp.id_to_piece(i).replace("▁", " ").lower().encode()
-            if len(p) <= PIECE_BYTES:
-                keys.add(p)
+            keys.add(sp.id_to_piece(i).replace("▁", " ").lower().encode())
+    if max(map(len, keys)) > PIECE_BYTES:
+        raise ValueError(f"the vocabulary has pieces over {PIECE_BYTES} bytes")
     keys |= {bytes([b]) for b in range(256)}
     return np.sort(np.array([_key(k) for k in keys], np.uint64))
 
 
 def _key(piece: bytes) -> int:
-    return (int.from_bytes(piece, "big") * 9 + len(piece)) % (1 << 64)
+    value = 0
+    for c in piece:
+        value = value * BASE + c + 1
+    return (value * STEP + len(piece)) % (1 << 64)
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -67,23 +72,21 @@ def has_letter(text: bytes) -> bool:
 
 
 def lattice(words: list[bytes], keys: np.ndarray) -> np.ndarray:
-    """Piece number (or -1) for each word, end position and piece length: int32[words, bytes + 1, 8].
+    """Piece number (or -1) for each word, end position and piece length: int32[words, bytes + 1, longest piece].
 
     All words have the same number of bytes.
     """
     n, size = len(words), len(words[0]) + 1
-    chars = np.frombuffer(b"".join(b" " + w for w in words), np.uint8).reshape(n, size).astype(np.uint64)
-    out = np.full((n, size, PIECE_BYTES), -1, np.int32)
-    value = np.zeros((n, size), np.uint64)
-    for k in range(1, min(PIECE_BYTES, size) + 1):
-        # value[:, j]: the k bytes that end at j
-        if k == 1:
-            value = chars.copy()
-        else:
-            shifted = np.zeros_like(value)
-            shifted[:, k - 1:] = value[:, k - 1:] | (chars[:, :size - k + 1] << np.uint64(8 * (k - 1)))
-            value = shifted
-        want = value[:, k - 1:] * np.uint64(9) + np.uint64(k)
+    chars = np.frombuffer(b"".join(b" " + w for w in words), np.uint8).reshape(n, size).astype(np.uint64) + np.uint64(1)
+    longest = min(PIECE_BYTES, size)
+    out = np.full((n, size, longest), -1, np.int32)
+    value = chars.copy()
+    for k in range(1, longest + 1):
+        # value[:, j]: the hash of the k bytes that end at j
+        if k > 1:
+            power = np.uint64(pow(BASE, k - 1, 1 << 64))
+            value[:, k - 1:] += chars[:, :size - k + 1] * power
+        want = value[:, k - 1:] * np.uint64(STEP) + np.uint64(k)
         at = np.searchsorted(keys, want)
         at[at == len(keys)] = 0
         out[:, k - 1:, k - 1] = np.where(keys[at] == want, at, -1)
@@ -95,16 +98,20 @@ def forward(grid: np.ndarray, probs: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
     ``probs`` has one more row, of zeros, which -1 reads.
     """
-    n, size, _ = grid.shape
+    n, size, longest = grid.shape
     langs = probs.shape[1]
     alpha = np.zeros((size + 1, n, langs))
     alpha[0] = 1
     log = np.zeros((n, langs))
     for j in range(1, size + 1):
-        for k in range(1, min(PIECE_BYTES, j) + 1):
-            alpha[j] += alpha[j - k] * probs[grid[:, j - 1, k - 1]]
-        if j % 16 == 0 and j < size:
-            lo = max(0, j - PIECE_BYTES + 1)
+        for k in range(1, min(longest, j) + 1):
+            g = grid[:, j - 1, k - 1]
+            if k <= 8:
+                alpha[j] += alpha[j - k] * probs[g]
+            elif len(own := np.flatnonzero(g >= 0)):  # long pieces are rare
+                alpha[j, own] += alpha[j - k, own] * probs[g[own]]
+        if j % 4 == 0 and j < size:
+            lo = max(0, j - longest + 1)
             top = alpha[lo:j + 1].max(axis=0)
             alpha[lo:j + 1] /= top
             log += np.log(top)
@@ -125,8 +132,31 @@ def word_scores(words: list[bytes], keys: np.ndarray, probs: np.ndarray) -> np.n
     return out
 
 
-def learn(texts: list[bytes], langs: list[str], vocabulary: str, rounds: int = 3, longest: int = 32) -> tuple[list[str], np.ndarray]:
-    """(languages by code point, probabilities[piece + 1, language]); words over ``longest`` bytes don't teach."""
+def expect(grid: np.ndarray, p: np.ndarray, times: np.ndarray) -> np.ndarray:
+    """Expected number of each piece over all segmentations; forward and backward passes in logarithms, for words of any length."""
+    n, size, longest = grid.shape
+    begin = np.full_like(grid, -1)  # pieces by where they begin
+    for k in range(1, longest + 1):
+        begin[:, :size - k + 1, k - 1] = grid[:, k - 1:, k - 1]
+    a, z = np.zeros((size + 1, n)), np.zeros((size + 1, n))
+    for j in range(1, size + 1):
+        m = min(longest, j)
+        a[j] = a[j - 1] + np.log((np.exp(a[j - m:j][::-1] - a[j - 1]) * p[grid[:, j - 1, :m]].T).sum(axis=0))
+    for j in range(size - 1, -1, -1):
+        m = min(longest, size - j)
+        z[j] = z[j + 1] + np.log((np.exp(z[j + 1:j + m + 1] - z[j + 1]) * p[begin[:, j, :m]].T).sum(axis=0))
+    out = np.zeros(len(p))
+    for k in range(1, longest + 1):
+        g = begin[:, :size - k + 1, k - 1].T
+        own = np.flatnonzero(g.ravel() >= 0)
+        piece = g.ravel()[own]
+        part = np.exp((a[:size - k + 1] + z[k:] - a[size]).ravel()[own]) * p[piece] * times[own % n]
+        out += np.bincount(piece, weights=part, minlength=len(p))
+    return out
+
+
+def learn(texts: list[bytes], langs: list[str], vocabulary: str, rounds: int = 3) -> tuple[list[str], np.ndarray]:
+    """(languages by code point, probabilities[piece + 1, language])."""
     keys = pieces_of(vocabulary)
     names = sorted(set(langs))
     probs = np.zeros((len(keys) + 1, len(names)))
@@ -135,8 +165,7 @@ def learn(texts: list[bytes], langs: list[str], vocabulary: str, rounds: int = 3
         for t, g in zip(texts, langs):
             if g == name:
                 for w in words_of(t):
-                    if len(w) <= longest:
-                        counts[w] = counts.get(w, 0) + 1
+                    counts[w] = counts.get(w, 0) + 1
         groups: dict[int, list[bytes]] = {}
         for w in sorted(counts):
             groups.setdefault(len(w), []).append(w)
@@ -146,21 +175,7 @@ def learn(texts: list[bytes], langs: list[str], vocabulary: str, rounds: int = 3
         for _ in range(rounds):
             expected = np.full(len(keys) + 1, 0.01)
             for grid, times in grids:
-                n, size, _ = grid.shape
-                a = np.zeros((size + 1, n))
-                z = np.zeros((size + 1, n))
-                a[0], z[size] = 1, 1
-                for j in range(1, size + 1):
-                    for k in range(1, min(PIECE_BYTES, j) + 1):
-                        a[j] += a[j - k] * p[grid[:, j - 1, k - 1]]
-                for j in range(size, 0, -1):
-                    for k in range(1, min(PIECE_BYTES, j) + 1):
-                        z[j - k] += z[j] * p[grid[:, j - 1, k - 1]]
-                scale = times / np.maximum(a[size], 1e-300)
-                for j in range(1, size + 1):
-                    for k in range(1, min(PIECE_BYTES, j) + 1):
-                        g = grid[:, j - 1, k - 1]
-                        np.add.at(expected, g, a[j - k] * p[g] * z[j] * scale)
+                expected += expect(grid, p, times)
             expected[-1] = 0
             p = expected / expected.sum()
         probs[:, col] = p
