@@ -103,13 +103,15 @@ def forward(grid: np.ndarray, probs: np.ndarray) -> tuple[np.ndarray, np.ndarray
     alpha = np.zeros((size + 1, n, langs))
     alpha[0] = 1
     log = np.zeros((n, langs))
+    long: list[list[int]] = [[] for _ in range(size)]  # pieces over 8 bytes are rare: their lengths by end
+    for j, k in np.argwhere((grid[:, :, 8:] >= 0).any(axis=0)).tolist():
+        long[j].append(k + 9)
     for j in range(1, size + 1):
-        for k in range(1, min(longest, j) + 1):
-            g = grid[:, j - 1, k - 1]
-            if k <= 8:
-                alpha[j] += alpha[j - k] * probs[g]
-            elif len(own := np.flatnonzero(g >= 0)):  # long pieces are rare
-                alpha[j, own] += alpha[j - k, own] * probs[g[own]]
+        for k in range(1, min(8, longest, j) + 1):
+            alpha[j] += alpha[j - k] * probs[grid[:, j - 1, k - 1]]
+        for k in long[j - 1]:
+            own = np.flatnonzero(grid[:, j - 1, k - 1] >= 0)
+            alpha[j, own] += alpha[j - k, own] * probs[grid[own, j - 1, k - 1]]
         if j % 4 == 0 and j < size:
             lo = max(0, j - longest + 1)
             top = alpha[lo:j + 1].max(axis=0)
