@@ -4,7 +4,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from conftest import DATA, rows
+from common import DATA, rows
 from tidemill.operators import aggregates as A
 from tidemill.operators import joins as J
 from tidemill.operators import ordering as O

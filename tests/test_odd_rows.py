@@ -7,7 +7,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from conftest import rows
+from common import rows
 from tidemill import session
 from tidemill.functions import scalar as S
 from tidemill.operators import aggregates as A

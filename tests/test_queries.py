@@ -8,7 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
+from common import SF_SMALL
 from tidemill.sources.tables import TABLES
 
 QUERIES = E.queries()

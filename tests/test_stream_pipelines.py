@@ -6,7 +6,7 @@ import os
 from pyspark.sql import functions as F
 
 import stream_tools as TT
-from conftest import SF_SMALL, rows
+from common import SF_SMALL, rows
 from tidemill.operators import joins as J
 from tidemill.operators import patterns as P
 from tidemill.plans import q_named as N

@@ -6,7 +6,7 @@ import os
 from pyspark.sql import functions as F
 
 import stream_tools as TT
-from conftest import DATA, SF_SMALL, rows
+from common import DATA, SF_SMALL, rows
 from tidemill.operators import patterns as P
 from tidemill.operators import windows as W
 from tidemill.sources import formats as FMT

@@ -2,7 +2,7 @@
 
 import pandas as pd
 
-from conftest import rows
+from common import rows
 from tidemill.operators import aggregates as A
 from tidemill.operators import ordering as O
 from tidemill.sources import formats as FMT
