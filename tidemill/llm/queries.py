@@ -6,13 +6,15 @@ table and returns the digest columns.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidemill.llm import ann, exact_dedup, langid, lm, minhash, mixing, packing, quality, secret_scan, toxicity
+from tidemill.llm import (ann, exact_dedup, langid, lexical, lm, minhash, mixing, packing, periodic_runs, quality, secret_scan, toxicity,
+                          warc)
 from tidemill.llm.shared import load_docs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,6 +86,34 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(load_docs(spark, sf_dir))
 
 
+@_register("op11_lexical", lexical.ORACLE_SQL)
+def op11_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
+    return lexical.search(lexical.build_index(load_docs(spark, sf_dir)), items)
+
+
+@_register("op12_warc", warc.ORACLE_SQL)
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir.rstrip('/')}/pages.parquet")
+    return warc.round_trip(pages).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def _repeat_tail(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """In one document of ten, by checksum of the id (null: of the empty text), the words from ``a`` on repeat with period ``p``."""
+    h, n = zlib.crc32(b"" if doc_id is None else b"%d" % doc_id), len(words)
+    if h % 10 or not n:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + i % p] for i in range(n - a)]
+
+
+@_register("op13_periodic_runs")
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.digests(periodic_runs.periodic_runs(load_docs(spark, sf_dir), rewrite=_repeat_tail))
+
+
 @_register("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
