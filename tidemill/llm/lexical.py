@@ -42,7 +42,7 @@ from tidemill.llm.shared import WordTable, map_batches, saved, text_or_empty, te
 
 BLOCK = 128
 WINDOW = 1024
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 8 << 20
 SHARD_DOCS = 1 << 15
 QUERY_BLOCK = 256
 #: ASCII letters are lowered and kept, as are digits and all bytes of other characters; the rest are blanks.
@@ -265,8 +265,9 @@ def search(index: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "ite
     by_block = terms.withColumn("block", F.pmod(F.xxhash64("item"), F.lit(blocks)).cast("int"))
     wanted = by_block.groupBy("term", "block").agg(F.collect_list("item").alias("items"))  # a block's items at most
     lists = index.where("term is not null")
-    known = lists.select("term", "df").join(terms.select("term").distinct(), "term").groupBy("term").agg(F.sum("df").alias("corpus_df"))
-    wanted = wanted.join(known, "term")
+    known = lists.select("term", "df").join(terms.select("term"), "term", "left_semi").groupBy("term").agg(F.sum("df").alias("corpus_df"))
+    # saved, so that Spark knows its size: a small one is broadcast, and the index then isn't shuffled to find its lists
+    wanted = saved(wanted.join(known, "term"), "query-lists")
     found = lists.join(wanted, "term").select("shard", "block", "items", "corpus_df", "firsts", "lasts", "most", "shortest", "ends", "packed",
                                               F.lit(None).cast("array<long>").alias("doc_ids"), F.lit(None).cast("array<long>").alias("lengths"))
     heads = index.where("doc_ids is not null").withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
