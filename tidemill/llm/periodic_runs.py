@@ -97,7 +97,7 @@ def _progressions(at: np.ndarray, period: np.ndarray, b: int, least: int, times:
     yield from zip(at[first[fits]].tolist(), period[first[fits]].tolist(), count[fits].tolist())
 
 
-def _documents(ids: list, texts: list[bytes], rewrite) -> Iterator[tuple[list[list[bytes]], int]]:
+def _documents(ids: list, texts: list[bytes], rewrite) -> Iterator[list[list[bytes]]]:
     """Documents' words, as many documents at a time as ``CHUNK`` words allow."""
     held, size = [], 0
     for d, t in zip(ids, texts):

@@ -42,6 +42,8 @@ from tidemill.session import checkpoint_dir
 LINES = 1000
 PER_FILE = 200_000
 ARCHIVE_BYTES = 256 << 20
+#: compressed bytes that one task reads back
+READ_BYTES = 16 << 20
 SALT = 16
 STAMP = "2026-01-01T00:00:00Z"
 SAME_PAYLOAD = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -304,7 +306,9 @@ def lookup(directory: DataFrame, folder: str, urls: DataFrame, url_col: str = "u
         return pa.Table.from_batches([_batch(rows, CAPTURE)])
 
     routed = map_batches(keys, route, "file string, key binary")
-    return directory.groupBy("file").cogroup(routed.groupBy("file")).applyInArrow(find, CAPTURE)
+    # a stated number of partitions: rows are small, but each stands for a file or a block to read
+    return (directory.repartition(len(tops), "file").groupBy("file")
+            .cogroup(routed.repartition(len(tops), "file").groupBy("file")).applyInArrow(find, CAPTURE))
 
 
 def read_records(captures: DataFrame, folder: str, payloads: bool = True) -> DataFrame:
@@ -337,8 +341,10 @@ def read_records(captures: DataFrame, folder: str, payloads: bool = True) -> Dat
             rows, size = [], 0
         if f is not None:
             f.close()
+    places = saved(captures.select("file", "offset", "length"), "places")
+    parts = max(1, -(-int(places.agg(F.sum("length")).first()[0] or 0) // READ_BYTES))
     order = ("file", "offset")
-    return captures.select("file", "offset", "length").repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(run, schema)
+    return places.repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInArrow(run, schema)
 
 
 def read_record(member: bytes) -> tuple:
