@@ -64,3 +64,22 @@ def collect_stream(stream: DataFrame, name: str, checkpoint: str, output_mode: s
     finally:
         q.stop()
     return stream.sparkSession.table(name)
+
+
+def run_until(stream: DataFrame, name: str, checkpoint: str, done, output_mode: str = "append", max_wait_s: float = 90.0):
+    """Run on the default trigger into a memory table until ``done(rows)`` holds, then stop; returns the rows and the
+    progress reports.  For queries with processing-time timers, which never run out of batches."""
+    q = (stream.writeStream.outputMode(output_mode).format("memory").queryName(name)
+         .option("checkpointLocation", checkpoint).start())
+    deadline = time.time() + max_wait_s
+    try:
+        while time.time() < deadline:
+            if q.exception():
+                raise q.exception()
+            got = stream.sparkSession.table(name).collect()
+            if done(got):
+                return got, list(q.recentProgress)
+            time.sleep(0.3)
+    finally:
+        q.stop()
+    raise TimeoutError(f"stream {name}: {got}")
