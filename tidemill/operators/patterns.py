@@ -106,26 +106,31 @@ def strict_sequence_unkeyed(df: DataFrame, ts: str, tiebreak: str, cond: Column,
 def running_total_bucketed(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str, value: str | None = None,
                            bucket_s: int = 86400, out: str = "running_total") -> DataFrame:
     """J01, K04 at scale: running count (``value=None``) or sum per key in
-    (ts, tiebreak) order, computed per (key, time bucket).
+    (ts, tiebreak) order, computed per (key, time bucket)."""
+    return running_totals(df, keys, ts, tiebreak, {out: F.col(value) if value else F.lit(1).cast("long")}, bucket_s)
 
-    Totals per (key, bucket) give each bucket's starting offset (a running
-    sum over one row per bucket), and the window inside a bucket adds the
+
+def running_totals(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str, values: dict[str, Column],
+                   bucket_s: int = 86400) -> DataFrame:
+    """Running sums of several expressions at once, each as the column it is
+    named for, per key in (ts, tiebreak) order.
+
+    Totals per (key, bucket) give each bucket's starting offsets (running
+    sums over one row per bucket), and the window inside a bucket adds the
     rows so far.  A hot key is split into its buckets instead of being
     sorted by one task.  The join to the offsets is null-safe: rows with a
     null key are a key of their own and rows without a time come first in
     their key, as in the plain window.
     """
     keys = list(keys)
-    v = F.col(value) if value else F.lit(1).cast("long")
     b = df.withColumn("_b", F.floor(epoch_seconds(ts) / F.lit(bucket_s)))
-    per = b.groupBy(*keys, "_b").agg(F.sum(v).alias("_bs"))
+    per = b.groupBy(*keys, "_b").agg(*[F.sum(v).alias(f"_s_{o}") for o, v in values.items()])
     before = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per.select(*[F.col(k).alias(f"_o_{k}") for k in [*keys, "_b"]], F.sum("_bs").over(before).alias("_off"))
+    offsets = per.select(*[F.col(k).alias(f"_o_{k}") for k in [*keys, "_b"]], *[F.sum(f"_s_{o}").over(before).alias(f"_off_{o}") for o in values])
     inside = Window.partitionBy(*keys, "_b").orderBy(ts, tiebreak).rowsBetween(Window.unboundedPreceding, 0)
-    run = b.withColumn("_in", F.sum(v).over(inside))
+    run = b.withColumns({f"_in_{o}": F.sum(v).over(inside) for o, v in values.items()})
     same = F.lit(True)
     for k in [*keys, "_b"]:
         same = same & F.col(k).eqNullSafe(F.col(f"_o_{k}"))
-    joined = run.join(offsets, same)
-    total = F.coalesce(F.col("_off"), F.lit(0)) + F.col("_in")
-    return joined.withColumn(out, total).drop("_b", "_in", "_off", *[f"_o_{k}" for k in [*keys, "_b"]])
+    joined = run.join(offsets, same).withColumns({o: F.coalesce(F.col(f"_off_{o}"), F.lit(0)) + F.col(f"_in_{o}") for o in values})
+    return joined.drop("_b", *[f"_o_{k}" for k in [*keys, "_b"]], *[f"{p}_{o}" for o in values for p in ("_in", "_off")])

@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemill.functions.scalar import magnitude_bucket
+
 
 def sample(df: DataFrame, fraction: float, with_replacement: bool = False, seed: int | None = None) -> DataFrame:
     """Bernoulli (or Poisson with replacement) sample, per partition."""
@@ -80,3 +82,12 @@ def custom_partition(df: DataFrame, key: Column, n: int, bucket_col: str = "buck
     of a bucket share one partition (which partition is the hash's choice,
     as DataFrames have no user partitioner)."""
     return df.withColumn(bucket_col, bucket_of(key, n)).repartition(n, bucket_col)
+
+
+def magnitude_partition(df: DataFrame, value: Column, n: int, bucket_col: str = "bucket") -> DataFrame:
+    """I07 by magnitude: values below 10 to bucket 0, below 100 to 1, and so
+    on, the largest to ``n - 1`` (nulls to 0).  The exchange is on the bucket
+    and a spread within it, so a bucket most values fall in is no one task's."""
+    bucket = F.when(value.isNull(), 0).otherwise(magnitude_bucket(value, n)).cast("int")
+    spread = F.pmod(F.xxhash64(value), F.lit(n))
+    return df.withColumn(bucket_col, bucket).withColumn("_spread", spread).repartition(bucket_col, "_spread").drop("_spread")

@@ -70,7 +70,9 @@ def sliding_counts(df: DataFrame, ts: str, size_s: int, slide_s: int, keys=None,
     in time blocks of ``size_s`` by their start.  A slice goes to the two
     blocks whose windows can hold it, and is copied into windows only there:
     the exchange carries two copies of a slice at most, whatever ``size /
-    slide`` is, and a rank per (``block``, ``window_start``) needs no other.
+    slide`` is.  It is on the block and the keys, so a block's items are
+    spread over the tasks; a top-N per window keeps N rows a task and window
+    (``WindowGroupLimit``) before it shuffles them.
     """
     keys = _cols(keys)
     sec = epoch_seconds(ts)
@@ -88,7 +90,7 @@ def sliding_counts(df: DataFrame, ts: str, size_s: int, slide_s: int, keys=None,
     if by_block:
         first, last = _block_window_starts(size_s, slide_s)
         win = (_in_blocks(slices, size_s).withColumn("_first", first).withColumn("_last", last).filter("_first <= _last")
-               .repartition(_spread(df), "block").withColumn("window_start", F.explode(F.sequence("_first", "_last", F.lit(slide_s).cast("long")))))
+               .repartition(_spread(df), "block", *keys).withColumn("window_start", F.explode(F.sequence("_first", "_last", F.lit(slide_s).cast("long")))))
         grouped = win.groupBy("block", "window_start", *keys)
     else:
         win = slices.withColumn("window_start", F.explode(window_starts(F.col("_slice"), size_s, slide_s)))
@@ -140,6 +142,39 @@ def session_agg(df: DataFrame, ts: str, gap_s: int, keys, aggs: Sequence[Column]
                .drop("_sw"))
 
 
+def session_counts_by_block(df: DataFrame, ts: str, gap_s: int, keys, block_s: int = 86400, value: str | None = None) -> DataFrame:
+    """Sessions (J07) without one task a key: count and, with ``value``, sum.
+
+    Rows are cut into stretches per (key, time block), so a key's rows are
+    spread over its blocks.  Only the first and the last stretch of a block
+    can go on in another block; those, at most two a block and key, are
+    chained per key.  Times are compared in microseconds, and rows exactly
+    ``gap_s`` apart share a session, as in ``session_window``; rows without
+    a time take no part.  Returns the keys, ``cnt`` (and ``total``), and the
+    session's bounds in epoch seconds as ``session_agg`` does.
+    """
+    keys, gap = _cols(keys), gap_s * 1_000_000
+    us = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col(ts).cast("timestamp_ntz"))
+    rows = df.where(F.col(ts).isNotNull()).select(*keys, us.alias("_t"), *([F.col(value).alias("_v")] if value else []))
+    rows = rows.withColumn("_block", F.floor(F.col("_t") / F.lit(block_s * 1_000_000)))
+    inside = Window.partitionBy(*keys, "_block").orderBy("_t")
+    new = F.when(F.col("_t") - F.lag("_t").over(inside) <= gap, 0).otherwise(1)
+    rows = rows.withColumn("_new", new).withColumn("_no", F.sum("_new").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
+    sums = [F.sum("_v").alias("total")] if value else []
+    parts = rows.groupBy(*keys, "_block", "_no").agg(F.min("_t").alias("_lo"), F.max("_t").alias("_hi"), F.count(F.lit(1)).alias("cnt"), *sums)
+    parts = parts.withColumn("_last", F.max("_no").over(Window.partitionBy(*keys, "_block")))
+    at_edge = (F.col("_no") == 1) | (F.col("_no") == F.col("_last"))
+    chain = Window.partitionBy(*keys).orderBy("_lo")
+    edges = parts.where(at_edge).withColumn("_new", F.when(F.col("_lo") - F.lag("_hi").over(chain) <= gap, 0).otherwise(1))
+    edges = edges.withColumn("_sid", F.sum("_new").over(chain.rowsBetween(Window.unboundedPreceding, 0)))
+    add = [F.sum("cnt").alias("cnt"), *([F.sum("total").alias("total")] if value else [])]
+    joined = edges.groupBy(*keys, "_sid").agg(F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi"), *add)
+    cols = [*keys, "_lo", "_hi", "cnt", *(["total"] if value else [])]
+    out = joined.select(*cols).unionByName(parts.where(~at_edge).select(*cols))
+    return (out.withColumn("session_start", F.floor(F.col("_lo") / 1_000_000)).withColumn("session_end", F.floor((F.col("_hi") + gap) / 1_000_000))
+               .drop("_lo", "_hi"))
+
+
 def _positions(df: DataFrame, keys: list[str], order: Sequence[str], out: str,
                time_bucket_s: int | None) -> DataFrame:
     """1-based position of each row in its key's order.  With
@@ -173,10 +208,8 @@ def accumulating_count_trigger(df: DataFrame, keys, order: Sequence[str], n: int
     row of a key, the total of all rows so far."""
     keys = _cols(keys)
     if time_bucket_s:
-        from tidemill.operators.patterns import running_total_bucketed
-        both = running_total_bucketed(df, keys, order[0], order[1], bucket_s=time_bucket_s, out="seq")
-        both = running_total_bucketed(both, keys, order[0], order[1], value=value, bucket_s=time_bucket_s,
-                                      out="total")
+        from tidemill.operators.patterns import running_totals
+        both = running_totals(df, keys, order[0], order[1], {"seq": F.lit(1).cast("long"), "total": F.col(value)}, time_bucket_s)
         return both.withColumn("seq", F.col("seq").cast("int")).filter(F.col("seq") % n == 0)
     w = Window.partitionBy(*keys).orderBy(*order)
     running = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)

@@ -414,3 +414,13 @@ SELECT CAST(l_orderkey % 7 AS INTEGER) AS bucket, count(*) AS cnt FROM lineitem
 def i07_custom_partitioner(spark, sf):
     li = SM.custom_partition(load(spark, sf, "lineitem").select("l_orderkey"), F.col("l_orderkey"), 7)
     return li.groupBy("bucket").agg(F.count(F.lit(1)).alias("cnt"))
+
+
+@query("i07_magnitude_partitioner", "I07 H10", oracle="""
+SELECT CAST(CASE WHEN o_totalprice < 10 THEN 0 WHEN o_totalprice < 100 THEN 1 WHEN o_totalprice < 1000 THEN 2
+                 WHEN o_totalprice < 10000 THEN 3 WHEN o_totalprice < 100000 THEN 4 ELSE 5 END AS INTEGER) AS bucket,
+       count(*) AS cnt, min(o_totalprice) AS lo, max(o_totalprice) AS hi FROM orders GROUP BY 1
+""")
+def i07_magnitude_partitioner(spark, sf):
+    o = SM.magnitude_partition(load(spark, sf, "orders").select("o_totalprice"), F.col("o_totalprice"), 6)
+    return o.groupBy("bucket").agg(F.count(F.lit(1)).alias("cnt"), F.min("o_totalprice").alias("lo"), F.max("o_totalprice").alias("hi"))

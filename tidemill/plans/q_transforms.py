@@ -33,6 +33,22 @@ def a05_json_props(spark, sf):
     return ev.select("event_id", S.parse_json(F.col("props"), "k long").getField("k").alias("k"))
 
 
+@query("a05_inferred_json", "A05", oracle=f"""
+SELECT event_id, {K_SQL} AS k, CASE WHEN event_type = 'purchase' THEN value END AS price,
+       CASE WHEN event_type IN ('click', 'view') THEN user_id END AS "user" FROM events
+""")
+def a05_inferred_json(spark, sf):
+    """Records of differing fields, read through the schema of the whole
+    batch: purchases carry a price, clicks and views a user."""
+    k = F.get_json_object("props", "$.k").cast("long").alias("k")
+    kind = F.col("event_type")
+    line = F.when(kind == "purchase", F.to_json(F.struct(k, F.col("value").alias("price")))).when(
+        kind.isin("click", "view"), F.to_json(F.struct(k, F.col("user_id").alias("user")))).otherwise(F.col("props"))
+    out = FMT.read_json_lines(load(spark, sf, "events").select("event_id", line.alias("value")), keep=["event_id"])
+    return out.select("event_id", F.col("k").cast("long").alias("k"), F.col("price").cast("double").alias("price"),
+                      F.col("user").cast("long").alias("user"))
+
+
 @query("a11_kafka_payload", "A11 H05", oracle="""
 SELECT CAST(event_id AS VARCHAR) AS key,
        to_json(struct_pack(event_id := event_id, user_id := user_id, event_type := event_type)) AS value

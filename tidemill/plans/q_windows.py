@@ -96,7 +96,7 @@ FROM s GROUP BY user_id, sid
 def j07_session_window(spark, sf):
     """Sessions per user closing after 1 h without events."""
     ev = load(spark, sf, "events")
-    return W.session_agg(ev, "ts", 3600, ["user_id"])
+    return W.session_counts_by_block(ev, "ts", 3600, ["user_id"])
 
 
 @query("j09_count_window", "J09", oracle="""

@@ -64,12 +64,37 @@ def parse_json_lines(lines: DataFrame, schema: StructType | str, col: str = "val
     return lines.select(F.from_json(F.col(col), schema).alias("r")).select("r.*")
 
 
+def infer_json_schema(lines: DataFrame, col: str = "value") -> str | None:
+    """The schema that fits every record of ``lines``, as DDL, or None if no line is a JSON object.
+
+    All rows take part: each becomes a variant and one aggregate, with
+    partial merging, unites their types (a field that some records lack is
+    there; fields of differing types become a common or a variant one).
+    Lines that are no JSON are passed over.
+    """
+    doc = F.try_parse_json(F.col(col))
+    found = lines.select(doc.alias("v")).where(F.schema_of_variant(F.col("v")).startswith("OBJECT")).agg(
+        F.count(F.lit(1)).alias("n"), F.schema_of_variant_agg("v").alias("ddl")).first()
+    return found["ddl"].replace("OBJECT<", "STRUCT<") if found["n"] else None
+
+
+def read_json_lines(lines: DataFrame, col: str = "value", keep: Sequence[str] = ()) -> DataFrame:
+    """Records read through the schema of the whole batch: ``keep``, then one column for each field.
+
+    A line that is no JSON object gives nulls.  Without any object only
+    ``keep`` is left.
+    """
+    ddl = infer_json_schema(lines, col)
+    if ddl is None:
+        return lines.select(*keep)
+    return lines.select(*keep, F.from_json(F.col(col), ddl).alias("_r")).select(*keep, "_r.*")
+
+
 def read_json(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
-    """JSON lines file; schema inferred only when none is given."""
-    r = spark.read
-    if schema is not None:
-        r = r.schema(schema)
-    return r.json(path)
+    """JSON lines file; the schema is inferred from all lines only when none is given."""
+    if schema is None:
+        return read_json_lines(spark.read.text(path))
+    return spark.read.schema(schema).json(path)
 
 
 def kafka_payload(df: DataFrame, key: str, value_cols: Sequence[str]) -> DataFrame:
