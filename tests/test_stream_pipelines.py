@@ -110,6 +110,38 @@ def test_retry_loop(spark, scratch):
     assert rows(out, "batch_id", "k", "matched", "retry_count") == [(0, 1, True, 0), (1, 1, True, 0), (1, 2, True, 1), (2, 3, False, 2)]
 
 
+def test_pending_folders_of_old_batches_go(spark, scratch):
+    pending = os.path.join(scratch, "pending")
+    loop = SP.RetryLoop(lambda: spark.createDataFrame([(1,)], "k long"), ["k"], os.path.join(scratch, "out"), pending, max_retries=9)
+    sink = SK.BufferedSink(3, "k", os.path.join(scratch, "flushed"), os.path.join(scratch, "buffer"))
+    once = SK.IdempotentBatchWriter(os.path.join(scratch, "once"), os.path.join(scratch, "ledger"))
+    late = SO.LateSplitter("ts", 10, 0, os.path.join(scratch, "marks"), os.path.join(scratch, "on"), os.path.join(scratch, "late"))
+    for i in range(5):
+        loop(spark.createDataFrame([(i + 1,)], "k long"), i)
+        sink(spark.createDataFrame([(i,)], "k long"), i)
+        once(spark.createDataFrame([(i,)], "k long"), i)
+        late(spark.createDataFrame([(at(100 - i if i else 100),)], "ts timestamp"), i)
+    for name in ("pending", "buffer", "ledger", "marks"):
+        assert sorted(f for f in os.listdir(os.path.join(scratch, name)) if f.startswith("b=")) == ["b=3", "b=4"]
+    assert sorted(r["k"] for r in spark.read.parquet(os.path.join(scratch, "flushed")).collect()) == [0, 1, 2]
+    once(spark.createDataFrame([(4,)], "k long"), 4)  # replayed
+    assert spark.read.parquet(os.path.join(scratch, "once")).count() == 5
+    assert spark.read.parquet(os.path.join(scratch, "late")).count() == 4  # the largest time of all batches counts
+
+
+def test_context_join_keeps_null_keys_and_compares_microseconds(spark, scratch):
+    schema = "k long, ts timestamp, id long, side string"
+    us = lambda s, m: at(s).replace(microsecond=m)
+    batches = [[(1, us(10, 500), 100, "s"), (1, us(10, 400), 1, "c"), (1, us(10, 600), 2, "c"), (None, at(10), 3, "c"), (None, at(9), 101, "s")],
+               [(1, us(20, 0), 102, "s"), (1, us(20, 0), 103, "s"), (1, us(20, 0), 4, "c"), (1, us(15, 0), 5, "c")],
+               [(7, at(FAR), 8, "c")], [(7, at(FAR + 1), 9, "c")]]
+    src = TT.stage_rows_as_batches(spark, batches, schema, os.path.join(scratch, "src"))
+    stream = H.read_files_stream(spark, os.path.join(src, "*"), schema, max_files_per_trigger=1).withWatermark("ts", "10 seconds")
+    out = SP.context_join(stream.where("side = 'c'"), stream.where("side = 's'"), ["k"], "ts", 5, carry=["id"], payload=["id"])
+    got = TT.collect_stream(out, "t_ctx_null", os.path.join(scratch, "ck"))
+    assert sorted((r["id"], r["ctx_id"]) for r in got.where("id < 8").collect()) == [(1, None), (2, 100), (3, None), (4, 103), (5, 100)]
+
+
 def test_daily_cap_counts_late_rows_in_their_own_day(spark, scratch):
     schema = "u long, ts timestamp, id long"
     day = 86_400

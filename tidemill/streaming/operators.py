@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.functions.time import epoch_seconds
-from tidemill.streaming.sinks import read_if_there
+from tidemill.streaming.sinks import drop_batch, read_if_there
 
 
 def event_time(df: DataFrame, ts: str, delay: str = "10 seconds", out: str | None = None) -> DataFrame:
@@ -102,8 +102,8 @@ class LateSplitter:
 
     The watermark for batch b is the largest event time of batches before
     b minus ``delay_s``; it is kept in a small table under ``state_path``
-    (one row per batch id), so a restarted or replayed batch sees the same
-    watermark.  A row is late when its window end is at or before it.
+    (a row for each of the last two batch ids), so a restarted or replayed
+    batch sees the same watermark.  A row is late when its window end is at or before it.
     Both outputs are written per batch id with overwrite, so a replay
     replaces rather than duplicates.
     """
@@ -112,16 +112,14 @@ class LateSplitter:
         self.ts, self.window_s, self.delay_s = ts, window_s, delay_s
         self.state_path, self.on_time_path, self.late_path = state_path, on_time_path, late_path
 
-    def _watermark(self, spark, batch_id: int):
-        marks = read_if_there(spark, self.state_path)
-        if marks is None:
-            return None
-        row = marks.filter(F.col("batch_id") < batch_id).agg(F.max("max_sec").alias("m")).first()
-        return None if row["m"] is None else row["m"] - self.delay_s
+    def _largest_before(self, spark, batch_id: int):
+        marks = read_if_there(spark, f"{self.state_path}/b={batch_id - 1}")
+        return None if marks is None else marks.first()["max_sec"]
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        wm = self._watermark(spark, batch_id)
+        before = self._largest_before(spark, batch_id)
+        wm = None if before is None else before - self.delay_s
         sec = epoch_seconds(self.ts)
         end = sec - F.pmod(sec, F.lit(self.window_s)) + F.lit(self.window_s)
         tagged = batch.withColumn("_late", (end <= F.lit(wm)) if wm is not None else F.lit(False))
@@ -130,7 +128,8 @@ class LateSplitter:
                .parquet(f"{self.on_time_path}/batch_id={batch_id}"))
         (tagged.filter(F.col("_late")).drop("_late").write.mode("overwrite")
                .parquet(f"{self.late_path}/batch_id={batch_id}"))
-        mx = tagged.agg(F.max(sec).alias("max_sec")).first()["max_sec"]
+        mx = max((m for m in (before, tagged.agg(F.max(sec).alias("max_sec")).first()["max_sec"]) if m is not None), default=None)
         spark.createDataFrame([(batch_id, mx)], "batch_id long, max_sec long").write.mode("overwrite").parquet(
             f"{self.state_path}/b={batch_id}")
+        drop_batch(spark, f"{self.state_path}/b={batch_id - 2}")
         tagged.unpersist()

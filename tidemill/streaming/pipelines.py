@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from tidemill.functions.time import epoch_seconds
 from tidemill.operators.ranking import top_n_per_group
 from tidemill.streaming.operators import windowed_counts
-from tidemill.streaming.sinks import read_if_there, retry_round
+from tidemill.streaming.sinks import drop_batch, read_if_there, retry_round
 from tidemill.streaming.stateful import DailyCap, NewestContext, apply
 
 
@@ -60,8 +60,8 @@ def context_join(client: DataFrame, server: DataFrame, keys: Sequence[str], ts:
     before its time and at most ``max_age_s`` older, or nulls.
 
     A client row comes out once the watermark has passed its time, so
-    disorder within the watermark's delay doesn't change its context.  Rows
-    with a null key meet nothing and are not put out.
+    disorder within the watermark's delay doesn't change its context.  Client
+    rows with a null key meet nothing and come out at once, with nulls.
     """
     whole = F.lit(True)
     for k in keys:
@@ -79,7 +79,9 @@ def context_join(client: DataFrame, server: DataFrame, keys: Sequence[str], ts:
     flat = ["ctx_ts long", *[f"ctx_{c} {field[c].simpleString()}" for c in carry]]
     out_schema = ", ".join([*[f"{c} {own[c].dataType.simpleString()}" for c in payload], *flat])
     proc = NewestContext(ts, max_age_s * 1000, list(payload), list(carry), own, ctx)
-    return apply(both, keys, proc, out_schema, time_mode="EventTime")
+    met = apply(both, keys, proc, out_schema, time_mode="EventTime")
+    nothing = [F.lit(None).cast("long").alias("ctx_ts"), *[F.lit(None).cast(field[c]).alias(f"ctx_{c}") for c in carry]]
+    return met.unionByName(client.where(~whole).select(*payload, *nothing))
 
 
 class RetryLoop:
@@ -106,3 +108,4 @@ class RetryLoop:
         later = rows.where(F.col("_due") > batch_id).unionByName(
             again.withColumn("_due", F.lit(batch_id + self.delay_batches).cast("long")))
         later.write.mode("overwrite").parquet(f"{self.pending_path}/b={batch_id}")
+        drop_batch(spark, f"{self.pending_path}/b={batch_id - 2}")

@@ -10,9 +10,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemill.operators.ranking import global_rank
+
 
 def read_if_there(spark, path: str, schema: str | None = None):
     """The saved table, or None before anything was saved.  Only a missing
@@ -28,6 +30,12 @@ def read_if_there(spark, path: str, schema: str | None = None):
         return None
 
 
+def drop_batch(spark, folder: str) -> None:
+    """Remove the saved rows of a batch that no replay can ask for any more."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def jdbc_batch_writer(url: str, table: str, batch_size: int = 500, properties: dict | None = None):
     """Each micro-batch appended to a database table, ``batch_size``
     rows per commit, one connection per partition.  The rows of the same
@@ -58,14 +66,14 @@ class IdempotentBatchWriter:
     """Results and the batch id are committed together: the batch's
     rows go to ``path/batch_id=N`` with overwrite and a ledger row records
     N; a batch already in the ledger is skipped, so a replay neither
-    duplicates nor loses rows."""
+    duplicates nor loses rows.  Only the last batch can be replayed, so the
+    ledger keeps the last two."""
 
     def __init__(self, path: str, ledger_path: str, transform: Callable[[DataFrame], DataFrame] | None = None):
         self.path, self.ledger_path, self.transform = path, ledger_path, transform
 
     def is_committed(self, spark, batch_id: int) -> bool:
-        led = read_if_there(spark, self.ledger_path, "batch_id long")
-        return led is not None and led.filter(F.col("batch_id") == batch_id).limit(1).count() > 0
+        return read_if_there(spark, f"{self.ledger_path}/b={batch_id}", "batch_id long") is not None
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -75,38 +83,31 @@ class IdempotentBatchWriter:
         out.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
         spark.createDataFrame([(batch_id,)], "batch_id long").write.mode("overwrite").parquet(
             f"{self.ledger_path}/b={batch_id}")
+        drop_batch(spark, f"{self.ledger_path}/b={batch_id - 2}")
 
 
 class BufferedSink:
     """Rows are flushed in groups of ``threshold``; the remainder waits
-    in a pending table (saved per batch id) and survives a restart.
+    in a pending table (saved per batch id, the last two kept) and survives a
+    restart.
 
     Flushed rows go to ``path/batch_id=N``.  Group membership follows the
-    ``order`` column and then all others, and the numbered rows are kept
-    while both outputs are written, so a tied row is in exactly one."""
+    ``order`` column and then all others.  The rows are numbered in parallel
+    by ranges (``global_rank``), whose saved copy both outputs read, so a
+    tied row is in exactly one."""
 
     def __init__(self, threshold: int, order: str, path: str, pending_path: str):
         self.threshold, self.order, self.path, self.pending_path = threshold, order, path, pending_path
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        prev = read_if_there(spark, self.pending_path)
-        if prev is not None:
-            prev = prev.filter(F.col("_pending_after") == batch_id - 1).drop("_pending_after", "b")
-            both = prev.unionByName(batch.select(*prev.columns))
-        else:
-            both = batch
-        # One task numbers the rows; a buffer holds fewer than ``threshold``
-        # rows plus one micro-batch, which the trigger size bounds.
-        w = Window.orderBy(self.order, *[c for c in both.columns if c != self.order])
-        numbered = both.withColumn("_i", F.row_number().over(w)).persist()
-        total = numbered.count()
-        full = (total // self.threshold) * self.threshold
-        numbered.filter(F.col("_i") <= full).drop("_i").write.mode("overwrite").parquet(
-            f"{self.path}/batch_id={batch_id}")
-        (numbered.filter(F.col("_i") > full).drop("_i").withColumn("_pending_after", F.lit(batch_id))
-         .write.mode("overwrite").parquet(f"{self.pending_path}/b={batch_id}"))
-        numbered.unpersist()
+        prev = read_if_there(spark, f"{self.pending_path}/b={batch_id - 1}")
+        both = batch if prev is None else prev.unionByName(batch.select(*prev.columns))
+        numbered = global_rank(both, [self.order, *[c for c in both.columns if c != self.order]], rank_col="_i")
+        full = (numbered.count() // self.threshold) * self.threshold
+        numbered.filter(F.col("_i") <= full).drop("_i").write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
+        numbered.filter(F.col("_i") > full).drop("_i").write.mode("overwrite").parquet(f"{self.pending_path}/b={batch_id}")
+        drop_batch(spark, f"{self.pending_path}/b={batch_id - 2}")
 
 
 def retry_round(pending: DataFrame, context: DataFrame, keys: list[str], max_retries: int = 5):

@@ -10,6 +10,7 @@ time order; every state here is bounded per key.
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Row
@@ -27,6 +28,33 @@ def _ms(ts) -> int:
     return calendar.timegm(ts.utctimetuple()) * 1000 + ts.microsecond // 1000
 
 
+def _us(ts) -> int:
+    """Epoch microseconds of a Python datetime (UTC session); a number is milliseconds."""
+    if isinstance(ts, (int, float)):
+        return int(ts * 1000)
+    import calendar
+    return calendar.timegm(ts.utctimetuple()) * 1_000_000 + ts.microsecond
+
+
+class NextTimer:
+    """One event-time timer a key, at the next time something is due."""
+
+    def __init__(self, handle):
+        self.handle, self.state = handle, handle.getValueState("next_timer", "at long")
+
+    def arm(self, due_ms: int) -> None:
+        """Fire at ``due_ms`` or earlier."""
+        armed = self.state.get()[0] if self.state.exists() else None
+        if armed is None or due_ms < armed:
+            if armed is not None:
+                self.handle.deleteTimer(armed)
+            self.handle.registerTimer(due_ms)
+            self.state.update((due_ms,))
+
+    def fired(self) -> None:
+        self.state.clear()
+
+
 def _key(key):
     return key[0] if isinstance(key, tuple) and len(key) == 1 else key
 
@@ -193,7 +221,7 @@ class DailyCap(StatefulProcessor):
         self.days = handle.getMapState("cap", "day long", "cnt long, alerted boolean")
 
     def handleInputRows(self, key, rows, timerValues):
-        rows = sorted(rows, key=lambda r: (_ms(r[self.ts_col]), r[self.id_col]))
+        rows = sorted(rows, key=lambda r: (_us(r[self.ts_col]), r[self.id_col]))
         seen: dict[int, tuple[int, bool]] = {}
         for r in rows:
             d = _ms(r[self.ts_col]) // self.day_ms * self.day_ms
@@ -223,13 +251,15 @@ class DailyCap(StatefulProcessor):
 
 class StrictSequence(StatefulProcessor):
     """``length`` adjacent rows meeting the condition, the last less
-    than ``within_ms`` after the first.  List state keeps at most
-    ``length - 1`` pending rows per key.
+    than ``within_ms`` after the first (compared in microseconds).  List
+    state keeps at most ``length - 1`` pending rows per key.
 
     With ``wait`` (event-time mode and a watermark) rows are held until the
     watermark passes them and then taken in event-time order, so adjacency is
     right whatever batch a row comes in; a key's run goes ``within_ms`` after
-    its last row.  Without it rows must arrive in order across batches."""
+    its last row.  Held rows are read once for each batch in which some are
+    due, by the key's one timer.  Without it rows must arrive in order across
+    batches."""
 
     def __init__(self, ts_col: str, id_col: str, flag_col: str, length: int = 3, within_ms: int = 5000, wait: bool = False):
         self.ts_col, self.id_col, self.flag_col = ts_col, id_col, flag_col
@@ -237,31 +267,38 @@ class StrictSequence(StatefulProcessor):
 
     def init(self, handle):
         self.handle = handle
-        self.pending = handle.getListState("pending", "ts_ms long, id long")
-        self.held = handle.getListState("held", "ts_ms long, id long, hit boolean")
+        self.pending = handle.getListState("pending", "ts_us long, id long")
+        self.held = handle.getListState("held", "ts_us long, id long, hit boolean")
+        self.timer = NextTimer(handle)
 
     def handleInputRows(self, key, rows, timerValues):
-        new = [(_ms(r[self.ts_col]), r[self.id_col], bool(r[self.flag_col])) for r in rows]
+        new = [(_us(r[self.ts_col]), r[self.id_col], bool(r[self.flag_col])) for r in rows]
         if not self.wait:
             yield from self._advance(key, new)
             return
         self.held.appendList(new)
-        for t in {t for t, _, _ in new}:
-            self.handle.registerTimer(t + 1)
+        self.timer.arm(min(t for t, _, _ in new) // 1000 + 1)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        self.timer.fired()
         mark = timerValues.getCurrentWatermarkInMs()
         held = [tuple(r) for r in self.held.get()] if self.held.exists() else []
-        late, ready = [r for r in held if r[0] >= mark], [r for r in held if r[0] < mark]
-        if late:
-            self.held.put(late)
+        later, ready = [r for r in held if r[0] // 1000 >= mark], [r for r in held if r[0] // 1000 < mark]
+        if later:
+            self.held.put(later)
         else:
             self.held.clear()
         if ready:
             yield from self._advance(key, ready)
-            self.handle.registerTimer(max(r[0] for r in ready) + self.within_ms + 1)
-        elif self.pending.exists() and mark > max(r[0] for r in self.pending.get()) + self.within_ms:
-            self.pending.clear()
+        due = [r[0] // 1000 + 1 for r in later]
+        if self.pending.exists():
+            over = max(r[0] for r in self.pending.get()) // 1000 + self.within_ms + 1
+            if over <= mark:
+                self.pending.clear()
+            else:
+                due.append(over)
+        if due:
+            self.timer.arm(min(due))
 
     def _advance(self, key, rows):
         run = [tuple(r) for r in self.pending.get()] if self.pending.exists() else []
@@ -272,8 +309,8 @@ class StrictSequence(StatefulProcessor):
             run.append((ts, rid))
             if len(run) >= self.length:
                 first, last = run[-self.length], run[-1]
-                if last[0] - first[0] < self.within_ms:
-                    yield Row(key=_key(key), first_ms=first[0], first_id=first[1], last_ms=last[0], last_id=last[1])
+                if last[0] - first[0] < 1000 * self.within_ms:
+                    yield Row(key=_key(key), first_ms=first[0] // 1000, first_id=first[1], last_ms=last[0] // 1000, last_id=last[1])
             run = run[-(self.length - 1):]
         if run:
             self.pending.put(run)
@@ -285,10 +322,11 @@ class StrictSequence(StatefulProcessor):
 
 
 class NewestContext(StatefulProcessor):
-    """Server rows of a key are kept for ``max_age_ms`` behind the
-    watermark, client rows until it passes them; a client row is then put
-    out with the newest server row at or before it.  Of server rows at one
-    instant the one with the largest columns counts."""
+    """Server rows of a key are kept, by their time, for ``max_age_ms``
+    behind the watermark, client rows until it passes them; a client row is
+    then put out with the newest server row at or before it, in microseconds.
+    Of server rows at one instant the one with the largest columns counts and
+    is kept.  The key's one timer fires when the next row is due."""
 
     def __init__(self, ts_col: str, max_age_ms: int, payload: Sequence[str], carry: Sequence[str], own_type, ctx_type):
         self.ts_col, self.max_age_ms = ts_col, max_age_ms
@@ -296,39 +334,56 @@ class NewestContext(StatefulProcessor):
 
     def init(self, handle):
         self.handle = handle
-        time = T.StructField("ts_ms", T.LongType())
-        self.servers = handle.getListState("servers", T.StructType([time, *self.ctx_type.fields]))
+        time = T.StructField("ts_us", T.LongType())
+        self.servers = handle.getMapState("servers", T.StructType([time]), self.ctx_type)
         self.clients = handle.getListState("clients", T.StructType([time, *self.own_type.fields]))
+        self.timer = NextTimer(handle)
 
     def handleInputRows(self, key, rows, timerValues):
+        due, new = [], []
         for r in rows:
-            t = _ms(r[self.ts_col])
+            t = _us(r[self.ts_col])
             if r["side"] == "server":
-                self.servers.appendValue((t, *[r["ctx"][c] for c in self.carry]))
-                self.handle.registerTimer(t + self.max_age_ms + 1)
+                ctx = tuple(r["ctx"][c] for c in self.carry)
+                if self.servers.containsKey((t,)):
+                    ctx = max(ctx, tuple(self.servers.getValue((t,))), key=_nulls_first)
+                self.servers.updateValue((t,), ctx)
+                due.append(t // 1000 + self.max_age_ms + 1)
             else:
-                self.clients.appendValue((t, *[r["own"][c] for c in self.payload]))
-                self.handle.registerTimer(t + 1)
+                new.append((t, *[r["own"][c] for c in self.payload]))
+                due.append(t // 1000 + 1)
+        if new:
+            self.clients.appendList(new)
+        self.timer.arm(min(due))
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        self.timer.fired()
         mark = timerValues.getCurrentWatermarkInMs()
-        servers = sorted((tuple(r) for r in self.servers.get()), key=_nulls_first) if self.servers.exists() else []
-        waiting = []
+        servers = {k[0]: tuple(v) for k, v in self.servers.iterator()}
+        times, waiting = sorted(servers), []
         for c in (tuple(r) for r in self.clients.get()) if self.clients.exists() else []:
-            if c[0] >= mark:
+            if c[0] // 1000 >= mark:
                 waiting.append(c)
                 continue
-            near = [s for s in servers if c[0] - self.max_age_ms <= s[0] <= c[0]]
-            ctx = near[-1] if near else (None,) * (1 + len(self.carry))
-            yield Row(**dict(zip(self.payload, c[1:])), ctx_ts=None if ctx[0] is None else ctx[0] // 1000,
-                      **{f"ctx_{n}": v for n, v in zip(self.carry, ctx[1:])})
-        kept = [s for s in servers if s[0] + self.max_age_ms >= mark]
-        for state, left in ((self.clients, waiting), (self.servers, kept)):
-            if left:
-                state.put(left)
+            at = bisect_right(times, c[0]) - 1
+            found = times[at] if at >= 0 and times[at] >= c[0] - 1000 * self.max_age_ms else None
+            ctx = (None,) * len(self.carry) if found is None else servers[found]
+            yield Row(**dict(zip(self.payload, c[1:])), ctx_ts=None if found is None else found // 1_000_000,
+                      **{f"ctx_{n}": v for n, v in zip(self.carry, ctx)})
+        if waiting:
+            self.clients.put(waiting)
+        else:
+            self.clients.clear()
+        due = [c[0] // 1000 + 1 for c in waiting]
+        for t in times:
+            if t // 1000 + self.max_age_ms < mark:
+                self.servers.removeKey((t,))
             else:
-                state.clear()
+                due.append(t // 1000 + self.max_age_ms + 1)
+                break  # times ascend
+        if due:
+            self.timer.arm(min(due))
 
     def close(self):
         pass
