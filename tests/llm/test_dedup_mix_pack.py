@@ -185,3 +185,89 @@ def test_empty_tables(spark):
     for df in (exact_dedup.exact_duplicates(empty), exact_dedup.drop_exact_duplicates(empty), mixing.mix_sources(empty), mixing.apply_mix(empty),
                minhash.near_duplicates(empty), minhash.drop_near_duplicates(empty), packing.pack(empty)):
         assert df.count() == 0
+
+
+def test_stages_keep_columns_named_like_helpers(spark):
+    names = ["_key", "_nth", "__key", "_id", "_copies", "_src", "_u"]
+    rows = [(i, f"{BASE} {'x' * (i % 3)} {i if i % 2 else ''}", "s", *[f"{n}{i}" for n in names]) for i in range(12)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, " + ", ".join(f"{n} string" for n in names))
+    for stage in (exact_dedup.drop_exact_duplicates, minhash.drop_near_duplicates, mixing.apply_mix):
+        out = stage(df)
+        assert out.columns == df.columns
+        got = out.collect()
+        assert got and all(r[n] == f"{n}{r['doc_id']}" for r in got for n in names)
+
+
+def similar(text_a, text_b, words, percent):
+    a, b = (set(minhash.shingle_set(t.encode(), words).tolist()) for t in (text_a, text_b))
+    return 100 * len(a & b) >= percent * len(a | b)
+
+
+def classes(texts, words, percent):
+    """Least index reachable over all similar pairs."""
+    least = list(range(len(texts)))
+
+    def root(i):
+        while least[i] != i:
+            i = least[i]
+        return i
+    for i in range(len(texts)):
+        for j in range(i):
+            if similar(texts[i], texts[j], words, percent):
+                a, b = sorted((root(i), root(j)))
+                least[b] = a
+    return [root(i) for i in range(len(texts))]
+
+
+def test_groups_around_the_similarity(spark):
+    """Copies of one text with 0 to 9 % of the words replaced: some pairs link, many lie just below."""
+    rng = np.random.default_rng(8)
+    base = [f"b{i}" for i in range(300)]
+    texts = []
+    for i in range(60):
+        w = list(base)
+        for p in rng.choice(300, int(rng.integers(0, 28)), replace=False):
+            w[p] = f"own{i}x{p}"
+        texts.append(" ".join(w))
+    texts += [" ".join(f"z{rng.integers(0, 10 ** 9)}" for _ in range(40)) for _ in range(20)]
+    out = minhash.near_duplicates(table(spark, [(i, t, "a") for i, t in enumerate(texts)]).repartition(3), 3, 85, bands=32, rows=4).collect()
+    want = classes(texts, 3, 85)
+    assert len(set(want[:60])) > 3 and len(set(want[:60])) < 50
+    assert {r["doc_id"]: r["component_id"] for r in out} == dict(enumerate(want))
+
+
+def test_open_pairs_are_whole_and_few(spark):
+    """The set similarity join alone, every text a component: all similar pairs are among its pairs; of a large group just
+    below the similarity no pair arises."""
+    rng = np.random.default_rng(5)
+    base = [f"b{i}" for i in range(200)]
+
+    def variant(i, share):
+        w = list(base)
+        for p in rng.choice(200, int(200 * share), replace=False):
+            w[p] = f"own{i}x{p}"
+        return " ".join(w)
+    near = [variant(i, 0.01) for i in range(12)] + [f"short {i % 3} text" for i in range(6)]
+    df = spark.createDataFrame([(i, i, t) for i, t in enumerate(near)], "id long, c long, text string").repartition(3)
+    got = {(r["a"], r["b"]) for r in minhash._open_pairs(df, 3, 80).collect()}
+    want = {(j, i) for i in range(len(near)) for j in range(i) if similar(near[i], near[j], 3, 80)}
+    assert want and want <= got
+    below = [variant(i, 0.08) for i in range(300)]  # a similarity of about 0.65
+    assert not similar(below[0], below[1], 3, 80)
+    df = spark.createDataFrame([(i, i, t) for i, t in enumerate(below)], "id long, c long, text string").repartition(3)
+    assert minhash._open_pairs(df, 3, 80).count() < 300
+
+
+def test_first_shingles_find_every_linked_pair():
+    rng = np.random.default_rng(1)
+    often = rng.integers(0, 50, minhash.CELLS).astype(np.uint32)
+    for _ in range(300):
+        percent = int(rng.choice([80, 85]))
+        common = rng.integers(0, 2 ** 63, int(rng.integers(1, 60)), dtype=np.int64).astype(np.uint64)
+        a, b = (np.unique(np.concatenate([common, rng.integers(0, 2 ** 63, int(rng.integers(0, 8)), dtype=np.int64).astype(np.uint64)])) for _ in "ab")
+        a, b = sorted((a, b), key=len)
+        inter = len(np.intersect1d(a, b))
+        if 100 * inter >= percent * (len(a) + len(b) - inter):
+            rare_a, small = minhash.first_shingles(a, often, percent)
+            rare_b, _ = minhash.first_shingles(b, often, percent)
+            assert len(np.intersect1d(rare_a[:small], rare_b))

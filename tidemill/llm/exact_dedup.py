@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemill.llm.shared import ascii_lower, saved, text_or_empty
+from tidemill.llm.shared import ascii_lower, free_name, saved, text_or_empty
 
 RECORD = "uid long, doc_id long, key long, text_sha256 string, rep long, copies long, largest long, text string"
 
@@ -176,12 +176,14 @@ def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
     Rows are found again by text digest and id; of repeated rows (one id,
     one text) the first in its partition stays.
     """
+    own, nth = free_name(docs, "key"), free_name(docs, "nth")
+
     def key(sha):
         return F.concat_ws(":", sha, F.col("doc_id").cast("string"))
-    stay = exact_duplicates(docs).where("kept").select(key(F.col("text_sha256")).alias("_key"))
-    rows = docs.withColumn("_key", key(F.sha2(ascii_lower(text_or_empty()), 256))).join(stay, "_key")
-    nth = F.row_number().over(Window.partitionBy("_key").orderBy("_key"))
-    return rows.withColumn("_nth", nth).where("_nth = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
+    stay = exact_duplicates(docs).where("kept").select(key(F.col("text_sha256")).alias(own))
+    rows = docs.withColumn(own, key(F.sha2(ascii_lower(text_or_empty()), 256))).join(stay, own)
+    first = F.row_number().over(Window.partitionBy(own).orderBy(own))
+    return rows.withColumn(nth, first).where(F.col(nth) == 1).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 ORACLE_SQL = """

@@ -6,21 +6,34 @@ gives all signature coordinates: coordinate ``k`` is the least value of the
 second permutation at ``position + k``, so a shingle's contributions to all
 coordinates are one contiguous slice of a table.
 
-1. Each text gives its shingle count, a 128-bit digest of its shingle set and
-   its band keys.  Equal sets are one node from here on (their least id).
-2. In each bucket every node is paired with the bucket's least node (a star,
-   never all pairs); pairs are verified on the full sets and linked.
-3. Where a bucket still holds nodes of different components, exactly the
-   pairs across components are verified too.  So each pair that shares a
-   bucket is either linked, refused, or already within one component: nothing
-   is capped.
+1. Each text gives its shingle count, a 128-bit digest of its shingle set,
+   its band keys and one low bit of each signature coordinate.  Equal sets are
+   one node from here on (their least id).
+2. Rounds of stars: in each bucket the components that meet there are known
+   by their least node, and the least of those is the bucket's centre.  A node
+   is compared with one centre a round, that of most of its buckets, so a
+   round has no more pairs than nodes.  Pairs are verified on the full sets,
+   links are closed to components.
+3. Where a bucket still holds different components, its nodes are open.  All
+   links among open nodes of different components are found by an exact set
+   similarity join: every set's shingles are put in one global order, rarest
+   first, and two sets that reach the similarity share a shingle among the
+   first ``n - ceil(2 p n / (100 + p)) + 1`` of the smaller one and the first
+   ``m - ceil(p m / 100) + 1`` of the larger one.  Of texts that share
+   boilerplate but lie below the similarity, those first shingles are their
+   own words, so no pair of them arises, however many they are.  Within a
+   shingle's rows the pairs of its most frequent component are left out by
+   joining the other components' rows alone with all.
+
+So each pair that shares a bucket is linked, refused, or within one component
+already: nothing is capped.  The order's frequencies are counts of hashed
+cells (2 ** 21 of them, a bounded table sent to every task); any order is
+exact, a good one is only faster.
 
 Before texts are compared, a pair is refused if its set sizes rule the
-similarity out, or if its signatures' low bits (one for each coordinate)
-differ in more places than six standard deviations above what the similarity
-gives, which a linked pair does once in a thousand million.  For the nodes of
-step 3 the bits are those of ``FINE`` coordinates, so that in a large group
-whose texts lie just below the similarity few pairs leave the join.
+similarity out, or if its signatures' low bits differ in more places than six
+standard deviations above what the similarity gives, which a linked pair does
+once in a thousand million.
 
 With 32 bands of 8 rows a pair of similarity 0.85 shares no bucket with
 probability 4e-5, of 0.9 with 2e-8.
@@ -36,10 +49,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.llm.shared import WordTable, map_batches, mix64, saved, text_or_empty, texts_of, worker_cache
+from tidemill.llm.shared import WordTable, fitted, free_name, map_batches, mix64, saved, text_or_empty, texts_of, worker_cache
 
 UNIVERSE = 1 << 20
-FINE = 2048
+#: cells of the shingles' frequency table
+CELLS = 1 << 21
+ROUNDS = 2
 ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                 0xA0761D6478BD642F], np.uint64)
 
@@ -143,9 +158,16 @@ def _signatures(docs: DataFrame, words: int, bands: int, rows: int) -> DataFrame
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets reach the similarity."""
-    joined = (pairs.join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
-              .join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a").select("a", "b", "ta", "tb"))
+    """The pairs (a, b) whose full sets reach the similarity.
+
+    The pairs of an ``a`` that has many are dealt over several keys, each with its copy of the text.
+    """
+    parts = pairs.groupBy("a").agg(F.ceil(F.count("*") / 512).cast("int").alias("k"))
+    dealt = pairs.join(parts, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("k")).cast("int").alias("s"))
+    left = (texts.join(parts, F.col("id") == F.col("a"))
+            .select("a", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("s"), F.col("text").alias("ta")))
+    joined = (dealt.join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
+              .join(left, ["a", "s"]).select("a", "b", "ta", "tb"))
 
     def run(batches):
         last, sa = None, None
@@ -179,6 +201,73 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def _one_centre(entries: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """(a, b): each component's least node b of a bucket with the centre a of most of its buckets."""
+    if labels is not None:
+        entries = (entries.join(labels.withColumnRenamed("id", "node"), "node", "left")
+                   .groupBy("key", F.coalesce("component", "node").alias("c")).agg(F.min("node").alias("node")))
+    centres = entries.groupBy("key").agg(F.min("node").alias("a"), F.count("*").alias("_n")).where("_n > 1").drop("_n")
+    met = entries.join(centres, "key").where("node <> a").groupBy("node", "a").agg(F.count("*").alias("_n"))
+    return met.groupBy(F.col("node").alias("b")).agg(F.max_by("a", F.struct("_n", -F.col("a"))).alias("a")).select("a", "b")
+
+
+def first_shingles(shingles: np.ndarray, often: np.ndarray, percent: int) -> tuple[np.ndarray, int]:
+    """The shingles a larger set is found by, rarest first, and how many of them a smaller one is found by."""
+    n = len(shingles)
+    order = np.lexsort((shingles, often[(shingles & np.uint64(CELLS - 1)).astype(np.int64)]))
+    return shingles[order[:n + 1 + (-percent * n) // 100]], n + 1 + (-2 * percent * n) // (100 + percent)
+
+
+def _frequencies(texts: DataFrame, words: int) -> np.ndarray:
+    """How many shingles of all texts fall in each cell."""
+    def cells(b: pa.RecordBatch) -> pa.RecordBatch:
+        sets = [shingle_set(t, words) for t in texts_of(b.column(0))]
+        n = np.bincount((np.concatenate(sets) & np.uint64(CELLS - 1)).astype(np.int64)) if sets else np.zeros(0, np.int64)
+        at = np.flatnonzero(n)
+        return pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(n[at], pa.int64())], names=["cell", "n"])
+
+    def table(rows: pa.Table) -> np.ndarray:
+        out = np.zeros(CELLS, np.uint32)
+        out[np.asarray(rows["cell"])] = np.minimum(np.asarray(rows["n"]), (1 << 32) - 1)
+        return out
+    return fitted(map_batches(texts.select("text"), cells, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")), table)
+
+
+def _open_pairs(open_texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """(a, b) of different components, by rare shingles: all that may reach the similarity.  ``open_texts``: id, c, text."""
+    often = open_texts.sparkSession.sparkContext.broadcast(_frequencies(open_texts, words))
+
+    def entries(b: pa.RecordBatch) -> pa.RecordBatch:
+        cols: list[list[np.ndarray]] = [[], [], [], [], [], []]
+        for i, c, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), texts_of(b.column(2))):
+            s = shingle_set(t, words)
+            if not len(s):
+                continue
+            rare, small = first_shingles(s, often.value, percent)
+            k = len(rare)
+            for col, v in zip(cols, (np.full(k, i), np.full(k, c), np.full(k, len(s)), rare.view(np.int64), np.arange(k), np.arange(k) < small)):
+                col.append(v)
+        whole = [np.concatenate(c) if c else np.zeros(0, np.int64) for c in cols]
+        return pa.RecordBatch.from_arrays([pa.array(w, pa.int64()) for w in whole[:5]] + [pa.array(whole[5].astype(bool))],
+                                          names=["node", "c", "n", "s", "at", "small"])
+
+    rows = saved(map_batches(open_texts.select("id", "c", "text"), entries, "node long, c long, n long, s long, at long, small boolean"), "rare-shingles")
+    per = rows.groupBy("s", "c").agg(F.count("*").alias("_n"))
+    shared = per.groupBy(F.col("s").alias("_s")).agg(F.count("*").alias("_k"), F.max_by("c", F.struct("_n", "c")).alias("_most")).where("_k > 1")
+    rows = saved(rows.join(shared, F.col("s") == F.col("_s")).select(*rows.columns, (F.col("c") != F.col("_most")).alias("minor")), "shared-shingles")
+    x, y = (rows.select(*[F.col(c).alias(f"{side}_{c}") for c in rows.columns]) for side in "xy")
+    # x is the smaller set (ties by id); both orders of a component that is not the shingle's most frequent with all
+    smaller = (F.col("x_n") < F.col("y_n")) | ((F.col("x_n") == F.col("y_n")) & (F.col("x_node") < F.col("y_node")))
+    overlap = F.least(F.col("x_n") - F.col("x_at"), F.col("y_n") - F.col("y_at"))
+    may = (smaller & (F.col("x_c") != F.col("y_c")) & (100 * F.col("x_n") >= percent * F.col("y_n"))
+           & ((100 + percent) * overlap >= percent * (F.col("x_n") + F.col("y_n"))))
+    on = F.col("x_s") == F.col("y_s")
+    first = x.where("x_small and x_minor").join(y, on & may)
+    second = x.where("x_small and not x_minor").join(y.where("y_minor"), on & may)
+    both = first.select("x_node", "y_node").unionByName(second.select("x_node", "y_node"))
+    return both.select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, words: int = 3, percent: int = 85, bands: int = 32, rows: int = 8) -> DataFrame:
     """One row for each row of ``docs``: doc_id, n_shingles, component_id, kept.
 
@@ -194,46 +283,44 @@ def near_duplicates(docs: DataFrame, words: int = 3, percent: int = 85, bands: i
              .agg(F.min("doc_id").alias("node"), F.max("n_shingles").alias("n"), F.min_by("bands", "doc_id").alias("bands"),
                   F.min_by("bits", "doc_id").alias("bits")))
     nodes = saved(nodes, "nodes")
-    entries = nodes.select("node", F.explode("bands").alias("key"))
-    centres = entries.groupBy("key").agg(F.min("node").alias("centre"), F.count("*").alias("_n")).where("_n > 1").drop("_n")
-    buckets = saved(entries.join(centres, "key"), "buckets")
-    may = _may_link("x", "y", bands * rows, percent)
+    # entries of the buckets that hold more than one node
+    every_key = nodes.select("node", F.explode("bands").alias("key"))
+    full = every_key.groupBy("key").agg(F.count("*").alias("_n")).where("_n > 1").select("key")
+    entries = saved(every_key.join(full, "key", "left_semi"), "buckets")
     of_node = nodes.select("node", F.struct("n", "bits").alias("x"))
-    star = buckets.where("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
-    star = star.join(of_node.select(F.col("node").alias("a"), "x"), "a").join(of_node.select(F.col("node").alias("b"), F.col("x").alias("y")), "b")
-    star = saved(star.where(may).select("a", "b").distinct(), "star-pairs")
     # the texts of all nodes that share a bucket, found by a sort-merge join at any size
     every = docs.select(F.col("doc_id").cast("long").alias("id"), text_or_empty().alias("text"))
-    ids = buckets.select(F.col("node").alias("id")).distinct()
-    texts = saved(every.join(ids.hint("merge"), "id", "left_semi"), "bucket-texts")
-    links = saved(_verified(star, texts, words, percent), "star-links")
-    found = components(links)
-    # pairs that share a bucket but are still in different components
-    of = buckets.join(found.withColumnRenamed("id", "node"), "node", "left").select("key", "node", F.coalesce("component", "node").alias("c"))
+    ids = entries.select(F.col("node").alias("id")).distinct()
+    texts = saved(every.join(ids.hint("merge"), "id", "left_semi").distinct(), "bucket-texts")
+
+    def linked(pairs: DataFrame, name: str) -> DataFrame:
+        """Those of the pairs (a, b) whose sizes, sketches and then full sets reach the similarity."""
+        near = (pairs.join(of_node.select(F.col("node").alias("a"), "x"), "a").join(of_node.select(F.col("node").alias("b"), F.col("x").alias("y")), "b")
+                .where(_may_link("x", "y", bands * rows, percent)).select("a", "b"))
+        return saved(_verified(saved(near, f"{name}-pairs"), texts, words, percent), f"{name}-links")
+
+    links, labels, tested = None, None, None
+    for i in range(ROUNDS):
+        pairs = _one_centre(entries, labels)
+        pairs = saved(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "star")
+        tested = pairs if tested is None else tested.union(pairs)
+        new = linked(pairs, "star")
+        if new.isEmpty():
+            break
+        links = new if links is None else links.union(new)
+        labels = components(links)
+    # nodes of buckets that still hold different components
+    of = entries.withColumn("c", F.col("node")) if labels is None else (
+        entries.join(labels.withColumnRenamed("id", "node"), "node", "left").select("key", "node", F.coalesce("component", "node").alias("c")))
     open_keys = of.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("key")
-    left = saved(of.join(open_keys, "key"), "open-buckets")
-
-    def fine_bits(b: pa.RecordBatch) -> pa.RecordBatch:
-        sets = [shingle_set(t, words) for t in texts_of(b.column(1))]
-        x = pa.StructArray.from_arrays([pa.array([len(s) for s in sets], pa.int64()),
-                                        pa.array([sketch(signature(s, FINE)) if len(s) else None for s in sets], pa.list_(pa.int64()))], ["n", "bits"])
-        return pa.RecordBatch.from_arrays([b.column(0), x], names=["node", "x"])
-
-    open_texts = texts.join(left.select(F.col("node").alias("id")).distinct(), "id", "left_semi").select("id", "text")
-    fine = map_batches(open_texts, fine_bits, "node long, x struct<n: long, bits: array<long>>")
-    left = saved(left.join(fine, "node").join(nodes.select("node", "bands"), "node"), "open-nodes")
-    # a pair that shares several buckets leaves the join in that of the least key alone
-    once = F.array_min(F.array_intersect("bands", "bands_")) == F.col("key")
-    may = _may_link("x", "y", FINE, percent) & once
-    right = left.select(*[F.col(c).alias(f"{c}_") for c in ("key", "node", "c", "bands")], F.col("x").alias("y"))
-    across = (left.join(right, (F.col("key") == F.col("key_")) & (F.col("c") < F.col("c_")) & may)
-              .select(F.least("node", "node_").alias("a"), F.greatest("node", "node_").alias("b")).distinct()
-              .join(star, ["a", "b"], "left_anti"))
-    across = saved(across, "open-pairs")
-    if not across.isEmpty():
-        more = saved(_verified(across, texts, words, percent), "open-links")
+    open_nodes = of.join(open_keys, "key", "left_semi").groupBy(F.col("node").alias("id")).agg(F.first("c").alias("c"))
+    open_texts = saved(texts.join(open_nodes, "id"), "open-texts")
+    if not open_texts.isEmpty():
+        across = _open_pairs(open_texts, words, percent)
+        more = linked(across if tested is None else across.join(tested, ["a", "b"], "left_anti"), "open")
         if not more.isEmpty():
-            found = components(links.union(more))
+            labels = components(more if links is None else links.union(more))
+    found = labels if labels is not None else docs.sparkSession.createDataFrame([], "id long, component long")
     least = nodes.select("digest", "node").join(found.withColumnRenamed("id", "node"), "node", "left").select(
         F.col("digest"), F.coalesce("component", "node").alias("_c"))
     out = sig.select("doc_id", "n_shingles", "digest").join(least, "digest", "left")
@@ -249,8 +336,9 @@ def drop_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, ban
     a pair of similarity 0.8 shares no bucket with probability 5e-6.
     """
     found = near_duplicates(docs, words, percent, bands, rows).where("doc_id is not null")
-    gone = found.groupBy(F.col("doc_id").alias("_id")).agg(F.max("kept").alias("_kept")).where("not _kept").select("_id")
-    return docs.join(gone, F.col("doc_id") == F.col("_id"), "left_anti")
+    own = free_name(docs, "id")
+    gone = found.groupBy(F.col("doc_id").alias(own)).agg(F.max("kept").alias("kept")).where("not kept").select(own)
+    return docs.join(gone, F.col("doc_id") == F.col(own), "left_anti")
 
 
 ORACLE_SQL = r"""

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemill.llm.shared import WORD_PATTERN, saved, text_or_empty
+from tidemill.llm.shared import free_name, saved, text_or_empty, WORD_PATTERN
 
 RANGES = 65_536
 
@@ -97,10 +97,10 @@ def apply_mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: floa
 
     Rows that share id and source are taken equally often.
     """
-    mix = mix_sources(docs, weights, share, most).groupBy("doc_id", "source").agg(F.max("copies").alias("_copies")).where("_copies > 0")
-    mix = mix.select(F.col("doc_id").alias("_id"), F.col("source").alias("_src"), "_copies")
-    rows = docs.join(mix, F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_src")))
-    return (rows.withColumn("_nth", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
+    own, src, copies, nth = (free_name(docs, n) for n in ("id", "src", "copies", "nth"))
+    mix = mix_sources(docs, weights, share, most).groupBy(F.col("doc_id").alias(own), F.col("source").alias(src)).agg(F.max("copies").alias(copies))
+    rows = docs.join(mix.where(F.col(copies) > 0), F.col("doc_id").eqNullSafe(F.col(own)) & F.col("source").eqNullSafe(F.col(src)))
+    return (rows.withColumn(nth, F.explode(F.sequence(F.lit(1), F.col(copies).cast("int"))))
             .select(*[F.col(f"`{c}`") for c in docs.columns]))
 
 

@@ -48,6 +48,15 @@ def fold(doc_id: str | Column, k: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(c.cast("string"), F.lit("")).cast("binary")), F.lit(k))
 
 
+def free_name(df: DataFrame, base: str) -> str:
+    """A column name that ``df`` does not have, whatever the caller's columns are called."""
+    taken = {c.lower() for c in df.columns}
+    name = f"_{base}"
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def load_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
 
