@@ -271,3 +271,37 @@ def test_first_shingles_find_every_linked_pair():
             rare_a, small = minhash.first_shingles(a, often, percent)
             rare_b, _ = minhash.first_shingles(b, often, percent)
             assert len(np.intersect1d(rare_a[:small], rare_b))
+
+
+def _id_of_a():
+    from tokenizers import Tokenizer
+    return Tokenizer.from_file(packing.default_vocabulary()).encode("a", add_special_tokens=False).ids[0]
+
+
+IDS = {"a": _id_of_a()}
+
+
+@pytest.mark.parametrize("lowest, highest", [(1, 1), (5, 40), (1, 700)])
+def test_short_texts_leave_little_padding(spark, lowest, highest):
+    rng = np.random.default_rng(9)
+    rows = [(i, " ".join(["a"] * int(rng.integers(lowest, highest + 1))), "s") for i in range(4000)] + [(7, "a a", "s")] * 500
+    out = packing.pack(table(spark, rows).repartition(4), block=300).collect()
+    tokens = sum(len(t.split()) + 1 for _, t, _ in rows)
+    assert sum(r["length"] for r in out) == tokens
+    used = len({r["sequence_id"] for r in out})
+    assert used * 2048 <= tokens * (1.02 if highest < 100 else 1.04) + 2 * 2048
+    ends = {}
+    for r in sorted(out, key=lambda r: (r["sequence_id"], r["offset"])):
+        assert r["offset"] == ends.get(r["sequence_id"], 0)
+        ends[r["sequence_id"]] = r["offset"] + r["length"]
+    assert max(ends.values()) <= 2048
+    of_doc = {}
+    for r in out:
+        if r["doc_id"] != 7:
+            of_doc.setdefault(r["doc_id"], []).append((r["start"], r["length"], r["doc_tokens"], r["ids_crc32"]))
+    for i, t, _ in rows[:4000]:
+        if i != 7:
+            parts, n = sorted(of_doc[i]), len(t.split()) + 1
+            assert [p[0] for p in parts] == [sum(x[1] for x in parts[:j]) for j in range(len(parts))] and sum(p[1] for p in parts) == n == parts[0][2]
+            ids = np.array([IDS["a"]] * (n - 1) + [1], "<u4")
+            assert all(c == zlib.crc32(ids[s:s + k].tobytes()) for s, k, _, c in parts)

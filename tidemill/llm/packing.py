@@ -2,12 +2,16 @@
 
 1. Tokenise: a document's ids and a closing id are cut into full sequences
    and one rest.  Each piece keeps its length and a checksum of its ids.
-2. The pieces' length histogram (classes of ``capacity / 128`` tokens, so 128
-   at most at any input size) is the demand of a cutting-stock problem.  Its
+2. Rests of an eighth of a sequence or less are laid end to end (a running sum
+   by blocks of rows) and cut into bundles of exactly that length, so short
+   pieces waste nothing and a sequence may hold any number of them.
+3. The length histogram of the other pieces and the bundles (classes of
+   ``capacity / 128`` tokens, so 128 at most at any input size) is the demand
+   of a cutting-stock problem.  Its
    linear program is solved by column generation: a revised simplex over
    patterns, and a knapsack dynamic program that prices the next pattern.
    Patterns are rounded down, and what is left is filled greedily.
-3. Pieces are ranked within their class (by counts of blocks of rows, so no
+4. Pieces are ranked within their class (by counts of blocks of rows, so no
    task ranks a whole class), and the rank names the pattern's sequence.
 """
 
@@ -24,7 +28,10 @@ from pyspark.sql import functions as F
 from tidemill.llm.shared import WordTable, fitted, map_batches, saved, text_or_empty, texts_of, worker_cache
 
 CLASSES = 128
+#: classes of a bundle of short pieces
+BUNDLE = 16
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
+NAMES = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
 
 
 def default_vocabulary() -> str:
@@ -89,9 +96,12 @@ def word_ids(path: str) -> WordIds:
 
 
 def cut_pieces(docs: DataFrame, capacity: int, end_id: int, vocabulary: str) -> DataFrame:
+    """The pieces; those that fit a bundle keep their ids, which a bundle's end may yet cut."""
+    short = BUNDLE * (capacity // CLASSES)
+
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
         texts, doc = texts_of(b.column(1)), b.column(0)
-        rows: list[list] = [[], [], [], [], []]
+        rows: list[list] = [[], [], [], [], [], []]
         for lo in range(0, len(texts), 256):
             ids, counts = word_ids(vocabulary).of(texts[lo:lo + 256])
             at = 0
@@ -100,11 +110,28 @@ def cut_pieces(docs: DataFrame, capacity: int, end_id: int, vocabulary: str) ->
                 at += n
                 for s in range(0, n + 1, capacity):
                     piece = whole[s:s + capacity]
-                    for col, v in zip(rows, (lo + i, s, len(piece), zlib.crc32(piece.tobytes()), n + 1)):
+                    raw = piece.tobytes()
+                    for col, v in zip(rows, (lo + i, s, len(piece), zlib.crc32(raw), n + 1, raw if len(piece) <= short else None)):
                         col.append(v)
-        cols = [doc.take(pa.array(rows[0], pa.int64()))] + [pa.array(c, pa.int64()) for c in rows[1:]]
-        return pa.RecordBatch.from_arrays(cols, names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
-    return map_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")), run, PIECE)
+        cols = [doc.take(pa.array(rows[0], pa.int64()))] + [pa.array(c, pa.int64()) for c in rows[1:5]] + [pa.array(rows[5], pa.binary())]
+        return pa.RecordBatch.from_arrays(cols, names=[*NAMES, "ids"])
+    return map_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")), run, PIECE + ", ids binary")
+
+
+def cut_at_bundles(batch: pa.RecordBatch, size: int) -> pa.RecordBatch:
+    """Pieces with their ids and their place ``at`` in the row of all short pieces: cut where a bundle ends, with the bundle's number."""
+    out: list[list] = [[], [], [], [], [], []]
+    doc, start, length, crc, tokens, ids, at = (c.to_pylist() for c in batch.columns)
+    for i in range(batch.num_rows):
+        room = size - at[i] % size
+        first = min(room, length[i])
+        whole = first == length[i]
+        for lo, n, c in ((0, first, crc[i] if whole else zlib.crc32(ids[i][:4 * first])),
+                         (first, length[i] - first, None if whole else zlib.crc32(ids[i][4 * first:]))):
+            if n:
+                for col, v in zip(out, (doc[i], start[i] + lo, n, c, tokens[i], (at[i] + lo) // size)):
+                    col.append(v)
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], names=[*NAMES, "_rank"])
 
 
 def price_pattern(worth: np.ndarray, sizes: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:
@@ -190,22 +217,25 @@ def solve_patterns(demand: np.ndarray, sizes: np.ndarray, capacity: int, gap: fl
 def pack(docs: DataFrame, capacity: int = 2048, end_id: int = 1, vocabulary: str | None = None, block: int = 50_000) -> DataFrame:
     """One row for each piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
-    ``capacity`` is a multiple of 128.  A null or empty text is the closing
+    ``capacity`` is a multiple of 128.  Pieces of an eighth of it or less may
+    be cut once more where a bundle ends.  A null or empty text is the closing
     id alone.  Repeated rows are packed each by itself, null ids like others.
     Pieces tied in their class rank by id, start and checksum; those equal in
     all of it are interchangeable.  An empty table gives an empty result, and
     only doc_id and text are read.  Sequences are numbered from 0.
     """
     unit = capacity // CLASSES
-    pieces = saved(cut_pieces(docs, capacity, end_id, vocabulary or default_vocabulary())
-                   .withColumn("_class", F.ceil(F.col("length") / F.lit(unit)).cast("int")), "pieces")
+    pieces = saved(cut_pieces(docs, capacity, end_id, vocabulary or default_vocabulary()).withColumn("_uid", F.monotonically_increasing_id())
+                   .withColumn("_class", F.when(F.col("ids").isNotNull(), 0).otherwise(F.ceil(F.col("length") / F.lit(unit))).cast("int")), "pieces")
     spark = docs.sparkSession
     blocks = max(1, -(-pieces.count() // block))
-    pieces = pieces.withColumn("_block", F.pmod(F.xxhash64("doc_id", "start"), F.lit(blocks)))
-    counts = pieces.groupBy("_class", "_block").agg(F.count("*").alias("_n"))
-    hist = {r["_class"]: r["n"] for r in counts.groupBy("_class").agg(F.sum("_n").alias("n")).collect()}
-    sizes = np.array(sorted(hist), np.int64)
-    demand = np.array([hist[s] for s in sizes.tolist()], np.float64)
+    pieces = pieces.withColumn("_block", F.pmod(F.xxhash64("_uid"), F.lit(blocks)))  # by row, so a repeated id is spread
+    counts = saved(pieces.groupBy("_class", "_block").agg(F.count("*").alias("_n"), F.sum("length").alias("_tokens")), "piece-counts")
+    hist = {r["_class"]: (r["n"], r["t"]) for r in counts.groupBy("_class").agg(F.sum("_n").alias("n"), F.sum("_tokens").alias("t")).collect()}
+    bundles = -(-hist.pop(0, (0, 0))[1] // (BUNDLE * unit))
+    demands = {c: n for c, (n, _) in hist.items()} | ({BUNDLE: bundles} if bundles else {})  # pieces of that class are bundled
+    sizes = np.array(sorted(demands), np.int64)
+    demand = np.array([demands[s] for s in sizes.tolist()], np.float64)
     patterns = fitted(spark.range(1), lambda _: solve_patterns(demand, sizes, CLASSES))
     # for each class the ranks at which a pattern's slots begin, with the pattern's first sequence and slots
     first = np.cumsum([0] + [n for _, n in patterns])
@@ -214,10 +244,15 @@ def pack(docs: DataFrame, capacity: int = 2048, end_id: int = 1, vocabulary: str
         own = [(int(p[i]), n, int(first[k])) for k, (p, n) in enumerate(patterns) if p[i] > 0]
         slots[s] = (np.cumsum([0] + [a * n for a, n, _ in own]), np.array([f for _, _, f in own]), np.array([a for a, _, _ in own]))
     before = Window.partitionBy("_class").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select("_class", "_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    inside = Window.partitionBy("_class", "_block").orderBy("doc_id", "start", "ids_crc32")
-    ranked = (pieces.withColumn("_r", F.row_number().over(inside)).join(starts, ["_class", "_block"])
-              .select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "_class", (F.col("_before") + F.col("_r") - 1).alias("_rank")))
+    starts = counts.select("_class", "_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
+                           F.coalesce(F.sum("_tokens").over(before), F.lit(0)).alias("_tokens_before"))
+    inside = Window.partitionBy("_class", "_block").orderBy("doc_id", "start", "ids_crc32", "_uid")
+    whole = pieces.where("_class > 0").drop("ids").withColumn("_r", F.row_number().over(inside)).join(starts, ["_class", "_block"])
+    whole = whole.select(*NAMES, "_class", (F.col("_before") + F.col("_r") - 1).alias("_rank"))
+    laid = pieces.where("_class = 0").withColumn("_end", F.sum("length").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
+    laid = laid.join(starts, ["_class", "_block"]).select(*NAMES, "ids", (F.col("_tokens_before") + F.col("_end") - F.col("length")).alias("at"))
+    cut = map_batches(laid, lambda b: cut_at_bundles(b, BUNDLE * unit), PIECE + ", _rank long")
+    ranked = whole.unionByName(cut.select(*NAMES, F.lit(BUNDLE).alias("_class"), "_rank"))
 
     def assign(b: pa.RecordBatch) -> pa.RecordBatch:
         cls, rank = b.column(5).to_numpy(zero_copy_only=False), b.column(6).to_numpy(zero_copy_only=False)
@@ -228,7 +263,7 @@ def pack(docs: DataFrame, capacity: int = 2048, end_id: int = 1, vocabulary: str
             p = np.searchsorted(upto, rank[own], "right") - 1
             seq[own] = base[p] + (rank[own] - upto[p]) // per[p]
         return pa.RecordBatch.from_arrays([*b.columns[:5], pa.array(seq)],
-                                          names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id"])
+                                          names=[*NAMES, "sequence_id"])
     placed = map_batches(ranked, assign, PIECE + ", sequence_id long")
     order = Window.partitionBy("sequence_id").orderBy(F.desc("length"), "doc_id", "start", "ids_crc32")
     return placed.withColumn("offset", F.coalesce(F.sum("length").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
