@@ -9,11 +9,11 @@ coordinates are one contiguous slice of a table.
 1. Each text gives its shingle count, a 128-bit digest of its shingle set,
    its band keys and one low bit of each signature coordinate.  Equal sets are
    one node from here on (their least id).
-2. Rounds of stars: in each bucket the components that meet there are known
-   by their least node, and the least of those is the bucket's centre.  A node
-   is compared with one centre a round, that of most of its buckets, so a
-   round has no more pairs than nodes.  Pairs are verified on the full sets,
-   links are closed to components.
+2. Turns of stars: in each bucket one node of each component that meets there
+   is drawn, and the first of those is the bucket's centre.  A node is
+   compared with one centre a turn, that of most of its buckets, so a turn
+   has no more pairs than nodes.  Pairs are verified on the full sets, links
+   are closed to components, and the next turn draws in another order.
 3. Where a bucket still holds different components, its nodes are open.  All
    links among open nodes of different components are found by an exact set
    similarity join: every set's shingles are put in one global order, rarest
@@ -33,7 +33,8 @@ exact, a good one is only faster.
 Before texts are compared, a pair is refused if its set sizes rule the
 similarity out, or if its signatures' low bits differ in more places than six
 standard deviations above what the similarity gives, which a linked pair does
-once in a thousand million.
+once in a thousand million.  In the exact join the bits are those of ``FINE``
+coordinates and part of the join's condition.
 
 With 32 bands of 8 rows a pair of similarity 0.85 shares no bucket with
 probability 4e-5, of 0.9 with 2e-8.
@@ -54,7 +55,10 @@ from tidemill.llm.shared import WordTable, fitted, free_name, map_batches, mix64
 UNIVERSE = 1 << 20
 #: cells of the shingles' frequency table
 CELLS = 1 << 21
-ROUNDS = 2
+#: coordinates of the sketches of open nodes
+FINE = 4096
+#: turns of stars at most; what they leave open is found by the exact join
+TURNS = 8
 ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                 0xA0761D6478BD642F], np.uint64)
 
@@ -132,12 +136,17 @@ def most_differing(coords: int, percent: int) -> int:
     return int(coords * p + 6 * (coords * p * (1 - p)) ** 0.5)
 
 
+def _bits_agree(a: str, b: str, coords: int, percent: int):
+    """Whether two sketches allow the similarity."""
+    words = range(-(-coords // 64))
+    differ = sum((F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in words), F.lit(0))
+    return differ <= most_differing(coords, percent)
+
+
 def _may_link(a: str, b: str, coords: int, percent: int):
     """Whether sizes and sketches allow the similarity; a and b name columns with n and bits."""
-    words = range(-(-coords // 64))
-    differ = sum((F.bit_count(F.col(f"{a}.bits")[i].bitwiseXOR(F.col(f"{b}.bits")[i])) for i in words), F.lit(0))
     sizes = 100 * F.least(f"{a}.n", f"{b}.n") >= percent * F.greatest(f"{a}.n", f"{b}.n")
-    return sizes & (differ <= most_differing(coords, percent))
+    return sizes & _bits_agree(f"{a}.bits", f"{b}.bits", coords, percent)
 
 
 def _signatures(docs: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
@@ -201,14 +210,17 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def _one_centre(entries: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """(a, b): each component's least node b of a bucket with the centre a of most of its buckets."""
-    if labels is not None:
-        entries = (entries.join(labels.withColumnRenamed("id", "node"), "node", "left")
-                   .groupBy("key", F.coalesce("component", "node").alias("c")).agg(F.min("node").alias("node")))
-    centres = entries.groupBy("key").agg(F.min("node").alias("a"), F.count("*").alias("_n")).where("_n > 1").drop("_n")
-    met = entries.join(centres, "key").where("node <> a").groupBy("node", "a").agg(F.count("*").alias("_n"))
-    return met.groupBy(F.col("node").alias("b")).agg(F.max_by("a", F.struct("_n", -F.col("a"))).alias("a")).select("a", "b")
+def _one_centre(entries: DataFrame, turn: int) -> DataFrame:
+    """(a, b): nodes b, one of each component in a bucket, with the centre a of most of their buckets.
+
+    ``entries``: key, node, c.  The order by which a bucket's centre and its
+    components' nodes are drawn is another in each turn, the same in all
+    buckets, so that nodes meet in few pairs and later turns try others.
+    """
+    drawn = entries.groupBy("key", "c").agg(F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("o"), "node")).alias("d"))
+    centres = drawn.groupBy("key").agg(F.min(F.struct("d", "c")).alias("m"), F.count("*").alias("_n")).where("_n > 1")
+    met = drawn.join(centres, "key").where("c <> m.c").groupBy(F.col("d.node").alias("b"), F.col("m.d.node").alias("a")).agg(F.count("*").alias("_n"))
+    return met.groupBy("b").agg(F.max_by("a", F.struct("_n", -F.col("a"))).alias("a")).select("a", "b")
 
 
 def first_shingles(shingles: np.ndarray, often: np.ndarray, percent: int) -> tuple[np.ndarray, int]:
@@ -255,12 +267,19 @@ def _open_pairs(open_texts: DataFrame, words: int, percent: int) -> DataFrame:
     per = rows.groupBy("s", "c").agg(F.count("*").alias("_n"))
     shared = per.groupBy(F.col("s").alias("_s")).agg(F.count("*").alias("_k"), F.max_by("c", F.struct("_n", "c")).alias("_most")).where("_k > 1")
     rows = saved(rows.join(shared, F.col("s") == F.col("_s")).select(*rows.columns, (F.col("c") != F.col("_most")).alias("minor")), "shared-shingles")
+
+    def fine_bits(b: pa.RecordBatch) -> pa.RecordBatch:
+        sets = [shingle_set(t, words) for t in texts_of(b.column(1))]
+        bits = [sketch(signature(s, FINE)) if len(s) else None for s in sets]
+        return pa.RecordBatch.from_arrays([b.column(0), pa.array(bits, pa.list_(pa.int64()))], names=["node", "bits"])
+    met = open_texts.join(rows.select(F.col("node").alias("id")).distinct(), "id", "left_semi").groupBy("id").agg(F.min("text").alias("text"))
+    rows = saved(rows.join(map_batches(met, fine_bits, "node long, bits array<long>"), "node"), "sketched-shingles")
     x, y = (rows.select(*[F.col(c).alias(f"{side}_{c}") for c in rows.columns]) for side in "xy")
     # x is the smaller set (ties by id); both orders of a component that is not the shingle's most frequent with all
     smaller = (F.col("x_n") < F.col("y_n")) | ((F.col("x_n") == F.col("y_n")) & (F.col("x_node") < F.col("y_node")))
     overlap = F.least(F.col("x_n") - F.col("x_at"), F.col("y_n") - F.col("y_at"))
     may = (smaller & (F.col("x_c") != F.col("y_c")) & (100 * F.col("x_n") >= percent * F.col("y_n"))
-           & ((100 + percent) * overlap >= percent * (F.col("x_n") + F.col("y_n"))))
+           & ((100 + percent) * overlap >= percent * (F.col("x_n") + F.col("y_n"))) & _bits_agree("x_bits", "y_bits", FINE, percent))
     on = F.col("x_s") == F.col("y_s")
     first = x.where("x_small and x_minor").join(y, on & may)
     second = x.where("x_small and not x_minor").join(y.where("y_minor"), on & may)
@@ -300,16 +319,28 @@ def near_duplicates(docs: DataFrame, words: int = 3, percent: int = 85, bands: i
         return saved(_verified(saved(near, f"{name}-pairs"), texts, words, percent), f"{name}-links")
 
     links, labels, tested = None, None, None
-    for i in range(ROUNDS):
-        pairs = _one_centre(entries, labels)
-        pairs = saved(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "star")
-        tested = pairs if tested is None else tested.union(pairs)
+    for turn in range(TURNS):
+        # buckets that still hold different components
+        of = entries.withColumn("c", F.col("node")) if labels is None else (
+            entries.join(labels.withColumnRenamed("id", "node"), "node", "left").select("key", "node", F.coalesce("component", "node").alias("c")))
+        open_keys = of.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("key")
+        of = saved(of.join(open_keys, "key", "left_semi"), "open-buckets")
+        pairs = _one_centre(of, turn)
+        sorted_pair = (F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi"))
+        if tested is not None:
+            pairs = pairs.select("*", *sorted_pair).join(tested, ["lo", "hi"], "left_anti").select("a", "b")
+        pairs = saved(pairs, "star")
+        n = pairs.count()
         new = linked(pairs, "star")
-        if new.isEmpty():
+        fresh = new.count()
+        tested = pairs.select(*sorted_pair) if tested is None else tested.union(pairs.select(*sorted_pair))
+        if fresh:
+            links = new if links is None else links.union(new)
+            labels = components(links)
+            entries = of.select("key", "node")
+        if 10 * fresh < n or not n:  # a turn that links few is the last
             break
-        links = new if links is None else links.union(new)
-        labels = components(links)
-    # nodes of buckets that still hold different components
+    # the nodes still open
     of = entries.withColumn("c", F.col("node")) if labels is None else (
         entries.join(labels.withColumnRenamed("id", "node"), "node", "left").select("key", "node", F.coalesce("component", "node").alias("c")))
     open_keys = of.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("key")
@@ -317,7 +348,7 @@ def near_duplicates(docs: DataFrame, words: int = 3, percent: int = 85, bands: i
     open_texts = saved(texts.join(open_nodes, "id"), "open-texts")
     if not open_texts.isEmpty():
         across = _open_pairs(open_texts, words, percent)
-        more = linked(across if tested is None else across.join(tested, ["a", "b"], "left_anti"), "open")
+        more = linked(across.join(tested.select(F.col("lo").alias("a"), F.col("hi").alias("b")), ["a", "b"], "left_anti"), "open")
         if not more.isEmpty():
             labels = components(more if links is None else links.union(more))
     found = labels if labels is not None else docs.sparkSession.createDataFrame([], "id long, component long")
