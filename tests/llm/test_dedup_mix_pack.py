@@ -47,11 +47,39 @@ def test_exact_duplicates(spark):
 
 
 def test_directory_doubles_only_overfull_buckets(spark):
-    keys = [(k << 56) - (1 << 63) for k in range(0, 256, 32)] + [5] * 9
-    owner = exact_dedup.build_directory(spark.createDataFrame([(k,) for k in keys], "key long"), 3, max_depth=6)
-    assert len(owner) == 64 and owner == sorted(owner)  # the bucket of nine equal keys can't split
-    assert owner.count(owner[-1]) > 1  # a half with few keys keeps its depth
-    assert exact_dedup.build_directory(spark.createDataFrame([], "key long"), 3) == [0]
+    rng = np.random.default_rng(2)
+    deep = [(1 << 62) + i for i in range(40)]  # these differ in their last bits alone
+    places = [k << 58 for k in range(32)] + [5] * 9 + deep + rng.integers(0, 1 << 63, 300).tolist()
+    df = spark.createDataFrame([(p, 1) for p in places], "place long, weight long")
+    buckets = exact_dedup.build_directory(df, 3).collect()
+    held = {(b["depth"], b["prefix"]): sorted(p for p in places if p >> (63 - b["depth"]) == b["prefix"]) for b in buckets}
+    assert sorted(p for h in held.values() for p in h) == sorted(places)  # each place in one bucket
+    for b in buckets:
+        own = held[b["depth"], b["prefix"]]
+        assert (b["n"], b["weight"], b["lo"], b["hi"]) == (len(own), len(own), own[0], own[-1])
+        assert len(own) <= 3 or own[0] == own[-1] == 5  # nine equal keys can't split
+        above = [p for p in places if p >> (64 - b["depth"]) == b["prefix"] >> 1] if b["depth"] else []
+        assert not b["depth"] or len(above) > 3  # no bucket is deeper than it must be
+    assert max(b["depth"] for b in buckets) > 60
+    assert exact_dedup.build_directory(df.limit(0), 3).count() == 0
+
+
+def test_owners_take_runs_of_buckets_of_like_weight(spark, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "OWNED", 1000)
+    rng = np.random.default_rng(4)
+    places, weights = np.unique(rng.integers(0, 1 << 63, 2000)), rng.integers(1, 20, 2000)
+    df = spark.createDataFrame(list(zip(places.tolist(), weights.tolist())), "place long, weight long")
+    firsts = exact_dedup.owners(exact_dedup.build_directory(df, 8))
+    load = np.bincount(np.maximum(np.searchsorted(firsts, places, "right") - 1, 0), weights[:len(places)])
+    assert len(firsts) > 10 and load.max() < 1.3 * np.median(load)
+
+
+def test_split_begins_new_chains_in_bounded_memory(spark, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "HELD", 2000)
+    rows = [(i, f"text {i % 7} " + "x" * 300 * (i % 5), "a") for i in range(140)]
+    out = exact_dedup.exact_duplicates(table(spark, rows).coalesce(1)).collect()
+    assert len(out) == 140 and sum(r["kept"] for r in out) == 35
+    assert all(r["keep_id"] == 105 + r["doc_id"] % 35 and r["group_size"] == 4 for r in out)
 
 
 def test_owner_compares_bytes_along_a_chain():

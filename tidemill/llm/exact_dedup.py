@@ -1,17 +1,21 @@
 """Operator 3: exact duplicates through an extendible-hash index on shared files.
 
 1. Each scan split chains its own rows by a 64-bit key of the normalised
-   text, compares bytes along a chain and marks one row as the split's
+   text, compares bytes along a chain and marks one row as the
    representative of each text.  The rows go to shared files (the index's
    records); only a representative keeps its text.  A text that a third of
-   all rows hold thus leaves one record with text for each split.
-2. The directory: bucket counts over the key's leading bits.  It doubles
-   (one more bit) while a bucket holds more than ``capacity`` records, and
-   an overfull bucket splits into its two halves; the others keep their
-   depth, so several directory cells may name one bucket.
-3. A task owns the key range of a bucket, reads its records in key order,
-   chains equal keys, compares bytes, and writes for each representative
-   the row that stays and the number of rows, again to shared files.
+   all rows hold thus leaves few records with text for each split.  A split
+   begins new chains once its present ones hold ``HELD`` bytes.
+2. The directory: record counts over the key's leading bits.  Where a bucket
+   holds more than ``capacity`` records the directory doubles (one more bit)
+   and the bucket splits into its two halves; the others keep their depth.
+   It is a table in shared files and goes as deep as the key has bits, so
+   only records with one key may overfill a bucket.
+3. Runs of neighbouring buckets of about ``OWNED`` bytes have one owner.  An
+   owner task reads the records of its key range in key order, chains equal
+   keys, compares bytes, and writes for each representative the row that
+   stays and the number of rows, again to shared files.  The driver holds the
+   owners' first keys (``MOST_OWNERS`` at most), not the directory.
 4. Each row looks up its representative's entry.
 """
 
@@ -19,23 +23,32 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemill.llm.shared import ascii_lower, free_name, saved, text_or_empty
 
-RECORD = "uid long, doc_id long, key long, text_sha256 string, rep long, copies long, largest long, text string"
+RECORD = "uid long, doc_id long, key long, text_sha256 string, rep long, copies long, largest long, size long, text string"
+NAMES = ["uid", "doc_id", "key", "text_sha256", "rep", "copies", "largest", "size", "text"]
+#: bytes of distinct texts that a split chains at a time, bytes of records an owner takes, owners at most
+HELD, OWNED, MOST_OWNERS = 16 << 20, 8 << 20, 1 << 16
+#: bits of a record's place in the directory: the key without its last bit, so that places are not negative
+PLACE_BITS = 63
+#: depths that one count of records settles
+DEPTHS = 3
 
 
 def _local_chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Mark the rows of one split: ``rep`` is the uid of the first row with the same bytes."""
+    """Mark the rows of one split: ``rep`` is the uid of the first row with the same bytes since chains began."""
     chains: dict[int, list[int]] = {}
     reps: dict[int, list] = {}
+    held = 0
     for b in batches:
-        uid, doc, key, sha, text = (b.column(i).to_pylist() for i in range(5))
         rep_of = []
-        for u, d, k, s, t in zip(uid, doc, key, sha, text):
+        for u, d, k, s, t in zip(*(b.column(i).to_pylist() for i in range(4)), (t.as_py() for t in b.column(4))):
             for r in chains.setdefault(k, []):
                 if reps[r][3] == t:
                     entry = reps[r]
@@ -46,62 +59,76 @@ def _local_chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 r = u
                 chains[k].append(u)
                 reps[u] = [k, 1, d, t, s]
+                held += len(t) + 200
             rep_of.append(r)
+            if held > HELD:
+                yield from _records(reps)
+                chains.clear()
+                held = 0
         n = b.num_rows
         yield pa.RecordBatch.from_arrays(
-            [b.column(0), b.column(1), b.column(2), b.column(3), pa.array(rep_of, pa.int64()), pa.nulls(n, pa.int64()),
-             pa.nulls(n, pa.int64()), pa.nulls(n, pa.string())],
-            names=["uid", "doc_id", "key", "text_sha256", "rep", "copies", "largest", "text"])
-    # the representatives' records, in pieces of bounded bytes
+            [b.column(0), b.column(1), b.column(2), b.column(3), pa.array(rep_of, pa.int64()), *[pa.nulls(n, pa.int64())] * 3,
+             pa.nulls(n, pa.string())], names=NAMES)
+    yield from _records(reps)
+
+
+def _records(reps: dict[int, list]) -> Iterator[pa.RecordBatch]:
+    """The representatives' records, taken out of ``reps``, in pieces of bounded bytes."""
+    kinds = [*[pa.int64()] * 3, pa.string(), *[pa.int64()] * 4, pa.string()]
     piece, held = [], 0
     for u in list(reps):
         k, c, m, t, s = reps.pop(u)
-        piece.append((None, None, k, s, u, c, m, t))
+        piece.append((None, None, k, s, u, c, m, len(t.encode()), t))
         held += len(t)
-        if held > 4_000_000 or len(piece) >= 5_000:
-            yield _records(piece)
+        if held > 4_000_000 or len(piece) >= 5_000 or not reps:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*piece), kinds)], names=NAMES)
             piece, held = [], 0
-    if piece:
-        yield _records(piece)
-
-
-def _records(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string()]
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)],
-                                      names=["uid", "doc_id", "key", "text_sha256", "rep", "copies", "largest", "text"])
 
 
-def build_directory(records: DataFrame, capacity: int, max_depth: int = 16) -> list[int]:
-    """Bucket number of each directory cell, the cell being the key's leading bits.
+def build_directory(records: DataFrame, capacity: int) -> DataFrame:
+    """The buckets: depth, prefix (the place's leading ``depth`` bits), n, weight, lo and hi (places).
 
-    The counts come back for the cells of the present depth alone; the depth
-    grows until no bucket is overfull, or to ``max_depth`` (65,536 cells, the
-    bound on what the driver holds).  Buckets still overfull there, such as
-    one of many records with one key, stay as longer chains.
+    ``records``: place, weight.  One count of the records settles several
+    depths: each cell of the deepest belongs to the bucket of the least depth
+    that is not overfull.  Cells that are overfull at the deepest are counted
+    anew with further bits, until they hold one place alone.  Each count
+    stays a table; an empty table has no buckets.
     """
     total = records.count()
-    depth = min(max_depth, max(0, (max(total, 1) // max(capacity, 1)).bit_length()))
+    depth = min(PLACE_BITS, max(0, (total // max(capacity, 1)).bit_length() - 1))
+    todo, settled = records, None
+    sums = (F.sum("n").alias("n"), F.sum("weight").alias("weight"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
     while True:
-        cell = F.shiftrightunsigned(F.col("key"), 64 - depth) if depth else F.lit(0)
-        counts = {r["c"]: r["n"] for r in records.groupBy(cell.cast("long").alias("c")).agg(F.count("*").alias("n")).collect()}
-        if depth == max_depth or max(counts.values(), default=0) <= capacity:
-            break
-        depth += 1
-    owner, bucket = [0] * (1 << depth), 0
-
-    def assign(lo: int, hi: int) -> None:
-        nonlocal bucket
-        n = sum(counts.get(c, 0) for c in range(lo, hi))
-        if n <= capacity or hi - lo == 1:
-            owner[lo:hi] = [bucket] * (hi - lo)
-            bucket += 1
-        else:
-            mid = (lo + hi) // 2
-            assign(lo, mid)
-            assign(mid, hi)
-
-    assign(0, 1 << depth)
-    return owner
+        deepest = min(depth + DEPTHS, PLACE_BITS)
+        cells = saved(todo.groupBy(F.shiftright("place", PLACE_BITS - deepest).alias("cell"))
+                      .agg(F.count("*").alias("n"), F.sum("weight").alias("weight"), F.min("place").alias("lo"), F.max("place").alias("hi")), "cells")
+        at = F.lit(None).cast("int")
+        for d in range(deepest, depth - 1, -1):
+            above = Window.partitionBy(F.shiftright("cell", deepest - d))
+            at = F.when((F.sum("n").over(above) <= capacity) | (F.min("lo").over(above) == F.max("hi").over(above)), d).otherwise(at)
+        cells = saved(cells.withColumn("depth", at), "cell-depths")
+        done = (cells.where("depth is not null").groupBy("depth", F.expr(f"shiftright(cell, {deepest} - depth)").alias("prefix")).agg(*sums))
+        settled = done if settled is None else settled.union(done)
+        over = cells.where("depth is null").select("cell")
+        if over.isEmpty():
+            return saved(settled, "directory")
+        todo = records.join(over, F.shiftright("place", PLACE_BITS - deepest) == F.col("cell"), "left_semi")
+        depth = deepest + 1
+
+
+def owners(directory: DataFrame) -> np.ndarray:
+    """The first place of each owner, owners being runs of neighbouring buckets of about equal weight."""
+    total = directory.agg(F.coalesce(F.sum("weight"), F.lit(0)).alias("w")).first()["w"]
+    share = max(OWNED, -(-total // MOST_OWNERS), 1)
+    # the weight before a bucket: that of the groups before its own, and that before it inside its group
+    group = F.shiftright("lo", PLACE_BITS - 12)
+    buckets = directory.select("lo", "weight", group.alias("g"))
+    before = Window.orderBy("g").rowsBetween(Window.unboundedPreceding, -1)  # 4,096 groups at most
+    groups = buckets.groupBy("g").agg(F.sum("weight").alias("w")).select("g", F.coalesce(F.sum("w").over(before), F.lit(0)).alias("w"))
+    inside = Window.partitionBy("g").orderBy("lo").rowsBetween(Window.unboundedPreceding, -1)
+    owner = F.floor((F.col("w") + F.coalesce(F.sum("weight").over(inside), F.lit(0))) / F.lit(share))
+    first = buckets.join(groups, "g").select("lo", owner.alias("owner")).groupBy("owner").agg(F.min("lo").alias("lo"))
+    return np.sort(np.array([r["lo"] for r in first.collect()], np.int64))
 
 
 def _owner_chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -138,7 +165,7 @@ def _owner_chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     yield batch()
 
 
-def exact_duplicates(docs: DataFrame, capacity: int = 4096, max_depth: int = 16) -> DataFrame:
+def exact_duplicates(docs: DataFrame, capacity: int = 4096) -> DataFrame:
     """One row for each row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256.
 
     Texts are equal when their bytes are after lower-casing A-Z; a null text
@@ -151,14 +178,14 @@ def exact_duplicates(docs: DataFrame, capacity: int = 4096, max_depth: int = 16)
     rows = (docs.select(F.monotonically_increasing_id().alias("uid"), F.col("doc_id").cast("long").alias("doc_id"), norm.alias("text"))
             .select("uid", "doc_id", F.xxhash64("text").alias("key"), F.sha2("text", 256).alias("text_sha256"), "text"))
     index = saved(rows.mapInArrow(_local_chains, RECORD), "index-records")
-    reps = index.where("uid is null")
-    owner = build_directory(reps.select("key"), capacity, max_depth)
-    depth, buckets = (len(owner) - 1).bit_length(), max(owner) + 1
-    spark = docs.sparkSession
-    cells = F.broadcast(spark.createDataFrame([(i, b) for i, b in enumerate(owner)], "cell long, bucket int"))
-    cell = (F.shiftrightunsigned(F.col("key"), 64 - depth) if depth else F.lit(0)).cast("long")
-    owned = (reps.select("key", "rep", "copies", "largest", "text").withColumn("cell", cell).join(cells, "cell")
-             .repartition(buckets, "bucket").sortWithinPartitions("key", "rep")
+    reps = index.where("uid is null").withColumn("place", F.shiftrightunsigned("key", 1))
+    firsts = owners(build_directory(reps.select("place", (F.col("size") + 64).alias("weight")), capacity))
+
+    @F.pandas_udf("int")
+    def owner(place: pd.Series) -> pd.Series:
+        return pd.Series(np.maximum(np.searchsorted(firsts, place.to_numpy(), "right") - 1, 0).astype(np.int32))
+    owned = (reps.select("key", "rep", "copies", "largest", "text", owner("place").alias("owner"))
+             .repartitionById(max(len(firsts), 1), "owner").sortWithinPartitions("key", "rep")
              .select("key", "rep", "copies", "largest", "text"))
     found = saved(owned.mapInArrow(_owner_chains, "rep long, keep_id long, group_size long"), "index-chains")
     rows = index.where("uid is not null").select("uid", "doc_id", "text_sha256", "rep")
