@@ -10,7 +10,7 @@ import regex
 from pyspark.sql import functions as F
 
 from tidemill.llm import ann, langid, lm, quality, secret_scan, toxicity
-from tidemill.llm.shared import fold
+from tidemill.llm.shared import drawn, fold
 
 SF = "/root/testdata/sf0.01"
 SCHEMA = "doc_id long, text string, lang string, source string, score string, lang_pred string, _y long, _id long"
@@ -376,3 +376,9 @@ def test_empty_tables(spark):
     for df in (lm.score_corpus(empty), langid.predict_languages(empty), secret_scan.scan(empty), quality.predict_quality(empty, none),
                toxicity.predict_toxicity(empty, none)):
         assert df.count() == 0
+
+
+def test_samples_of_one_id_keep_their_bound(spark):
+    rows = [(7, f"text {i}", "en") for i in range(3000)] + [(7, "the same", "en")] * 1000 + [(None, f"null {i}", "en") for i in range(2000)]
+    got = drawn(spark.createDataFrame(rows, "doc_id long, text string, lang string"), 0.1, "x").collect()
+    assert 350 < len(got) < 650 and len(set(got)) == len(got)

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemill.llm.shared import WordTable, fitted, fold, map_batches, text_or_empty, texts_of, worker_cache
+from tidemill.llm.shared import WordTable, drawn, fitted, fold, map_batches, text_or_empty, texts_of, worker_cache
 
 PIECE_BYTES = 32  # the longest piece of the vocabulary has 25
 BASE, STEP = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95  # odd multipliers of the hash
@@ -185,15 +185,14 @@ def learn(texts: list[bytes], langs: list[str], vocabulary: str, rounds: int = 3
 
 
 def train(docs: DataFrame, bound: int = 400, vocabulary: str | None = None) -> tuple[list[str], np.ndarray]:
-    """Learn from about ``bound`` texts of each language of ``docs`` (text, lang); null languages take no part."""
+    """Learn from about ``bound`` texts of each language of ``docs`` (doc_id, text, lang); null languages take no part."""
     path = vocabulary or default_vocabulary()
     rows = docs.where("lang is not null")
     n = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not n:
         return [], np.zeros((1, 0))
     rate = F.element_at(F.create_map(*[x for k, v in n.items() for x in (F.lit(k), F.lit(min(1.0, bound / v)))]), F.col("lang"))
-    u = F.pmod(F.xxhash64(F.lit("lang"), F.col("doc_id")), F.lit(1_000_000)) / F.lit(1_000_000)
-    sample = rows.where(u < rate).select(text_or_empty().cast("binary").alias("text"), "lang")
+    sample = drawn(rows.select("doc_id", "text", "lang"), rate, "lang").select(text_or_empty().cast("binary").alias("text"), "lang")
     return fitted(sample, lambda t: learn(t["text"].to_pylist(), t["lang"].to_pylist(), path))
 
 

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.llm.shared import WordTable, fitted, fold, map_batches, saved, text_or_empty, texts_of, worker_cache
+from tidemill.llm.shared import WordTable, drawn, fitted, fold, map_batches, saved, text_or_empty, texts_of, worker_cache
 
 WIDTH, LEAD = 32, 16
 DIM, HIDDEN = 16, 40
@@ -465,8 +465,8 @@ def score_texts(docs: DataFrame, train, bound: int = 1000, vocabulary: str | Non
     n_docs = rows.count()
     total = words.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
     n_all, distinct = (total["n"] or 0) + n_docs, total["v"] + (n_docs > 0)
-    u = F.pmod(F.xxhash64(F.lit("lm"), F.col("doc_id")), F.lit(1_000_000)) / F.lit(1_000_000)
-    sample = rows.where(u < min(1.0, bound / max(n_docs, 1))).select("doc_id", text_or_empty().cast("binary").alias("text"))
+    sample = drawn(rows.select("doc_id", "text"), min(1.0, bound / max(n_docs, 1)), "lm")
+    sample = sample.select("doc_id", text_or_empty().cast("binary").alias("text"))
 
     n_ids = _encoding(path).n_vocab + 1
     seen = np.zeros(n_ids)

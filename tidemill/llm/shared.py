@@ -83,6 +83,15 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, keep: Column,
     return rows.groupBy("doc_id", "y").agg(F.min("text").alias("text")), n
 
 
+def drawn(rows: DataFrame, rate: float | Column, by: str) -> DataFrame:
+    """Rows of (doc_id, text, ...) drawn at ``rate`` by a hash of id and text, repeated rows once.
+
+    Whatever share of the rows one id (or null) bears, its texts are drawn at the same rate as others.
+    """
+    u = F.pmod(F.xxhash64(F.lit(by), F.col("doc_id"), F.col("text")), F.lit(1_000_000)) / F.lit(1_000_000)
+    return rows.where(u < rate).distinct()
+
+
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
     """``fn`` on each Arrow batch."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -167,4 +176,7 @@ def fitted(rows: DataFrame, fit: Callable[[pa.Table], object]):
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(table))], pa.binary())], names=["model"])
 
     # repartitioned, not coalesced: what leads to the rows keeps its own tasks
-    return pickle.loads(rows.repartition(1).mapInArrow(run, "model binary").first()["model"])
+    got = rows.repartition(1).mapInArrow(run, "model binary").first()
+    if got is None:  # a table that Spark knows to be empty has no task
+        got = rows.sparkSession.range(1).mapInArrow(lambda _: run(iter(())), "model binary").first()
+    return pickle.loads(got["model"])
