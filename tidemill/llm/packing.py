@@ -81,7 +81,7 @@ class WordIds:
             self.start, self.count = np.concatenate([self.start, 0 * self.start]), np.concatenate([self.count, 0 * self.count])
         at = size - len(new)
         for i in range(0, len(new), 4096):
-            for e in self.tokenizer.encode_batch([w.decode("utf-8") for w in new[i:i + 4096]], add_special_tokens=False):
+            for e in self.tokenizer.encode_batch_fast([w.decode("utf-8") for w in new[i:i + 4096]], add_special_tokens=False):
                 ids = e.ids
                 if self.end + len(ids) > len(self.ids):
                     self.ids = np.concatenate([self.ids, np.zeros(max(len(self.ids), len(ids)), np.int32)])
