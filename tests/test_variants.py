@@ -1,6 +1,7 @@
 """Readers and small variants without a driver table of their own."""
 
 import pandas as pd
+from pyspark.sql import functions as F
 
 from common import rows
 from tidemill.operators import aggregates as A
@@ -31,6 +32,24 @@ def test_keep_first_with_null_keys(spark):
     assert sorted(r["v"] for r in A.keep_first(a, b, ["k"]).collect()) == [1, 2, 7]
 
 
+def text_of(df):
+    got, text = sorted(df.collect(), key=lambda r: r["at"]), ""
+    for r in got:
+        assert r["at"] == len(text)
+        text += r["piece"]
+    return text
+
+
+def test_text_aggregate(spark):
+    df = spark.createDataFrame([(i, c, i // 3) for i, c in enumerate("abcdef")], "i long, v string, b long").repartition(4)
+    assert text_of(A.text_aggregate(df, "v", F.col("b"), ["i"])) == "abcdef"
+    for group in (1, 2, 4096):
+        assert text_of(A.text_aggregate(df, "v", F.col("b"), ["i"], "x", group)) == "xxabcxdef"
+    odd = spark.createDataFrame([(1, "é", -5), (2, None, -5), (3, "", 0), (4, "yz", 9000), (5, None, 7)], "i long, v string, b long")
+    assert text_of(A.text_aggregate(odd, "v", F.col("b"), ["i"], "..")) == "....é....yz"
+    assert text_of(A.text_aggregate(odd.where("i > 9"), "v", F.col("b"), ["i"], "x")) == "x"
+
+
 def test_runs_that_span_batches():
     frames = [pd.DataFrame({"k": [1, 1, 2], "v": [1, 2, 3]}), pd.DataFrame({"k": [2, 2, 3], "v": [4, 5, 6]}), pd.DataFrame({"k": [3], "v": [7]})]
     got = pd.concat(list(O.first_of_each_run("k", 2)(iter(frames))))

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 
@@ -105,6 +105,33 @@ def product_all(df: DataFrame, value: str) -> DataFrame:
                   F.count(value).alias("n"))
 
 
+def text_aggregate(df: DataFrame, value: str, bucket: Column, order: Sequence[str], zero: str = "", group: int = 4096) -> DataFrame:
+    """D09 with a text accumulator: ``aggregate(zero)(_ + _, _ + _)`` over numbered buckets.
+
+    The text is as long as the input, so it comes as rows (at, piece): each
+    piece with the place where it begins, the zero once for the whole and once
+    for each bucket.  ``bucket`` is an integer expression, ``order`` a total
+    order inside a bucket; a null value adds nothing.  Places are running sums
+    inside buckets, of buckets inside groups of ``group``, and of groups, so no
+    task sums over all rows or all buckets.
+    """
+    rows = df.where(F.col(value).isNotNull()).select(bucket.cast("long").alias("_b"), *order, F.col(value).cast("string").alias("piece"))
+    before = (Window.unboundedPreceding, -1)
+
+    def sum_before(col: str, w) -> Column:
+        return F.coalesce(F.sum(col).over(w.rowsBetween(*before)), F.lit(0))
+
+    per = rows.groupBy("_b").agg((F.sum(F.length("piece")) + len(zero)).alias("_n")).withColumn("_g", F.floor(F.col("_b") / F.lit(group)))
+    groups = per.groupBy("_g").agg(F.sum("_n").alias("_n")).select("_g", (sum_before("_n", Window.orderBy("_g")) + len(zero)).alias("_to_g"))
+    starts = per.join(groups, "_g").select("_b", (F.col("_to_g") + sum_before("_n", Window.partitionBy("_g").orderBy("_b"))).alias("_to_b"))
+    placed = rows.withColumn("_len", F.length("piece")).withColumn("_in", sum_before("_len", Window.partitionBy("_b").orderBy(*order)))
+    out = placed.join(starts, "_b").select((F.col("_to_b") + len(zero) + F.col("_in")).alias("at"), "piece")
+    if not zero:
+        return out
+    whole = df.sparkSession.range(1).select(F.col("id").alias("at"), F.lit(zero).alias("piece"))
+    return out.unionByName(starts.select(F.col("_to_b").alias("at"), F.lit(zero).alias("piece"))).unionByName(whole)
+
+
 def keep_first(saved: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Upsert that keeps what is saved: rows of ``new`` whose key is
     there already are dropped (null keys are equal)."""

@@ -48,6 +48,17 @@ def d09_product(spark, sf):
     return A.product_all(load(spark, sf, "customer").select((1 + F.col("c_nationkey") / F.lit(1e6)).alias("v")), "v")
 
 
+@query("d09_text", "D09", oracle="""
+WITH r AS (SELECT o_orderkey // 64 AS b, o_orderkey AS k, o_orderpriority AS p FROM orders),
+a AS (SELECT b, k, p FROM r UNION ALL SELECT DISTINCT b, -1, 'x' FROM r UNION ALL SELECT -1, -1, 'x')
+SELECT CAST(sum(length(p)) OVER (ORDER BY b, k) - length(p) AS BIGINT) AS at, p AS piece FROM a
+""")
+def d09_text(spark, sf):
+    """Aggregate with a text accumulator: priorities in key order, a zero before all and before each run of 64 keys."""
+    o = load(spark, sf, "orders").select("o_orderkey", "o_orderpriority")
+    return A.text_aggregate(o, "o_orderpriority", F.floor(F.col("o_orderkey") / 64), ["o_orderkey"], "x")
+
+
 MINUTES_SQL = """
 SELECT strftime(ts, '%Y-%m-%d %H:00') AS hour, event_type AS language, count(*) AS pv FROM events WHERE event_id % 2 = {} GROUP BY 1, 2"""
 
