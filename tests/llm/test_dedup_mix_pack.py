@@ -286,6 +286,34 @@ def test_open_pairs_are_whole_and_few(spark):
     assert minhash._open_pairs(df, 3, 80).count() < 300
 
 
+def test_near_misses_make_no_pairs(spark):
+    """Texts with 2 and with 3 words replaced: pairs of the first link at exactly 85 %, the others have 78 and 82 %."""
+    rng = np.random.default_rng(3)
+    texts = []
+    for i in range(80):
+        w = [f"b{k}" for k in range(150)]
+        for k in range(2 + i % 2):
+            w[int(rng.integers(4, 10)) + 40 * k + 10 * (i % 3)] = f"own{i}x{k}"
+        texts.append(" ".join(w))
+    df = spark.createDataFrame([(i, i, t) for i, t in enumerate(texts)], "id long, c long, text string").repartition(3)
+    got = {(r["a"], r["b"]) for r in minhash._open_pairs(df, 3, 85).collect()}
+    want = {(j, i) for i in range(80) for j in range(i) if similar(texts[i], texts[j], 3, 85)}
+    assert len(want) >= 780 and want <= got and len(got) < 1.05 * len(want)
+
+
+def test_joined_components_take_links_to_labels(spark):
+    rng = np.random.default_rng(4)
+    parts = [[(int(a), int(b)) for a, b in rng.integers(0, 90, (n, 2)) if a != b] for n in (20, 1, 25, 30)]
+    labels, links = None, []
+    for part in parts:
+        links += part
+        labels = minhash.joined_components(labels, spark.createDataFrame(part, "a long, b long"))
+        whole = minhash.components(spark.createDataFrame(links, "a long, b long"))
+        assert sorted(map(tuple, labels.collect())) == sorted(map(tuple, whole.collect()))
+    same = minhash.joined_components(labels, spark.createDataFrame(parts[0], "a long, b long"))
+    assert sorted(map(tuple, same.collect())) == sorted(map(tuple, labels.collect()))
+
+
 def test_first_shingles_find_every_linked_pair():
     rng = np.random.default_rng(1)
     often = rng.integers(0, 50, minhash.CELLS).astype(np.uint32)

@@ -33,8 +33,13 @@ exact, a good one is only faster.
 Before texts are compared, a pair is refused if its set sizes rule the
 similarity out, or if its signatures' low bits differ in more places than six
 standard deviations above what the similarity gives, which a linked pair does
-once in a thousand million.  In the exact join the bits are those of ``FINE``
-coordinates and part of the join's condition.
+once in a thousand million.  In the exact join the condition holds a bound of
+the overlap: for sets of up to ``MARKED`` shingles that of their 16-bit marks,
+which hardly lets through a pair that isn't linked, for larger ones the bits
+of ``FINE`` coordinates.  So near misses of small texts are refused within the
+join and make no rows; they are still looked at there.
+
+Of the links only what connects components is kept from turn to turn.
 
 With 32 bands of 8 rows a pair of similarity 0.85 shares no bucket with
 probability 4e-5, of 0.9 with 2e-8.
@@ -57,6 +62,8 @@ UNIVERSE = 1 << 20
 CELLS = 1 << 21
 #: coordinates of the sketches of open nodes
 FINE = 4096
+#: shingles of an open node up to which its set is compared by marks
+MARKED = 256
 #: turns of stars at most; what they leave open is found by the exact join
 TURNS = 8
 ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
@@ -143,6 +150,20 @@ def _bits_agree(a: str, b: str, coords: int, percent: int):
     return differ <= most_differing(coords, percent)
 
 
+def marks(shingles: np.ndarray) -> np.ndarray:
+    """The distinct last 16 bits of the shingles."""
+    return np.unique((shingles & np.uint64(0xFFFF)).astype(np.uint16)).view(np.int16)
+
+
+def _marks_agree(percent: int):
+    """Whether the marks of x and y allow the similarity.
+
+    Common shingles that share a mark count once in the intersection; each set has at most n - size(marks) of those.
+    """
+    lost = F.least(F.col("x_n") - F.size("x_marks"), F.col("y_n") - F.size("y_marks"))
+    return (100 + percent) * (F.size(F.array_intersect("x_marks", "y_marks")) + lost) >= percent * (F.col("x_n") + F.col("y_n"))
+
+
 def _may_link(a: str, b: str, coords: int, percent: int):
     """Whether sizes and sketches allow the similarity; a and b name columns with n and bits."""
     sizes = 100 * F.least(f"{a}.n", f"{b}.n") >= percent * F.greatest(f"{a}.n", f"{b}.n")
@@ -210,6 +231,20 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def joined_components(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+    """``labels`` (id, component; None: every node by itself) after ``links`` (a, b): the links are taken to the labels first."""
+    if labels is None:
+        return components(links)
+    for side in "ab":
+        of = labels.select(F.col("id").alias(side), F.col("component").alias("_c"))
+        links = links.join(of, side, "left").withColumn(side, F.coalesce("_c", side)).drop("_c")
+    found = components(links.where("a <> b").select("a", "b").distinct())
+    moved = found.select(F.col("id").alias("component"), F.col("component").alias("_c"))
+    old = labels.join(moved, "component", "left").select("id", F.coalesce("_c", "component").alias("component"))
+    new = found.join(labels.select("id"), "id", "left_anti")
+    return saved(old.unionByName(new.select("id", "component")), "labels")
+
+
 def _one_centre(entries: DataFrame, turn: int) -> DataFrame:
     """(a, b): nodes b, one of each component in a bucket, with the centre a of most of their buckets.
 
@@ -270,16 +305,21 @@ def _open_pairs(open_texts: DataFrame, words: int, percent: int) -> DataFrame:
 
     def fine_bits(b: pa.RecordBatch) -> pa.RecordBatch:
         sets = [shingle_set(t, words) for t in texts_of(b.column(1))]
-        bits = [sketch(signature(s, FINE)) if len(s) else None for s in sets]
-        return pa.RecordBatch.from_arrays([b.column(0), pa.array(bits, pa.list_(pa.int64()))], names=["node", "bits"])
+        # the larger of two sets that may link has at most 100 / percent of the smaller one's shingles, so both have the one or the other
+        bits = [sketch(signature(s, FINE)) if 100 * len(s) >= percent * MARKED else None for s in sets]
+        small = [marks(s) if len(s) <= MARKED else None for s in sets]
+        return pa.RecordBatch.from_arrays([b.column(0), pa.array(bits, pa.list_(pa.int64())), pa.array(small, pa.list_(pa.int16()))],
+                                          names=["node", "bits", "marks"])
     met = open_texts.join(rows.select(F.col("node").alias("id")).distinct(), "id", "left_semi").groupBy("id").agg(F.min("text").alias("text"))
-    rows = saved(rows.join(map_batches(met, fine_bits, "node long, bits array<long>"), "node"), "sketched-shingles")
+    rows = saved(rows.join(map_batches(met, fine_bits, "node long, bits array<long>, marks array<short>"), "node"), "sketched-shingles")
     x, y = (rows.select(*[F.col(c).alias(f"{side}_{c}") for c in rows.columns]) for side in "xy")
     # x is the smaller set (ties by id); both orders of a component that is not the shingle's most frequent with all
     smaller = (F.col("x_n") < F.col("y_n")) | ((F.col("x_n") == F.col("y_n")) & (F.col("x_node") < F.col("y_node")))
     overlap = F.least(F.col("x_n") - F.col("x_at"), F.col("y_n") - F.col("y_at"))
     may = (smaller & (F.col("x_c") != F.col("y_c")) & (100 * F.col("x_n") >= percent * F.col("y_n"))
-           & ((100 + percent) * overlap >= percent * (F.col("x_n") + F.col("y_n"))) & _bits_agree("x_bits", "y_bits", FINE, percent))
+           & ((100 + percent) * overlap >= percent * (F.col("x_n") + F.col("y_n"))))
+    marked = F.col("x_marks").isNotNull() & F.col("y_marks").isNotNull()
+    may &= F.when(marked, _marks_agree(percent)).otherwise(_bits_agree("x_bits", "y_bits", FINE, percent))
     on = F.col("x_s") == F.col("y_s")
     first = x.where("x_small and x_minor").join(y, on & may)
     second = x.where("x_small and not x_minor").join(y.where("y_minor"), on & may)
@@ -314,11 +354,12 @@ def near_duplicates(docs: DataFrame, words: int = 3, percent: int = 85, bands: i
 
     def linked(pairs: DataFrame, name: str) -> DataFrame:
         """Those of the pairs (a, b) whose sizes, sketches and then full sets reach the similarity."""
-        near = (pairs.join(of_node.select(F.col("node").alias("a"), "x"), "a").join(of_node.select(F.col("node").alias("b"), F.col("x").alias("y")), "b")
+        near = (pairs.join(of_node.select(F.col("node").alias("a"), "x"), "a")
+                .join(of_node.select(F.col("node").alias("b"), F.col("x").alias("y")), "b")
                 .where(_may_link("x", "y", bands * rows, percent)).select("a", "b"))
         return saved(_verified(saved(near, f"{name}-pairs"), texts, words, percent), f"{name}-links")
 
-    links, labels, tested = None, None, None
+    labels, tested = None, None
     for turn in range(TURNS):
         # buckets that still hold different components
         of = entries.withColumn("c", F.col("node")) if labels is None else (
@@ -335,8 +376,7 @@ def near_duplicates(docs: DataFrame, words: int = 3, percent: int = 85, bands: i
         fresh = new.count()
         tested = pairs.select(*sorted_pair) if tested is None else tested.union(pairs.select(*sorted_pair))
         if fresh:
-            links = new if links is None else links.union(new)
-            labels = components(links)
+            labels = joined_components(labels, new)
             entries = of.select("key", "node")
         if 10 * fresh < n or not n:  # a turn that links few is the last
             break
@@ -350,7 +390,7 @@ def near_duplicates(docs: DataFrame, words: int = 3, percent: int = 85, bands: i
         across = _open_pairs(open_texts, words, percent)
         more = linked(across.join(tested.select(F.col("lo").alias("a"), F.col("hi").alias("b")), ["a", "b"], "left_anti"), "open")
         if not more.isEmpty():
-            labels = components(more if links is None else links.union(more))
+            labels = joined_components(labels, more)
     found = labels if labels is not None else docs.sparkSession.createDataFrame([], "id long, component long")
     least = nodes.select("digest", "node").join(found.withColumnRenamed("id", "node"), "node", "left").select(
         F.col("digest"), F.coalesce("component", "node").alias("_c"))
