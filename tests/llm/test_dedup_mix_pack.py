@@ -314,6 +314,17 @@ def test_joined_components_take_links_to_labels(spark):
     assert sorted(map(tuple, same.collect())) == sorted(map(tuple, labels.collect()))
 
 
+def test_near_duplicates_keep_little_in_the_driver(spark):
+    """The table of frequencies takes a byte a cell; the pairs' joins broadcast nothing, however small they are."""
+    texts = spark.createDataFrame([(i, f"one two three four {i % 2}") for i in range(4)], "id long, text string")
+    often = minhash._frequencies(texts, 3)
+    assert often.nbytes == minhash.CELLS and sorted(often[often > 0].tolist()) == [9, 9, 17, 17]
+    out = minhash._verified(spark.createDataFrame([(0, 2), (0, 1)], "a long, b long"), texts, 3, 85)
+    assert [tuple(r) for r in out.collect()] == [(0, 2)]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
 def test_first_shingles_find_every_linked_pair():
     rng = np.random.default_rng(1)
     often = rng.integers(0, 50, minhash.CELLS).astype(np.uint32)

@@ -39,7 +39,9 @@ which hardly lets through a pair that isn't linked, for larger ones the bits
 of ``FINE`` coordinates.  So near misses of small texts are refused within the
 join and make no rows; they are still looked at there.
 
-Of the links only what connects components is kept from turn to turn.
+Of the links only what connects components is kept from turn to turn.  The
+joins by id are sort-merge joins throughout: their many small broadcasts would
+gather in the driver.
 
 With 32 bands of 8 rows a pair of similarity 0.85 shares no bucket with
 probability 4e-5, of 0.9 with 2e-8.
@@ -193,11 +195,11 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> D
     The pairs of an ``a`` that has many are dealt over several keys, each with its copy of the text.
     """
     parts = pairs.groupBy("a").agg(F.ceil(F.count("*") / 512).cast("int").alias("k"))
-    dealt = pairs.join(parts, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("k")).cast("int").alias("s"))
-    left = (texts.join(parts, F.col("id") == F.col("a"))
+    dealt = pairs.join(parts.hint("merge"), "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("k")).cast("int").alias("s"))
+    left = (texts.join(parts.hint("merge"), F.col("id") == F.col("a"))
             .select("a", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("s"), F.col("text").alias("ta")))
-    joined = (dealt.join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
-              .join(left, ["a", "s"]).select("a", "b", "ta", "tb"))
+    joined = (dealt.hint("merge").join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
+              .hint("merge").join(left, ["a", "s"]).select("a", "b", "ta", "tb"))
 
     def run(batches):
         last, sa = None, None
@@ -222,10 +224,10 @@ def components(links: DataFrame) -> DataFrame:
     both = saved(links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
     labels = saved(both.groupBy(F.col("a").alias("id")).agg(F.least(F.first("a"), F.min("b")).alias("component")), "labels")
     while True:
-        near = both.join(labels.withColumnRenamed("id", "b"), "b").groupBy(F.col("a").alias("id")).agg(F.min("component").alias("_n"))
-        step = labels.join(near, "id").select("id", F.col("component").alias("_was"), F.least("component", "_n").alias("_c"))
+        near = both.join(labels.withColumnRenamed("id", "b").hint("merge"), "b").groupBy(F.col("a").alias("id")).agg(F.min("component").alias("_n"))
+        step = labels.join(near.hint("merge"), "id").select("id", F.col("component").alias("_was"), F.least("component", "_n").alias("_c"))
         jump = labels.select(F.col("id").alias("_c"), F.col("component").alias("_j"))
-        new = saved(step.join(jump, "_c").select("id", F.least("_c", "_j").alias("component"), "_was"), "labels")
+        new = saved(step.join(jump.hint("merge"), "_c").select("id", F.least("_c", "_j").alias("component"), "_was"), "labels")
         labels = new.select("id", "component")
         if new.where("component <> _was").isEmpty():
             return labels
@@ -236,12 +238,12 @@ def joined_components(labels: DataFrame | None, links: DataFrame) -> DataFrame:
     if labels is None:
         return components(links)
     for side in "ab":
-        of = labels.select(F.col("id").alias(side), F.col("component").alias("_c"))
+        of = labels.select(F.col("id").alias(side), F.col("component").alias("_c")).hint("merge")
         links = links.join(of, side, "left").withColumn(side, F.coalesce("_c", side)).drop("_c")
     found = components(links.where("a <> b").select("a", "b").distinct())
-    moved = found.select(F.col("id").alias("component"), F.col("component").alias("_c"))
+    moved = found.select(F.col("id").alias("component"), F.col("component").alias("_c")).hint("merge")
     old = labels.join(moved, "component", "left").select("id", F.coalesce("_c", "component").alias("component"))
-    new = found.join(labels.select("id"), "id", "left_anti")
+    new = found.join(labels.select("id").hint("merge"), "id", "left_anti")
     return saved(old.unionByName(new.select("id", "component")), "labels")
 
 
@@ -266,7 +268,7 @@ def first_shingles(shingles: np.ndarray, often: np.ndarray, percent: int) -> tup
 
 
 def _frequencies(texts: DataFrame, words: int) -> np.ndarray:
-    """How many shingles of all texts fall in each cell."""
+    """How many shingles of all texts fall in each cell, on a scale of logarithms with eight steps to a doubling (0: none), in bytes."""
     def cells(b: pa.RecordBatch) -> pa.RecordBatch:
         sets = [shingle_set(t, words) for t in texts_of(b.column(0))]
         n = np.bincount((np.concatenate(sets) & np.uint64(CELLS - 1)).astype(np.int64)) if sets else np.zeros(0, np.int64)
@@ -274,8 +276,8 @@ def _frequencies(texts: DataFrame, words: int) -> np.ndarray:
         return pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(n[at], pa.int64())], names=["cell", "n"])
 
     def table(rows: pa.Table) -> np.ndarray:
-        out = np.zeros(CELLS, np.uint32)
-        out[np.asarray(rows["cell"])] = np.minimum(np.asarray(rows["n"]), (1 << 32) - 1)
+        out = np.zeros(CELLS, np.uint8)
+        out[np.asarray(rows["cell"])] = np.minimum(1 + 8 * np.log2(np.maximum(np.asarray(rows["n"]), 1)), 255)
         return out
     return fitted(map_batches(texts.select("text"), cells, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")), table)
 
@@ -311,7 +313,7 @@ def _open_pairs(open_texts: DataFrame, words: int, percent: int) -> DataFrame:
         return pa.RecordBatch.from_arrays([b.column(0), pa.array(bits, pa.list_(pa.int64())), pa.array(small, pa.list_(pa.int16()))],
                                           names=["node", "bits", "marks"])
     met = open_texts.join(rows.select(F.col("node").alias("id")).distinct(), "id", "left_semi").groupBy("id").agg(F.min("text").alias("text"))
-    rows = saved(rows.join(map_batches(met, fine_bits, "node long, bits array<long>, marks array<short>"), "node"), "sketched-shingles")
+    rows = saved(rows.join(map_batches(met, fine_bits, "node long, bits array<long>, marks array<short>").hint("merge"), "node"), "sketched-shingles")
     x, y = (rows.select(*[F.col(c).alias(f"{side}_{c}") for c in rows.columns]) for side in "xy")
     # x is the smaller set (ties by id); both orders of a component that is not the shingle's most frequent with all
     smaller = (F.col("x_n") < F.col("y_n")) | ((F.col("x_n") == F.col("y_n")) & (F.col("x_node") < F.col("y_node")))
@@ -354,8 +356,8 @@ def near_duplicates(docs: DataFrame, words: int = 3, percent: int = 85, bands: i
 
     def linked(pairs: DataFrame, name: str) -> DataFrame:
         """Those of the pairs (a, b) whose sizes, sketches and then full sets reach the similarity."""
-        near = (pairs.join(of_node.select(F.col("node").alias("a"), "x"), "a")
-                .join(of_node.select(F.col("node").alias("b"), F.col("x").alias("y")), "b")
+        near = (pairs.hint("merge").join(of_node.select(F.col("node").alias("a"), "x"), "a")
+                .hint("merge").join(of_node.select(F.col("node").alias("b"), F.col("x").alias("y")), "b")
                 .where(_may_link("x", "y", bands * rows, percent)).select("a", "b"))
         return saved(_verified(saved(near, f"{name}-pairs"), texts, words, percent), f"{name}-links")
 
@@ -363,13 +365,13 @@ def near_duplicates(docs: DataFrame, words: int = 3, percent: int = 85, bands: i
     for turn in range(TURNS):
         # buckets that still hold different components
         of = entries.withColumn("c", F.col("node")) if labels is None else (
-            entries.join(labels.withColumnRenamed("id", "node"), "node", "left").select("key", "node", F.coalesce("component", "node").alias("c")))
+            entries.join(labels.withColumnRenamed("id", "node").hint("merge"), "node", "left").select("key", "node", F.coalesce("component", "node").alias("c")))
         open_keys = of.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("key")
         of = saved(of.join(open_keys, "key", "left_semi"), "open-buckets")
         pairs = _one_centre(of, turn)
         sorted_pair = (F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi"))
         if tested is not None:
-            pairs = pairs.select("*", *sorted_pair).join(tested, ["lo", "hi"], "left_anti").select("a", "b")
+            pairs = pairs.select("*", *sorted_pair).join(tested.hint("merge"), ["lo", "hi"], "left_anti").select("a", "b")
         pairs = saved(pairs, "star")
         n = pairs.count()
         new = linked(pairs, "star")
@@ -382,13 +384,13 @@ def near_duplicates(docs: DataFrame, words: int = 3, percent: int = 85, bands: i
             break
     # the nodes still open
     of = entries.withColumn("c", F.col("node")) if labels is None else (
-        entries.join(labels.withColumnRenamed("id", "node"), "node", "left").select("key", "node", F.coalesce("component", "node").alias("c")))
+        entries.join(labels.withColumnRenamed("id", "node").hint("merge"), "node", "left").select("key", "node", F.coalesce("component", "node").alias("c")))
     open_keys = of.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("key")
     open_nodes = of.join(open_keys, "key", "left_semi").groupBy(F.col("node").alias("id")).agg(F.first("c").alias("c"))
-    open_texts = saved(texts.join(open_nodes, "id"), "open-texts")
+    open_texts = saved(texts.join(open_nodes.hint("merge"), "id"), "open-texts")
     if not open_texts.isEmpty():
         across = _open_pairs(open_texts, words, percent)
-        more = linked(across.join(tested.select(F.col("lo").alias("a"), F.col("hi").alias("b")), ["a", "b"], "left_anti"), "open")
+        more = linked(across.join(tested.select(F.col("lo").alias("a"), F.col("hi").alias("b")).hint("merge"), ["a", "b"], "left_anti"), "open")
         if not more.isEmpty():
             labels = joined_components(labels, more)
     found = labels if labels is not None else docs.sparkSession.createDataFrame([], "id long, component long")
