@@ -372,3 +372,21 @@ def test_short_texts_leave_little_padding(spark, lowest, highest):
             assert [p[0] for p in parts] == [sum(x[1] for x in parts[:j]) for j in range(len(parts))] and sum(p[1] for p in parts) == n == parts[0][2]
             ids = np.array([IDS["a"]] * (n - 1) + [1], "<u4")
             assert all(c == zlib.crc32(ids[s:s + k].tobytes()) for s, k, _, c in parts)
+
+
+def test_plain_words_take_the_merges_alone():
+    """Ids are those of the whole text; the tokenizer with its normalising is asked for other words only."""
+    words = packing.WordIds(packing.default_vocabulary())
+    whole, asked = words.tokenizer, []
+
+    class Counted:
+        def encode_batch_fast(self, new, **kw):
+            asked.extend(new)
+            return whole.encode_batch_fast(new, **kw)
+    words.tokenizer = Counted()
+    odd = ["it's", "Éa", "éx", "日本", "a​b", "<|endoftext|>", "x<|startoftext|>y", "1²"]
+    plain = ["house", "and,", "élan.", "a1b22c", "%%%", "(x+y)=3;", "</w>", "a</w>", "ßü", "f_g-h", "|>", "é", "."]
+    texts = [" ".join(plain + odd), "", " \t", " ".join(odd + plain[::-1]), "HOUSE And, New-Word!", "house"]
+    ids, counts = words.of([t.encode() for t in texts])
+    assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == [whole.encode(t, add_special_tokens=False).ids for t in texts]
+    assert sorted(asked) == sorted(odd)

@@ -17,7 +17,9 @@
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
 
 import numpy as np
@@ -39,17 +41,47 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+#: how ``word_bpe_49k.json`` normalises and splits a text; any other vocabulary's words all take the whole tokenizer
+NORMALIZER = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+SPLITTER = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+END = "</w>"
+# words which that normaliser leaves as they are: of lower-case letters of ASCII and Latin-1, digits and ASCII signs but for
+# the apostrophe; and the pieces it splits them into
+PLAIN = re.compile(rb"(?:[!-&(-@\[-~]|\xc3[\x9f-\xb6\xb8-\xbf])+")
+PIECES = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+|[0-9]|[!-&(-/:-@\[-`{-~]+")
+
+
+def byte_letters() -> dict[int, int]:
+    """The letter that stands for each byte in a byte-level vocabulary; the blank between pieces stays."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: b for b in shown} | {b: 256 + i for i, b in enumerate(hidden) if b != 32}
+
+
 class WordIds:
     """Token ids of white-space delimited words, remembered up to a bounded number of words.
 
     The tokenizer drops white space and splits at it, so the ids of a text
-    are those of its words in turn.
+    are those of its words in turn.  Plain words need no normalising and are
+    split here; their pieces go to the vocabulary's merges alone, many in a
+    call: a piece ends with the one id that closes a piece.
     """
 
     def __init__(self, path: str, limit: int = 700_000):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        self.tokenizer, self.limit = Tokenizer.from_file(path), limit
+        self.tokenizer, self.limit, self.merges = Tokenizer.from_file(path), limit, None
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        if (spec["normalizer"], spec["pre_tokenizer"], spec["post_processor"], spec["model"].get("end_of_word_suffix")) == (NORMALIZER, SPLITTER, None, END):
+            self.merges = Tokenizer.from_str(json.dumps(spec | {"normalizer": None, "pre_tokenizer": None, "added_tokens": []}))
+            self.merges.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
+            self.closes = np.zeros(max(spec["model"]["vocab"].values()) + 1, bool)
+            self.closes[[i for token, i in spec["model"]["vocab"].items() if token.endswith(END)]] = True
+            self.letters = byte_letters()
         self._clear()
 
     def _clear(self) -> None:
@@ -80,15 +112,35 @@ class WordIds:
         while size > len(self.start):
             self.start, self.count = np.concatenate([self.start, 0 * self.start]), np.concatenate([self.count, 0 * self.count])
         at = size - len(new)
-        for i in range(0, len(new), 4096):
-            for e in self.tokenizer.encode_batch_fast([w.decode("utf-8") for w in new[i:i + 4096]], add_special_tokens=False):
-                ids = e.ids
-                if self.end + len(ids) > len(self.ids):
-                    self.ids = np.concatenate([self.ids, np.zeros(max(len(self.ids), len(ids)), np.int32)])
-                self.ids[self.end:self.end + len(ids)] = ids
-                self.start[at], self.count[at] = self.end, len(ids)
-                self.end += len(ids)
-                at += 1
+        for i in range(0, len(new), 16_384):
+            self._learn_some(new[i:i + 16_384], at + i)
+
+    def _learn_some(self, new: list[bytes], at: int) -> None:
+        split = [PIECES.findall(w) if PLAIN.fullmatch(w) and b"<|" not in w else [] for w in new] if self.merges else [[]] * len(new)
+        per = np.fromiter(map(len, split), np.int64, len(new))
+        own = np.flatnonzero(per)
+        if len(own):
+            line = b" ".join([p for ps in split for p in ps]).decode("latin-1").translate(self.letters)
+            ids = np.array(self.merges.encode_batch_fast([line], add_special_tokens=False)[0].ids, np.int32)
+            ends = np.flatnonzero(self.closes[ids]) + 1
+            if len(ends) == per.sum() and ends[-1] == len(ids):
+                self._keep(at + own, np.diff(ends[np.cumsum(per[own]) - 1], prepend=0), ids)
+            else:  # a letter that the vocabulary lacks
+                per[:] = 0
+        rest = np.flatnonzero(per == 0)
+        if len(rest):
+            words = [new[k].decode("utf-8") for k in rest.tolist()]
+            coded = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+            sizes = np.fromiter(map(len, coded), np.int64, len(coded))
+            self._keep(at + rest, sizes, np.fromiter((x for c in coded for x in c), np.int32, int(sizes.sum())))
+
+    def _keep(self, at: np.ndarray, sizes: np.ndarray, ids: np.ndarray) -> None:
+        """``ids``: those of the words numbered ``at`` in a row."""
+        while self.end + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids, 0 * self.ids])
+        self.ids[self.end:self.end + len(ids)] = ids
+        self.start[at], self.count[at] = self.end + np.cumsum(sizes) - sizes, sizes
+        self.end += len(ids)
 
 
 def word_ids(path: str) -> WordIds:
