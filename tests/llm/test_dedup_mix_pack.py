@@ -390,3 +390,43 @@ def test_plain_words_take_the_merges_alone():
     ids, counts = words.of([t.encode() for t in texts])
     assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == [whole.encode(t, add_special_tokens=False).ids for t in texts]
     assert sorted(asked) == sorted(odd)
+
+
+def spread(n, words, most, seed):
+    """Copies of one text, each with up to ``most`` of its words replaced."""
+    rng = np.random.default_rng(seed)
+    texts = []
+    for i in range(n):
+        w = [f"b{k}" for k in range(words)]
+        for k in rng.choice(words, int(rng.integers(0, most)), replace=False):
+            w[k] = f"own{i}x{k}"
+        texts.append(" ".join(w))
+    return texts
+
+
+def test_open_pairs_are_made_at_their_first_shared_shingle(spark):
+    texts = spread(60, 200, 6, 11) + spread(20, 600, 9, 12)
+    df = spark.createDataFrame([(i, i, t) for i, t in enumerate(texts)], "id long, c long, text string").repartition(3)
+    got = [(r["a"], r["b"]) for r in minhash._rows_of_pairs(*minhash._open_rows(df, 3, 85), 85).collect()]
+    want = {(j, i) for i in range(80) for j in range(i) if similar(texts[i], texts[j], 3, 85)}
+    assert len(want) > 300 and want <= set(got)
+    assert len(got) == len(set(got))  # one row, however many shingles they share
+
+
+def test_large_components_take_others_in_by_a_few_nodes(spark, monkeypatch):
+    """Drawn nodes make a share of the linked pairs; rounds of more and more of them give the same components."""
+    near = [" ".join(f"own{i}" if k == i + 3 else f"b{k}" for k in range(200)) for i in range(130)]
+    df = spark.createDataFrame([(i, min(i, 10), t) for i, t in enumerate(near)], "id long, c long, text string").repartition(3)
+    rows = minhash._open_rows(df, 3, 85)
+    whole = {tuple(r) for r in minhash._rows_of_pairs(*rows, 85).collect()}
+    few = {tuple(r) for r in minhash._rows_of_pairs(*rows, 85, 12).collect()}
+    assert len(whole) == 10 * 120 + 45 and few < whole and len(few) < 300
+    assert {a for a, _ in few} == set(range(10)) and {b for _, b in few} <= set(range(10, 130))
+    rounds, plain = [], minhash._rows_of_pairs
+    monkeypatch.setattr(minhash, "_rows_of_pairs", lambda met, sketches, percent, drawn=None: rounds.append(drawn) or plain(met, sketches, percent, drawn))
+    monkeypatch.setattr(minhash, "TURNS", 1)  # leaves much to the join
+    monkeypatch.setattr(minhash, "DRAWN", 2)
+    texts = spread(150, 300, 28, 13)
+    out = minhash.near_duplicates(table(spark, [(i, t, "a") for i, t in enumerate(texts)]).repartition(3), 3, 85, bands=32, rows=4).collect()
+    assert {r["doc_id"]: r["component_id"] for r in out} == dict(enumerate(classes(texts, 3, 85)))
+    assert rounds[0] == 2 and rounds[-1] is None and rounds.count(None) == 1

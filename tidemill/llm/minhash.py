@@ -23,7 +23,14 @@ coordinates are one contiguous slice of a table.
    boilerplate but lie below the similarity, those first shingles are their
    own words, so no pair of them arises, however many they are.  Within a
    shingle's rows the pairs of its most frequent component are left out by
-   joining the other components' rows alone with all.
+   joining the other components' rows alone with all.  A pair that shares
+   several first shingles is a row at the rarest of them only.
+4. A node that links with one component links with many of its nodes where
+   the component is large.  So the join is made in rounds: first the other
+   components with about ``DRAWN`` nodes of a shingle's most frequent one,
+   then with ``DRAWN_MORE`` times as many, and so on; links are closed to
+   components after each round, so a node takes few links into the next, and
+   the last round, with all nodes, has those left that link with hardly any.
 
 So each pair that shares a bucket is linked, refused, or within one component
 already: nothing is capped.  The order's frequencies are counts of hashed
@@ -66,6 +73,10 @@ CELLS = 1 << 21
 FINE = 4096
 #: shingles of an open node up to which its set is compared by marks
 MARKED = 256
+#: rarest shingles that a row of the join carries, to be made at the first one shared
+PRIOR = 64
+#: nodes of a shingle's most frequent component that the others are compared with in the first round, and by what the next rounds have more
+DRAWN, DRAWN_MORE = 32, 16
 #: turns of stars at most; what they leave open is found by the exact join
 TURNS = 8
 ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
@@ -282,8 +293,17 @@ def _frequencies(texts: DataFrame, words: int) -> np.ndarray:
     return fitted(map_batches(texts.select("text"), cells, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")), table)
 
 
-def _open_pairs(open_texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """(a, b) of different components, by rare shingles: all that may reach the similarity.  ``open_texts``: id, c, text."""
+def _meeting(rows: DataFrame) -> DataFrame:
+    """The rows whose shingle several components share: ``minor`` unless of its most frequent one, which has ``most_n`` rows."""
+    rows = rows.drop("minor", "most_n")
+    per = rows.groupBy("s", "c").agg(F.count("*").alias("_n"))
+    shared = per.groupBy(F.col("s").alias("_s")).agg(
+        F.count("*").alias("_k"), F.max_by("c", F.struct("_n", "c")).alias("_most"), F.max("_n").alias("most_n")).where("_k > 1")
+    return saved(rows.join(shared, F.col("s") == F.col("_s")).select(*rows.columns, (F.col("c") != F.col("_most")).alias("minor"), "most_n"), "shared-shingles")
+
+
+def _open_rows(open_texts: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Rows (node, c, n, s, at, small, minor, most_n) of the rare shingles at which components meet, and (node, bits, marks, prior) of their nodes."""
     often = open_texts.sparkSession.sparkContext.broadcast(_frequencies(open_texts, words))
 
     def entries(b: pa.RecordBatch) -> pa.RecordBatch:
@@ -301,32 +321,50 @@ def _open_pairs(open_texts: DataFrame, words: int, percent: int) -> DataFrame:
                                           names=["node", "c", "n", "s", "at", "small"])
 
     rows = saved(map_batches(open_texts.select("id", "c", "text"), entries, "node long, c long, n long, s long, at long, small boolean"), "rare-shingles")
-    per = rows.groupBy("s", "c").agg(F.count("*").alias("_n"))
-    shared = per.groupBy(F.col("s").alias("_s")).agg(F.count("*").alias("_k"), F.max_by("c", F.struct("_n", "c")).alias("_most")).where("_k > 1")
-    rows = saved(rows.join(shared, F.col("s") == F.col("_s")).select(*rows.columns, (F.col("c") != F.col("_most")).alias("minor")), "shared-shingles")
+    rows = _meeting(rows)
 
-    def fine_bits(b: pa.RecordBatch) -> pa.RecordBatch:
+    def sketches(b: pa.RecordBatch) -> pa.RecordBatch:
         sets = [shingle_set(t, words) for t in texts_of(b.column(1))]
         # the larger of two sets that may link has at most 100 / percent of the smaller one's shingles, so both have the one or the other
         bits = [sketch(signature(s, FINE)) if 100 * len(s) >= percent * MARKED else None for s in sets]
         small = [marks(s) if len(s) <= MARKED else None for s in sets]
-        return pa.RecordBatch.from_arrays([b.column(0), pa.array(bits, pa.list_(pa.int64())), pa.array(small, pa.list_(pa.int16()))],
-                                          names=["node", "bits", "marks"])
-    met = open_texts.join(rows.select(F.col("node").alias("id")).distinct(), "id", "left_semi").groupBy("id").agg(F.min("text").alias("text"))
-    rows = saved(rows.join(map_batches(met, fine_bits, "node long, bits array<long>, marks array<short>").hint("merge"), "node"), "sketched-shingles")
+        # an id with several texts has rows of each, so none of them comes first
+        prior = [first_shingles(s, often.value, percent)[0][:PRIOR].view(np.int64) if n == 1 else [] for s, n in zip(sets, b.column(2).to_pylist())]
+        return pa.RecordBatch.from_arrays([b.column(0), pa.array(bits, pa.list_(pa.int64())), pa.array(small, pa.list_(pa.int16())), pa.array(prior, pa.list_(pa.int64()))],
+                                          names=["node", "bits", "marks", "prior"])
+    met = open_texts.join(rows.select(F.col("node").alias("id")).distinct(), "id", "left_semi").groupBy("id").agg(F.min("text").alias("text"), F.count("*").alias("n"))
+    return rows, saved(map_batches(met, sketches, "node long, bits array<long>, marks array<short>, prior array<long>"), "sketches")
+
+
+def _rows_of_pairs(rows: DataFrame, sketches: DataFrame, percent: int, drawn: int | None = None) -> DataFrame:
+    """(a, b) of different components that may reach the similarity, at the first shingle they share.
+
+    With ``drawn``, only those with about so many nodes of a shingle's most
+    frequent component, at the shingles where it has more.
+    """
+    if drawn is not None:
+        place = F.pmod(F.xxhash64("node"), F.lit(1_000_000))
+        rows = rows.where((F.col("most_n") > drawn) & (F.col("minor") | (place * F.col("most_n") < 1_000_000 * drawn)))
+    rows = saved(rows.hint("merge").join(sketches, "node"), "sketched-shingles")
     x, y = (rows.select(*[F.col(c).alias(f"{side}_{c}") for c in rows.columns]) for side in "xy")
     # x is the smaller set (ties by id); both orders of a component that is not the shingle's most frequent with all
     smaller = (F.col("x_n") < F.col("y_n")) | ((F.col("x_n") == F.col("y_n")) & (F.col("x_node") < F.col("y_node")))
     overlap = F.least(F.col("x_n") - F.col("x_at"), F.col("y_n") - F.col("y_at"))
     may = (smaller & (F.col("x_c") != F.col("y_c")) & (100 * F.col("x_n") >= percent * F.col("y_n"))
            & ((100 + percent) * overlap >= percent * (F.col("x_n") + F.col("y_n"))))
+    may &= ~F.arrays_overlap(*[F.slice(f"{side}_prior", F.lit(1), F.col(f"{side}_at").cast("int")) for side in "xy"])
     marked = F.col("x_marks").isNotNull() & F.col("y_marks").isNotNull()
     may &= F.when(marked, _marks_agree(percent)).otherwise(_bits_agree("x_bits", "y_bits", FINE, percent))
     on = F.col("x_s") == F.col("y_s")
-    first = x.where("x_small and x_minor").join(y, on & may)
+    first = x.where("x_small and x_minor").join(y if drawn is None else y.where("not y_minor"), on & may)
     second = x.where("x_small and not x_minor").join(y.where("y_minor"), on & may)
     both = first.select("x_node", "y_node").unionByName(second.select("x_node", "y_node"))
-    return both.select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct()
+    return both.select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b"))
+
+
+def _open_pairs(open_texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """(a, b) of different components, by rare shingles: all that may reach the similarity.  ``open_texts``: id, c, text."""
+    return _rows_of_pairs(*_open_rows(open_texts, words, percent), percent).distinct()
 
 
 def near_duplicates(docs: DataFrame, words: int = 3, percent: int = 85, bands: int = 32, rows: int = 8) -> DataFrame:
@@ -389,10 +427,19 @@ def near_duplicates(docs: DataFrame, words: int = 3, percent: int = 85, bands: i
     open_nodes = of.join(open_keys, "key", "left_semi").groupBy(F.col("node").alias("id")).agg(F.first("c").alias("c"))
     open_texts = saved(texts.join(open_nodes.hint("merge"), "id"), "open-texts")
     if not open_texts.isEmpty():
-        across = _open_pairs(open_texts, words, percent)
-        more = linked(across.join(tested.select(F.col("lo").alias("a"), F.col("hi").alias("b")).hint("merge"), ["a", "b"], "left_anti"), "open")
-        if not more.isEmpty():
-            labels = joined_components(labels, more)
+        met, sketches = _open_rows(open_texts, words, percent)
+        before = tested.select(F.col("lo").alias("a"), F.col("hi").alias("b")).hint("merge")
+        drawn, last = DRAWN, False
+        while not last:
+            last = (met.agg(F.max("most_n").alias("n")).first()["n"] or 0) <= drawn
+            across = _rows_of_pairs(met, sketches, percent, None if last else drawn).distinct()
+            more = linked(across.join(before, ["a", "b"], "left_anti"), "open")
+            drawn *= DRAWN_MORE
+            if not more.isEmpty():
+                labels = joined_components(labels, more)
+                if not last:
+                    now = labels.select(F.col("id").alias("node"), F.col("component").alias("_c")).hint("merge")
+                    met = _meeting(met.join(now, "node", "left").withColumn("c", F.coalesce("_c", "c")).drop("_c"))
     found = labels if labels is not None else docs.sparkSession.createDataFrame([], "id long, component long")
     least = nodes.select("digest", "node").join(found.withColumnRenamed("id", "node"), "node", "left").select(
         F.col("digest"), F.coalesce("component", "node").alias("_c"))
