@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemill.llm.shared import ascii_lower, free_name, saved, text_or_empty
+from tidemill.llm.shared import ascii_lower, forget_cache, free_name, lean, saved, text_or_empty
 
 RECORD = "uid long, doc_id long, key long, text_sha256 string, rep long, copies long, largest long, size long, text string"
 NAMES = ["uid", "doc_id", "key", "text_sha256", "rep", "copies", "largest", "size", "text"]
@@ -43,6 +43,7 @@ DEPTHS = 3
 
 def _local_chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Mark the rows of one split: ``rep`` is the uid of the first row with the same bytes since chains began."""
+    forget_cache()
     chains: dict[int, list[int]] = {}
     reps: dict[int, list] = {}
     held = 0
@@ -133,6 +134,7 @@ def owners(directory: DataFrame) -> np.ndarray:
 
 def _owner_chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Records in key order: chain equal keys, compare bytes, settle each chain when its key ends."""
+    forget_cache()
     now, chain = None, []  # chain: [text, rows, largest doc_id, reps]
     out: list[tuple] = []
 
@@ -177,7 +179,7 @@ def exact_duplicates(docs: DataFrame, capacity: int = 4096) -> DataFrame:
     norm = ascii_lower(text_or_empty())
     rows = (docs.select(F.monotonically_increasing_id().alias("uid"), F.col("doc_id").cast("long").alias("doc_id"), norm.alias("text"))
             .select("uid", "doc_id", F.xxhash64("text").alias("key"), F.sha2("text", 256).alias("text_sha256"), "text"))
-    index = saved(rows.mapInArrow(_local_chains, RECORD), "index-records")
+    index = saved(rows.mapInArrow(lean(_local_chains), RECORD), "index-records")
     reps = index.where("uid is null").withColumn("place", F.shiftrightunsigned("key", 1))
     firsts = owners(build_directory(reps.select("place", (F.col("size") + 64).alias("weight")), capacity))
 
@@ -187,7 +189,7 @@ def exact_duplicates(docs: DataFrame, capacity: int = 4096) -> DataFrame:
     owned = (reps.select("key", "rep", "copies", "largest", "text", owner("place").alias("owner"))
              .repartitionById(max(len(firsts), 1), "owner").sortWithinPartitions("key", "rep")
              .select("key", "rep", "copies", "largest", "text"))
-    found = saved(owned.mapInArrow(_owner_chains, "rep long, keep_id long, group_size long"), "index-chains")
+    found = saved(owned.mapInArrow(lean(_owner_chains), "rep long, keep_id long, group_size long"), "index-chains")
     rows = index.where("uid is not null").select("uid", "doc_id", "text_sha256", "rep")
     out = rows.join(found, "rep")
     # of repeated rows with the id that stays, the one with the smallest uid is kept

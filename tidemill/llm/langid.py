@@ -127,7 +127,7 @@ def word_scores(words: list[bytes], keys: np.ndarray, probs: np.ndarray) -> np.n
     for i, w in enumerate(words):
         by_size.setdefault(len(w), []).append(i)
     for size, at in by_size.items():
-        step = max(1, 200_000 // (size + 1))
+        step = max(1, 50_000 // (size + 1))
         for lo in range(0, len(at), step):
             part = at[lo:lo + step]
             out[part] = forward(lattice([words[i] for i in part], keys), probs)[1]
@@ -243,11 +243,12 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], columns: list
     path = vocabulary or default_vocabulary()
     mark = (len(names), float(probs.sum()), float((probs * np.arange(len(probs))[:, None]).sum()))
     columns = [c for c in (docs.columns if columns is None else columns) if c not in ("lang_pred", "score")]
+    text_at = columns.index("text") if "text" in columns else len(columns)  # a text goes to the task once
 
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
         known_words = worker_cache(("language", mark), lambda: _Scores(pieces_of(path), probs))
         preds, scores = [], []
-        texts = texts_of(b.column(len(columns)))
+        texts = texts_of(b.column(text_at))
         for lo in range(0, len(texts), 256):
             part = texts[lo:lo + 256]
             total, counts = known_words.of(part) if names else (np.zeros((len(part), 0)), np.zeros(len(part)))
@@ -260,7 +261,7 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], columns: list
                 scores.append(s if known else 0.0)
         return pa.RecordBatch.from_arrays([*b.columns[:len(columns)], pa.array(preds, pa.string()), pa.array(scores, pa.float64())],
                                           names=[*columns, "lang_pred", "score"])
-    read = docs.select(*[F.col(f"`{c}`") for c in columns], F.col("text").alias("_text"))
+    read = docs.select(*[F.col(f"`{c}`") for c in columns], *[F.col("text").alias("_text")] * (text_at == len(columns)))
     schema = T.StructType([*docs.select(*[F.col(f"`{c}`") for c in columns]).schema.fields,
                            T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
     return map_batches(read, run, schema)

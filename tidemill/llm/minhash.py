@@ -64,7 +64,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.llm.shared import WordTable, fitted, free_name, map_batches, mix64, saved, text_or_empty, texts_of, worker_cache
+from tidemill.llm.shared import WordTable, fitted, free_name, lean, map_batches, mix64, saved, text_or_empty, texts_of, worker_cache
 
 UNIVERSE = 1 << 20
 #: cells of the shingles' frequency table
@@ -223,7 +223,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> D
                 common = len(sa) + len(sb) - len(np.union1d(sa, sb))
                 ok.append(100 * common >= percent * (len(sa) + len(sb) - common))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
-    return joined.mapInArrow(run, "a long, b long").distinct()
+    return joined.mapInArrow(lean(run), "a long, b long").distinct()
 
 
 def components(links: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ touches A-Z only, and a word is a run of bytes outside ``\\x20 \\x09-\\x0D``
 
 from __future__ import annotations
 
+import ctypes
 import pickle
 import uuid
 from collections.abc import Callable, Iterator
@@ -18,6 +19,8 @@ from pyspark.sql import functions as F
 
 from tidemill.session import checkpoint_dir
 
+#: bytes of an Arrow batch that a function on batches takes at a time
+PIECE = 8 << 20
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -93,13 +96,39 @@ def drawn(rows: DataFrame, rate: float | Column, by: str) -> DataFrame:
 
 
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
-    """``fn`` on each Arrow batch."""
+    """``fn`` on each Arrow batch, a large one in pieces."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = fn(b)
             if out is not None:
                 yield out
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(lean(run), schema)
+
+
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` on pieces of about ``PIECE`` bytes at most, none of them empty; a task that read more gives back what it has freed."""
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        read = 0
+
+        def pieces() -> Iterator[pa.RecordBatch]:
+            nonlocal read
+            for b in batches:
+                read += b.nbytes
+                step = max(1, b.num_rows * PIECE // max(b.nbytes, 1))
+                for lo in range(0, b.num_rows, step):
+                    yield b.slice(lo, step)
+        yield from run(pieces())
+        if read > PIECE:
+            give_back()
+    return task
+
+
+def give_back() -> None:
+    """Freed memory goes back to the machine: a worker lives as long as its executor and would hold the most it ever took."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not every C library has it
+    if trim:
+        trim(0)
 
 
 def texts_of(column: pa.Array) -> list[bytes]:
@@ -152,6 +181,11 @@ def worker_cache(key, make: Callable[[], object]):
     return _kept[1]
 
 
+def forget_cache() -> None:
+    """For tasks that need nothing kept and much memory."""
+    _kept[:] = [None, None]
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijection on unsigned 64-bit integers (xor-shift and odd multiplications)."""
     x = x ^ (x >> np.uint64(31))
