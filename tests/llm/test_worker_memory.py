@@ -41,6 +41,15 @@ def test_task_gives_back_what_it_freed():
     assert resident_mb() < before + 40
 
 
+def test_large_batch_gives_back_between_its_pieces(monkeypatch):
+    batch = pa.RecordBatch.from_arrays([pa.array(["x" * 10_000] * 4_000)], names=["text"])
+    said = []
+    monkeypatch.setattr(shared, "give_back", lambda: said.append("given back"))
+    list(shared.lean(lambda batches: (b for b in batches if not said.append(b.num_rows)))(iter([batch.slice(0, 5), batch])))
+    assert said[0] == 5 and sum(x for x in said if x != "given back") == 4_005
+    assert said.count("given back") == len(said) - said.count("given back") and said[-1] == "given back"
+
+
 def test_exact_dedup_drops_what_another_operator_keeps():
     for chains, names, rows in ((exact_dedup._local_chains, ["uid", "doc_id", "key", "text_sha256", "text"], [[1], [7], [3], ["s"], ["a text"]]),
                                 (exact_dedup._owner_chains, ["key", "rep", "copies", "largest", "text"], [[3], [1], [1], [7], ["a text"]])):

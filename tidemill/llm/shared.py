@@ -106,7 +106,7 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | N
 
 
 def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """``run`` on pieces of about ``PIECE`` bytes at most, none of them empty; a task that read more gives back what it has freed."""
+    """``run`` on pieces of about ``PIECE`` bytes at most, none of them empty; after each piece of a larger batch, and at the end, what was freed is given back."""
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         read = 0
 
@@ -117,6 +117,8 @@ def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) ->
                 step = max(1, b.num_rows * PIECE // max(b.nbytes, 1))
                 for lo in range(0, b.num_rows, step):
                     yield b.slice(lo, step)
+                    if step < b.num_rows:
+                        give_back()
         yield from run(pieces())
         if read > PIECE:
             give_back()
