@@ -360,6 +360,116 @@ def test_language_model_takes_in_all_training_texts(spark, monkeypatch):
     assert got[7] > got[-1] + 0.05
 
 
+def small_network(n, n_classes, rng):
+    shapes = {"e": (n, lm.DIM), "wq": (lm.DIM, lm.DIM), "wk": (lm.DIM, lm.DIM), "wv": (lm.DIM, lm.DIM), "far": (lm.WIDTH,),
+              "w1": (2 * lm.DIM, lm.HIDDEN), "b1": (lm.HIDDEN,), "w2": (lm.HIDDEN, n_classes), "b2": (n_classes,)}
+    return {k: (rng.standard_normal(v) * 0.3).astype(np.float32) for k, v in shapes.items()}
+
+
+def class_logs(m, x):
+    """Log probabilities of the classes at each place of one window, one place after the other, in doubles."""
+    m = {k: v.astype(np.float64) for k, v in m.items()}
+    e, out = m["e"][x], []
+    for i in range(len(x)):
+        s = np.array([(e[i] @ m["wq"]) @ (e[j] @ m["wk"]) + m["far"][i - j] for j in range(i + 1)])
+        s = np.exp(s - s.max())
+        a = (s / s.sum()) @ (e[:i + 1] @ m["wv"])
+        z = np.tanh(np.concatenate([a, e[i]]) @ m["w1"] + m["b1"]) @ m["w2"] + m["b2"]
+        out.append(z - z.max() - np.log(np.exp(z - z.max()).sum()))
+    return np.array(out)
+
+
+@pytest.mark.parametrize("scale", [1, 40])  # 40: attention scores beyond the range of exp
+def test_gradients_are_those_of_the_plain_loss(scale):
+    rng = np.random.default_rng(11)
+    n, n_classes = 9, 7
+    m = small_network(n, n_classes, rng)
+    m["wq"] *= scale
+    x, target = rng.integers(0, n, (2, lm.WIDTH)), rng.integers(0, n_classes, (2, lm.WIDTH))
+    weight = np.ones((2, lm.WIDTH), np.float32)
+    weight[1, 20:] = 0
+
+    def loss(m):
+        return -sum(class_logs(m, x[w])[i, target[w, i]] * weight[w, i] for w in range(2) for i in range(lm.WIDTH)) / weight.sum()
+
+    line, net = lm.packed(m)
+    g = lm.views(np.zeros_like(line), n_classes)
+    d = lm._gradients(m["e"], net, x, target, weight, g)
+    g = lm.unpacked(lm.summed(d, x.ravel(), n), g)
+    for k, v in m.items():
+        for at in {tuple(rng.integers(0, size) for size in v.shape) for _ in range(4)}:
+            step = {h: {q: u.astype(np.float64) for q, u in m.items()} for h in (-1e-5, 1e-5)}
+            for h, changed in step.items():
+                changed[k][at] += h
+            assert g[k][at] == pytest.approx((loss(step[1e-5]) - loss(step[-1e-5])) / 2e-5, rel=2e-2, abs=2e-5), (k, at)
+
+
+@pytest.mark.parametrize("scale", [1, 40])
+def test_scores_are_those_of_overlapping_windows(scale):
+    rng = np.random.default_rng(12)
+    n, n_classes = 30, 7
+    m = small_network(n, n_classes, rng)
+    m["wq"] *= scale
+    m["w2"] *= scale
+    of, share = rng.integers(0, n_classes, n), rng.standard_normal(n)
+    sizes = np.array([1, 15, 16, 17, 31, 32, 33, 47, 48, 49, 1, 1, 90])
+    ids = rng.integers(0, n, sizes.sum())
+    line, want = np.concatenate([[n - 1], ids]), np.zeros(len(sizes))
+    last = -1
+    for text, begin, count in zip(*lm.stretches(sizes)):
+        logs = class_logs(m, line[begin:begin + count])
+        for i in range(lm.LEAD if text == last else 0, count):
+            want[text] += logs[i, of[ids[begin + i]]] + share[ids[begin + i]]
+        last = text
+    for block in (128, 3, 1):
+        assert lm.Scorer(m, of, share).scores(ids, sizes, block) == pytest.approx(want / np.log(10), rel=1e-4)
+
+
+def test_words_are_encoded_many_in_a_call():
+    path = lm.default_vocabulary()
+    texts = [" ".join(f"word{i} it's {i}-{i % 7} \u65e5\u672c{i}" for i in range(k, k + 300)).encode() for k in (0, 300)]
+    texts += [b"", " \u3000 a\u3000b \x85 \u00a0 c\u00a0 q\u2003".encode(), b"x" * 3000, b"\t"]
+    words, plain = lm.Words(path), lm._encoding(path).encode_ordinary
+    calls = []
+
+    class Counted:
+        def encode_ordinary(self, text):
+            calls.append(text)
+            return plain(text)
+    words.encoding = Counted()
+    flat, sizes = words.subwords(*words.of(texts))
+    want = [[i for w in t.lower().split() for i in plain(" " + w.decode())] for t in texts]
+    assert flat.tolist() == [i for w in want for i in w] and sizes.tolist() == [len(w) for w in want]
+    assert len(words.table) > 1800 and len(calls) < 600  # a call for each word but where an odd blank is near
+    calls.clear()
+    words.clear()
+    words.of(texts[:2])
+    assert len(words.table) > 1800 and len(calls) < 10
+
+
+def test_saved_ids_are_those_of_the_texts(spark):
+    rows = documents(spark).limit(300).unionByName(spark.createDataFrame([(None, None, None, None)] * 2 + [(-5, "One one ONE\ttwo", "en", "s")] * 2, SCHEMA.split(", score")[0]))
+    path = lm.default_vocabulary()
+    plain, end = lm._encoding(path).encode_ordinary, lm._encoding(path).n_vocab
+    keys, count, met = lm.WordKeys(path), {}, {}
+    got = lm.coded(rows, F.col("doc_id") < 0, path).select("doc_id", "train", "ids").toArrow().combine_chunks()
+    line, sizes = next(lm.id_lines(got["ids"].combine_chunks(), end, 10_000))
+    key, text = keys.of(line)
+    ends = np.cumsum(sizes)
+    have, want = [], []
+    for k, (a, b) in enumerate(zip(ends - sizes, ends)):
+        have.append((str(got["doc_id"][k]), got["train"][k].as_py(), line[a:b].tolist()))
+    for r in rows.collect():
+        ws = (r["text"] or "").encode().lower().split()
+        want.append((str(r["doc_id"]), r["doc_id"] is not None and r["doc_id"] < 0, [i for w in ws for i in plain(" " + w.decode())] + [end]))
+        for w in ws:
+            count[w] = count.get(w, 0) + 1
+    assert sorted(have) == sorted(want)
+    for k in key.tolist():
+        met[k] = met.get(k, 0) + 1
+    assert sorted(met.values()) == sorted(count.values())  # a key for each word
+
+
 def test_shares_after_are_distributions():
     n_classes, n = 3 + lm.SINGLE + lm.GROUPS, 300
     rng = np.random.default_rng(4)
